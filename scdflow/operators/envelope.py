@@ -60,10 +60,21 @@ def _is_empty(variant: Column) -> Column:
     )
 
 
+def _computed(rows: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that are computed here, once.
+
+    The columns below build on one another several levels deep. A filter or projection
+    merged through them would copy the whole tree at every mention, parsing included;
+    neither is merged through a generator.
+    """
+    return rows.select(
+        "*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))
+    )
+
+
 def decode(records: DataFrame) -> DataFrame:
     """Parse each value once: adds `document` and what kind of value it is."""
     start = F.substring(F.ltrim("value", F.lit(" \t\r\n")), 1, 1)
-    document = F.try_parse_json("value")
     kind = (
         F.when(F.col("value").isNull(), "tombstone")
         .when(F.col("document").isNull(), "malformed")
@@ -72,69 +83,67 @@ def decode(records: DataFrame) -> DataFrame:
         .when(start.isin("[", '"'), "sequence")
         .otherwise("scalar")
     )
-    return records.withColumn("document", document).withColumn("kind", kind)
+    return _computed(records, document=F.try_parse_json("value")).withColumn("kind", kind)
 
 
 def normalize(records: DataFrame) -> DataFrame:
     """Operation, row image and outcome of each record."""
-    decoded = decode(records).withColumn("payload", part(F.col("document"), "payload"))
-    wrapped = F.col("payload").isNotNull()
-    before = F.when(wrapped, part(F.col("payload"), "before")).otherwise(
-        part(F.col("document"), "before")
-    )
-    after = F.when(wrapped, part(F.col("payload"), "after")).otherwise(
-        part(F.col("document"), "after")
-    )
-    wrapped_op = F.when(part(F.col("payload"), "op").isNull(), "c").otherwise(
-        text(F.col("payload"), "op")
+    document, payload = F.col("document"), F.col("payload")
+    items = F.col("topic") == ORDER_ITEMS
+    opened = _computed(
+        _computed(decode(records), payload=part(document, "payload")),
+        wrapped=payload.isNotNull(),
+        misshapen=payload.isNotNull() & ~_is_object(payload),
+        before=F.coalesce(part(payload, "before"), _unless(payload, part(document, "before"))),
+        after=F.coalesce(part(payload, "after"), _unless(payload, part(document, "after"))),
+        wrapped_op=F.when(part(payload, "op").isNull(), "c").otherwise(text(payload, "op")),
     )
     bare_op = (
         F.when(_nothing(F.col("after")), "d")
         .when(_nothing(F.col("before")), "c")
         .otherwise("u")
     )
+    read = _computed(opened, op=F.when(F.col("wrapped"), F.col("wrapped_op")).otherwise(bare_op))
     deleted = F.col("op").eqNullSafe("d")
-    items = F.col("topic") == ORDER_ITEMS
+    chosen = _computed(
+        read,
+        row_image=F.when(deleted & ~items, F.col("before")).otherwise(F.col("after")),
+        ignored=items & ~F.col("op").eqNullSafe("c"),
+    )
+    judged = _computed(chosen, idle=F.col("ignored") | _is_empty(F.col("row_image")))
     error = (
         F.when(F.col("kind") == "malformed", _error("JSONDecodeError", "value is not JSON"))
         .when(F.col("kind") == "scalar", _error("TypeError", "envelope is a plain value"))
         .when(F.col("kind") == "sequence", _error("AttributeError", "envelope is not an object"))
+        .when(F.col("misshapen"), _error("AttributeError", "payload is not an object"))
         .when(
-            wrapped & ~_is_object(F.col("payload")),
-            _error("AttributeError", "payload is not an object"),
-        )
-        .when(
-            ~(items & F.col("ignored")) & ~F.col("empty") & ~_is_object(F.col("image")),
+            (F.col("kind") == "object") & ~F.col("idle") & ~_is_object(F.col("row_image")),
             _error("AttributeError", "row image is not an object"),
         )
     )
+    rows = _computed(judged, error=error)
     outcome = (
         F.when(F.col("kind") == "tombstone", "tombstone")
         .when(F.col("error").isNotNull(), "failed")
-        .when(F.col("ignored") | F.col("empty"), "skipped")
+        .when(F.col("idle"), "skipped")
         .otherwise("change")
     )
-    rows = (
-        decoded.withColumns({"wrapped": wrapped, "before": before, "after": after})
-        .withColumn("op", F.when(F.col("wrapped"), wrapped_op).otherwise(bare_op))
-        .withColumn("image", F.when(deleted & ~items, F.col("before")).otherwise(F.col("after")))
-        .withColumn("ignored", items & ~F.col("op").eqNullSafe("c"))
-        .withColumn("empty", _is_empty(F.col("image")))
-        .withColumn("error", error)
-        .withColumn("outcome", outcome)
-    )
-    decided = F.col("outcome").isin("change", "skipped")
+    decided = (F.col("kind") != "tombstone") & F.col("error").isNull()
     return rows.select(
         *records.columns,
         "wrapped",
         F.when(decided, F.col("op")).alias("op"),
-        F.when(F.col("outcome") == "change", F.col("image")).alias("image"),
-        "outcome",
+        F.when(decided & ~F.col("idle"), F.col("row_image")).alias("image"),
+        outcome.alias("outcome"),
         F.col("error.error_type").alias("error_type"),
         F.col("error.error_message").alias("error_message"),
     )
 
 
+def _unless(present: Column, value: Column) -> Column:
+    return F.when(present.isNull(), value)
+
+
 def _error(kind: str, message: str) -> Column:
     return F.struct(F.lit(kind).alias("error_type"), F.lit(message).alias("error_message"))
 

@@ -336,7 +336,11 @@ def apply_changes(current: DataFrame, changes: DataFrame, key: str, dimension, r
         ).alias("seq"),
         F.col("version").alias("start_version"),
     )
-    versions = dimension(seeds.unionByName(incoming))
+    return as_stored(dimension(seeds.unionByName(incoming)))
+
+
+def as_stored(versions: DataFrame) -> DataFrame:
+    """Versions with the address of the opening record in plain columns."""
     return versions.select(
         *[c for c in versions.columns if c != "open_seq"],
         F.col("open_seq.partition").alias("open_partition"),
@@ -344,6 +348,16 @@ def apply_changes(current: DataFrame, changes: DataFrame, key: str, dimension, r
     )
 
 
+def apply_to(versions: DataFrame, changes: DataFrame, key: str, dimension) -> DataFrame:
+    """A whole stored dimension after one more batch."""
+    current = versions.filter("is_current")
+    return (
+        versions.filter(~F.col("is_current"))
+        .unionByName(current.join(changes.select(key).distinct(), key, "left_anti"))
+        .unionByName(apply_changes(current, changes, key, dimension))
+    )
+
+
 def latest_type1(versions: DataFrame, key: str, type1: Sequence[str]) -> DataFrame:
     return versions.filter("is_current").select(key, *type1, "version")
 

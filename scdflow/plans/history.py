@@ -3,10 +3,15 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scdflow.operators.skew import lookup_join
 
-def _with_count(versions: DataFrame, key: str) -> DataFrame:
+
+def _with_count(versions: DataFrame, key: str, one_key: bool) -> DataFrame:
     """Versions per key, pre-aggregated; a window would hold a whole key in one task."""
-    return versions.join(versions.groupBy(key).agg(F.count("*").alias("n_versions")), key)
+    counts = versions.groupBy(key).agg(F.count("*").alias("n_versions"))
+    if one_key:
+        return versions.join(F.broadcast(counts), key)
+    return lookup_join(versions, counts, key)
 
 
 def customer_history(customers: DataFrame, customer_id: int | None = None) -> DataFrame:
@@ -45,6 +50,7 @@ def _history(versions: DataFrame, key: str, only: int | None, columns: list[str]
                 _opened(versions),
             ),
             key,
+            one_key=only is not None,
         )
         .withColumn("is_open", F.col("is_current"))
         .orderBy(key, "valid_from", "opened")

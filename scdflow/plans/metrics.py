@@ -15,11 +15,19 @@ def dim_date(
     spark: SparkSession, first: datetime.date = FIRST_DATE, last: datetime.date = LAST_DATE
 ) -> DataFrame:
     """One row per day of a range, both ends included."""
+    return calendar(spark.range(1).select(F.lit(first).alias("first"), F.lit(last).alias("last")))
+
+
+def calendar_of(rows: DataFrame, column: str) -> DataFrame:
+    """A date dimension that covers every date in a column."""
+    day = F.col(column).cast("date")
+    return calendar(rows.agg(F.min(day).alias("first"), F.max(day).alias("last")))
+
+
+def calendar(bounds: DataFrame) -> DataFrame:
+    """The days from `first` to `last` of a one-row frame."""
     d = F.col("date")
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(first), F.lit(last))).alias("date")
-    )
-    return days.select(
+    return bounds.select(F.explode(F.sequence("first", "last")).alias("date")).select(
         date_key("date").alias("date_key"),
         "date",
         F.date_format(d, "EEEE").alias("day_of_week"),
