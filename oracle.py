@@ -553,7 +553,7 @@ def statements() -> dict[str, str]:
         "ready_for_retry": f'with {_FAILED} select topic, "partition", message_offset, '
         "error_type, retry_count, max_retries, failed_at, last_retry_at from ready",
         "retry_batch": f'with {_FAILED} select topic, "partition", message_offset, '
-        "message_value, retry_count, max_retries, failed_at from ready "
+        "message_timestamp, message_value, retry_count, max_retries, failed_at from ready "
         'order by failed_at, topic, "partition", message_offset limit 100',
         "retry_outcome": f'with {_FAILED} select topic, "partition", message_offset, error_type, '
         "case when is_tried and not succeeded and last_try then 'still failing' "

@@ -159,6 +159,7 @@ def retry_batch(failed: DataFrame, as_of, limit: int = 100) -> DataFrame:
         .select(
             "failed_message_id",
             *MESSAGE,
+            "message_timestamp",
             "message_value",
             "retry_count",
             "max_retries",
@@ -220,9 +221,9 @@ def apply_outcomes(
     )
 
 
-def run_totals(batch: DataFrame, outcomes: DataFrame) -> DataFrame:
+def run_totals(batch: DataFrame, outcomes: DataFrame, dead_letter: bool = True) -> DataFrame:
     """How a retry run went: messages resolved, to be tried again, and given up."""
-    last_try = F.col("retry_count") + 1 >= F.col("max_retries")
+    last_try = (F.col("retry_count") + 1 >= F.col("max_retries")) & F.lit(dead_letter)
     return batch.join(outcomes.select("failed_message_id", "succeeded"), "failed_message_id").agg(
         F.count_if("succeeded").alias("succeeded"),
         F.count_if(~F.col("succeeded") & ~last_try).alias("failed"),

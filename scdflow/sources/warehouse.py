@@ -16,6 +16,7 @@ import json
 from functools import reduce
 from operator import or_
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -123,6 +124,17 @@ class Batch:
         self.number = warehouse.record["batch"] + 1
         self.live = {name: dict(live) for name, live in warehouse.record["live"].items()}
         self.written: set[str] = set()
+        self.kept: list[DataFrame] = []
+
+    def keep(self, rows: DataFrame) -> DataFrame:
+        """Cache rows that are used more than once, until the batch is released."""
+        self.kept.append(rows.persist(StorageLevel.MEMORY_AND_DISK))
+        return rows
+
+    def release(self) -> None:
+        for rows in self.kept:
+            rows.unpersist()
+        self.kept.clear()
 
     def buckets(self, keys: DataFrame, key: str) -> set[int]:
         """The buckets some keys fall in: at most as many as there are buckets."""
@@ -178,4 +190,5 @@ def _highest(old: dict, new: dict) -> dict:
 
 
 def _names(ddl: str) -> list[str]:
-    return [field.split()[0] for field in ddl.replace("decimal(10,2)", "d").replace("decimal(5,2)", "d").split(",")]
+    """Column names of a DDL string; a part without a space is the scale of a decimal."""
+    return [field.split()[0] for field in ddl.split(",") if " " in field.strip()]

@@ -6,7 +6,6 @@ and is committed once at the end. The same function serves a stream and a batch.
 
 import datetime
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,8 +59,8 @@ def ingest(
     now = now or datetime.datetime.now()
     batch = warehouse.begin()
     new = facts.one_per_address(_unseen(warehouse, records))
-    normalized = envelope.normalize(new).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        normalized = batch.keep(envelope.normalize(new))
         offsets = _offsets(normalized)
         rejected = _load(batch, normalized, dates) + [
             normalized.filter(F.col("outcome") == "failed").select(*_FAILURE)
@@ -69,7 +68,7 @@ def ingest(
         _file_failures(batch, rejected, now)
         batch.commit(source_batch, offsets)
     finally:
-        normalized.unpersist()
+        batch.release()
 
 
 _FAILURE = [*ADDRESS, "timestamp", "value", "error_type", "error_message"]
@@ -133,15 +132,11 @@ def _apply_dimension(batch: Batch, name: str, changes: DataFrame, replay: bool)
     changes = changes.drop("value", "image", "topic")
     touched = batch.buckets(changes, key)
     current = batch.state(name, touched)
-    versions = scd.apply_changes(current, changes, key, dimension, replay).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    try:
-        kept = current.join(changes.select(key).distinct(), key, "left_anti")
-        batch.append(f"{name}_closed", versions.filter(~F.col("is_current")))
-        batch.replace(name, kept.unionByName(versions.filter("is_current").select(*kept.columns)), touched)
-    finally:
-        versions.unpersist()
+    versions = batch.keep(scd.apply_changes(current, changes, key, dimension, replay))
+    others = current.join(changes.select(key).distinct(), key, "left_anti")
+    live = versions.filter("is_current").select(*others.columns)
+    batch.append(f"{name}_closed", versions.filter(~F.col("is_current")))
+    batch.replace(name, others.unionByName(live), touched)
 
 
 def _apply_orders(batch: Batch, changes: DataFrame, replay: bool) -> None:
@@ -180,7 +175,7 @@ def _load_facts(batch: Batch, items: DataFrame, dates, replay: bool) -> list[Dat
     old = batch.state("parked_items").drop("reason")
     # A replay has its own failures to report, so parked items wait for the next batch.
     waiting = (new if replay else new.unionByName(old)).withColumn("op", F.lit("c"))
-    waiting = waiting.persist(StorageLevel.MEMORY_AND_DISK)
+    batch.keep(waiting)
     orders = (
         batch.state("orders", batch.buckets(waiting, "order_id"))
         .filter(~F.col("deleted"))
@@ -189,17 +184,11 @@ def _load_facts(batch: Batch, items: DataFrame, dates, replay: bool) -> list[Dat
     )
     customers = batch.state("dim_customer", batch.buckets(orders, "customer_id"))
     products = batch.state("dim_product", batch.buckets(waiting, "product_id"))
-    resolved = facts.resolve(waiting, orders, customers, products, dates).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    try:
-        batch.append("fact_orders", facts.facts(resolved))
-        missing = facts.unresolved(resolved)
-        if not replay:
-            everything = set(range(batch.warehouse.buckets))
-            batch.replace("parked_items", missing, everything)
-    finally:
-        waiting.unpersist()
+    resolved = batch.keep(facts.resolve(waiting, orders, customers, products, dates))
+    batch.append("fact_orders", facts.facts(resolved))
+    missing = facts.unresolved(resolved)
+    if not replay:
+        batch.replace("parked_items", missing, set(range(batch.warehouse.buckets)))
     undated = facts.out_of_range(resolved)
     failed = undated.unionByName(missing) if replay else undated
     return [
@@ -246,32 +235,29 @@ def retry(
     """
     batch = warehouse.begin()
     failed = batch.state("failed_messages")
-    chosen = (
-        dlq.retry_batch(failed, now, limit).join(
-            failed.select("failed_message_id", "message_timestamp"), "failed_message_id"
-        )
-        if message is None
-        else dlq.retry_one(failed, message)
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    records = chosen.select(
-        "topic",
-        "partition",
-        F.col("message_offset").alias("offset"),
-        F.col("message_timestamp").alias("timestamp"),
-        F.lit(None).cast("string").alias("key"),
-        F.col("message_value").alias("value"),
-    )
-    normalized = envelope.normalize(records).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        chosen = batch.keep(
+            dlq.retry_batch(failed, now, limit)
+            if message is None
+            else dlq.retry_one(failed, message)
+        )
+        records = chosen.select(
+            "topic",
+            "partition",
+            F.col("message_offset").alias("offset"),
+            F.col("message_timestamp").alias("timestamp"),
+            F.col("message_value").alias("value"),
+        )
+        normalized = batch.keep(envelope.normalize(records))
         rejected = _load(batch, normalized, dates, replay=True, revalidate=revalidate) + [
             normalized.filter(F.col("outcome") == "failed").select(*_FAILURE)
         ]
         errors = (
             _union(rejected)
             .withColumnRenamed("offset", "message_offset")
-            .select(dlq.message_id().alias("failed_message_id"), F.col("error_message"))
+            .select(dlq.message_id().alias("failed_message_id"), "error_message")
         )
-        outcomes = (
+        outcomes = batch.keep(
             chosen.select("failed_message_id")
             .join(errors, "failed_message_id", "left")
             .select(
@@ -279,19 +265,15 @@ def retry(
                 F.col("error_message").isNull().alias("succeeded"),
                 "error_message",
             )
-            .persist(StorageLevel.MEMORY_AND_DISK)
         )
-        totals = dlq.run_totals(chosen, outcomes).collect()[0].asDict()
+        give_up = message is None
+        totals = dlq.run_totals(chosen, outcomes, give_up).collect()[0].asDict()
         touched = batch.buckets(outcomes, "failed_message_id")
         stored = batch.state("failed_messages", touched)
         batch.replace(
-            "failed_messages",
-            dlq.apply_outcomes(stored, outcomes, now, dead_letter=message is None),
-            touched,
+            "failed_messages", dlq.apply_outcomes(stored, outcomes, now, give_up), touched
         )
         batch.commit()
-        outcomes.unpersist()
         return totals
     finally:
-        normalized.unpersist()
-        chosen.unpersist()
+        batch.release()
