@@ -30,7 +30,7 @@ def fold(
     key: str,
     tracked: Sequence[str],
     type1: Sequence[str],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """All versions of all keys: one row per (key, open_seq).
@@ -63,7 +63,7 @@ def change_flags(
     changes: DataFrame,
     key: str,
     tracked: Sequence[str],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Each effective change with `opens`: does it open a version?"""
@@ -301,7 +301,9 @@ def _opened_by(versions: DataFrame) -> list[str]:
     return [f"open_seq.{n}" for n in names if n != "turn"]
 
 
-def apply_changes(current: DataFrame, changes: DataFrame, key: str, dimension, replay=False):
+def apply_changes(
+    current: DataFrame, changes: DataFrame, key: str, dimension, replay: bool = False, **sizes
+) -> DataFrame:
     """Fold a batch onto stored current rows: all versions of the keys it touches.
 
     Each current row of a touched key enters as the first change of its key. Rows of
@@ -336,7 +338,7 @@ def apply_changes(current: DataFrame, changes: DataFrame, key: str, dimension, r
         ).alias("seq"),
         F.col("version").alias("start_version"),
     )
-    return as_stored(dimension(seeds.unionByName(incoming)))
+    return as_stored(dimension(seeds.unionByName(incoming), **sizes))
 
 
 def as_stored(versions: DataFrame) -> DataFrame:

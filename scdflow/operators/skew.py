@@ -29,8 +29,13 @@ class HotKeys(NamedTuple):
     has_null: bool
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> HotKeys | None:
-    """The keys with more than `hot_rows` rows, or None. Reads the key column only."""
+def hot_keys(df: DataFrame, key: str, hot_rows: int | None = HOT_ROWS) -> HotKeys | None:
+    """The keys with more than `hot_rows` rows, or None. Reads the key column only.
+
+    With `hot_rows=None` the caller knows that there are none, as in a small batch.
+    """
+    if hot_rows is None:
+        return None
     found = (
         df.groupBy(key)
         .agg(F.count("*").alias("n"))
@@ -55,7 +60,7 @@ def by_key(
     key: str,
     order: str,
     build: Callable[[DataFrame, bool], DataFrame],
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """`build(rows, sliced)` over all keys, where hot keys come with a `slice` column.
@@ -77,7 +82,7 @@ def by_key(
 
 
 def lookup_join(
-    rows: DataFrame, table: DataFrame, key: str, hot_rows: int = HOT_ROWS
+    rows: DataFrame, table: DataFrame, key: str, hot_rows: int | None = HOT_ROWS
 ) -> DataFrame:
     """Left join to `table`, which holds at most one row per key.
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from scdflow.functions import event_time
 from scdflow.operators import dlq, envelope, facts, scd, validate
+from scdflow.operators.skew import HOT_ROWS
 from scdflow.plans import metrics
 from scdflow.schemas import ADDRESS, CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS
 from scdflow.sources.warehouse import Batch, Warehouse
@@ -61,8 +62,8 @@ def ingest(
     new = facts.one_per_address(_unseen(warehouse, records))
     try:
         normalized = batch.keep(envelope.normalize(new))
-        offsets = _offsets(normalized)
-        rejected = _load(batch, normalized, dates) + [
+        offsets, changes = _census(normalized)
+        rejected = _load(batch, normalized, changes, dates) + [
             normalized.filter(F.col("outcome") == "failed").select(*_FAILURE)
         ]
         _file_failures(batch, rejected, now)
@@ -93,25 +94,51 @@ def _unseen(warehouse: Warehouse, records: DataFrame) -> DataFrame:
     )
 
 
-def _offsets(records: DataFrame) -> dict:
-    """Highest offset per topic partition."""
+def _census(normalized: DataFrame) -> tuple[dict, dict[str, int]]:
+    """Highest offset per topic partition, and changes per topic."""
     offsets: dict[str, dict[str, int]] = {}
-    rows = records.groupBy("topic", "partition").agg(F.max("offset").alias("offset")).collect()
+    changes: dict[str, int] = {}
+    rows = (
+        normalized.groupBy("topic", "partition")
+        .agg(
+            F.max("offset").alias("offset"),
+            F.count_if(F.col("outcome") == "change").alias("changes"),
+        )
+        .collect()
+    )
     for r in rows:
         offsets.setdefault(r["topic"], {})[str(r["partition"])] = r["offset"]
-    return offsets
+        changes[r["topic"]] = changes.get(r["topic"], 0) + r["changes"]
+    return offsets, changes
 
 
-def _load(batch: Batch, normalized: DataFrame, dates, replay=False, revalidate=True) -> list[DataFrame]:
+def _load(
+    batch: Batch,
+    normalized: DataFrame,
+    changes: dict[str, int],
+    dates: DataFrame | None,
+    replay: bool = False,
+    revalidate: bool = True,
+) -> list[DataFrame]:
     """Apply the changes of all topics; returns what was rejected on the way."""
-    customers = _checked(normalized, CUSTOMERS, revalidate)
-    products = _checked(normalized, PRODUCTS, revalidate)
-    _apply_dimension(batch, "dim_customer", validate.valid(customers), replay)
-    _apply_dimension(batch, "dim_product", validate.valid(products), replay)
-    _apply_orders(batch, envelope.changes_of(normalized, ORDERS), replay)
+    rejected = []
+    for name, topic in (("dim_customer", CUSTOMERS), ("dim_product", PRODUCTS)):
+        if changes.get(topic):
+            checked = _checked(normalized, topic, revalidate)
+            # Each change brings in at most one stored row.
+            sizes = _sizes(2 * changes[topic])
+            _apply_dimension(batch, name, validate.valid(checked), replay, sizes)
+            rejected.append(_failures(validate.rejected(checked)))
+    if changes.get(ORDERS):
+        _apply_orders(batch, envelope.changes_of(normalized, ORDERS))
     items = _checked(normalized, ORDER_ITEMS, revalidate)
     undated = _load_facts(batch, validate.valid(items), dates, replay)
-    return [_failures(validate.rejected(c)) for c in (customers, products, items)] + undated
+    return rejected + [_failures(validate.rejected(items)), undated]
+
+
+def _sizes(rows: int) -> dict:
+    """No key of a small batch can be hot, so none is looked for."""
+    return {"hot_rows": None} if rows <= HOT_ROWS else {}
 
 
 def _checked(normalized: DataFrame, topic: str, revalidate: bool) -> DataFrame:
@@ -127,19 +154,21 @@ def _failures(rejected: DataFrame) -> DataFrame:
     return rejected.withColumnRenamed("ts", "timestamp").select(*_FAILURE)
 
 
-def _apply_dimension(batch: Batch, name: str, changes: DataFrame, replay: bool) -> None:
+def _apply_dimension(
+    batch: Batch, name: str, changes: DataFrame, replay: bool, sizes: dict
+) -> None:
     key, dimension = DIMENSIONS[name]
     changes = changes.drop("value", "image", "topic")
     touched = batch.buckets(changes, key)
     current = batch.state(name, touched)
-    versions = batch.keep(scd.apply_changes(current, changes, key, dimension, replay))
+    versions = batch.keep(scd.apply_changes(current, changes, key, dimension, replay, **sizes))
     others = current.join(changes.select(key).distinct(), key, "left_anti")
     live = versions.filter("is_current").select(*others.columns)
     batch.append(f"{name}_closed", versions.filter(~F.col("is_current")))
     batch.replace(name, others.unionByName(live), touched)
 
 
-def _apply_orders(batch: Batch, changes: DataFrame, replay: bool) -> None:
+def _apply_orders(batch: Batch, changes: DataFrame) -> None:
     """The latest image of each order, deleted ones marked."""
     touched = batch.buckets(changes, "order_id")
     columns = ["customer_id", "order_date", "status", "total_amount"]
@@ -164,7 +193,9 @@ def _apply_orders(batch: Batch, changes: DataFrame, replay: bool) -> None:
     batch.replace("orders", latest, touched)
 
 
-def _load_facts(batch: Batch, items: DataFrame, dates, replay: bool) -> list[DataFrame]:
+def _load_facts(
+    batch: Batch, items: DataFrame, dates: DataFrame | None, replay: bool
+) -> DataFrame:
     """Load new and parked items; those that still miss a row they refer to are parked.
 
     Only the buckets that hold a key in question are read from each state table.
@@ -175,7 +206,7 @@ def _load_facts(batch: Batch, items: DataFrame, dates, replay: bool) -> list[Dat
     old = batch.state("parked_items").drop("reason")
     # A replay has its own failures to report, so parked items wait for the next batch.
     waiting = (new if replay else new.unionByName(old)).withColumn("op", F.lit("c"))
-    batch.keep(waiting)
+    sizes = _sizes(batch.keep(waiting).count())
     orders = (
         batch.state("orders", batch.buckets(waiting, "order_id"))
         .filter(~F.col("deleted"))
@@ -184,24 +215,22 @@ def _load_facts(batch: Batch, items: DataFrame, dates, replay: bool) -> list[Dat
     )
     customers = batch.state("dim_customer", batch.buckets(orders, "customer_id"))
     products = batch.state("dim_product", batch.buckets(waiting, "product_id"))
-    resolved = batch.keep(facts.resolve(waiting, orders, customers, products, dates))
+    resolved = batch.keep(facts.resolve(waiting, orders, customers, products, dates, **sizes))
     batch.append("fact_orders", facts.facts(resolved))
     missing = facts.unresolved(resolved)
     if not replay:
         batch.replace("parked_items", missing, set(range(batch.warehouse.buckets)))
     undated = facts.out_of_range(resolved)
     failed = undated.unionByName(missing) if replay else undated
-    return [
-        failed.select(
-            *ADDRESS,
-            F.col("ts").alias("timestamp"),
-            "value",
-            F.when(F.col("reason") == "date_out_of_range", "IntegrityError")
-            .otherwise("LookupError")
-            .alias("error_type"),
-            F.col("reason").alias("error_message"),
-        )
-    ]
+    return failed.select(
+        *ADDRESS,
+        F.col("ts").alias("timestamp"),
+        "value",
+        F.when(F.col("reason") == "date_out_of_range", "IntegrityError")
+        .otherwise("LookupError")
+        .alias("error_type"),
+        F.col("reason").alias("error_message"),
+    )
 
 
 def _file_failures(batch: Batch, rejected: list[DataFrame], now) -> None:
@@ -249,7 +278,8 @@ def retry(
             F.col("message_value").alias("value"),
         )
         normalized = batch.keep(envelope.normalize(records))
-        rejected = _load(batch, normalized, dates, replay=True, revalidate=revalidate) + [
+        _, changes = _census(normalized)
+        rejected = _load(batch, normalized, changes, dates, True, revalidate) + [
             normalized.filter(F.col("outcome") == "failed").select(*_FAILURE)
         ]
         errors = (
