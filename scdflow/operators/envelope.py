@@ -32,13 +32,24 @@ _IMAGES = {
 }
 
 
+_IDS = ["customer_id", "product_id", "order_item_id", "order_id"]
+_GIVEN = {
+    CUSTOMERS: "email",
+    PRODUCTS: "price cost",
+    ORDERS: "order_id",
+    ORDER_ITEMS: "unit_price line_total",
+}
+
+
 def part(document, name: str) -> Column:
     """A field as VARIANT: null if the key is absent, a variant null if it is null."""
     return F.try_variant_get(document, f"$.{name}", "variant")
 
 
-def text(document, name: str) -> Column:
-    return F.try_variant_get(document, f"$.{name}", "string")
+def parts(document, names: str) -> Column:
+    """Several fields as VARIANT in one look; null if the document is not an object."""
+    fields = ",".join(f"{name}:variant" for name in names.split())
+    return F.try_variant_get(document, "$", f"struct<{fields}>")
 
 
 def _nothing(variant: Column) -> Column:
@@ -88,62 +99,67 @@ def decode(records: DataFrame) -> DataFrame:
 
 def normalize(records: DataFrame) -> DataFrame:
     """Operation, row image and outcome of each record."""
-    document, payload = F.col("document"), F.col("payload")
     items = F.col("topic") == ORDER_ITEMS
+    payload = F.col("outer.payload")
+    bare = F.struct(F.lit(None).cast("variant").alias("op"), "outer.before", "outer.after")
     opened = _computed(
-        _computed(decode(records), payload=part(document, "payload")),
+        _computed(decode(records), outer=parts("document", "payload before after")),
         wrapped=payload.isNotNull(),
-        misshapen=payload.isNotNull() & ~_is_object(payload),
-        before=F.coalesce(part(payload, "before"), _unless(payload, part(document, "before"))),
-        after=F.coalesce(part(payload, "after"), _unless(payload, part(document, "after"))),
-        wrapped_op=F.when(part(payload, "op").isNull(), "c").otherwise(text(payload, "op")),
+        body=F.when(payload.isNull(), bare).otherwise(parts(payload, "op before after")),
     )
-    bare_op = (
-        F.when(_nothing(F.col("after")), "d")
-        .when(_nothing(F.col("before")), "c")
+    before, after = F.col("body.before"), F.col("body.after")
+    op = (
+        F.when(F.col("wrapped") & F.col("body.op").isNull(), "c")
+        .when(F.col("wrapped"), F.try_variant_get("body.op", "$", "string"))
+        .when(_nothing(after), "d")
+        .when(_nothing(before), "c")
         .otherwise("u")
     )
-    read = _computed(opened, op=F.when(F.col("wrapped"), F.col("wrapped_op")).otherwise(bare_op))
-    deleted = F.col("op").eqNullSafe("d")
+    read = _computed(opened, read_op=op)
+    deleted = F.col("read_op").eqNullSafe("d") & ~items
     chosen = _computed(
         read,
-        row_image=F.when(deleted & ~items, F.col("before")).otherwise(F.col("after")),
-        ignored=items & ~F.col("op").eqNullSafe("c"),
+        row_image=F.when(deleted, before).otherwise(after),
+        ignored=items & ~F.col("read_op").eqNullSafe("c"),
+    )
+    # A row of a known table is seen by its id; any other image needs a closer look.
+    is_row = F.coalesce(*[part("row_image", name) for name in _IDS]).isNotNull()
+    judged = _computed(
+        chosen,
+        idle=F.col("ignored") | (~is_row & _is_empty(F.col("row_image"))),
+        is_object=is_row | _is_object(F.col("row_image")),
     )
-    judged = _computed(chosen, idle=F.col("ignored") | _is_empty(F.col("row_image")))
     error = (
         F.when(F.col("kind") == "malformed", _error("JSONDecodeError", "value is not JSON"))
         .when(F.col("kind") == "scalar", _error("TypeError", "envelope is a plain value"))
         .when(F.col("kind") == "sequence", _error("AttributeError", "envelope is not an object"))
-        .when(F.col("misshapen"), _error("AttributeError", "payload is not an object"))
         .when(
-            (F.col("kind") == "object") & ~F.col("idle") & ~_is_object(F.col("row_image")),
+            (F.col("kind") == "object") & F.col("wrapped") & F.col("body").isNull(),
+            _error("AttributeError", "payload is not an object"),
+        )
+        .when(
+            (F.col("kind") == "object") & ~F.col("idle") & ~F.col("is_object"),
             _error("AttributeError", "row image is not an object"),
         )
     )
-    rows = _computed(judged, error=error)
     outcome = (
         F.when(F.col("kind") == "tombstone", "tombstone")
-        .when(F.col("error").isNotNull(), "failed")
+        .when(error.isNotNull(), "failed")
         .when(F.col("idle"), "skipped")
         .otherwise("change")
     )
-    decided = (F.col("kind") != "tombstone") & F.col("error").isNull()
-    return rows.select(
+    decided = F.col("outcome").isin("change", "skipped")
+    return _computed(judged, outcome=outcome).select(
         *records.columns,
-        "wrapped",
-        F.when(decided, F.col("op")).alias("op"),
-        F.when(decided & ~F.col("idle"), F.col("row_image")).alias("image"),
-        outcome.alias("outcome"),
-        F.col("error.error_type").alias("error_type"),
-        F.col("error.error_message").alias("error_message"),
+        F.coalesce("wrapped", F.lit(False)).alias("wrapped"),
+        F.when(decided, F.col("read_op")).alias("op"),
+        F.when(F.col("outcome") == "change", F.col("row_image")).alias("image"),
+        "outcome",
+        F.when(F.col("outcome") == "failed", error["error_type"]).alias("error_type"),
+        F.when(F.col("outcome") == "failed", error["error_message"]).alias("error_message"),
     )
 
 
-def _unless(present: Column, value: Column) -> Column:
-    return F.when(present.isNull(), value)
-
-
 def _error(kind: str, message: str) -> Column:
     return F.struct(F.lit(kind).alias("error_type"), F.lit(message).alias("error_message"))
 
@@ -151,21 +167,24 @@ def _error(kind: str, message: str) -> Column:
 def changes_of(normalized: DataFrame, topic: str) -> DataFrame:
     """Effective changes of one topic with their image as typed columns.
 
-    `image` stays alongside, so that checks can tell absent from null.
+    `given` holds the fields for which absent, null and wrongly typed differ, as VARIANT.
     """
-    typed = [
-        F.try_variant_get("image", f"$.{name}", kind).alias(name)
-        for name, kind in (field.strip().split() for field in _IMAGES[topic].split(","))
-    ]
-    return normalized.filter((F.col("topic") == topic) & (F.col("outcome") == "change")).select(
+    fields = [field.split() for field in _IMAGES[topic].split(",")]
+    image = "struct<" + ",".join(f"{name}:{kind}" for name, kind in fields) + ">"
+    rows = _computed(
+        normalized.filter((F.col("topic") == topic) & (F.col("outcome") == "change")),
+        row=F.try_variant_get("image", "$", image),
+        given=parts("image", _GIVEN[topic]),
+    )
+    return rows.select(
         "topic",
         "partition",
         "offset",
         F.col("timestamp").alias("ts"),
         "value",
         "op",
-        "image",
-        *typed,
+        "given",
+        "row.*",
     )
 
 

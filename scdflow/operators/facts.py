@@ -26,7 +26,7 @@ def latest_orders(changes: DataFrame) -> DataFrame:
     columns = [
         c
         for c in changes.columns
-        if c not in ("topic", "partition", "offset", "op", "ts", "value", "image", "seq")
+        if c not in ("topic", "partition", "offset", "op", "ts", "value", "given", "seq")
     ]
     order = F.col("seq") if "seq" in changes.columns else F.struct("partition", "offset")
     last = changes.groupBy("order_id").agg(

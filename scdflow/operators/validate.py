@@ -10,19 +10,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scdflow.functions import margin, money
-from scdflow.operators.envelope import part, text
 from scdflow.schemas import CUSTOMER_LENGTHS, PRODUCT_LENGTHS
 
 
+_ERROR = "struct<error_type:string,error_message:string>"
+
+
 def _when(condition: Column, kind: str, message) -> Column:
+    """A list with one error, or with none."""
     message = message if isinstance(message, Column) else F.lit(message)
-    return F.when(
-        condition, F.struct(F.lit(kind).alias("error_type"), message.alias("error_message"))
+    error = F.struct(F.lit(kind).alias("error_type"), message.alias("error_message"))
+    return F.when(condition, F.array(error.cast(_ERROR))).otherwise(
+        F.array().cast(f"array<{_ERROR}>")
     )
 
 
 def with_errors(rows: DataFrame, checks: Sequence[Column]) -> DataFrame:
-    return rows.withColumn("errors", F.array_compact(F.array(*checks)))
+    return rows.withColumn("errors", F.concat(*checks))
 
 
 def valid(checked: DataFrame) -> DataFrame:
@@ -50,7 +54,7 @@ def _written() -> Column:
 
 def _null_value(name: str) -> Column:
     """The key is there and its value is null."""
-    return F.coalesce(F.is_variant_null(part(F.col("image"), name)), F.lit(False))
+    return F.coalesce(F.is_variant_null(F.col(f"given.{name}")), F.lit(False))
 
 
 def email_checks() -> list[Column]:
@@ -84,7 +88,7 @@ def number_checks(columns: Sequence[str]) -> list[Column]:
     """Numbers may be absent (then they are 0) but not null, and text must be numeric."""
     checks = []
     for c in columns:
-        given = part(F.col("image"), c).isNotNull()
+        given = F.col(f"given.{c}").isNotNull()
         checks += [
             _when(_null_value(c) & _written(), "TypeError", f"{c} is null"),
             _when(
@@ -92,7 +96,9 @@ def number_checks(columns: Sequence[str]) -> list[Column]:
                 "ValueError",
                 F.concat(
                     F.lit(f"{c} is not a number: "),
-                    F.coalesce(text(F.col("image"), c), F.lit("a nested value")),
+                    F.coalesce(
+                        F.try_variant_get(f"given.{c}", "$", "string"), F.lit("a nested value")
+                    ),
                 ),
             ),
         ]
@@ -148,7 +154,7 @@ def check_order_items(changes: DataFrame) -> DataFrame:
 
 
 def _amount(name: str) -> Column:
-    return F.when(part(F.col("image"), name).isNull(), F.lit(0.0)).otherwise(F.col(name))
+    return F.when(F.col(f"given.{name}").isNull(), F.lit(0.0)).otherwise(F.col(name))
 
 
 def duplicates(rows: DataFrame, key: Sequence[str]) -> DataFrame:

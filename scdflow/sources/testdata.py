@@ -265,9 +265,18 @@ class Tables:
         zoned = [f.name for f in shaped.schema if f.dataType.typeName() == "timestamp"]
         return shaped.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned})
 
+    def spread(self, name: str) -> DataFrame:
+        """A table in at least as many partitions as there are cores.
+
+        Only a table of few row groups is shuffled for it: a large one has more
+        partitions than that and stays as it is.
+        """
+        rows, cores = self.read(name), self.spark.sparkContext.defaultParallelism
+        return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
     def lines_with_part(self) -> DataFrame:
         part = self.read("part").withColumnRenamed("p_partkey", "l_partkey")
-        return lookup_join(self.read("lineitem"), part, "l_partkey")
+        return lookup_join(self.spread("lineitem"), part, "l_partkey")
 
     def customer_changes(self) -> DataFrame:
         return self.feed("orders", CUSTOMER_CHANGES)
@@ -277,16 +286,16 @@ class Tables:
         return self.feed(lines, PRODUCT_CHANGES | {"seq": "seq"})
 
     def customer_records(self) -> DataFrame:
-        return self.feed("orders", CUSTOMER_RECORDS)
+        return self.feed(self.spread("orders"), CUSTOMER_RECORDS)
 
     def product_records(self) -> DataFrame:
         return self.feed(self.lines_with_part(), PRODUCT_RECORDS)
 
     def order_records(self) -> DataFrame:
-        return self.feed("orders", ORDER_RECORDS)
+        return self.feed(self.spread("orders"), ORDER_RECORDS)
 
     def item_records(self) -> DataFrame:
-        return self.feed("lineitem", ITEM_RECORDS)
+        return self.feed(self.spread("lineitem"), ITEM_RECORDS)
 
     def records(self) -> DataFrame:
         return (

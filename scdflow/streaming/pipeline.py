@@ -158,7 +158,7 @@ def _apply_dimension(
     batch: Batch, name: str, changes: DataFrame, replay: bool, sizes: dict
 ) -> None:
     key, dimension = DIMENSIONS[name]
-    changes = changes.drop("value", "image", "topic")
+    changes = changes.drop("value", "given", "topic")
     touched = batch.buckets(changes, key)
     current = batch.state(name, touched)
     versions = batch.keep(scd.apply_changes(current, changes, key, dimension, replay, **sizes))
