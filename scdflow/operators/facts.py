@@ -1,5 +1,7 @@
 """Loading of the order fact table."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -8,17 +10,7 @@ from scdflow.operators.scd import as_of
 from scdflow.operators.skew import lookup_join
 from scdflow.schemas import ADDRESS, MONEY
 
-FACT_COLUMNS = [
-    "order_id",
-    "order_item_id",
-    "customer_key",
-    "product_key",
-    "date_key",
-    "quantity",
-    "unit_price",
-    "line_total",
-    "order_status",
-]
+LOOKUP_REASONS = ["order_not_found", "customer_not_found", "product_not_found"]
 
 
 def latest_orders(changes: DataFrame) -> DataFrame:
@@ -51,6 +43,8 @@ def resolve(
     products: DataFrame,
     dates: DataFrame,
     lookup: str = "current",
+    customer_columns: Sequence[str] = (),
+    product_columns: Sequence[str] = (),
     **sizes,
 ) -> DataFrame:
     """Inserted items with their dimension keys, and `reason` where one is missing.
@@ -59,11 +53,13 @@ def resolve(
     valid at the order date.
 
     Customers and dates are found per order, so each is looked up once however many
-    items the order has.
+    items the order has. More columns of the versions found can be asked for.
     """
+    customer_found = ["customer_key", *customer_columns]
+    product_found = ["product_key", *product_columns]
     hot = {k: v for k, v in sizes.items() if k == "hot_rows"}
     dated = (
-        _with_key(orders, customers, "customer_id", "customer_key", lookup, sizes)
+        _with_version(orders, customers, "customer_id", customer_found, lookup, sizes)
         .withColumn("date_key", date_key("order_date"))
         # One row per calendar day, so its size is fixed by the range of dates.
         .join(
@@ -75,24 +71,24 @@ def resolve(
     )
     inserts = items.filter(F.col("op") == "c").drop("op")
     if lookup == "current":
-        keyed = _with_key(inserts, products, "product_id", "product_key", lookup, sizes)
+        keyed = _with_version(inserts, products, "product_id", product_found, lookup, sizes)
         found = lookup_join(keyed, dated, "order_id", **hot)
     else:
-        found = _with_key(
+        found = _with_version(
             lookup_join(inserts, dated, "order_id", **hot),
             products,
             "product_id",
-            "product_key",
+            product_found,
             lookup,
             sizes,
         )
     return found.withColumn("reason", _reason())
 
 
-def _with_key(rows, dimension, key, surrogate, lookup, sizes) -> DataFrame:
+def _with_version(rows, dimension, key, columns, lookup, sizes) -> DataFrame:
     if lookup == "asof":
-        return as_of(rows, dimension, key, "order_date", [surrogate], **sizes)
-    current = dimension.filter("is_current").select(key, surrogate)
+        return as_of(rows, dimension, key, "order_date", columns, **sizes)
+    current = dimension.filter("is_current").select(key, *columns)
     return lookup_join(rows, current, key, **{k: v for k, v in sizes.items() if k == "hot_rows"})
 
 
@@ -105,9 +101,16 @@ def _reason() -> Column:
     )
 
 
-def facts(resolved: DataFrame) -> DataFrame:
-    """Rows of the fact table. The business ids stay as plain columns."""
-    return resolved.filter(F.col("reason").isNull()).select(
+def facts(resolved: DataFrame, *more: str) -> DataFrame:
+    """Rows of the fact table. The business ids stay as plain columns.
+
+    The conditions are those of `reason`, one column each: so the optimizer sees that
+    no outer row is wanted and makes the lookups inner joins.
+    """
+    loaded = resolved
+    for found in ("order_found", "customer_key", "product_key", "known_date"):
+        loaded = loaded.filter(F.col(found).isNotNull())
+    return loaded.select(
         "order_id",
         "order_item_id",
         "customer_id",
@@ -119,6 +122,7 @@ def facts(resolved: DataFrame) -> DataFrame:
         F.coalesce(money("unit_price"), F.lit(0).cast(MONEY)).alias("unit_price"),
         F.coalesce(money("line_total"), F.lit(0).cast(MONEY)).alias("line_total"),
         F.col("status").alias("order_status"),
+        *more,
     )
 
 
@@ -130,6 +134,3 @@ def unresolved(resolved: DataFrame) -> DataFrame:
 def out_of_range(resolved: DataFrame) -> DataFrame:
     """Items that can never load with this date dimension; they become failed messages."""
     return resolved.filter(F.col("reason") == "date_out_of_range")
-
-
-LOOKUP_REASONS = ["order_not_found", "customer_not_found", "product_not_found"]

@@ -335,11 +335,18 @@ def fact_date_rejects(t: Tables) -> DataFrame:
 
 def fact_orders_asof(t: Tables) -> DataFrame:
     """Facts by the versions valid at the order date, named by version number."""
-    loaded = facts.facts(_resolved(t, "asof"))
-    customers = _customers(t).select("customer_key", F.col("version").alias("customer_version"))
-    products = _products(t).select("product_key", F.col("version").alias("product_version"))
-    named = loaded.join(customers, "customer_key").join(products, "product_key")
-    return _shown(named, *_FACT, "customer_version", "product_version")
+    resolved = facts.resolve(
+        t.items(),
+        t.orders(),
+        _customers(t).withColumnRenamed("version", "customer_version"),
+        _products(t).withColumnRenamed("version", "product_version"),
+        t.dates(),
+        "asof",
+        customer_columns=["customer_version"],
+        product_columns=["product_version"],
+    )
+    versions = ["customer_version", "product_version"]
+    return _shown(facts.facts(resolved, *versions), *_FACT, *versions)
 
 
 def fact_dedup(t: Tables) -> DataFrame:
