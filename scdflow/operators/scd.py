@@ -350,13 +350,15 @@ def as_stored(versions: DataFrame) -> DataFrame:
     )
 
 
-def apply_to(versions: DataFrame, changes: DataFrame, key: str, dimension) -> DataFrame:
+def apply_to(
+    versions: DataFrame, changes: DataFrame, key: str, dimension, **sizes
+) -> DataFrame:
     """A whole stored dimension after one more batch."""
     current = versions.filter("is_current")
     return (
         versions.filter(~F.col("is_current"))
         .unionByName(current.join(changes.select(key).distinct(), key, "left_anti"))
-        .unionByName(apply_changes(current, changes, key, dimension))
+        .unionByName(apply_changes(current, changes, key, dimension, **sizes))
     )
 
 

@@ -11,6 +11,7 @@ from scdflow.plans import history, metrics, monitoring, sync
 from scdflow.schemas import (
     ADDRESS,
     CUSTOMER_LENGTHS,
+    CUSTOMER_TRACKED,
     CUSTOMER_TYPE1,
     CUSTOMERS,
     ORDER_ITEMS,
@@ -157,7 +158,7 @@ def dup_keys(t: Tables) -> DataFrame:
 
 
 def orphan_rows(t: Tables) -> DataFrame:
-    customers = scd.customer_dimension(t.customer_changes()).filter("is_current")
+    customers = _customers(t).filter("is_current")
     orders, items = t.orders(), t.items()
     placed = _orders_from_records(t)
     dates = metrics.dim_date(t.spark).select("date_key")
@@ -190,11 +191,11 @@ def orphan_rows(t: Tables) -> DataFrame:
 
 
 def _customers(t: Tables) -> DataFrame:
-    return scd.customer_dimension(t.customer_changes())
+    return scd.customer_dimension(t.customer_changes(), **t.sizes("orders"))
 
 
 def _products(t: Tables) -> DataFrame:
-    return scd.product_dimension(t.product_changes())
+    return scd.product_dimension(t.product_changes(), **t.sizes("lineitem"))
 
 
 def dim_customer_scd2(t: Tables) -> DataFrame:
@@ -207,19 +208,21 @@ def dim_product_scd2(t: Tables) -> DataFrame:
 
 def bootstrap_dims(t: Tables) -> DataFrame:
     snapshot = t.feed("customer", CUSTOMER_SNAPSHOT)
-    versions = scd.customer_dimension(snapshot.unionByName(t.customer_changes()))
+    changes = snapshot.unionByName(t.customer_changes())
+    versions = scd.customer_dimension(changes, **t.sizes("orders", 2))
     return _shown(versions, *_CUSTOMER, F.col("open_seq.offset").alias("open_offset"))
 
 
 def dim_customer_from_cdc(t: Tables) -> DataFrame:
     """Records to versions: envelope, checks and fold in one plan."""
-    versions = scd.customer_dimension(validate.valid(_checked_customers(t)))
+    changes = validate.valid(_checked_customers(t))
+    versions = scd.customer_dimension(changes, **t.sizes("orders"))
     return _shown(versions, *_CUSTOMER, F.col("open_seq.offset").alias("open_offset"))
 
 
 def scd2_change_flags(t: Tables) -> DataFrame:
     changes = t.customer_changes().withColumn("seq", scd.by_address())
-    flags = scd.change_flags(changes, "customer_id", ["phone", "address", "city", "country"])
+    flags = scd.change_flags(changes, "customer_id", CUSTOMER_TRACKED, **t.sizes("orders"))
     return flags.select("customer_id", F.col("seq.offset").alias("offset"), "op", "opens")
 
 
@@ -252,13 +255,14 @@ def scd2_two_batches(t: Tables) -> DataFrame:
     changes = t.customer_changes()
     first = changes.filter(F.col("ts") < _point(SPLIT))
     second = changes.filter(F.col("ts") >= _point(SPLIT))
-    stored = scd.as_stored(scd.customer_dimension(first))
-    versions = scd.apply_to(stored, second, "customer_id", scd.customer_dimension)
+    sizes = t.sizes("orders")
+    stored = scd.as_stored(scd.customer_dimension(first, **sizes))
+    versions = scd.apply_to(stored, second, "customer_id", scd.customer_dimension, **sizes)
     return _shown(versions, *_CUSTOMER, "open_offset")
 
 
 def scd2_integrity(t: Tables) -> DataFrame:
-    return scd.integrity(_customers(t), "customer_id")
+    return scd.integrity(_customers(t), "customer_id", **t.sizes("orders"))
 
 
 def dim_as_of(t: Tables) -> DataFrame:
@@ -283,6 +287,11 @@ def date_keys(t: Tables) -> DataFrame:
     return t.orders().select("order_id", date_key("order_date").alias("date_key"))
 
 
+def _sizes(t: Tables) -> dict:
+    """Items and the versions they are merged with are at most two per line."""
+    return t.sizes("lineitem", 2)
+
+
 def _resolved(t: Tables, lookup: str = "current", dates: DataFrame | None = None) -> DataFrame:
     return facts.resolve(
         t.items(),
@@ -291,12 +300,18 @@ def _resolved(t: Tables, lookup: str = "current", dates: DataFrame | None = None
         _products(t),
         t.dates() if dates is None else dates,
         lookup,
+        **_sizes(t),
     )
 
 
 def _snapshot_facts(t: Tables) -> DataFrame:
     resolved = facts.resolve(
-        t.items(), t.orders(), t.snapshot_customers(), t.snapshot_products(), t.dates()
+        t.items(),
+        t.orders(),
+        t.snapshot_customers(),
+        t.snapshot_products(),
+        t.dates(),
+        **_sizes(t),
     )
     return facts.facts(resolved)
 
@@ -329,6 +344,7 @@ def fact_date_rejects(t: Tables) -> DataFrame:
         t.snapshot_customers(),
         t.snapshot_products(),
         metrics.dim_date(t.spark),
+        **_sizes(t),
     )
     return facts.out_of_range(resolved).select("order_item_id", "date_key", "reason")
 
@@ -344,6 +360,7 @@ def fact_orders_asof(t: Tables) -> DataFrame:
         "asof",
         customer_columns=["customer_version"],
         product_columns=["product_version"],
+        **_sizes(t),
     )
     versions = ["customer_version", "product_version"]
     return _shown(facts.facts(resolved, *versions), *_FACT, *versions)
@@ -357,7 +374,12 @@ def fact_dedup(t: Tables) -> DataFrame:
         "order_item_id", "order_id", "product_id", "quantity", "unit_price", "line_total", "op"
     )
     resolved = facts.resolve(
-        items, t.orders(), t.snapshot_customers(), t.snapshot_products(), t.dates()
+        items,
+        t.orders(),
+        t.snapshot_customers(),
+        t.snapshot_products(),
+        t.dates(),
+        **_sizes(t),
     )
     return _shown(facts.facts(resolved), *_FACT)
 
@@ -535,12 +557,12 @@ def product_sales_all_versions(t: Tables) -> DataFrame:
 
 
 def customer_history(t: Tables) -> DataFrame:
-    return _shown(history.customer_history(_customers(t)), *_CUSTOMER, "n_versions", "is_open")
+    return _shown(history.customer_history(_customers(t), **t.sizes("orders")), *_CUSTOMER, "n_versions", "is_open")
 
 
 def product_history(t: Tables) -> DataFrame:
     columns = [c for c in _PRODUCT if c != "description"]
-    return _shown(history.product_history(_products(t)), *columns, "n_versions", "is_open")
+    return _shown(history.product_history(_products(t), **t.sizes("lineitem")), *columns, "n_versions", "is_open")
 
 
 def current_customers(t: Tables) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scdflow.functions import open_end, surrogate_key
-from scdflow.operators.skew import lookup_join
+from scdflow.operators.skew import HOT_ROWS, lookup_join
 from scdflow.plans.metrics import dim_date
 
 FIRST_DATE = datetime.date(1995, 1, 1)
@@ -255,10 +255,20 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self.rows: dict[str, int] = {}
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def sizes(self, name: str, factor: int = 1) -> dict:
+        """How to look for hot keys in a feed of at most `factor` rows per row of a table.
+
+        There are none if all rows together are too few. The count comes from the footers.
+        """
+        if name not in self.rows:
+            self.rows[name] = self.read(name).count()
+        return {"hot_rows": None} if factor * self.rows[name] <= HOT_ROWS else {}
+
     def feed(self, table: DataFrame | str, feed: dict[str, str]) -> DataFrame:
         rows = self.read(table) if isinstance(table, str) else table
         shaped = rows.selectExpr(*columns(feed))
@@ -276,7 +286,9 @@ class Tables:
 
     def lines_with_part(self) -> DataFrame:
         part = self.read("part").withColumnRenamed("p_partkey", "l_partkey")
-        return lookup_join(self.spread("lineitem"), part, "l_partkey")
+        return lookup_join(
+            self.spread("lineitem"), part, "l_partkey", **self.sizes("lineitem")
+        )
 
     def customer_changes(self) -> DataFrame:
         return self.feed("orders", CUSTOMER_CHANGES)

@@ -7,6 +7,7 @@ what is live:
     <table>/batch=<n>/bucket=<b>/    state by key; a batch rewrites the buckets it touches
     commit/batch=<n>/                JSON, written last: live batch of each bucket,
                                      last source batch, highest offset per partition
+    staging/<name>/                  intermediate rows of the running batch
 
 Until its commit record is there a batch has no effect, and running it again
 overwrites the same folders. There is one writer at a time.
@@ -16,7 +17,6 @@ import json
 from functools import reduce
 from operator import or_
 
-from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -124,17 +124,16 @@ class Batch:
         self.number = warehouse.record["batch"] + 1
         self.live = {name: dict(live) for name, live in warehouse.record["live"].items()}
         self.written: set[str] = set()
-        self.kept: list[DataFrame] = []
 
-    def keep(self, rows: DataFrame) -> DataFrame:
-        """Cache rows that are used more than once, until the batch is released."""
-        self.kept.append(rows.persist(StorageLevel.MEMORY_AND_DISK))
-        return rows
+    def keep(self, name: str, rows: DataFrame) -> DataFrame:
+        """Rows that are used more than once, written and read back.
 
-    def release(self) -> None:
-        for rows in self.kept:
-            rows.unpersist()
-        self.kept.clear()
+        They outlive a lost executor, and plans built on them start from a scan. The next
+        batch overwrites them.
+        """
+        path = f"{self.warehouse.root}/staging/{name}"
+        rows.write.mode("overwrite").parquet(path)
+        return self.warehouse.spark.read.schema(rows.schema).parquet(path)
 
     def buckets(self, keys: DataFrame, key: str) -> set[int]:
         """The buckets some keys fall in: at most as many as there are buckets."""

@@ -60,21 +60,20 @@ def ingest(
     now = now or datetime.datetime.now()
     batch = warehouse.begin()
     new = facts.one_per_address(_unseen(warehouse, records))
-    try:
-        normalized = batch.keep(envelope.normalize(new))
-        offsets, changes = _census(normalized)
-        rejected = _load(batch, normalized, changes, dates) + [
-            normalized.filter(F.col("outcome") == "failed").select(*_FAILURE)
-        ]
-        _file_failures(batch, rejected, now)
-        batch.commit(source_batch, offsets)
-    finally:
-        batch.release()
+    normalized = batch.keep("normalized", envelope.normalize(new))
+    offsets, changes = _census(normalized)
+    rejected = _load(batch, normalized, changes, dates) + [_unread(normalized)]
+    _file_failures(batch, rejected, now)
+    batch.commit(source_batch, offsets)
 
 
 _FAILURE = [*ADDRESS, "timestamp", "value", "error_type", "error_message"]
 
 
+def _unread(normalized: DataFrame) -> DataFrame:
+    return normalized.filter(F.col("outcome") == "failed").select(*_FAILURE)
+
+
 def _unseen(warehouse: Warehouse, records: DataFrame) -> DataFrame:
     """Records beyond the highest offset applied. One row per topic partition is known."""
     known = [
@@ -161,7 +160,9 @@ def _apply_dimension(
     changes = changes.drop("value", "given", "topic")
     touched = batch.buckets(changes, key)
     current = batch.state(name, touched)
-    versions = batch.keep(scd.apply_changes(current, changes, key, dimension, replay, **sizes))
+    versions = batch.keep(
+        name, scd.apply_changes(current, changes, key, dimension, replay, **sizes)
+    )
     others = current.join(changes.select(key).distinct(), key, "left_anti")
     live = versions.filter("is_current").select(*others.columns)
     batch.append(f"{name}_closed", versions.filter(~F.col("is_current")))
@@ -206,7 +207,8 @@ def _load_facts(
     old = batch.state("parked_items").drop("reason")
     # A replay has its own failures to report, so parked items wait for the next batch.
     waiting = (new if replay else new.unionByName(old)).withColumn("op", F.lit("c"))
-    sizes = _sizes(batch.keep(waiting).count())
+    waiting = batch.keep("items", waiting)
+    sizes = _sizes(waiting.count())
     orders = (
         batch.state("orders", batch.buckets(waiting, "order_id"))
         .filter(~F.col("deleted"))
@@ -215,7 +217,9 @@ def _load_facts(
     )
     customers = batch.state("dim_customer", batch.buckets(orders, "customer_id"))
     products = batch.state("dim_product", batch.buckets(waiting, "product_id"))
-    resolved = batch.keep(facts.resolve(waiting, orders, customers, products, dates, **sizes))
+    resolved = batch.keep(
+        "resolved", facts.resolve(waiting, orders, customers, products, dates, **sizes)
+    )
     batch.append("fact_orders", facts.facts(resolved))
     missing = facts.unresolved(resolved)
     if not replay:
@@ -264,46 +268,40 @@ def retry(
     """
     batch = warehouse.begin()
     failed = batch.state("failed_messages")
-    try:
-        chosen = batch.keep(
-            dlq.retry_batch(failed, now, limit)
-            if message is None
-            else dlq.retry_one(failed, message)
-        )
-        records = chosen.select(
-            "topic",
-            "partition",
-            F.col("message_offset").alias("offset"),
-            F.col("message_timestamp").alias("timestamp"),
-            F.col("message_value").alias("value"),
-        )
-        normalized = batch.keep(envelope.normalize(records))
-        _, changes = _census(normalized)
-        rejected = _load(batch, normalized, changes, dates, True, revalidate) + [
-            normalized.filter(F.col("outcome") == "failed").select(*_FAILURE)
-        ]
-        errors = (
-            _union(rejected)
-            .withColumnRenamed("offset", "message_offset")
-            .select(dlq.message_id().alias("failed_message_id"), "error_message")
-        )
-        outcomes = batch.keep(
-            chosen.select("failed_message_id")
-            .join(errors, "failed_message_id", "left")
-            .select(
-                "failed_message_id",
-                F.col("error_message").isNull().alias("succeeded"),
-                "error_message",
-            )
-        )
-        give_up = message is None
-        totals = dlq.run_totals(chosen, outcomes, give_up).collect()[0].asDict()
-        touched = batch.buckets(outcomes, "failed_message_id")
-        stored = batch.state("failed_messages", touched)
-        batch.replace(
-            "failed_messages", dlq.apply_outcomes(stored, outcomes, now, give_up), touched
-        )
-        batch.commit()
-        return totals
-    finally:
-        batch.release()
+    chosen = batch.keep(
+        "retried",
+        dlq.retry_batch(failed, now, limit) if message is None else dlq.retry_one(failed, message),
+    )
+    records = chosen.select(
+        "topic",
+        "partition",
+        F.col("message_offset").alias("offset"),
+        F.col("message_timestamp").alias("timestamp"),
+        F.col("message_value").alias("value"),
+    )
+    normalized = batch.keep("normalized", envelope.normalize(records))
+    _, changes = _census(normalized)
+    rejected = _load(batch, normalized, changes, dates, True, revalidate) + [_unread(normalized)]
+    errors = (
+        _union(rejected)
+        .withColumnRenamed("offset", "message_offset")
+        .select(dlq.message_id().alias("failed_message_id"), "error_message")
+    )
+    outcomes = batch.keep(
+        "outcomes",
+        chosen.select("failed_message_id")
+        .join(errors, "failed_message_id", "left")
+        .select(
+            "failed_message_id",
+            F.col("error_message").isNull().alias("succeeded"),
+            "error_message",
+        ),
+    )
+    give_up = message is None
+    totals = dlq.run_totals(chosen, outcomes, give_up).collect()[0].asDict()
+    touched = batch.buckets(outcomes, "failed_message_id")
+    stored = batch.state("failed_messages", touched)
+    after = dlq.apply_outcomes(stored, outcomes, now, give_up)
+    batch.replace("failed_messages", after, touched)
+    batch.commit()
+    return totals
