@@ -13,7 +13,14 @@ from scdflow.functions import event_time
 from scdflow.operators import dlq, envelope, facts, scd, validate
 from scdflow.operators.skew import HOT_ROWS
 from scdflow.plans import metrics
-from scdflow.schemas import ADDRESS, CUSTOMERS, ORDER_ITEMS, ORDERS, PRODUCTS
+from scdflow.schemas import (
+    ADDRESS,
+    CUSTOMERS,
+    ORDER_ITEMS,
+    ORDERS,
+    PRODUCTS,
+    TOPIC_PREFIX,
+)
 from scdflow.sources.warehouse import Batch, Warehouse
 
 DIMENSIONS = {
@@ -123,14 +130,14 @@ def _load(
     rejected = []
     for name, topic in (("dim_customer", CUSTOMERS), ("dim_product", PRODUCTS)):
         if changes.get(topic):
-            checked = _checked(normalized, topic, revalidate)
+            checked = _checked(batch, normalized, topic, revalidate)
             # Each change brings in at most one stored row.
             sizes = _sizes(2 * changes[topic])
             _apply_dimension(batch, name, validate.valid(checked), replay, sizes)
             rejected.append(_failures(validate.rejected(checked)))
     if changes.get(ORDERS):
         _apply_orders(batch, envelope.changes_of(normalized, ORDERS))
-    items = _checked(normalized, ORDER_ITEMS, revalidate)
+    items = _checked(batch, normalized, ORDER_ITEMS, revalidate)
     undated = _load_facts(batch, validate.valid(items), dates, replay)
     return rejected + [_failures(validate.rejected(items)), undated]
 
@@ -140,13 +147,15 @@ def _sizes(rows: int) -> dict:
     return {"hot_rows": None} if rows <= HOT_ROWS else {}
 
 
-def _checked(normalized: DataFrame, topic: str, revalidate: bool) -> DataFrame:
+def _checked(batch: Batch, normalized: DataFrame, topic: str, revalidate: bool) -> DataFrame:
     changes = envelope.changes_of(normalized, topic)
     if topic == CUSTOMERS:
-        return validate.check_customers(changes, emails=revalidate)
-    if topic == PRODUCTS:
-        return validate.check_products(changes)
-    return validate.check_order_items(changes)
+        checked = validate.check_customers(changes, emails=revalidate)
+    elif topic == PRODUCTS:
+        checked = validate.check_products(changes)
+    else:
+        checked = validate.check_order_items(changes)
+    return batch.keep("checked_" + topic.removeprefix(TOPIC_PREFIX), checked.drop("given"))
 
 
 def _failures(rejected: DataFrame) -> DataFrame:
@@ -157,7 +166,7 @@ def _apply_dimension(
     batch: Batch, name: str, changes: DataFrame, replay: bool, sizes: dict
 ) -> None:
     key, dimension = DIMENSIONS[name]
-    changes = changes.drop("value", "given", "topic")
+    changes = changes.drop("value", "topic")
     touched = batch.buckets(changes, key)
     current = batch.state(name, touched)
     versions = batch.keep(

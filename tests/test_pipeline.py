@@ -14,6 +14,8 @@ from scdflow.sources.testdata import Tables
 from scdflow.sources.warehouse import Warehouse
 from scdflow.streaming import pipeline
 
+pytestmark = pytest.mark.usefixtures("interpreted")
+
 NOW = dt.datetime(2024, 5, 1)
 DAY = dt.datetime(2024, 1, 1)
 
