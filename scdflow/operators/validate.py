@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scdflow.functions import margin, money
+from scdflow.operators.skew import lookup_join
 from scdflow.schemas import CUSTOMER_LENGTHS, PRODUCT_LENGTHS
 
 
@@ -179,6 +180,12 @@ def _one_row_each(row: DataFrame, columns: Sequence[str], name: str) -> DataFram
     return row.unpivot([], list(columns), "column_name", name)
 
 
-def orphans(rows: DataFrame, parents: DataFrame, key: str) -> DataFrame:
+def orphans(rows: DataFrame, parents: DataFrame, key: str, **sizes) -> DataFrame:
     """Rows whose key has no parent. A null key refers to nothing and is no orphan."""
-    return rows.filter(F.col(key).isNotNull()).join(parents.select(key), key, "left_anti")
+    found = parents.select(key, F.lit(True).alias("has_parent"))
+    keyed = rows.filter(F.col(key).isNotNull())
+    return (
+        lookup_join(keyed, found, key, **sizes)
+        .filter(F.col("has_parent").isNull())
+        .drop("has_parent")
+    )

@@ -164,22 +164,19 @@ def orphan_rows(t: Tables) -> DataFrame:
     dates = metrics.dim_date(t.spark).select("date_key")
     dated = orders.select("order_id", date_key("order_date").alias("date_key"))
     found = {
-        "order_customer": (validate.orphans(orders, customers, "customer_id"), "order_id"),
-        "item_order": (validate.orphans(items, placed, "order_id"), "order_item_id"),
-        "item_product": (
-            validate.orphans(items, t.snapshot_products(), "product_id"),
-            "order_item_id",
-        ),
-        "order_date": (validate.orphans(dated, dates, "date_key"), "order_id"),
+        "order_customer": (orders, customers, "customer_id", "order_id"),
+        "item_order": (items, placed, "order_id", "order_item_id"),
+        "item_product": (items, t.snapshot_products(), "product_id", "order_item_id"),
+        "order_date": (dated, dates, "date_key", "order_id"),
     }
     counted = [
-        rows.agg(
+        validate.orphans(rows, parents, key, **_sizes(t)).agg(
             F.lit(name).alias("relation"),
             F.count("*").alias("orphans"),
-            F.min(key).alias("first_id"),
-            F.max(key).alias("last_id"),
+            F.min(row_id).alias("first_id"),
+            F.max(row_id).alias("last_id"),
         )
-        for name, (rows, key) in found.items()
+        for name, (rows, parents, key, row_id) in found.items()
     ]
     result = counted[0]
     for more in counted[1:]:

@@ -95,10 +95,10 @@ def partition_backlog_or_healthy(failed: DataFrame) -> DataFrame:
     healthy = failed.sparkSession.createDataFrame(
         [(t, 0, 0, None, None, 0) for t in TOPICS], backlog.schema
     )
-    # One row: is anything unresolved?
-    some = backlog.limit(1).select(F.lit(True).alias("some"))
-    none = healthy.join(F.broadcast(some), F.col("some"), "left_anti")
-    return backlog.unionByName(none)
+    # One row at most: is anything unresolved?
+    some = backlog.limit(1).select(F.lit(1).alias("any"))
+    none = healthy.withColumn("any", F.lit(1)).join(F.broadcast(some), "any", "left_anti")
+    return backlog.unionByName(none.drop("any"))
 
 
 def total_lag(failed: DataFrame) -> DataFrame:
