@@ -19,10 +19,9 @@ LAST_DATE = datetime.date(2001, 12, 31)
 
 
 def position(day: str, number: str) -> str:
-    """An offset that grows with the day and then with a number below 2^36."""
-    return (
-        f"((year({day}) * 10000 + month({day}) * 100 + day({day})) * 68719476736 + {number})"
-    )
+    """An offset that grows with the day and then with a number below 2^44."""
+    days = f"((year({day}) - 1990) * 372 + month({day}) * 31 + day({day}))"
+    return f"({days} * 17592186044416 + {number})"
 
 
 _EMAIL = "'c' || cast(o_custkey as string) || '@example.com'"
