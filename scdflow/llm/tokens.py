@@ -253,7 +253,7 @@ def write(
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = max(1, -(-words.text_bytes(narrow) // PART_BYTES))
-    ordered = narrow.repartitionByRange(parts, "doc_id", "text").sortWithinPartitions(
+    ordered = narrow.repartitionByRange(parts, "doc_id").sortWithinPartitions(
         "doc_id", "text"
     )
     segments = ordered.mapInArrow(_segments(tokenizer, end_id, lower), SEGMENT_SCHEMA)
