@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from scdflow.functions import date_key, money
 from scdflow.operators.scd import as_of
-from scdflow.operators.skew import lookup_join
 from scdflow.schemas import ADDRESS, MONEY
+from scdflow.sources.shared import staged
 
 LOOKUP_REASONS = ["order_not_found", "customer_not_found", "product_not_found"]
 
@@ -30,10 +30,20 @@ def latest_orders(changes: DataFrame) -> DataFrame:
 
 
 def one_per_address(records: DataFrame) -> DataFrame:
-    """A record delivered again is the same record: keep one per address."""
+    """A record delivered again is the same record: keep one per address.
+
+    Addresses are counted by themselves; whole records are compared only where one came twice.
+    """
+    counts = records.groupBy(*ADDRESS).agg(F.count("*").alias("n"))
+    twice = staged(counts.filter(F.col("n") > 1).select(*ADDRESS), "twice")
     rest = [c for c in records.columns if c not in ADDRESS]
-    once = records.groupBy(*ADDRESS).agg(F.min(F.struct(*rest)).alias("r"))
-    return once.select(*ADDRESS, "r.*")
+    chosen = (
+        records.join(twice, ADDRESS, "left_semi")
+        .groupBy(*ADDRESS)
+        .agg(F.min(F.struct(*rest)).alias("r"))
+        .select(*ADDRESS, "r.*")
+    )
+    return records.select(*chosen.columns).join(twice, ADDRESS, "left_anti").unionByName(chosen)
 
 
 def resolve(
@@ -57,7 +67,6 @@ def resolve(
     """
     customer_found = ["customer_key", *customer_columns]
     product_found = ["product_key", *product_columns]
-    hot = {k: v for k, v in sizes.items() if k == "hot_rows"}
     dated = (
         _with_version(orders, customers, "customer_id", customer_found, lookup, sizes)
         .withColumn("date_key", date_key("order_date"))
@@ -72,10 +81,10 @@ def resolve(
     inserts = items.filter(F.col("op") == "c").drop("op")
     if lookup == "current":
         keyed = _with_version(inserts, products, "product_id", product_found, lookup, sizes)
-        found = lookup_join(keyed, dated, "order_id", **hot)
+        found = keyed.join(dated, "order_id", "left")
     else:
         found = _with_version(
-            lookup_join(inserts, dated, "order_id", **hot),
+            inserts.join(dated, "order_id", "left"),
             products,
             "product_id",
             product_found,
@@ -89,7 +98,7 @@ def _with_version(rows, dimension, key, columns, lookup, sizes) -> DataFrame:
     if lookup == "asof":
         return as_of(rows, dimension, key, "order_date", columns, **sizes)
     current = dimension.filter("is_current").select(key, *columns)
-    return lookup_join(rows, current, key, **{k: v for k, v in sizes.items() if k == "hot_rows"})
+    return rows.join(current, key, "left")
 
 
 def _reason() -> Column:

@@ -1,58 +1,25 @@
-"""Work on ordered or looked-up keys when a single key may hold much of the data.
+"""Work on ordered keys when a single key may hold much of the data.
 
 A window over one key runs in one task, so a key with a third of all rows would
 stop the job. Keys above `hot_rows` are found by a pre-aggregated count and cut into
 slices: runs of consecutive rows of about `slice_rows` each. What a slice needs from
 the slices before it is summed up in one row per slice, and those rows are few
 enough for one task per key. All other keys take the plain path, with one shuffle.
+
+Only windows need this. A join on an equal key is left to Spark, which splits a hot
+key's rows by itself.
 """
 
 import math
-import tempfile
 from collections.abc import Callable
-from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from scdflow.sources.shared import staged
 
 HOT_ROWS = 4_000_000
 SLICE_ROWS = 1_000_000
-# Keys past this many hot ones take the plain path, which gives the same result. Each
-# of those holds less than 1 / MAX_HOT_KEYS of the rows. This bounds the broadcast.
-MAX_HOT_KEYS = 10_000
-
-
-class HotKeys(NamedTuple):
-    keys: DataFrame
-    rows: int
-    has_null: bool
-
-
-def hot_keys(df: DataFrame, key: str, hot_rows: int | None = HOT_ROWS) -> HotKeys | None:
-    """The keys with more than `hot_rows` rows, or None. Reads the key column only.
-
-    With `hot_rows=None` the caller knows that there are none, as in a small batch.
-    """
-    if hot_rows is None:
-        return None
-    found = (
-        df.groupBy(key)
-        .agg(F.count("*").alias("n"))
-        .filter(F.col("n") > hot_rows)
-        .orderBy(F.desc("n"))
-        .limit(MAX_HOT_KEYS)
-        .collect()
-    )
-    if not found:
-        return None
-    schema = T.StructType([T.StructField(key, df.schema[key].dataType)])
-    values = [(r[key],) for r in found if r[key] is not None]
-    return HotKeys(
-        F.broadcast(df.sparkSession.createDataFrame(values, schema)),
-        sum(r["n"] for r in found if r[key] is not None),
-        any(r[key] is None for r in found),
-    )
 
 
 def by_key(
@@ -60,66 +27,32 @@ def by_key(
     key: str,
     order: str,
     build: Callable[[DataFrame, bool], DataFrame],
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int = HOT_ROWS,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """`build(rows, sliced)` over all keys, where hot keys come with a `slice` column.
 
+    However many keys are hot, they stay a table; only their number of rows is known here.
     Rows with a null key are not passed on; no ordered operator has a use for them.
     """
     df = df.filter(F.col(key).isNotNull())
-    hot = hot_keys(df, key, hot_rows)
-    if hot is None:
+    counts = df.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows)
+    hot = staged(counts, "hot_keys")
+    rows = hot.agg(F.sum("n")).first()[0]
+    if rows is None:
         return build(df, False)
-    cold = build(df.join(hot.keys, key, "left_anti"), False)
-    slices = max(2, math.ceil(hot.rows / slice_rows))
-    sliced = durable(
-        df.join(hot.keys, key, "left_semi")
+    keys = hot.select(key)
+    cold = build(df.join(keys, key, "left_anti"), False)
+    slices = max(2, math.ceil(rows / slice_rows))
+    sliced = staged(
+        df.join(keys, key, "left_semi")
         .repartitionByRange(slices, key, order)
-        .withColumn("slice", F.spark_partition_id())
+        .withColumn("slice", F.spark_partition_id()),
+        "slices",
     )
     return cold.unionByName(build(sliced, True))
 
 
-def lookup_join(
-    rows: DataFrame, table: DataFrame, key: str, hot_rows: int | None = HOT_ROWS
-) -> DataFrame:
-    """Left join to `table`, which holds at most one row per key.
-
-    Rows of hot keys meet a broadcast of their own table rows (one per hot key, so at
-    most MAX_HOT_KEYS); they are never shuffled by the key.
-    """
-    hot = hot_keys(rows, key, hot_rows)
-    if hot is None:
-        return rows.join(table, key, "left")
-    keyed = rows.filter(F.col(key).isNotNull())
-    cold = keyed.join(hot.keys, key, "left_anti").join(table, key, "left")
-    few = table.join(hot.keys, key, "left_semi")
-    warm = keyed.join(hot.keys, key, "left_semi").join(F.broadcast(few), key, "left")
-    # A null key finds nothing, so it needs no join.
-    return cold.unionByName(warm).unionByName(
-        rows.filter(F.col(key).isNull()), allowMissingColumns=True
-    )
-
-
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, which outlives lost executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="scdflow-checkpoint-")
-    context.setCheckpointDir(shared)
-
-
 def previous(
     rows: DataFrame, key: str, order: str, value: Column, name: str, sliced: bool
 ) -> DataFrame:

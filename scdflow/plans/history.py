@@ -3,58 +3,46 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scdflow.operators.skew import lookup_join
 
-
-def _with_count(versions: DataFrame, key: str, one_key: bool, sizes: dict) -> DataFrame:
-    """Versions per key, pre-aggregated; a window would hold a whole key in one task."""
-    counts = versions.groupBy(key).agg(F.count("*").alias("n_versions"))
-    if one_key:
-        return versions.join(F.broadcast(counts), key)
-    return lookup_join(versions, counts, key, **sizes)
-
-
-def customer_history(customers: DataFrame, customer_id: int | None = None, **sizes) -> DataFrame:
+def customer_history(customers: DataFrame, customer_id: int | None = None) -> DataFrame:
     """All versions of one customer, or of all, oldest first."""
     return _history(
         customers,
         "customer_id",
         customer_id,
         ["first_name", "last_name", "email", "phone", "address", "city", "country"],
-        sizes,
     )
 
 
-def product_history(products: DataFrame, product_id: int | None = None, **sizes) -> DataFrame:
+def product_history(products: DataFrame, product_id: int | None = None) -> DataFrame:
     return _history(
         products,
         "product_id",
         product_id,
         ["product_name", "category", "brand", "price", "cost", "margin_percentage"],
-        sizes,
     )
 
 
-def _history(versions: DataFrame, key: str, only: int | None, columns: list[str], sizes: dict) -> DataFrame:
-    """Versions start again at 1 after a delete, so the time of opening sorts first."""
+def _history(versions: DataFrame, key: str, only: int | None, columns: list[str]) -> DataFrame:
+    """Versions start again at 1 after a delete, so the time of opening sorts first.
+
+    Versions per key are pre-aggregated; a window would hold a whole key in one task.
+    """
     chosen = versions if only is None else versions.filter(F.col(key) == only)
+    counts = chosen.groupBy(key).agg(F.count("*").alias("n_versions"))
     surrogate = key.replace("_id", "_key")
+    rows = chosen.select(
+        surrogate,
+        key,
+        *columns,
+        "valid_from",
+        "valid_to",
+        "is_current",
+        "version",
+        _opened(versions),
+    )
     return (
-        _with_count(
-            chosen.select(
-                surrogate,
-                key,
-                *columns,
-                "valid_from",
-                "valid_to",
-                "is_current",
-                "version",
-                _opened(versions),
-            ),
-            key,
-            only is not None,
-            sizes,
-        )
+        rows.join(F.broadcast(counts) if only is not None else counts, key, "left")
         .withColumn("is_open", F.col("is_current"))
         .orderBy(key, "valid_from", "opened")
     )
