@@ -1,5 +1,7 @@
 """Column expressions shared by the operators. All stay inside code generation."""
 
+import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -7,7 +9,12 @@ from scdflow.schemas import MONEY, PERCENT
 
 
 def naive(value) -> Column:
-    """A timestamp without zone, from a literal or a column."""
+    """A timestamp without zone, from a literal or a column.
+
+    A Python time goes in as text: as an instant it would depend on the driver's time zone.
+    """
+    if isinstance(value, datetime.datetime):
+        value = value.isoformat(sep=" ")
     column = value if isinstance(value, Column) else F.lit(value)
     return column.cast("timestamp_ntz")
 

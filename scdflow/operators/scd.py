@@ -30,12 +30,15 @@ def fold(
     key: str,
     tracked: Sequence[str],
     type1: Sequence[str],
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int = HOT_ROWS,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """All versions of all keys: one row per (key, open_seq).
 
-    Rows may carry `start_version`, the number the version they open must get; it is
+    A version starts at the time of its change, or later: never before the version or the
+    delete ahead of it. So intervals follow each other even where times run backwards.
+
+    Changes without a key are left out; `keyless` counts them. Rows may carry `start_version`, the number the version they open must get; it is
     how stored state enters the fold.
     """
     events = _events(changes, key, tracked, type1)
@@ -59,11 +62,16 @@ def fold(
     )
 
 
+def keyless(changes: DataFrame, key: str) -> DataFrame:
+    """Changes without a key, which no fold can take, by op."""
+    return changes.filter(F.col(key).isNull()).groupBy("op").agg(F.count("*").alias("keyless"))
+
+
 def change_flags(
     changes: DataFrame,
     key: str,
     tracked: Sequence[str],
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int = HOT_ROWS,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Each effective change with `opens`: does it open a version?"""
@@ -103,7 +111,9 @@ def _no_effect() -> Column:
 
 
 def _flagged(events: DataFrame, key: str, sliced: bool) -> DataFrame:
-    """Effective events with `boundary`: the event opens a version or is a delete."""
+    """Effective events with `boundary`: the event opens a version or is a delete.
+
+    A `stray` delete finds nothing to end."""
     in_order = Window.partitionBy(*_parts(key, sliced)).orderBy("seq")
     state = F.struct("op", "tracked")
     rows = events.withColumn("prev_op", F.lag("op").over(in_order))
@@ -118,7 +128,8 @@ def _flagged(events: DataFrame, key: str, sliced: bool) -> DataFrame:
         )
     same = (F.col("prev.op") != "d") & F.col("tracked").eqNullSafe(F.col("prev.tracked"))
     is_boundary = (F.col("op") == "d") | F.col("prev").isNull() | ~same
-    return rows.withColumn("boundary", is_boundary).drop("prev", "prev_op")
+    stray = (F.col("op") == "d") & (F.col("prev").isNull() | (F.col("prev.op") == "d"))
+    return rows.withColumns({"boundary": is_boundary, "stray": stray}).drop("prev", "prev_op")
 
 
 def _state_before(rows: DataFrame, key: str, state: Column) -> DataFrame:
@@ -165,6 +176,7 @@ def _versions(events: DataFrame, key: str, sliced: bool) -> DataFrame:
     opened = F.last(F.when(F.col("boundary"), head), ignorenulls=True)
     spans = (
         _flagged(events, key, sliced)
+        .filter(~F.col("stray"))
         .withColumns(
             {
                 "head": opened.over(in_order.rowsBetween(*_SO_FAR)),
@@ -206,7 +218,8 @@ def _intervals(spans: DataFrame, key: str, sliced: bool) -> DataFrame:
     so_far = in_order.rowsBetween(*_SO_FAR)
     deleted = F.col("op") == "d"
     rows = (
-        spans.withColumn("opens", F.sum(F.when(deleted, 0).otherwise(1)).over(so_far))
+        spans.withColumn("ts", F.max("ts").over(so_far))
+        .withColumn("opens", F.sum(F.when(deleted, 0).otherwise(1)).over(so_far))
         .withColumn("seeded", F.max("start_version").over(so_far))
         .withColumn("next_ts", F.lead("ts").over(in_order))
         .withColumn(
@@ -222,7 +235,8 @@ def _intervals(spans: DataFrame, key: str, sliced: bool) -> DataFrame:
                 F.coalesce(F.col("at_delete") + F.col("opens_before"), F.col("delete_before")),
             )
             .withColumn("seeded", F.coalesce("seeded", "seeded_before"))
-            .withColumn("next_ts", F.coalesce("next_ts", "ts_after"))
+            .withColumn("ts", F.greatest("ts", "ts_before"))
+            .withColumn("next_ts", _not_before(F.coalesce("next_ts", "ts_after")))
         )
     first_life = F.col("opens") + F.coalesce(F.col("seeded"), F.lit(1)) - 1
     version = F.when(F.col("at_delete").isNull(), first_life).otherwise(
@@ -240,6 +254,10 @@ def _intervals(spans: DataFrame, key: str, sliced: bool) -> DataFrame:
     )
 
 
+def _not_before(ts: Column) -> Column:
+    return F.when(ts.isNotNull(), F.greatest(ts, "ts_before"))
+
+
 def _counts_before(rows: DataFrame, key: str) -> DataFrame:
     in_order = Window.partitionBy(key).orderBy("slice")
     before = in_order.rowsBetween(*_BEFORE)
@@ -250,7 +268,9 @@ def _counts_before(rows: DataFrame, key: str) -> DataFrame:
             F.max("at_delete").alias("at_delete"),
             F.max("seeded").alias("seeded"),
             F.min_by("ts", "seq").alias("first_ts"),
+            F.max("ts").alias("last_ts"),
         )
+        .withColumn("ts_before", F.max("last_ts").over(before))
         .withColumn("opens_before", F.coalesce(F.sum("opens").over(before), F.lit(0)))
         .withColumn("deleted_total", F.col("opens_before") + F.col("at_delete"))
         .select(
@@ -259,7 +279,12 @@ def _counts_before(rows: DataFrame, key: str) -> DataFrame:
             "opens_before",
             F.max("deleted_total").over(before).alias("delete_before"),
             F.max("seeded").over(before).alias("seeded_before"),
-            F.lead("first_ts").over(in_order).alias("ts_after"),
+            "ts_before",
+            # Not before any time of this slice; those of earlier ones are put in by the caller.
+            F.when(
+                F.lead("first_ts").over(in_order).isNotNull(),
+                F.greatest(F.lead("first_ts").over(in_order), "last_ts"),
+            ).alias("ts_after"),
         )
     )
 
@@ -302,16 +327,21 @@ def _opened_by(versions: DataFrame) -> list[str]:
 
 
 def apply_changes(
-    current: DataFrame, changes: DataFrame, key: str, dimension, replay: bool = False, **sizes
+    current: DataFrame,
+    changes: DataFrame,
+    key: str,
+    dimension,
+    ended: DataFrame | None = None,
+    **sizes,
 ) -> DataFrame:
     """Fold a batch onto stored current rows: all versions of the keys it touches.
 
-    Each current row of a touched key enters as the first change of its key. Rows of
-    the result that are not current are complete and can be appended to history; the
-    others replace the current rows of their keys.
+    Each current row of a touched key enters as the first change of its key, so changes that
+    are older than the stored state take effect no earlier than the current version. Rows of
+    the result that are not current are complete and can be appended to history; the others
+    replace the current rows of their keys.
 
-    `replay` marks changes that are older than the stored state but are to be applied
-    on top of it; they take effect no earlier than the current version.
+    `ended` has the `ended_at` of keys that were deleted: they come back no earlier.
     """
     attributes = [c for c in changes.columns if c not in ("topic", "partition", "offset")]
     incoming = changes.select(
@@ -320,12 +350,11 @@ def apply_changes(
         F.lit(None).cast("int").alias("start_version"),
     )
     stored = current.join(changes.select(key).distinct(), key, "left_semi")
-    if replay:
-        floor = stored.select(key, F.col("valid_from").alias("floor"))
+    if ended is not None:
         incoming = (
-            incoming.join(floor, key, "left")
-            .withColumn("ts", F.greatest("ts", "floor"))
-            .drop("floor")
+            incoming.join(ended.select(key, "ended_at"), key, "left")
+            .withColumn("ts", F.greatest("ts", "ended_at"))
+            .drop("ended_at")
         )
     seeds = stored.select(
         F.lit("c").alias("op"),
@@ -354,11 +383,13 @@ def apply_to(
     versions: DataFrame, changes: DataFrame, key: str, dimension, **sizes
 ) -> DataFrame:
     """A whole stored dimension after one more batch."""
-    current = versions.filter("is_current")
-    return (
-        versions.filter(~F.col("is_current"))
-        .unionByName(current.join(changes.select(key).distinct(), key, "left_anti"))
-        .unionByName(apply_changes(current, changes, key, dimension, **sizes))
+    current, closed = versions.filter("is_current"), versions.filter(~F.col("is_current"))
+    touched = changes.select(key).distinct()
+    ended = closed.join(touched, key, "left_semi").groupBy(key).agg(
+        F.max("valid_to").alias("ended_at")
+    )
+    return closed.unionByName(current.join(touched, key, "left_anti")).unionByName(
+        apply_changes(current, changes, key, dimension, ended, **sizes)
     )
 
 
@@ -383,8 +414,8 @@ def deleted_keys(versions: DataFrame, key: str) -> DataFrame:
 def integrity(versions: DataFrame, key: str, **sizes) -> DataFrame:
     """Counts that show whether the versions of a dimension fit together.
 
-    `broken` counts versions that do not start where the one before ends, or, for the
-    first of a later life, that start before it.
+    `broken` counts versions that end before they start, or do not start where the one
+    before ends, or, for the first of a later life, that start before it.
     """
     rows = versions.select(
         key, "open_seq", "version", "is_current", F.struct("version", "valid_from", "valid_to").alias("v")
@@ -417,7 +448,8 @@ def _checked(rows: DataFrame, key: str, sliced: bool) -> DataFrame:
         )
         .otherwise(F.col("v.valid_from") >= F.col("prev.valid_to"))
     )
-    return linked.select(key, "is_current", (~fits).alias("is_broken"))
+    runs = F.col("v.valid_from") <= F.col("v.valid_to")
+    return linked.select(key, "is_current", (~(fits & runs)).alias("is_broken"))
 
 
 def valid_at(versions: DataFrame, at) -> DataFrame:

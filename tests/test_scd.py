@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from scdflow.functions import naive
 from scdflow.operators import scd
 from scdflow.schemas import CUSTOMER_TRACKED, CUSTOMER_TYPE1
 
@@ -23,7 +24,8 @@ def random_changes(seed, n, hot=0.4, keys=30):
     for i in range(n):
         key = 0 if r.random() < hot else r.randrange(1, keys)
         op = r.choices(["c", "u", "d", "r", None], [1, 6, 1, 2, 0.3])[0]
-        time = START + dt.timedelta(minutes=i)
+        # Some times lie well before that of the change ahead.
+        time = START + dt.timedelta(minutes=i - r.choice([0, 0, 0, r.randrange(200)]))
         phone, city = r.choice(["1", "2", None]), r.choice(["X", None])
         rows.append((key, key % 3, i, op, time, "A", r.choice(["B", "C", None]), None, phone, None, city, "Y"))
     return rows
@@ -31,14 +33,16 @@ def random_changes(seed, n, hot=0.4, keys=30):
 
 def model(rows):
     """What one event at a time makes of the changes: the rules in their plainest form."""
-    current, versions = {}, {}
+    current, versions, clock = {}, {}, {}
     for key, partition, offset, op, ts, *attributes in rows:
+        ts = max(ts, clock.get(key, ts))
         type1, tracked = attributes[:3], attributes[3:]
         live = current.get(key)
         if op == "d":
             if live:
                 live.update(valid_to=ts, is_current=False)
                 del current[key]
+                clock[key] = ts
             continue
         if live and op not in ("c", "u"):
             continue
@@ -47,6 +51,7 @@ def model(rows):
             continue
         if live:
             live.update(valid_to=ts, is_current=False)
+        clock[key] = ts
         number = live["version"] + 1 if live else 1
         new = {"version": number, "valid_from": ts, "valid_to": dt.datetime(9999, 12, 31)}
         new |= {"is_current": True, "tracked": tracked, "type1": type1}
@@ -149,6 +154,36 @@ def test_as_of_against_brute_force(spark):
         assert {row["n"]: row["version"] for row in got.collect()} == expected
 
 
+def test_as_of_is_what_stood_at_the_time(spark):
+    """However times run: the version found for a time is the one valid then."""
+    versions = scd.customer_dimension(spark.createDataFrame(random_changes(11, 400), SCHEMA))
+    for minutes in (30, 150, 299, 390):
+        at = START + dt.timedelta(minutes=minutes)
+        stood = scd.valid_at(versions, naive(at)).select("customer_id", "version").collect()
+        asked = versions.select("customer_id").distinct().withColumn("at", naive(at))
+        found = scd.as_of(asked, versions, "customer_id", "at", ["version"]).filter("version IS NOT NULL")
+        assert {tuple(r) for r in stood} == {(r["customer_id"], r["version"]) for r in found.collect()}
+
+
+def test_backward_interval_is_broken(spark):
+    versions = scd.customer_dimension(spark.createDataFrame(random_changes(3, 200), SCHEMA))
+    turned = versions.withColumns({"valid_from": F.col("valid_to"), "valid_to": F.col("valid_from")})
+    assert scd.integrity(turned, "customer_id").collect()[0]["broken"] > 0
+
+
+def test_literals_do_not_depend_on_the_time_zone_of_the_driver(spark, monkeypatch):
+    import time
+
+    monkeypatch.setenv("TZ", "America/New_York")
+    time.tzset()
+    try:
+        shown = spark.range(1).select(naive(dt.datetime(2024, 1, 31)).cast("string")).first()[0]
+    finally:
+        monkeypatch.delenv("TZ")
+        time.tzset()
+    assert shown == "2024-01-31 00:00:00"
+
+
 def test_third_decimal_makes_no_version(spark):
     rows = [
         (1, 0, 1, "c", START, "p", None, None, None, 10.004, 4.0),
