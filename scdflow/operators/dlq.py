@@ -41,12 +41,25 @@ def attempts(rejected: DataFrame, failed_at) -> DataFrame:
         "error_type",
         "error_message",
         (
-            F.col("error_stacktrace") if "error_stacktrace" in have else F.lit(None).cast("string")
+            F.col("error_stacktrace")
+            if "error_stacktrace" in have
+            else F.concat("error_type", F.lit(": "), "error_message")
         ).alias("error_stacktrace"),
         naive(failed_at).alias("failed_at"),
     )
 
 
+def records(messages: DataFrame) -> DataFrame:
+    """Filed messages as the records they were."""
+    return messages.select(
+        "topic",
+        "partition",
+        F.col("message_offset").alias("offset"),
+        F.col("message_timestamp").alias("timestamp"),
+        F.col("message_value").alias("value"),
+    )
+
+
 def message_id() -> Column:
     return F.xxhash64(*MESSAGE)
 
@@ -173,25 +186,35 @@ def retry_one(failed: DataFrame, message: int) -> DataFrame:
     return failed.filter((F.col("failed_message_id") == message) & (F.col("status") == "pending"))
 
 
+def outcomes(chosen: DataFrame, errors: DataFrame) -> DataFrame:
+    """How the retry of each chosen message went; `errors` has the address of those that failed."""
+    failed = errors.groupBy(*MESSAGE).agg(F.min("error_message").alias("error_message"))
+    return (
+        chosen.select(*MESSAGE)
+        .join(failed, MESSAGE, "left")
+        .select(*MESSAGE, F.col("error_message").isNull().alias("succeeded"), "error_message")
+    )
+
+
 def apply_outcomes(
     failed: DataFrame, outcomes: DataFrame, as_of, dead_letter: bool = True
 ) -> DataFrame:
     """Failed messages after a retry run.
 
-    `outcomes` has failed_message_id, succeeded and error_message, one row per message
+    `outcomes` has a message's address, succeeded and error_message, one row per message
     retried. With `dead_letter=False`, as for a single retry on request, a failure
     only backs off.
     """
     now = naive(as_of)
     results = outcomes.select(
-        "failed_message_id", "succeeded", F.col("error_message").alias("new_error")
+        *MESSAGE, "succeeded", F.col("error_message").alias("new_error")
     )
     won = F.coalesce(F.col("succeeded"), F.lit(False))
     lost = F.coalesce(~F.col("succeeded"), F.lit(False))
     dead = lost & (F.col("retry_count") + 1 >= F.col("max_retries")) & F.lit(dead_letter)
     back_off = lost & ~dead
     return (
-        failed.join(results, "failed_message_id", "left")
+        failed.join(results, MESSAGE, "left")
         .select(
             *[
                 c
@@ -224,7 +247,7 @@ def apply_outcomes(
 def run_totals(batch: DataFrame, outcomes: DataFrame, dead_letter: bool = True) -> DataFrame:
     """How a retry run went: messages resolved, to be tried again, and given up."""
     last_try = (F.col("retry_count") + 1 >= F.col("max_retries")) & F.lit(dead_letter)
-    return batch.join(outcomes.select("failed_message_id", "succeeded"), "failed_message_id").agg(
+    return batch.join(outcomes.select(*MESSAGE, "succeeded"), MESSAGE).agg(
         F.count_if("succeeded").alias("succeeded"),
         F.count_if(~F.col("succeeded") & ~last_try).alias("failed"),
         F.count_if(~F.col("succeeded") & last_try).alias("dead_lettered"),

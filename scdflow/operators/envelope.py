@@ -189,9 +189,13 @@ def changes_of(normalized: DataFrame, topic: str) -> DataFrame:
 
 
 def tombstones(records: DataFrame) -> DataFrame:
-    """Records without a value, per topic and partition, beside all records."""
+    """Records without a value, per topic and partition, beside all records.
+
+    A value that is the JSON `null` is none either, as in `decode`.
+    """
+    none = F.col("value").isNull() | (F.trim("value", F.lit(" \t\r\n")) == "null")
     return records.groupBy("topic", "partition").agg(
-        F.count("*").alias("records"), F.count_if(F.col("value").isNull()).alias("tombstones")
+        F.count("*").alias("records"), F.count_if(none).alias("tombstones")
     )
 
 

@@ -10,8 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scdflow.functions import margin, money
-from scdflow.operators.skew import lookup_join
-from scdflow.schemas import CUSTOMER_LENGTHS, PRODUCT_LENGTHS
+from scdflow.schemas import CUSTOMER_LENGTHS, ORDER_LENGTHS, PRODUCT_LENGTHS
 
 
 _ERROR = "struct<error_type:string,error_message:string>"
@@ -35,13 +34,22 @@ def valid(checked: DataFrame) -> DataFrame:
 
 
 def rejected(checked: DataFrame) -> DataFrame:
-    """Failing rows with their first error, ready to be filed as failed messages."""
+    """Failing rows with their first error, ready to be filed as failed messages.
+
+    There is no exception whose stack could be kept; all errors of the row are, a line each.
+    """
     return (
         checked.filter(F.size("errors") > 0)
         .withColumns(
             {
                 "error_type": F.col("errors")[0]["error_type"],
                 "error_message": F.col("errors")[0]["error_message"],
+                "error_stacktrace": F.array_join(
+                    F.transform(
+                        "errors", lambda e: F.concat(e["error_type"], F.lit(": "), e["error_message"])
+                    ),
+                    "\n",
+                ),
             }
         )
         .drop("errors")
@@ -58,11 +66,20 @@ def _null_value(name: str) -> Column:
     return F.coalesce(F.is_variant_null(F.col(f"given.{name}")), F.lit(False))
 
 
+def _is_text(name: str) -> Column:
+    return F.coalesce(F.schema_of_variant(F.col(f"given.{name}")) == "STRING", F.lit(False))
+
+
 def email_checks() -> list[Column]:
     return [
         _when(_null_value("email"), "AttributeError", "email is null"),
         _when(
-            F.contains(F.upper("email"), F.lit("ERROR")),
+            F.col("given.email").isNotNull() & ~_null_value("email") & ~_is_text("email"),
+            "AttributeError",
+            "email is not text",
+        ),
+        _when(
+            _is_text("email") & F.contains(F.upper("email"), F.lit("ERROR")),
             "ValueError",
             F.concat(F.lit("email '"), "email", F.lit("' contains the forbidden word ERROR")),
         ),
@@ -142,6 +159,11 @@ def check_products(changes: DataFrame) -> DataFrame:
     return checked.withColumns({"price": price, "cost": cost})
 
 
+def check_orders(changes: DataFrame) -> DataFrame:
+    """An order's status goes into its facts, so their limit holds for it."""
+    return with_errors(changes, not_null_checks(["order_id"]) + length_checks(ORDER_LENGTHS))
+
+
 def check_order_items(changes: DataFrame) -> DataFrame:
     """Checks that do not need a lookup. Absent amounts become 0 in the result."""
     amounts = ["unit_price", "line_total"]
@@ -180,12 +202,6 @@ def _one_row_each(row: DataFrame, columns: Sequence[str], name: str) -> DataFram
     return row.unpivot([], list(columns), "column_name", name)
 
 
-def orphans(rows: DataFrame, parents: DataFrame, key: str, **sizes) -> DataFrame:
+def orphans(rows: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """Rows whose key has no parent. A null key refers to nothing and is no orphan."""
-    found = parents.select(key, F.lit(True).alias("has_parent"))
-    keyed = rows.filter(F.col(key).isNotNull())
-    return (
-        lookup_join(keyed, found, key, **sizes)
-        .filter(F.col("has_parent").isNull())
-        .drop("has_parent")
-    )
+    return rows.filter(F.col(key).isNotNull()).join(parents.select(key), key, "left_anti")

@@ -50,7 +50,7 @@ CUSTOMER_LENGTHS = {
     "country": 100,
 }
 PRODUCT_LENGTHS = {"product_name": 255, "category": 100, "brand": 100}
-ORDER_STATUS_LENGTH = 50
+ORDER_LENGTHS = {"status": 50}
 
 MONEY = "decimal(10,2)"
 PERCENT = "decimal(5,2)"
