@@ -3,16 +3,19 @@
 Plain Parquet has no MERGE, so a batch writes new folders and one commit record names
 what is live:
 
-    <table>/batch=<n>/               rows a batch appends (facts, closed versions)
+    <table>/batch=<n>/               rows a batch appends (facts, closed versions, addresses)
     <table>/batch=<n>/bucket=<b>/    state by key; a batch rewrites the buckets it touches
-    commit/batch=<n>/                JSON, written last: live batch of each bucket,
-                                     last source batch, highest offset per partition
-    staging/<name>/                  intermediate rows of the running batch
+    commit/batch=<n>/                JSON, written last: live batch of each bucket, last
+                                     batch of each source, highest offset per partition
+    staging/batch=<n>/<name>/        intermediate rows of the batch
 
 Until its commit record is there a batch has no effect, and running it again
-overwrites the same folders. There is one writer at a time.
+overwrites the same folders. A batch begins from the last commit there is, whoever wrote
+it, and its own commit fails if another came first; batches of two writers must not
+overlap in time.
 """
 
+import datetime
 import json
 from functools import reduce
 from operator import or_
@@ -32,12 +35,6 @@ STATE = {
         "total_amount double, deleted boolean, partition int, offset bigint",
     ),
     "failed_messages": ("failed_message_id", FAILED_MESSAGE),
-    "parked_items": (
-        "order_id",
-        "topic string, partition int, offset bigint, ts timestamp_ntz, value string, "
-        "order_item_id bigint, order_id bigint, product_id bigint, quantity int, "
-        "unit_price double, line_total double, reason string",
-    ),
 }
 APPENDED = {
     "dim_customer_closed": DIM_CUSTOMER,
@@ -45,19 +42,22 @@ APPENDED = {
     "fact_orders": "order_id bigint, order_item_id bigint, customer_id bigint, "
     "product_id bigint, customer_key bigint, product_key bigint, date_key int, quantity int, "
     "unit_price decimal(10,2), line_total decimal(10,2), order_status string",
+    "applied": "topic string, partition int, offset bigint",
 }
 
 
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark = spark
         self.root = root
         self.record = self._last_commit() or {
             "batch": 0,
-            "source_batch": None,
+            "sources": {},
             "buckets": buckets,
             "live": {name: {} for name in STATE},
             "offsets": {},
+            "counts": {},
         }
         self.buckets = self.record["buckets"]
 
@@ -68,10 +68,14 @@ class Warehouse:
             )
         except AnalysisException:
             return None
-        last = commits.orderBy(F.desc("batch")).limit(1).collect()
-        return json.loads(last[0]["value"]) if last else None
+        # The folders' names tell which one it is; only that one is read.
+        last = commits.agg(F.max("batch")).first()[0]
+        if last is None:
+            return None
+        return json.loads(commits.filter(F.col("batch") == last).first()["value"])
 
     def begin(self) -> "Batch":
+        self.record = self._last_commit() or self.record
         return Batch(self)
 
     def appended(self, name: str) -> DataFrame:
@@ -83,6 +87,19 @@ class Warehouse:
         )
         return rows.filter(F.col("batch") <= self.record["batch"]).drop("batch")
 
+    def facts(self, since: datetime.date | None = None) -> DataFrame:
+        """Order facts, all or from a day on; folders of earlier months are not read."""
+        if since is None or self.record["batch"] == 0:
+            return self.appended("fact_orders")
+        rows = self.spark.read.schema(
+            APPENDED["fact_orders"] + ", batch bigint, month int"
+        ).parquet(f"{self.root}/fact_orders")
+        return rows.filter(
+            (F.col("batch") <= self.record["batch"])
+            & (F.col("month") >= since.year * 100 + since.month)
+            & (F.col("date_key") >= int(since.strftime("%Y%m%d")))
+        ).drop("batch", "month")
+
     def state(self, name: str) -> DataFrame:
         """All committed rows of a state table."""
         return self._live(name, self.record["live"][name])
@@ -125,15 +142,17 @@ class Batch:
         self.live = {name: dict(live) for name, live in warehouse.record["live"].items()}
         self.written: set[str] = set()
 
-    def keep(self, name: str, rows: DataFrame) -> DataFrame:
+    def keep(self, name: str, rows: DataFrame, *folders: str) -> DataFrame:
         """Rows that are used more than once, written and read back.
 
-        They outlive a lost executor, and plans built on them start from a scan. The next
-        batch overwrites them.
+        They outlive a lost executor, and plans built on them start from a scan; `folders`
+        are columns by which the scan finds its part. They stay until their batch number
+        comes again; a finished batch's can be deleted.
         """
-        path = f"{self.warehouse.root}/staging/{name}"
-        rows.write.mode("overwrite").parquet(path)
-        return self.warehouse.spark.read.schema(rows.schema).parquet(path)
+        path = f"{self.warehouse.root}/staging/batch={self.number}/{name}"
+        rows.write.mode("overwrite").partitionBy(*folders).parquet(path)
+        read = self.warehouse.spark.read.schema(rows.schema).parquet(path)
+        return read.select(*rows.columns)
 
     def buckets(self, keys: DataFrame, key: str) -> set[int]:
         """The buckets some keys fall in: at most as many as there are buckets."""
@@ -149,29 +168,45 @@ class Batch:
         placed = (
             rows.select(*_names(ddl))
             .withColumn("bucket", self.warehouse.bucket_of(key))
-            .repartition("bucket")
+            .hint("rebalance", "bucket")
         )
         placed.write.mode("overwrite").partitionBy("bucket").parquet(self._folder(name))
         self.live[name].update({str(b): self.number for b in buckets})
 
     def append(self, name: str, rows: DataFrame) -> None:
-        rows.select(*_names(APPENDED[name])).write.mode("overwrite").parquet(self._folder(name))
+        writer = rows.select(*_names(APPENDED[name]))
+        if name == "fact_orders":
+            month = F.floor(F.col("date_key") / 100).cast("int")
+            writer = writer.withColumn("month", month).hint("rebalance", "month")
+            writer = writer.write.mode("overwrite").partitionBy("month")
+        else:
+            writer = writer.write.mode("overwrite")
+        writer.parquet(self._folder(name))
         self.written.add(name)
 
-    def commit(self, source_batch: int | None = None, offsets: dict | None = None) -> None:
+    def commit(
+        self,
+        source: str | None = None,
+        source_batch: int | None = None,
+        offsets: dict | None = None,
+        counts: dict | None = None,
+    ) -> None:
         """Make the batch count. Tables it did not append to get an empty folder, since a
         failed run may have left rows there."""
         spark, record = self.warehouse.spark, self.warehouse.record
         for name in APPENDED.keys() - self.written:
             self.append(name, spark.createDataFrame([], APPENDED[name]))
+        done = {} if source is None else {source: source_batch}
         new = record | {
             "batch": self.number,
             "live": self.live,
-            "source_batch": record["source_batch"] if source_batch is None else source_batch,
+            "sources": record["sources"] | done,
             "offsets": _highest(record["offsets"], offsets or {}),
+            "counts": counts or {},
         }
+        # Fails if the number is taken: then another writer's batch came first.
         spark.createDataFrame([(json.dumps(new),)], "value string").coalesce(1).write.mode(
-            "overwrite"
+            "errorifexists"
         ).text(f"{self.warehouse.root}/commit/batch={self.number}")
         self.warehouse.record = new
 

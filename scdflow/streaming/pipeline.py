@@ -5,13 +5,13 @@ and is committed once at the end. The same function serves a stream and a batch.
 """
 
 import datetime
+import json
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scdflow.functions import event_time
 from scdflow.operators import dlq, envelope, facts, scd, validate
-from scdflow.operators.skew import HOT_ROWS
 from scdflow.plans import metrics
 from scdflow.schemas import (
     ADDRESS,
@@ -19,6 +19,7 @@ from scdflow.schemas import (
     ORDER_ITEMS,
     ORDERS,
     PRODUCTS,
+    RECORD,
     TOPIC_PREFIX,
 )
 from scdflow.sources.warehouse import Batch, Warehouse
@@ -39,12 +40,16 @@ def start(
 ):
     """Run a stream of records into the warehouse.
 
-    The checkpoint tracks offsets; the batch id makes a batch that is run again harmless.
+    The checkpoint tracks offsets; its id and the batch's make a batch that is run again harmless.
     """
+
+    def apply(rows: DataFrame, batch_id: int) -> None:
+        # The stream's id lies in its checkpoint: batch numbers of another one start anew.
+        source = rows.sparkSession.read.text(f"{checkpoint}/metadata").first()[0]
+        ingest(warehouse, rows, batch_id, dates=dates, source=json.loads(source)["id"])
+
     writer = (
-        records.writeStream.foreachBatch(
-            lambda rows, batch_id: ingest(warehouse, rows, batch_id, dates=dates)
-        )
+        records.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)
         .queryName("scdflow")
     )
@@ -59,63 +64,88 @@ def ingest(
     source_batch: int,
     now: datetime.datetime | None = None,
     dates: DataFrame | None = None,
+    source: str = "batch",
 ) -> None:
-    """Apply one batch of records, unless this batch was committed before."""
-    done = warehouse.record["source_batch"]
+    """Apply one batch of records, unless this batch of this source was committed before.
+
+    Each record is applied, or filed as a failed message, or was applied already; the commit
+    has how many came (`received`) and how many were new (`applied`), by topic.
+    """
+    batch = warehouse.begin()
+    done = warehouse.record["sources"].get(source)
     if done is not None and source_batch <= done:
         return
     now = now or datetime.datetime.now()
-    batch = warehouse.begin()
-    new = facts.one_per_address(_unseen(warehouse, records))
-    normalized = batch.keep("normalized", envelope.normalize(new))
-    offsets, changes = _census(normalized)
+    received = batch.keep("records", records.select(*_names(RECORD)), "topic")
+    new = facts.one_per_address(_unseen(batch, received))
+    normalized = batch.keep("normalized", envelope.normalize(new), "topic")
+    batch.append("applied", normalized)
+    offsets, changes, applied = _census(normalized)
     rejected = _load(batch, normalized, changes, dates) + [_unread(normalized)]
     _file_failures(batch, rejected, now)
-    batch.commit(source_batch, offsets)
+    came = {r["topic"]: r["count"] for r in received.groupBy("topic").count().collect()}
+    batch.commit(source, source_batch, offsets, {"received": came, "applied": applied})
 
 
-_FAILURE = [*ADDRESS, "timestamp", "value", "error_type", "error_message"]
+_FAILURE = [*ADDRESS, "timestamp", "value", "error_type", "error_message", "error_stacktrace"]
 
 
 def _unread(normalized: DataFrame) -> DataFrame:
-    return normalized.filter(F.col("outcome") == "failed").select(*_FAILURE)
+    failed = normalized.filter(F.col("outcome") == "failed")
+    return failed.withColumn("error_stacktrace", _as_trace()).select(*_FAILURE)
 
 
-def _unseen(warehouse: Warehouse, records: DataFrame) -> DataFrame:
-    """Records beyond the highest offset applied. One row per topic partition is known."""
+def _as_trace() -> Column:
+    return F.concat("error_type", F.lit(": "), "error_message")
+
+
+def _unseen(batch: Batch, records: DataFrame) -> DataFrame:
+    """Records that were not applied before.
+
+    Those beyond the highest offset of their topic partition were not; one row for each is
+    known. Only what lies below it, late or delivered again, is held against all addresses
+    applied, in its range of offsets.
+    """
     known = [
         (topic, int(partition), offset)
-        for topic, parts in warehouse.record["offsets"].items()
+        for topic, parts in batch.warehouse.record["offsets"].items()
         for partition, offset in parts.items()
     ]
     if not known:
         return records
-    seen = warehouse.spark.createDataFrame(
+    seen = batch.warehouse.spark.createDataFrame(
         known, "topic string, partition int, applied bigint"
     )
-    return (
-        records.join(F.broadcast(seen), ["topic", "partition"], "left")
-        .filter(F.col("applied").isNull() | (F.col("offset") > F.col("applied")))
-        .drop("applied")
-    )
-
-
-def _census(normalized: DataFrame) -> tuple[dict, dict[str, int]]:
-    """Highest offset per topic partition, and changes per topic."""
+    marked = records.join(F.broadcast(seen), ["topic", "partition"], "left")
+    beyond = F.col("applied").isNull() | (F.col("offset") > F.col("applied"))
+    fresh = marked.filter(beyond).select(*records.columns)
+    late = batch.keep("late", marked.filter(~beyond).select(*records.columns))
+    first, last = late.agg(F.min("offset"), F.max("offset")).first()
+    if first is None:
+        return fresh
+    applied = batch.warehouse.appended("applied").filter(F.col("offset").between(first, last))
+    return fresh.unionByName(late.join(applied, ADDRESS, "left_anti").select(*records.columns))
+
+
+def _census(normalized: DataFrame) -> tuple[dict, dict[str, int], dict[str, int]]:
+    """Highest offset per topic partition; changes and records per topic."""
     offsets: dict[str, dict[str, int]] = {}
     changes: dict[str, int] = {}
+    records: dict[str, int] = {}
     rows = (
         normalized.groupBy("topic", "partition")
         .agg(
             F.max("offset").alias("offset"),
             F.count_if(F.col("outcome") == "change").alias("changes"),
+            F.count("*").alias("records"),
         )
         .collect()
     )
     for r in rows:
         offsets.setdefault(r["topic"], {})[str(r["partition"])] = r["offset"]
         changes[r["topic"]] = changes.get(r["topic"], 0) + r["changes"]
-    return offsets, changes
+        records[r["topic"]] = records.get(r["topic"], 0) + r["records"]
+    return offsets, changes, records
 
 
 def _load(
@@ -123,7 +153,6 @@ def _load(
     normalized: DataFrame,
     changes: dict[str, int],
     dates: DataFrame | None,
-    replay: bool = False,
     revalidate: bool = True,
 ) -> list[DataFrame]:
     """Apply the changes of all topics; returns what was rejected on the way."""
@@ -131,28 +160,29 @@ def _load(
     for name, topic in (("dim_customer", CUSTOMERS), ("dim_product", PRODUCTS)):
         if changes.get(topic):
             checked = _checked(batch, normalized, topic, revalidate)
-            # Each change brings in at most one stored row.
-            sizes = _sizes(2 * changes[topic])
-            _apply_dimension(batch, name, validate.valid(checked), replay, sizes)
+            _apply_dimension(batch, name, validate.valid(checked))
             rejected.append(_failures(validate.rejected(checked)))
     if changes.get(ORDERS):
-        _apply_orders(batch, envelope.changes_of(normalized, ORDERS))
-    items = _checked(batch, normalized, ORDER_ITEMS, revalidate)
-    undated = _load_facts(batch, validate.valid(items), dates, replay)
-    return rejected + [_failures(validate.rejected(items)), undated]
-
-
-def _sizes(rows: int) -> dict:
-    """No key of a small batch can be hot, so none is looked for."""
-    return {"hot_rows": None} if rows <= HOT_ROWS else {}
-
-
-def _checked(batch: Batch, normalized: DataFrame, topic: str, revalidate: bool) -> DataFrame:
+        checked = _checked(batch, normalized, ORDERS)
+        _apply_orders(batch, validate.valid(checked))
+        rejected.append(_failures(validate.rejected(checked)))
+    if changes.get(ORDER_ITEMS):
+        items = _checked(batch, normalized, ORDER_ITEMS)
+        rejected.append(_load_facts(batch, validate.valid(items), dates))
+        rejected.append(_failures(validate.rejected(items)))
+    return rejected
+
+
+def _checked(
+    batch: Batch, normalized: DataFrame, topic: str, revalidate: bool = True
+) -> DataFrame:
     changes = envelope.changes_of(normalized, topic)
     if topic == CUSTOMERS:
         checked = validate.check_customers(changes, emails=revalidate)
     elif topic == PRODUCTS:
         checked = validate.check_products(changes)
+    elif topic == ORDERS:
+        checked = validate.check_orders(changes)
     else:
         checked = validate.check_order_items(changes)
     return batch.keep("checked_" + topic.removeprefix(TOPIC_PREFIX), checked.drop("given"))
@@ -162,20 +192,30 @@ def _failures(rejected: DataFrame) -> DataFrame:
     return rejected.withColumnRenamed("ts", "timestamp").select(*_FAILURE)
 
 
-def _apply_dimension(
-    batch: Batch, name: str, changes: DataFrame, replay: bool, sizes: dict
-) -> None:
+def _apply_dimension(batch: Batch, name: str, changes: DataFrame) -> None:
+    """State keeps the last version of each key, current or ended; the others are closed."""
     key, dimension = DIMENSIONS[name]
     changes = changes.drop("value", "topic")
     touched = batch.buckets(changes, key)
-    current = batch.state(name, touched)
-    versions = batch.keep(
-        name, scd.apply_changes(current, changes, key, dimension, replay, **sizes)
+    state = batch.state(name, touched)
+    keys = changes.select(key).distinct()
+    ended = state.filter(~F.col("is_current"))
+    versions = scd.apply_changes(
+        state.filter("is_current"),
+        changes,
+        key,
+        dimension,
+        ended.select(key, F.col("valid_to").alias("ended_at")),
     )
-    others = current.join(changes.select(key).distinct(), key, "left_anti")
-    live = versions.filter("is_current").select(*others.columns)
-    batch.append(f"{name}_closed", versions.filter(~F.col("is_current")))
-    batch.replace(name, others.unionByName(live), touched)
+    known = batch.keep(name, versions.unionByName(ended.join(keys, key, "left_semi")))
+    turn = F.struct("is_current", "valid_to", "valid_from", "version", "open_partition", "open_offset")
+    last = known.groupBy(F.col(key).alias("of_key")).agg(F.max(turn).alias("last"))
+    placed = known.join(last, F.col(key) == F.col("of_key"))
+    is_last = turn == F.col("last")
+    batch.append(f"{name}_closed", placed.filter(~is_last))
+    others = state.join(keys, key, "left_anti")
+    newest = placed.filter(is_last).select(*others.columns)
+    batch.replace(name, others.unionByName(newest), touched)
 
 
 def _apply_orders(batch: Batch, changes: DataFrame) -> None:
@@ -203,21 +243,15 @@ def _apply_orders(batch: Batch, changes: DataFrame) -> None:
     batch.replace("orders", latest, touched)
 
 
-def _load_facts(
-    batch: Batch, items: DataFrame, dates: DataFrame | None, replay: bool
-) -> DataFrame:
-    """Load new and parked items; those that still miss a row they refer to are parked.
+def _load_facts(batch: Batch, items: DataFrame, dates: DataFrame | None) -> DataFrame:
+    """Load items; those that miss a row they refer to are returned, to be tried again.
 
     Only the buckets that hold a key in question are read from each state table.
     """
     spark = batch.warehouse.spark
     dates = metrics.dim_date(spark) if dates is None else dates
-    new = items.select(*ADDRESS, "ts", "value", *_ITEM)
-    old = batch.state("parked_items").drop("reason")
-    # A replay has its own failures to report, so parked items wait for the next batch.
-    waiting = (new if replay else new.unionByName(old)).withColumn("op", F.lit("c"))
-    waiting = batch.keep("items", waiting)
-    sizes = _sizes(waiting.count())
+    columns = [*ADDRESS, "ts", "value", *_ITEM]
+    waiting = batch.keep("items", items.select(*columns, F.lit("c").alias("op")))
     orders = (
         batch.state("orders", batch.buckets(waiting, "order_id"))
         .filter(~F.col("deleted"))
@@ -226,16 +260,10 @@ def _load_facts(
     )
     customers = batch.state("dim_customer", batch.buckets(orders, "customer_id"))
     products = batch.state("dim_product", batch.buckets(waiting, "product_id"))
-    resolved = batch.keep(
-        "resolved", facts.resolve(waiting, orders, customers, products, dates, **sizes)
-    )
+    resolved = batch.keep("resolved", facts.resolve(waiting, orders, customers, products, dates))
     batch.append("fact_orders", facts.facts(resolved))
-    missing = facts.unresolved(resolved)
-    if not replay:
-        batch.replace("parked_items", missing, set(range(batch.warehouse.buckets)))
-    undated = facts.out_of_range(resolved)
-    failed = undated.unionByName(missing) if replay else undated
-    return failed.select(
+    failed = facts.out_of_range(resolved).unionByName(facts.unresolved(resolved))
+    filed = failed.select(
         *ADDRESS,
         F.col("ts").alias("timestamp"),
         "value",
@@ -244,6 +272,7 @@ def _load_facts(
         .alias("error_type"),
         F.col("reason").alias("error_message"),
     )
+    return filed.withColumn("error_stacktrace", _as_trace()).select(*_FAILURE)
 
 
 def _file_failures(batch: Batch, rejected: list[DataFrame], now) -> None:
@@ -255,6 +284,10 @@ def _file_failures(batch: Batch, rejected: list[DataFrame], now) -> None:
     batch.replace("failed_messages", dlq.upsert(attempts, stored), touched)
 
 
+def _names(ddl: str) -> list[str]:
+    return [field.split()[0] for field in ddl.split(",")]
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     result = frames[0]
     for frame in frames[1:]:
@@ -281,34 +314,16 @@ def retry(
         "retried",
         dlq.retry_batch(failed, now, limit) if message is None else dlq.retry_one(failed, message),
     )
-    records = chosen.select(
-        "topic",
-        "partition",
-        F.col("message_offset").alias("offset"),
-        F.col("message_timestamp").alias("timestamp"),
-        F.col("message_value").alias("value"),
-    )
-    normalized = batch.keep("normalized", envelope.normalize(records))
-    _, changes = _census(normalized)
-    rejected = _load(batch, normalized, changes, dates, True, revalidate) + [_unread(normalized)]
-    errors = (
-        _union(rejected)
-        .withColumnRenamed("offset", "message_offset")
-        .select(dlq.message_id().alias("failed_message_id"), "error_message")
-    )
-    outcomes = batch.keep(
-        "outcomes",
-        chosen.select("failed_message_id")
-        .join(errors, "failed_message_id", "left")
-        .select(
-            "failed_message_id",
-            F.col("error_message").isNull().alias("succeeded"),
-            "error_message",
-        ),
-    )
+    normalized = batch.keep("normalized", envelope.normalize(dlq.records(chosen)), "topic")
+    _, changes, _ = _census(normalized)
+    rejected = _load(batch, normalized, changes, dates, revalidate) + [_unread(normalized)]
+    errors = _union(rejected).withColumnRenamed("offset", "message_offset")
+    outcomes = batch.keep("outcomes", dlq.outcomes(chosen, errors))
     give_up = message is None
     totals = dlq.run_totals(chosen, outcomes, give_up).collect()[0].asDict()
-    touched = batch.buckets(outcomes, "failed_message_id")
+    touched = batch.buckets(
+        outcomes.withColumn("failed_message_id", dlq.message_id()), "failed_message_id"
+    )
     stored = batch.state("failed_messages", touched)
     after = dlq.apply_outcomes(stored, outcomes, now, give_up)
     batch.replace("failed_messages", after, touched)
