@@ -71,21 +71,25 @@ def fold(entity: str, changes: str, order: str, opened: str) -> str:
     {p}_flagged as (
         select *, case when op = 'd' then 0
             when lag(rn) over (partition by {key}, life order by rn) is null or {differs}
-            then 1 else 0 end as opens
+            then 1 else 0 end as opens,
+            op = 'd' and coalesce(lag(op) over (partition by {key} order by rn), 'd') = 'd'
+                as is_stray
         from {p}_lives
     ),
     {p}_versioned as (
         select *, cast(sum(opens) over (partition by {key}, life order by rn
-            rows unbounded preceding) as integer) as version
+            rows unbounded preceding) as integer) as version,
+            max(case when opens = 1 or (op = 'd' and not is_stray) then ts end)
+                over (partition by {key} order by rn rows unbounded preceding) as clock
         from {p}_flagged
     ),
     {p}_grouped as (
         select {key}, life, version,
-            arg_min(ts, rn) filter (where op is distinct from 'd') as valid_from,
+            arg_min(clock, rn) filter (where op is distinct from 'd') as valid_from,
             arg_min({opened}, rn) filter (where op is distinct from 'd') as opened,
             min(rn) filter (where op is distinct from 'd') as open_rn,
             arg_max(struct_pack({attributes}), rn) filter (where op is distinct from 'd') as a,
-            max(ts) filter (where op = 'd') as deleted_at
+            max(clock) filter (where op = 'd') as deleted_at
         from {p}_versioned group by {key}, life, version
         having count(*) filter (where op is distinct from 'd') > 0
     ),
@@ -218,11 +222,17 @@ _CUSTOMER_TYPED = f"""
     customer_errors as (
         select *, list_filter([
             case when {_is_null('email')} then 'AttributeError' end,
-            case when upper(email) like '%ERROR%' then 'ValueError' end,
+            case when json_type(image, '$.email') not in ('VARCHAR', 'NULL')
+                then 'AttributeError' end,
+            case when upper(email) like '%ERROR%' and json_type(image, '$.email') = 'VARCHAR'
+                then 'ValueError' end,
             case when customer_id is null and op is distinct from 'd' then 'IntegrityError' end,
             {', '.join(f"case when length({c}) > {n} and op is distinct from 'd' then 'DataError' end"
                        for c, n in _CUSTOMER_LIMITS.items())}
-        ], lambda e: e is not null) as errors
+        ], lambda e: e is not null) as errors,
+            (customer_id is null and op is distinct from 'd') or
+            {' or '.join(f"(coalesce(length({c}), 0) > {n} and op is distinct from 'd')"
+                         for c, n in _CUSTOMER_LIMITS.items())} as is_bad_still
         from customer_changes
     )"""
 
@@ -401,6 +411,20 @@ _MESSAGE = (
     'topic, "partition", message_offset, error_type, error_message, retry_count, max_retries, '
     "last_retry_at, next_retry_at, status, failed_at, resolved_at"
 )
+_RETRIED = """
+    select topic, "partition", message_offset, error_type,
+        case when is_tried and not succeeded and last_try then 'still failing'
+            else error_message end as error_message,
+        case when is_tried and not succeeded and not last_try then retry_count + 1
+            else retry_count end as retry_count, max_retries,
+        case when is_tried and not succeeded then timestamp '2024-01-31 00:00:00'
+            else last_retry_at end as last_retry_at,
+        case when is_tried and not succeeded and not last_try
+            then timestamp '2024-01-31 00:15:00' else next_retry_at end as next_retry_at,
+        case when is_tried and succeeded then 'resolved'
+            when is_tried and last_try then 'dead_letter' else status end as status, failed_at,
+        case when is_tried and succeeded then timestamp '2024-01-31 00:00:00' end as resolved_at
+    from tried"""
 _FAILED_UPSERT = (
     f"with {_FAILED} select {_MESSAGE}, message_value, message_timestamp from failed"
 )
@@ -414,11 +438,89 @@ _CALENDAR = """
     from (select unnest(generate_series((select min({c}) from {t}), (select max({c}) from {t}),
         interval 1 day)) as d)"""
 
+_INTEGRITY = f"""with {CUSTOMER}, per_key as (
+        select customer_id, count(*) as n, count(*) filter (where is_current) as c
+        from dim_customer group by customer_id
+    )
+    select count(*) as keys, cast(sum(n) as bigint) as versions,
+        cast(sum(c) as bigint) as current_versions,
+        count(*) filter (where c > 1) as keys_with_two_current, cast(0 as bigint) as broken
+    from per_key"""
+
 _CHANGE_TYPE = (
     "case when version = 1 then 'create' when not is_current then 'update' else 'current' end"
 )
 
 
+_TURN = (
+    "case when \"timestamp\" >= timestamp '1998-01-01 00:00:00' "
+    "and topic <> 'ecommerce.public.order_items' then 0 else 1 end"
+)
+_SEQ = 'struct_pack(t := turn, p := "partition", o := "offset")'
+_PIPELINE_BATCHES = f"""
+    with raw as (select *, {_TURN} as turn from ({RECORDS})),
+    received as (
+        select topic, count(*) + count(*) filter (where turn = 0 and "offset" % 10 = 0) as received
+        from raw group by topic
+    ),
+    {_normalized('select topic, "partition", "offset", min(turn) as turn, '
+                 'min("timestamp") as "timestamp", arg_min(value, struct_pack(a := "timestamp", '
+                 'b := key, c := value)) as value from raw group by 1, 2, 3')
+     .replace("select topic, \"partition\", \"offset\", \"timestamp\", value,",
+              "select topic, \"partition\", \"offset\", \"timestamp\", turn, value,")
+     .replace("select topic, \"partition\", \"offset\", \"timestamp\" as ts, value, op,",
+              "select topic, \"partition\", \"offset\", turn, \"timestamp\" as ts, value, op,")},
+    {_CUSTOMER_TYPED.replace('from changes', "from changes where topic = 'ecommerce.public.customers'")
+     .replace('select "partition"', 'select turn, "partition"')},
+    {_PRODUCT_TYPED.replace('from changes', "from changes where topic = 'ecommerce.public.products'")
+     .replace('select "partition"', 'select turn, "partition"')},
+    live_customers as (
+        select customer_id from customer_errors where len(errors) = 0 and customer_id is not null
+        group by customer_id having arg_max(coalesce(op, 'r'), {_SEQ}) <> 'd'
+    ),
+    live_products as (
+        select product_id from product_errors where len(errors) = 0 and product_id is not null
+        group by product_id having arg_max(coalesce(op, 'r'), {_SEQ}) <> 'd'
+    ),
+    order_changes as (
+        select turn, "partition", "offset", op, image,
+            cast({_text('order_id')} as bigint) as order_id,
+            coalesce(op is distinct from 'd' and length({_text('status')}) > 50, false) as is_long
+        from changes where topic = 'ecommerce.public.orders'
+    ),
+    live_orders as (
+        select order_id, cast(json_extract_string(last_image, '$.customer_id') as bigint)
+            as customer_id
+        from (
+            select order_id, arg_max(op, {_SEQ}) as last_op, arg_max(image, {_SEQ}) as last_image
+            from order_changes where not is_long group by order_id
+        ) where last_op is distinct from 'd'
+    ),
+    loaded as (
+        select count(*) as loaded from changes c
+        join live_orders o on o.order_id = cast({_text('order_id')} as bigint)
+        join live_customers using (customer_id)
+        join live_products p on p.product_id = cast({_text('product_id')} as bigint)
+        where topic = 'ecommerce.public.order_items'
+    ),
+    filed as (
+        select topic, count(*) as filed from normalized where outcome = 'failed' group by topic
+        union all select 'ecommerce.public.customers', count(*) from customer_errors
+            where len(errors) > 0
+        union all select 'ecommerce.public.products', count(*) from product_errors
+            where len(errors) > 0
+        union all select 'ecommerce.public.orders', count(*) from order_changes where is_long
+        union all select 'ecommerce.public.order_items', count(*) - (select loaded from loaded)
+            from changes where topic = 'ecommerce.public.order_items'
+    )
+    select r.topic, received, (select count(*) from normalized n where n.topic = r.topic) as applied,
+        coalesce((select cast(sum(filed) as bigint) from filed f where f.topic = r.topic), 0)
+            as filed,
+        case when r.topic = 'ecommerce.public.order_items' then (select loaded from loaded)
+            else 0 end as loaded
+    from received r"""
+
+
 def statements() -> dict[str, str]:
     normalized_customers = _normalized(CUSTOMER_RECORDS)
     normalized_products = _normalized(PRODUCT_RECORDS)
@@ -441,7 +543,7 @@ def statements() -> dict[str, str]:
         "cdc_decode": f"with {normalized_customers} "
         'select "partition", "offset", "timestamp", kind from normalized',
         "cdc_tombstones": 'select topic, "partition", count(*) as records, '
-        "count(*) filter (where value is null) as tombstones "
+        "count(*) filter (where value is null or trim(value) = 'null') as tombstones "
         f'from ({RECORDS}) group by topic, "partition"',
         "cdc_normalize": f"with {normalized_customers} "
         'select "partition", "offset", wrapped, op, outcome, error_type, '
@@ -459,18 +561,53 @@ def statements() -> dict[str, str]:
         "validate_products": f"with {normalized_products}, {_PRODUCT_TYPED} "
         'select "partition", "offset", op, product_id, '
         "cast(len(errors) as integer) as n_errors, errors[1] as error_type from product_errors",
-        "validate_not_null": f"with {normalized_customers}, {_CUSTOMER_TYPED} "
+        "validate_not_null": f"with {normalized_all}, {_CUSTOMER_TYPED}, "
+        f"f as (with {_CURRENT_FACTS} select * from loaded) "
         + " union all ".join(
-            f"select '{c}' as column_name, count(*) filter (where {c} is null) as nulls "
-            "from customer_changes"
-            for c in ("customer_id", "email", "phone", "address")
+            [
+                f"select '{table}' as table_name, '{c}' as column_name, "
+                f"count(*) filter (where {_text(c)} is null) as nulls "
+                f"from changes where topic = 'ecommerce.public.{table}'"
+                for table, names in (
+                    ("customers", ["customer_id"]),
+                    ("products", ["product_id"]),
+                    ("order_items", ["order_item_id", "order_id", "product_id", "quantity"]),
+                )
+                for c in names
+            ]
+            + [
+                f"select 'fact_orders', '{shown}', count(*) filter (where {c} is null) from f"
+                for shown, c in {
+                    "customer_key": "found_customer",
+                    "product_key": "found_product",
+                    "date_key": "date_key",
+                    "quantity": "quantity",
+                    "unit_price": "unit_price",
+                    "line_total": "line_total",
+                }.items()
+            ]
         ),
-        "validate_lengths": f"with {normalized_customers}, {_CUSTOMER_TYPED} "
+        "validate_lengths": f"with {normalized_all} "
         + " union all ".join(
-            f"select '{c}' as column_name, count(*) filter (where length({c}) > {n}) as overlong "
-            "from customer_changes"
-            for c, n in _CUSTOMER_LIMITS.items()
+            f"select '{table}' as table_name, '{c}' as column_name, "
+            f"count(*) filter (where length({_text(c)}) > {n}) as overlong "
+            f"from changes where topic = 'ecommerce.public.{table}'"
+            for table, limits in (
+                ("customers", _CUSTOMER_LIMITS),
+                ("products", {"product_name": 255, "category": 100, "brand": 100}),
+                ("orders", {"status": 50}),
+            )
+            for c, n in limits.items()
         ),
+        "validate_orders": f"with {_normalized(ORDER_RECORDS)}, e as (select \"partition\", "
+        f"\"offset\", op, cast({_text('order_id')} as bigint) as order_id, op is distinct from 'd' "
+        f"and length({_text('status')}) > 50 as is_long from changes) "
+        "select \"partition\", \"offset\", op, order_id, cast(coalesce(is_long, false) as integer) "
+        "as n_errors, case when is_long then 'DataError' end as error_type from e",
+        "keyless_changes": f"with {normalized_customers} select op, count(*) as keyless from changes "
+        f"where {_text('customer_id')} is null group by op",
+        "dup_emails": f"{customer} select email, count(*) as n from dim_customer where is_current "
+        "group by email having count(*) > 1",
         "dup_keys": f'select topic, "partition", "offset", count(*) as n from ({ITEM_RECORDS}) '
         'group by topic, "partition", "offset" having count(*) > 1',
         "orphan_rows": f"with {CUSTOMER}, {_LATEST_ORDERS}, o as ({ORDERS}), i as ({ITEMS}) "
@@ -487,6 +624,8 @@ def statements() -> dict[str, str]:
         "from dim_customer",
         "dim_product_scd2": f"{product} select {_PRODUCT_COLUMNS}, opened as open_orderkey "
         "from dim_product",
+        "dim_product_scd2_sliced": f"{product} select {_PRODUCT_COLUMNS}, opened as open_orderkey "
+        "from dim_product",
         "bootstrap_dims": customers_as(
             f"select {_CUSTOMER_COLUMNS}, opened as open_offset from dim_customer",
             f"{CUSTOMER_SNAPSHOT} union all {CUSTOMER_CHANGES}",
@@ -509,12 +648,8 @@ def statements() -> dict[str, str]:
         "as margin_percentage from f",
         "scd2_two_batches": f"{customer} select {_CUSTOMER_COLUMNS}, opened as open_offset "
         "from dim_customer",
-        "scd2_integrity": f"{customer}, per_key as (select customer_id, count(*) as n, "
-        "count(*) filter (where is_current) as c from dim_customer group by customer_id) "
-        "select count(*) as keys, cast(sum(n) as bigint) as versions, "
-        "cast(sum(c) as bigint) as current_versions, "
-        "count(*) filter (where c > 1) as keys_with_two_current, cast(0 as bigint) as broken "
-        "from per_key",
+        "scd2_integrity": _INTEGRITY,
+        "scd2_integrity_sliced": _INTEGRITY,
         "dim_as_of": f"{customer} select {_CUSTOMER_COLUMNS} from dim_customer "
         "where valid_from <= timestamp '1998-06-15' and timestamp '1998-06-15' < valid_to",
         "latest_orders": f"with {_LATEST_ORDERS} select * from latest",
@@ -529,6 +664,8 @@ def statements() -> dict[str, str]:
         "or order_date >= timestamp '2031-01-01'",
         "fact_orders_asof": f"with {_ASOF_FACTS} select {_FACT}, customer_version, "
         "product_version from loaded",
+        "fact_orders_asof_sliced": f"with {_ASOF_FACTS} select {_FACT}, customer_version, "
+        "product_version from loaded",
         "fact_dedup": f"with {normalized_items}, it as (select "
         f"cast({_text('order_item_id')} as bigint) as order_item_id, "
         f"cast({_text('order_id')} as bigint) as order_id, "
@@ -540,12 +677,13 @@ def statements() -> dict[str, str]:
         f"{_DAY_KEY.format('o.order_date')} as date_key, quantity, unit_price, line_total, "
         "status as order_status from it join o on o.order_id = it.order_id",
         "failed_capture": f"with {normalized_customers}, {_CUSTOMER_TYPED}, bad as ("
-        'select topic, "partition", "offset", "timestamp" as ts, value, error_type '
+        'select topic, "partition", "offset", "timestamp" as ts, value, error_type, 1 as n_errors '
         "from normalized where outcome = 'failed' union all "
-        "select 'ecommerce.public.customers', \"partition\", \"offset\", ts, value, errors[1] "
-        "from customer_errors where len(errors) > 0) "
+        "select 'ecommerce.public.customers', \"partition\", \"offset\", ts, value, errors[1], "
+        "len(errors) from customer_errors where len(errors) > 0) "
         'select topic, "partition", "offset" as message_offset, ts as message_timestamp, '
-        "value as message_value, error_type, 0 as retry_count, 3 as max_retries, "
+        "value as message_value, error_type, cast(n_errors as integer) as n_errors, "
+        "0 as retry_count, 3 as max_retries, "
         "timestamp '2024-01-31 00:05:00' as next_retry_at, 'pending' as status, "
         "timestamp '2024-01-31 00:00:00' as failed_at from bad",
         "failed_upsert": _FAILED_UPSERT,
@@ -555,23 +693,39 @@ def statements() -> dict[str, str]:
         "retry_batch": f'with {_FAILED} select topic, "partition", message_offset, '
         "message_timestamp, message_value, retry_count, max_retries, failed_at from ready "
         'order by failed_at, topic, "partition", message_offset limit 100',
-        "retry_outcome": f'with {_FAILED} select topic, "partition", message_offset, error_type, '
-        "case when is_tried and not succeeded and last_try then 'still failing' "
-        "else error_message end as error_message, "
-        "case when is_tried and not succeeded and not last_try then retry_count + 1 "
-        "else retry_count end as retry_count, max_retries, "
-        "case when is_tried and not succeeded then timestamp '2024-01-31 00:00:00' "
-        "else last_retry_at end as last_retry_at, "
-        "case when is_tried and not succeeded and not last_try "
-        "then timestamp '2024-01-31 00:15:00' else next_retry_at end as next_retry_at, "
-        "case when is_tried and succeeded then 'resolved' "
-        "when is_tried and last_try then 'dead_letter' else status end as status, failed_at, "
-        "case when is_tried and succeeded then timestamp '2024-01-31 00:00:00' end as resolved_at "
-        "from tried",
+        "retry_outcome": f"with {_FAILED} {_RETRIED}",
         "retry_run_totals": f"with {_FAILED} select count(*) filter (where succeeded) as succeeded, "
         "count(*) filter (where not succeeded and not last_try) as failed, "
         "count(*) filter (where not succeeded and last_try) as dead_lettered "
         "from tried where is_tried",
+        "retry_one_outcome": f'with {_FAILED}, one as (select *, status = \'pending\' as is_one, '
+        "message_offset % 3 = 0 as won from failed) "
+        'select topic, "partition", message_offset, error_type, error_message, '
+        "case when is_one and not won then retry_count + 1 else retry_count end as retry_count, "
+        "max_retries, case when is_one and not won then timestamp '2024-01-31 00:00:00' "
+        "else last_retry_at end as last_retry_at, case when is_one and not won "
+        "then timestamp '2024-01-31 00:15:00' else next_retry_at end as next_retry_at, "
+        "case when is_one and won then 'resolved' else status end as status, failed_at, "
+        "case when is_one and won then timestamp '2024-01-31 00:00:00' end as resolved_at from one",
+        "retry_all": f'with {_FAILED}, chosen as (select topic, "partition", message_offset '
+        'from ready order by failed_at, topic, "partition", message_offset limit 100) '
+        f"{_RETRIED} semi join chosen using (topic, \"partition\", message_offset)",
+        "retry_replay": f"with {normalized_customers}, {_CUSTOMER_TYPED}, "
+        + fold(
+            "customer",
+            "select * from customer_errors where len(errors) > 0 and not is_bad_still",
+            _OFFSET,
+            _OFFSET,
+        )
+        + f" select {_CUSTOMER_COLUMNS}, opened as open_offset from dim_customer",
+        "retry_replay_outcomes": f"with {normalized_customers}, {_CUSTOMER_TYPED} "
+        "select true as revalidated, cast(0 as bigint) as succeeded, count(*) as failed "
+        "from customer_errors where len(errors) > 0 union all "
+        "select false, count(*) filter (where not is_bad_still), "
+        "count(*) filter (where is_bad_still) from customer_errors where len(errors) > 0",
+        "record_time": "select event_id, case when event_id % 7 <> 0 "
+        "then make_timestamp(epoch_us(ts) // 1000 * 1000) end as \"timestamp\" from events",
+        "pipeline_batches": _PIPELINE_BATCHES,
         "failed_summary": f"with {_FAILED} select topic, status, error_type, "
         "count(*) as message_count, min(failed_at) as first_failure, "
         "max(failed_at) as last_failure, round(cast(sum(retry_count) as double) / count(*), 6) "
@@ -583,6 +737,19 @@ def statements() -> dict[str, str]:
         "message_timestamp, error_type, error_message, retry_count, max_retries, status, "
         "failed_at, last_retry_at, next_retry_at from failed "
         'order by failed_at desc, topic, "partition", message_offset limit 20 offset 20',
+        "failed_page_after": f'with {_FAILED} select topic, "partition", message_offset, '
+        "message_timestamp, error_type, error_message, retry_count, max_retries, status, "
+        "failed_at, last_retry_at, next_retry_at from failed "
+        'order by failed_at desc, topic, "partition", message_offset limit 20 offset 20',
+        "failed_page_pending": f'with {_FAILED} select topic, "partition", message_offset, '
+        "message_timestamp, error_type, error_message, retry_count, max_retries, status, "
+        "failed_at, last_retry_at, next_retry_at from failed where status = 'pending' "
+        'order by failed_at desc, topic, "partition", message_offset limit 20',
+        "failed_detail_one": f'with {_FAILED} select topic, "partition", message_offset, '
+        "message_timestamp, message_key, message_value, error_type, error_message, "
+        "error_stacktrace, retry_count, max_retries, last_retry_at, next_retry_at, status, "
+        "resolution_notes, failed_at, resolved_at from failed "
+        'order by topic, "partition", message_offset limit 1',
         "failed_page_counts": f"with {_FAILED} select status, count(*) as total, "
         "cast(ceil(count(*) / 20.0) as bigint) as pages from failed group by status",
         "failed_detail": f'with {_FAILED} select topic, "partition", message_offset, '

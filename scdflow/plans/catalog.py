@@ -1,11 +1,12 @@
 """Every operator as a query over the tables of one folder."""
 
 import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scdflow.functions import date_key, margin, money
+from scdflow.functions import date_key, margin, money, naive
 from scdflow.operators import dlq, envelope, facts, scd, validate
 from scdflow.plans import history, metrics, monitoring, sync
 from scdflow.schemas import (
@@ -15,14 +16,21 @@ from scdflow.schemas import (
     CUSTOMER_TYPE1,
     CUSTOMERS,
     ORDER_ITEMS,
+    ORDER_LENGTHS,
     ORDERS,
+    PRODUCT_LENGTHS,
     PRODUCTS,
 )
+from scdflow.sources.records import with_epoch_time
+from scdflow.sources.shared import new_folder, staged
 from scdflow.sources.testdata import CUSTOMER_SNAPSHOT, Tables
+from scdflow.sources.warehouse import Warehouse
+from scdflow.streaming import pipeline
 
 AS_OF = datetime.datetime(2024, 1, 31)
 REVENUE_DAY = datetime.date(2001, 8, 1)
-SPLIT = datetime.datetime(1998, 1, 1)
+#: Offset of the first change of 1998.
+SPLIT = ((1998 - 1990) * 372 + 31 + 1) << 44
 POINT_IN_TIME = datetime.datetime(1998, 6, 15)
 
 _SPAN = ["version", "valid_from", "valid_to", "is_current"]
@@ -60,8 +68,6 @@ def _shown(rows: DataFrame, *columns) -> DataFrame:
     return chosen.withColumns(shown)
 
 
-def _point(literal: datetime.datetime):
-    return F.lit(literal).cast("timestamp_ntz")
 
 
 # Records and envelopes
@@ -144,19 +150,82 @@ def validate_products(t: Tables) -> DataFrame:
     )
 
 
+def _changes(t: Tables, records: DataFrame, topic: str) -> DataFrame:
+    return envelope.changes_of(envelope.normalize(records), topic)
+
+
+def _stacked(counts: dict[str, DataFrame]) -> DataFrame:
+    return _stacked_by("table_name", counts)
+
+
+def _stacked_by(column: str, counts: dict) -> DataFrame:
+    named = [rows.select(F.lit(name).alias(column), "*") for name, rows in counts.items()]
+    return reduce(DataFrame.unionByName, named)
+
+
 def validate_not_null(t: Tables) -> DataFrame:
-    changes = _checked_customers(t)
-    return validate.null_counts(changes, ["customer_id", "email", "phone", "address"])
+    """Nulls in the columns of the warehouse that must have none, facts as they are loaded."""
+    loaded = facts.facts(_resolved(t))
+    return _stacked(
+        {
+            "customers": validate.null_counts(
+                _changes(t, t.customer_records(), CUSTOMERS), ["customer_id"]
+            ),
+            "products": validate.null_counts(
+                _changes(t, t.product_records(), PRODUCTS), ["product_id"]
+            ),
+            "order_items": validate.null_counts(
+                _changes(t, t.item_records(), ORDER_ITEMS),
+                ["order_item_id", "order_id", "product_id", "quantity"],
+            ),
+            "fact_orders": validate.null_counts(
+                loaded,
+                ["customer_key", "product_key", "date_key", "quantity", "unit_price", "line_total"],
+            ),
+        }
+    )
 
 
 def validate_lengths(t: Tables) -> DataFrame:
-    return validate.overlong_counts(_checked_customers(t), CUSTOMER_LENGTHS)
+    return _stacked(
+        {
+            "customers": validate.overlong_counts(
+                _changes(t, t.customer_records(), CUSTOMERS), CUSTOMER_LENGTHS
+            ),
+            "products": validate.overlong_counts(
+                _changes(t, t.product_records(), PRODUCTS), PRODUCT_LENGTHS
+            ),
+            "orders": validate.overlong_counts(_changes(t, t.order_records(), ORDERS), ORDER_LENGTHS),
+        }
+    )
+
+
+def validate_orders(t: Tables) -> DataFrame:
+    checked = validate.check_orders(_changes(t, t.order_records(), ORDERS))
+    return checked.select(
+        "partition",
+        "offset",
+        "op",
+        "order_id",
+        F.size("errors").alias("n_errors"),
+        F.get("errors", F.lit(0))["error_type"].alias("error_type"),
+    )
+
+
+def keyless_changes(t: Tables) -> DataFrame:
+    """Customer changes that no fold can take, for they name no customer."""
+    return scd.keyless(_changes(t, t.customer_records(), CUSTOMERS), "customer_id")
 
 
 def dup_keys(t: Tables) -> DataFrame:
     return validate.duplicates(t.item_records(), ADDRESS)
 
 
+def dup_emails(t: Tables) -> DataFrame:
+    """Emails that more than one current customer has."""
+    return validate.duplicates(_customers(t).filter("is_current"), ["email"])
+
+
 def orphan_rows(t: Tables) -> DataFrame:
     customers = _customers(t).filter("is_current")
     orders, items = t.orders(), t.items()
@@ -170,7 +239,7 @@ def orphan_rows(t: Tables) -> DataFrame:
         "order_date": (dated, dates, "date_key", "order_id"),
     }
     counted = [
-        validate.orphans(rows, parents, key, **_sizes(t)).agg(
+        validate.orphans(rows, parents, key).agg(
             F.lit(name).alias("relation"),
             F.count("*").alias("orphans"),
             F.min(row_id).alias("first_id"),
@@ -188,11 +257,11 @@ def orphan_rows(t: Tables) -> DataFrame:
 
 
 def _customers(t: Tables) -> DataFrame:
-    return scd.customer_dimension(t.customer_changes(), **t.sizes("orders"))
+    return scd.customer_dimension(t.customer_changes())
 
 
 def _products(t: Tables) -> DataFrame:
-    return scd.product_dimension(t.product_changes(), **t.sizes("lineitem"))
+    return scd.product_dimension(t.product_changes())
 
 
 def dim_customer_scd2(t: Tables) -> DataFrame:
@@ -203,23 +272,38 @@ def dim_product_scd2(t: Tables) -> DataFrame:
     return _shown(_products(t), *_PRODUCT, F.col("open_seq.l_orderkey").alias("open_orderkey"))
 
 
+#: Small enough for many keys of the test tables to be hot, and to be cut into many slices.
+_SLICED = {"hot_rows": 20, "slice_rows": 500}
+
+
+def dim_product_scd2_sliced(t: Tables) -> DataFrame:
+    """As `dim_product_scd2`, by the way that hot keys take."""
+    versions = scd.product_dimension(t.product_changes(), **_SLICED)
+    return _shown(versions, *_PRODUCT, F.col("open_seq.l_orderkey").alias("open_orderkey"))
+
+
+def scd2_integrity_sliced(t: Tables) -> DataFrame:
+    versions = scd.customer_dimension(t.customer_changes(), hot_rows=5, slice_rows=100)
+    return scd.integrity(versions, "customer_id", hot_rows=3, slice_rows=50)
+
+
 def bootstrap_dims(t: Tables) -> DataFrame:
     snapshot = t.feed("customer", CUSTOMER_SNAPSHOT)
     changes = snapshot.unionByName(t.customer_changes())
-    versions = scd.customer_dimension(changes, **t.sizes("orders", 2))
+    versions = scd.customer_dimension(changes)
     return _shown(versions, *_CUSTOMER, F.col("open_seq.offset").alias("open_offset"))
 
 
 def dim_customer_from_cdc(t: Tables) -> DataFrame:
     """Records to versions: envelope, checks and fold in one plan."""
     changes = validate.valid(_checked_customers(t))
-    versions = scd.customer_dimension(changes, **t.sizes("orders"))
+    versions = scd.customer_dimension(changes)
     return _shown(versions, *_CUSTOMER, F.col("open_seq.offset").alias("open_offset"))
 
 
 def scd2_change_flags(t: Tables) -> DataFrame:
     changes = t.customer_changes().withColumn("seq", scd.by_address())
-    flags = scd.change_flags(changes, "customer_id", CUSTOMER_TRACKED, **t.sizes("orders"))
+    flags = scd.change_flags(changes, "customer_id", CUSTOMER_TRACKED)
     return flags.select("customer_id", F.col("seq.offset").alias("offset"), "op", "opens")
 
 
@@ -250,20 +334,19 @@ def product_margin(t: Tables) -> DataFrame:
 
 def scd2_two_batches(t: Tables) -> DataFrame:
     changes = t.customer_changes()
-    first = changes.filter(F.col("ts") < _point(SPLIT))
-    second = changes.filter(F.col("ts") >= _point(SPLIT))
-    sizes = t.sizes("orders")
-    stored = scd.as_stored(scd.customer_dimension(first, **sizes))
-    versions = scd.apply_to(stored, second, "customer_id", scd.customer_dimension, **sizes)
+    first = changes.filter(F.col("offset") < SPLIT)
+    second = changes.filter(F.col("offset") >= SPLIT)
+    stored = scd.as_stored(scd.customer_dimension(first))
+    versions = scd.apply_to(stored, second, "customer_id", scd.customer_dimension)
     return _shown(versions, *_CUSTOMER, "open_offset")
 
 
 def scd2_integrity(t: Tables) -> DataFrame:
-    return scd.integrity(_customers(t), "customer_id", **t.sizes("orders"))
+    return scd.integrity(_customers(t), "customer_id")
 
 
 def dim_as_of(t: Tables) -> DataFrame:
-    return _shown(scd.valid_at(_customers(t), _point(POINT_IN_TIME)), *_CUSTOMER)
+    return _shown(scd.valid_at(_customers(t), naive(POINT_IN_TIME)), *_CUSTOMER)
 
 
 # Facts
@@ -284,11 +367,6 @@ def date_keys(t: Tables) -> DataFrame:
     return t.orders().select("order_id", date_key("order_date").alias("date_key"))
 
 
-def _sizes(t: Tables) -> dict:
-    """Items and the versions they are merged with are at most two per line."""
-    return t.sizes("lineitem", 2)
-
-
 def _resolved(t: Tables, lookup: str = "current", dates: DataFrame | None = None) -> DataFrame:
     return facts.resolve(
         t.items(),
@@ -297,18 +375,20 @@ def _resolved(t: Tables, lookup: str = "current", dates: DataFrame | None = None
         _products(t),
         t.dates() if dates is None else dates,
         lookup,
-        **_sizes(t),
     )
 
 
-def _snapshot_facts(t: Tables) -> DataFrame:
+def _snapshot_facts(t: Tables, since: datetime.date | None = None) -> DataFrame:
+    """Facts of all orders, or of those from a day on; the bound reaches the scan of orders."""
+    orders = t.orders()
+    if since is not None:
+        orders = orders.filter(F.col("order_date") >= naive(datetime.datetime.combine(since, datetime.time())))
     resolved = facts.resolve(
         t.items(),
-        t.orders(),
+        orders,
         t.snapshot_customers(),
         t.snapshot_products(),
         t.dates(),
-        **_sizes(t),
     )
     return facts.facts(resolved)
 
@@ -341,13 +421,11 @@ def fact_date_rejects(t: Tables) -> DataFrame:
         t.snapshot_customers(),
         t.snapshot_products(),
         metrics.dim_date(t.spark),
-        **_sizes(t),
     )
     return facts.out_of_range(resolved).select("order_item_id", "date_key", "reason")
 
 
-def fact_orders_asof(t: Tables) -> DataFrame:
-    """Facts by the versions valid at the order date, named by version number."""
+def _facts_as_of(t: Tables, **sizes) -> DataFrame:
     resolved = facts.resolve(
         t.items(),
         t.orders(),
@@ -357,12 +435,22 @@ def fact_orders_asof(t: Tables) -> DataFrame:
         "asof",
         customer_columns=["customer_version"],
         product_columns=["product_version"],
-        **_sizes(t),
+        **sizes,
     )
     versions = ["customer_version", "product_version"]
     return _shown(facts.facts(resolved, *versions), *_FACT, *versions)
 
 
+def fact_orders_asof(t: Tables) -> DataFrame:
+    """Facts by the versions valid at the order date, named by version number."""
+    return _facts_as_of(t)
+
+
+def fact_orders_asof_sliced(t: Tables) -> DataFrame:
+    """As `fact_orders_asof`, by the way that hot keys take."""
+    return _facts_as_of(t, **_SLICED)
+
+
 def fact_dedup(t: Tables) -> DataFrame:
     """Item records to facts, with records delivered twice loaded once."""
     once = facts.one_per_address(t.item_records())
@@ -376,7 +464,6 @@ def fact_dedup(t: Tables) -> DataFrame:
         t.snapshot_customers(),
         t.snapshot_products(),
         t.dates(),
-        **_sizes(t),
     )
     return _shown(facts.facts(resolved), *_FACT)
 
@@ -389,9 +476,12 @@ def _failed(t: Tables) -> DataFrame:
 
 
 def _outcomes(failed: DataFrame) -> DataFrame:
-    ready = dlq.ready_for_retry(failed, AS_OF)
-    return ready.select(
-        "failed_message_id",
+    return _tried(dlq.ready_for_retry(failed, AS_OF))
+
+
+def _tried(chosen: DataFrame) -> DataFrame:
+    return chosen.select(
+        *dlq.MESSAGE,
         (F.col("message_offset") % 3 == 0).alias("succeeded"),
         F.lit("still failing").alias("error_message"),
     )
@@ -414,7 +504,8 @@ _MESSAGE = [
 
 
 def failed_capture(t: Tables) -> DataFrame:
-    normalized = envelope.normalize(t.customer_records())
+    # Written once: both kinds of failure come from it, and parsing is the work.
+    normalized = staged(envelope.normalize(t.customer_records()), "normalized")
     unread = normalized.filter(F.col("outcome") == "failed")
     invalid = validate.rejected(
         validate.check_customers(envelope.changes_of(normalized, CUSTOMERS))
@@ -429,6 +520,7 @@ def failed_capture(t: Tables) -> DataFrame:
         "message_timestamp",
         "message_value",
         "error_type",
+        F.size(F.split("error_stacktrace", "\n")).alias("n_errors"),
         "retry_count",
         "max_retries",
         "next_retry_at",
@@ -444,7 +536,7 @@ def failed_upsert(t: Tables) -> DataFrame:
 def failed_upsert_stored(t: Tables) -> DataFrame:
     """The same attempts in two batches, the first one stored."""
     tries = t.failed_attempts()
-    split = _point(datetime.datetime(2024, 1, 10))
+    split = naive(datetime.datetime(2024, 1, 10))
     stored = dlq.upsert(tries.filter(F.col("failed_at") < split))
     return dlq.upsert(tries.filter(F.col("failed_at") >= split), stored).select(
         *_MESSAGE, "message_value", "message_timestamp"
@@ -469,6 +561,96 @@ def retry_run_totals(t: Tables) -> DataFrame:
     return dlq.run_totals(dlq.ready_for_retry(failed, AS_OF), _outcomes(failed))
 
 
+def retry_one_outcome(t: Tables) -> DataFrame:
+    """Each pending message retried on request: due or not, and never given up."""
+    failed = _failed(t)
+    outcomes = _tried(failed.filter("status = 'pending'"))
+    return dlq.apply_outcomes(failed, outcomes, AS_OF, dead_letter=False).select(*_MESSAGE)
+
+
+def retry_all(t: Tables) -> DataFrame:
+    """One run of the retry job: the next hundred messages, their outcomes, and where they stand."""
+    failed = _failed(t)
+    chosen = dlq.retry_batch(failed, AS_OF)
+    touched = failed.join(chosen.select(*dlq.MESSAGE), dlq.MESSAGE, "left_semi")
+    return dlq.apply_outcomes(touched, _tried(chosen), AS_OF).select(*_MESSAGE)
+
+
+def _replayed(t: Tables) -> DataFrame:
+    """Customer records that were filed, as records again."""
+    normalized = envelope.normalize(t.customer_records())
+    invalid = validate.rejected(
+        validate.check_customers(envelope.changes_of(normalized, CUSTOMERS))
+    )
+    filed = dlq.upsert(dlq.attempts(invalid, AS_OF))
+    return envelope.normalize(dlq.records(filed))
+
+
+def retry_replay(t: Tables) -> DataFrame:
+    """Customer versions that a replay of rejected records makes without the check on emails."""
+    checked = validate.check_customers(envelope.changes_of(_replayed(t), CUSTOMERS), emails=False)
+    versions = scd.customer_dimension(validate.valid(checked))
+    return _shown(versions, *_CUSTOMER, F.col("open_seq.offset").alias("open_offset"))
+
+
+def retry_replay_outcomes(t: Tables) -> DataFrame:
+    """How a replay goes, with the check on emails and without it."""
+    changes = staged(envelope.changes_of(_replayed(t), CUSTOMERS), "replayed")
+    return _stacked_by(
+        "revalidated",
+        {
+            again: validate.check_customers(changes, emails=again).agg(
+                F.count_if(F.size("errors") == 0).alias("succeeded"),
+                F.count_if(F.size("errors") > 0).alias("failed"),
+            )
+            for again in (True, False)
+        },
+    )
+
+
+def record_time(t: Tables) -> DataFrame:
+    """Record times as epoch milliseconds, every seventh one unknown."""
+    sent = t.read("events").select(
+        "event_id",
+        F.when(
+            F.col("event_id") % 7 != 0,
+            F.unix_millis(F.col("ts").cast("timestamp_ntz").cast("timestamp")),
+        ).alias("timestamp"),
+    )
+    return with_epoch_time(sent)
+
+
+#: Records from this day on come first; all others come late.
+LATE = datetime.datetime(1998, 1, 1)
+
+
+def pipeline_batches(t: Tables) -> DataFrame:
+    """All records in two batches, and what became of them.
+
+    The first batch has the later part of all topics but the items; the second has the rest,
+    at lower offsets, all items, and a tenth of the first batch again.
+    """
+    items = F.col("topic") == ORDER_ITEMS
+    everything = t.records()
+    first = everything.filter((F.col("timestamp") >= naive(LATE)) & ~items)
+    rest = everything.filter((F.col("timestamp") < naive(LATE)) | items)
+    house = Warehouse(t.spark, new_folder(t.spark, "house"), buckets=8)
+    came: dict[str, int] = {}
+    batches = (first, rest.unionByName(first.filter(F.col("offset") % 10 == 0)))
+    for n, batch in enumerate(batches):
+        pipeline.ingest(house, batch, n, AS_OF, t.dates())
+        for topic, count in house.record["counts"]["received"].items():
+            came[topic] = came.get(topic, 0) + count
+    received = t.spark.createDataFrame(sorted(came.items()), "topic string, received bigint")
+    applied = house.appended("applied").groupBy("topic").agg(F.count("*").alias("applied"))
+    filed = house.state("failed_messages").groupBy("topic").agg(F.count("*").alias("filed"))
+    loaded = house.appended("fact_orders").agg(
+        F.lit(ORDER_ITEMS).alias("topic"), F.count("*").alias("loaded")
+    )
+    joined = received.join(applied, "topic", "left").join(filed, "topic", "left")
+    return joined.join(loaded, "topic", "left").fillna(0)
+
+
 def failed_summary(t: Tables) -> DataFrame:
     return monitoring.summary(_failed(t)).withColumn(
         "avg_retry_count", F.round("avg_retry_count", 6)
@@ -483,6 +665,24 @@ def failed_page(t: Tables) -> DataFrame:
     return monitoring.page_rows(_failed(t), 2, 20).drop("failed_message_id")
 
 
+def failed_page_after(t: Tables) -> DataFrame:
+    """The second page, found from the last row of the first."""
+    failed = _failed(t)
+    last = monitoring.page_after(failed, None, 20).collect()[-1:]
+    return monitoring.page_after(failed, last[0] if last else None, 20).drop("failed_message_id")
+
+
+def failed_page_pending(t: Tables) -> DataFrame:
+    return monitoring.page_rows(_failed(t), 1, 20, "pending").drop("failed_message_id")
+
+
+def failed_detail_one(t: Tables) -> DataFrame:
+    """The message with the first address, by its id."""
+    failed = _failed(t)
+    first = failed.orderBy(*dlq.MESSAGE).select("failed_message_id").first()
+    return monitoring.detail(failed, first[0] if first else 0).drop("failed_message_id")
+
+
 def failed_page_counts(t: Tables) -> DataFrame:
     return monitoring.page_counts(_failed(t), 20)
 
@@ -511,7 +711,9 @@ def total_lag(t: Tables) -> DataFrame:
 
 
 def daily_revenue(t: Tables) -> DataFrame:
-    return metrics.daily_revenue(_snapshot_facts(t), t.dates(), REVENUE_DAY, 30)
+    since = REVENUE_DAY - datetime.timedelta(days=30)
+    loaded = _snapshot_facts(t, since)
+    return metrics.daily_revenue(loaded, t.dates(), REVENUE_DAY, 30)
 
 
 def revenue_by_grain(t: Tables) -> DataFrame:
@@ -554,12 +756,12 @@ def product_sales_all_versions(t: Tables) -> DataFrame:
 
 
 def customer_history(t: Tables) -> DataFrame:
-    return _shown(history.customer_history(_customers(t), **t.sizes("orders")), *_CUSTOMER, "n_versions", "is_open")
+    return _shown(history.customer_history(_customers(t)), *_CUSTOMER, "n_versions", "is_open")
 
 
 def product_history(t: Tables) -> DataFrame:
     columns = [c for c in _PRODUCT if c != "description"]
-    return _shown(history.product_history(_products(t), **t.sizes("lineitem")), *columns, "n_versions", "is_open")
+    return _shown(history.product_history(_products(t)), *columns, "n_versions", "is_open")
 
 
 def current_customers(t: Tables) -> DataFrame:
@@ -584,8 +786,13 @@ def dim_date_extend(t: Tables) -> DataFrame:
 
 
 def cdc_stats(t: Tables) -> DataFrame:
+    """Each dimension is folded once; what its counts and the facts need of it is kept."""
     source = {"customers": t.read("customer"), "products": t.read("part"), "orders": t.orders()}
-    return sync.cdc_stats(source, _customers(t), _products(t), facts.facts(_resolved(t)))
+    customers = _customers(t).filter("is_current").select("customer_id", "customer_key", "is_current")
+    products = _products(t).filter("is_current").select("product_id", "product_key", "is_current")
+    customers, products = staged(customers, "customers"), staged(products, "products")
+    resolved = facts.resolve(t.items(), t.orders(), customers, products, t.dates())
+    return sync.cdc_stats(source, customers, products, facts.facts(resolved))
 
 
 def source_counts(t: Tables) -> DataFrame:
@@ -616,8 +823,12 @@ QUERIES = [
     validate_lengths,
     dup_keys,
     orphan_rows,
+    dup_emails,
+    validate_orders,
+    keyless_changes,
     dim_customer_scd2,
     dim_product_scd2,
+    dim_product_scd2_sliced,
     bootstrap_dims,
     dim_customer_from_cdc,
     scd2_change_flags,
@@ -626,6 +837,7 @@ QUERIES = [
     product_margin,
     scd2_two_batches,
     scd2_integrity,
+    scd2_integrity_sliced,
     dim_as_of,
     latest_orders,
     date_keys,
@@ -633,6 +845,7 @@ QUERIES = [
     fact_rejects,
     fact_date_rejects,
     fact_orders_asof,
+    fact_orders_asof_sliced,
     fact_dedup,
     failed_capture,
     failed_upsert,
@@ -641,9 +854,18 @@ QUERIES = [
     retry_batch,
     retry_outcome,
     retry_run_totals,
+    retry_one_outcome,
+    retry_all,
+    retry_replay,
+    retry_replay_outcomes,
+    record_time,
+    pipeline_batches,
     failed_summary,
     failed_status_counts,
     failed_page,
+    failed_page_after,
+    failed_page_pending,
+    failed_detail_one,
     failed_page_counts,
     failed_detail,
     partition_backlog,

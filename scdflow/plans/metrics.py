@@ -114,15 +114,16 @@ def _per_version(facts: DataFrame, dimension: DataFrame, key: str, business_id:
     """
     current = dimension.filter("is_current")
     if current_only:
-        return facts.drop(business_id).join(current.select(key, business_id, *columns), key)
+        # The surrogate key is a hash; with the business id no two versions can be taken for one.
+        return facts.join(current.select(key, business_id, *columns), [key, business_id])
     return facts.join(current.select(business_id, *columns), business_id)
 
 
 def product_sales(facts: DataFrame, products: DataFrame, current_only: bool = True) -> DataFrame:
     """Units and revenue per product."""
     names = ["product_name", "category", "brand", "price"]
-    key = "product_key" if current_only else "product_id"
-    sold = facts.groupBy(key).agg(
+    keys = ["product_key", "product_id"] if current_only else ["product_id"]
+    sold = facts.groupBy(*keys).agg(
         _units().alias("units_sold"), _total("line_total").alias("total_revenue")
     )
     return _per_version(sold, products, "product_key", "product_id", names, current_only).select(
@@ -152,11 +153,11 @@ def ranked(top: DataFrame, by: str, then: str) -> DataFrame:
 def customer_sales(facts: DataFrame, customers: DataFrame, current_only: bool = True) -> DataFrame:
     """Orders and revenue per customer."""
     names = ["first_name", "last_name", "email", "city", "country"]
-    key = "customer_key" if current_only else "customer_id"
-    per_order = facts.groupBy(key, "order_id").agg(
+    keys = ["customer_key", "customer_id"] if current_only else ["customer_id"]
+    per_order = facts.groupBy(*keys, "order_id").agg(
         F.sum(F.col("line_total").cast("decimal(18,2)")).alias("amount")
     )
-    bought = per_order.groupBy(key).agg(
+    bought = per_order.groupBy(*keys).agg(
         F.count("order_id").alias("total_orders"),
         F.coalesce(F.sum("amount").cast("double"), F.lit(0.0)).alias("lifetime_value"),
     )
@@ -189,8 +190,8 @@ def sales_by_category(
     Facts are first added up per product and order, so what is joined to the products
     and counted per category is no larger than that.
     """
-    key = "product_key" if current_only else "product_id"
-    sold = facts.groupBy(key, "order_id").agg(
+    keys = ["product_key", "product_id"] if current_only else ["product_id"]
+    sold = facts.groupBy(*keys, "order_id").agg(
         _units().alias("units"),
         F.sum(F.col("line_total").cast("decimal(18,2)")).alias("amount"),
         F.sum(F.col("unit_price").cast("decimal(18,2)")).alias("prices"),

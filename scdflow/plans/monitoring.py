@@ -2,9 +2,10 @@
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from scdflow.functions import naive
 from scdflow.operators.dlq import MESSAGE
 from scdflow.schemas import FAILED_MESSAGE, TOPIC_PREFIX, TOPICS, UNRESOLVED
 
@@ -38,25 +39,39 @@ def page(
     return rows, total, math.ceil(total / per_page)
 
 
-def page_rows(failed: DataFrame, page_number: int, per_page: int) -> DataFrame:
-    return (
-        failed.select(
-            "failed_message_id",
-            *MESSAGE,
-            "message_timestamp",
-            "error_type",
-            "error_message",
-            "retry_count",
-            "max_retries",
-            "status",
-            "failed_at",
-            "last_retry_at",
-            "next_retry_at",
-        )
-        .orderBy(F.desc("failed_at"), *MESSAGE)
-        .offset((page_number - 1) * per_page)
-        .limit(per_page)
-    )
+_LISTED = [
+    "failed_message_id",
+    *MESSAGE,
+    "message_timestamp",
+    "error_type",
+    "error_message",
+    "retry_count",
+    "max_retries",
+    "status",
+    "failed_at",
+    "last_retry_at",
+    "next_retry_at",
+]
+
+
+def page_rows(
+    failed: DataFrame, page_number: int, per_page: int, status: str | None = None
+) -> DataFrame:
+    """A page by its number. All pages before it are sorted too: see `page_after`."""
+    chosen = failed if status is None else failed.filter(F.col("status") == status)
+    listed = chosen.select(*_LISTED).orderBy(F.desc("failed_at"), *MESSAGE)
+    return listed.offset((page_number - 1) * per_page).limit(per_page)
+
+
+def page_after(failed: DataFrame, last: Row | None, per_page: int) -> DataFrame:
+    """The page after the one that ends with row `last`; however deep, it keeps one page."""
+    chosen = failed.select(*_LISTED)
+    if last is not None:
+        at = naive(last["failed_at"])
+        address = F.struct(*[F.lit(last[c]).cast(failed.schema[c].dataType).alias(c) for c in MESSAGE])
+        later = (F.col("failed_at") == at) & (F.struct(*MESSAGE) > address)
+        chosen = chosen.filter((F.col("failed_at") < at) | later)
+    return chosen.orderBy(F.desc("failed_at"), *MESSAGE).limit(per_page)
 
 
 def page_counts(failed: DataFrame, per_page: int = 20) -> DataFrame:
@@ -95,10 +110,15 @@ def partition_backlog_or_healthy(failed: DataFrame) -> DataFrame:
     healthy = failed.sparkSession.createDataFrame(
         [(t, 0, 0, None, None, 0) for t in TOPICS], backlog.schema
     )
-    # One row at most: is anything unresolved?
-    some = backlog.limit(1).select(F.lit(1).alias("any"))
-    none = healthy.withColumn("any", F.lit(1)).join(F.broadcast(some), "any", "left_anti")
-    return backlog.unionByName(none.drop("any"))
+    # A row for each topic partition, so all of them fit one task.
+    both = backlog.withColumn("real", F.lit(True)).unionByName(healthy.withColumn("real", F.lit(False)))
+    some = F.bool_or("real").over(Window.partitionBy())
+    return (
+        both.withColumn("some", some)
+        .filter(F.col("real") == F.col("some"))
+        .drop("real", "some")
+        .orderBy("topic", "partition")
+    )
 
 
 def total_lag(failed: DataFrame) -> DataFrame:

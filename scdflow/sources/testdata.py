@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scdflow.functions import open_end, surrogate_key
-from scdflow.operators.skew import HOT_ROWS, lookup_join
 from scdflow.plans.metrics import dim_date
 
 FIRST_DATE = datetime.date(1995, 1, 1)
@@ -24,17 +23,24 @@ def position(day: str, number: str) -> str:
     return f"({days} * 17592186044416 + {number})"
 
 
-_EMAIL = "'c' || cast(o_custkey as string) || '@example.com'"
+# A few customers share the email of the one before.
+_EMAIL = (
+    "'c' || cast(o_custkey - case when o_custkey % 50 = 0 then 1 else 0 end as string)"
+    " || '@example.com'"
+)
 _ADDRESS = "case when o_orderpriority = '5-LOW' then null else 'Street ' || o_orderpriority end"
 _CITY = "'City ' || cast(o_custkey % 100 as string)"
 _COUNTRY = "'Country ' || cast(o_custkey % 25 as string)"
 
+# Now and then an event's time lies well before that of the change ahead of it.
+_CHANGED_AT = "case when o_orderkey % 29 = 0 then o_orderdate - interval 400 days else o_orderdate end"
+
 # orders -> customer changes
 CUSTOMER_CHANGES = {
     "customer_id": "o_custkey",
     "partition": "cast(o_custkey % 4 as int)",
     "offset": position("o_orderdate", "o_orderkey"),
-    "ts": "o_orderdate",
+    "ts": _CHANGED_AT,
     "op": "case when o_orderkey % 37 = 0 then 'd' when o_orderkey % 41 = 0 then 'r' else 'u' end",
     "first_name": "'Customer'",
     "last_name": "o_orderstatus",
@@ -93,7 +99,7 @@ PRODUCT_ORDER = [
 # lineitem joined to part -> product changes, put in order by PRODUCT_ORDER
 PRODUCT_CHANGES = {
     "product_id": "l_partkey",
-    "ts": "l_shipdate",
+    "ts": "case when l_orderkey % 31 = 0 then l_shipdate - interval 60 days else l_shipdate end",
     "op": "case when l_returnflag = 'R' and l_linenumber = 7 and l_quantity = 50"
     " then 'd' else 'u' end",
     "product_name": "p_name",
@@ -129,10 +135,12 @@ ITEM_ROWS = {
 }
 
 _CUSTOMER_IMAGE = (
-    "'{\"customer_id\":' || cast(o_custkey as string)"
+    "'{\"customer_id\":' || case when o_orderkey % 127 = 0 then 'null'"
+    " else cast(o_custkey as string) end"
     " || ',\"first_name\":\"Customer\",\"last_name\":\"' || o_orderstatus || '\"'"
     " || case when o_orderkey % 53 = 0 then ''"
     " when o_orderkey % 59 = 0 then ',\"email\":null'"
+    " when o_orderkey % 107 = 0 then ',\"email\":5' when o_orderkey % 109 = 0 then ',\"email\":{\"error\":1}'"
     " when o_orderkey % 61 = 0 then ',\"email\":\"Error' || cast(o_custkey as string) || '\"'"
     f" else ',\"email\":\"' || {_EMAIL} || '\"' end"
     " || ',\"phone\":\"' || o_orderpriority"
@@ -203,7 +211,8 @@ ORDER_RECORDS = {
     " || '\",\"before\":null,\"after\":{\"order_id\":' || cast(o_orderkey as string)"
     " || ',\"customer_id\":' || cast(o_custkey as string)"
     " || ',\"order_date\":\"' || cast(cast(o_orderdate as date) as string)"
-    " || 'T00:00:00Z\",\"status\":\"' || o_orderstatus || '\",\"total_amount\":'"
+    " || 'T00:00:00Z\",\"status\":\"' || o_orderstatus"
+    " || case when o_orderkey % 113 = 0 then repeat('x', 60) else '' end || '\",\"total_amount\":'"
     " || cast(cast(o_totalprice as decimal(10,2)) as string) || '}}}'",
 }
 
@@ -254,40 +263,19 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
-        self.rows: dict[str, int] = {}
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def sizes(self, name: str, factor: int = 1) -> dict:
-        """How to look for hot keys in a feed of at most `factor` rows per row of a table.
-
-        There are none if all rows together are too few. The count comes from the footers.
-        """
-        if name not in self.rows:
-            self.rows[name] = self.read(name).count()
-        return {"hot_rows": None} if factor * self.rows[name] <= HOT_ROWS else {}
-
     def feed(self, table: DataFrame | str, feed: dict[str, str]) -> DataFrame:
         rows = self.read(table) if isinstance(table, str) else table
         shaped = rows.selectExpr(*columns(feed))
         zoned = [f.name for f in shaped.schema if f.dataType.typeName() == "timestamp"]
         return shaped.withColumns({c: F.col(c).cast("timestamp_ntz") for c in zoned})
 
-    def spread(self, name: str) -> DataFrame:
-        """A table in at least as many partitions as there are cores.
-
-        Only a table of few row groups is shuffled for it: a large one has more
-        partitions than that and stays as it is.
-        """
-        rows, cores = self.read(name), self.spark.sparkContext.defaultParallelism
-        return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
     def lines_with_part(self) -> DataFrame:
         part = self.read("part").withColumnRenamed("p_partkey", "l_partkey")
-        return lookup_join(
-            self.spread("lineitem"), part, "l_partkey", **self.sizes("lineitem")
-        )
+        return self.read("lineitem").join(part, "l_partkey", "left")
 
     def customer_changes(self) -> DataFrame:
         return self.feed("orders", CUSTOMER_CHANGES)
@@ -297,16 +285,16 @@ class Tables:
         return self.feed(lines, PRODUCT_CHANGES | {"seq": "seq"})
 
     def customer_records(self) -> DataFrame:
-        return self.feed(self.spread("orders"), CUSTOMER_RECORDS)
+        return self.feed("orders", CUSTOMER_RECORDS)
 
     def product_records(self) -> DataFrame:
         return self.feed(self.lines_with_part(), PRODUCT_RECORDS)
 
     def order_records(self) -> DataFrame:
-        return self.feed(self.spread("orders"), ORDER_RECORDS)
+        return self.feed("orders", ORDER_RECORDS)
 
     def item_records(self) -> DataFrame:
-        return self.feed(self.spread("lineitem"), ITEM_RECORDS)
+        return self.feed("lineitem", ITEM_RECORDS)
 
     def records(self) -> DataFrame:
         return (

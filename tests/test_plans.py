@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from scdflow.functions import event_time
 from scdflow.operators import facts, skew
-from scdflow.plans import catalog, history, metrics, sync
+from scdflow.plans import catalog, history, metrics, monitoring, sync
 from scdflow.sources import records
 from scdflow.sources.testdata import Tables
 
@@ -17,21 +17,61 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_lookup_join_with_hot_and_null_keys(spark):
-    rows = spark.range(3000).select(
-        F.col("id").alias("n"),
-        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 50).alias("k"),
+def test_spark_splits_the_hot_key_of_a_lookup(spark):
+    rows = spark.range(300_000).select(
+        F.col("id").alias("item"), F.when(F.col("id") % 3 < 2, 7).otherwise(F.col("id")).alias("order_id"),
+        F.repeat(F.sha2(F.col("id").cast("string"), 256), 2).alias("pad"),
     )
-    table = spark.range(0, 40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    want = {
-        r["n"]: (r["k"], None if r["k"] is None or r["k"] >= 40 else r["k"] * 2) for r in rows.collect()
+    orders = spark.range(300_000).select(F.col("id").alias("order_id"), F.lit(1).alias("found"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
     }
-    for hot_rows in (None, 10_000, 100, 10):
-        got = skew.lookup_join(rows, table, "k", hot_rows).collect()
-        assert len(got) == 3000
-        assert {r["n"]: (r["k"], r["v"]) for r in got} == want
-    hot = skew.hot_keys(rows, "k", 100)
-    assert hot.has_null and [r["k"] for r in hot.keys.collect()] == [7]
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        joined = rows.join(orders, "order_id", "left")
+        joined.write.format("noop").mode("overwrite").save()
+        joined.collect()
+        assert "skew=true" in plan_of(joined)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_many_hot_keys_stay_a_table(spark):
+    rows = spark.range(6000).select((F.col("id") % 600).alias("k"), F.col("id").alias("o"))
+
+    def build(part, sliced):
+        return part.select("k", "o", F.lit(sliced).alias("hot"))
+
+    got = skew.by_key(rows, "k", "o", build, hot_rows=9, slice_rows=100)
+    assert got.count() == 6000 and got.filter("NOT hot").count() == 0
+
+
+def test_daily_revenue_bounds_the_scan_of_orders(spark):
+    plan = plan_of(catalog.daily_revenue(Tables(spark, FOLDER)))
+    assert "GreaterThanOrEqual(o_orderdate," in plan
+
+
+def test_statistics_fold_each_dimension_once(spark):
+    plan = plan_of(catalog.cdc_stats(Tables(spark, FOLDER)))
+    assert "Window" not in plan
+
+
+def test_backlog_is_added_up_once(spark):
+    plan = plan_of(catalog.partition_backlog_or_healthy(Tables(spark, FOLDER)))
+    assert plan.count("Scan parquet") == 1
+
+
+def test_healthy_default(spark):
+    none = catalog._failed(Tables(spark, FOLDER)).limit(0)
+    rows = monitoring.partition_backlog_or_healthy(none).collect()
+    assert [(r["partition"], r["failed_count"], r["lag"]) for r in rows] == [(0, 0, 0)] * 4
 
 
 def test_default_date_dimension(spark):
