@@ -41,7 +41,7 @@ MU = 30.0
 #: Added to a word's count.
 ADDED = 0.1
 #: Bytes of text of a block, and of text that gives a shard its n-grams.
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 5_000_000
 #: Hashes that a task gathers before it hands them on.
 GATHERED = 2_000_000
 #: Hashes of the ends of a text, which no word has: words are hashed as they are, these mixed.
@@ -130,17 +130,21 @@ def _dealt(keys: np.ndarray, shards: int, tokens: int, documents: int) -> Iterat
         tokens = documents = 0
 
 
-def _by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(shard, places of its keys in order); a shard that has none comes with none."""
-    shard = (words.mixed(keys) % np.uint64(shards)).astype(np.int32)
-    order = np.argsort(shard, kind="stable")
-    ends = np.cumsum(np.bincount(shard, minlength=shards))[:-1]
-    yield from enumerate(np.split(order, ends))
+def _by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, slice]]:
+    """(shard, its part of the sorted keys); a shard that has none comes with none.
+
+    Shards are ranges of the hash, so keys of a shard are close to each other.
+    """
+    shard = (keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
+    ends = np.searchsorted(shard, np.arange(shards + 1))
+    for i in range(shards):
+        yield i, slice(ends[i], ends[i + 1])
 
 
 def _packed(keys: np.ndarray) -> bytes:
     """Sorted keys as differences, byte by byte of all: their high bytes are zero and shrink."""
-    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    steps = keys.astype("<u8")
+    steps[1:] -= keys[:-1]
     return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
@@ -241,7 +245,10 @@ def _reading(
         for n in range(2, order + 1):
             # The context ends at the token before; that of a text's first one is its begin.
             context = np.append(0, by_length[n - 2][:-1])
-            context[place < n - 1] = documents if n == 2 else 0
+            if n == 2:
+                context[place == 0] = documents
+            else:
+                context[place < n - 2] = 0
             seen = np.where(place < n - 2, 0, by_length[n - 1])
             chance = np.where(
                 context > 0, (seen + mu * chance) / (context + mu), chance
