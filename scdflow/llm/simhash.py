@@ -108,7 +108,7 @@ def representatives(
     Of rows with that doc_id in the component, any one stays.
     """
     key = [F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_hash")]
-    rows = docs.select(*key, F.col("own_id").alias("doc_id"), "text")
+    rows = docs.select(*key, "doc_id", "text")
     prints = staged(fingerprints(rows, shingle).drop("text"), "prints")
     judged = prints.join(groups(prints, bits, shard), "fingerprint").filter(
         F.col("doc_id").eqNullSafe(F.col("component_id"))
