@@ -60,7 +60,7 @@ PACKINGS = (
 #: The selector of a value of over 60 bits: the word holds its index in the escapes.
 ESCAPE = 15
 #: Words whose ids a Python worker remembers, and bytes of text that it encodes at once.
-REMEMBERED, SLICE = 1_500_000, 12_000_000
+REMEMBERED, SLICE = 800_000, 6_000_000
 #: Bytes of text of a part.
 PART_BYTES = 32_000_000
 
