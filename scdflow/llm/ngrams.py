@@ -36,8 +36,8 @@ from .storage import staged
 
 #: Words of the longest n-gram.
 ORDER = 2
-#: What a context's shorter one counts as, in words seen.
-MU = 30.0
+#: What a context's shorter one counts as, in words seen; the best of several on held-out texts.
+MU = 1000.0
 #: Added to a word's count.
 ADDED = 0.1
 #: Bytes of text of a block, and of text that gives a shard its n-grams.

@@ -36,7 +36,7 @@ BITS = 2
 #: Fingerprints from which the top of the tree is built.
 SAMPLE = 8192
 #: Fingerprints of a shard, as far as the sample tells.
-SHARD = 250_000
+SHARD = 50_000
 #: Fingerprints of a leaf, all of whose pairs are compared.
 LEAF = 512
 #: Sample a leaf of the top keeps at least, and candidates for a vantage point.
