@@ -32,7 +32,7 @@ K, TUPLE, SKETCHES = 8, 2, 32
 #: K-mers that are hashed at once.
 PIECE = 8192
 #: Bytes of text of a part.
-PART_BYTES = 32_000_000
+PART_BYTES = 8_000_000
 
 _random = np.random.Generator(np.random.PCG64(42))
 _XOR = _random.integers(0, 1 << 63, SKETCHES, dtype=np.uint64)[:, None]
@@ -145,7 +145,7 @@ def with_next(docs: DataFrame, handle: Callable, schema: T.StructType | str) ->
     dealt = (
         rows.withColumn("doc_id", F.col("doc_id").cast("long"))
         .unionByName(again)
-        .repartition(max(1, len(begins)), "part")
+        .repartitionById(max(1, parts), F.col("part").cast("int"))
         .sortWithinPartitions("part", "after", "key", "text")
     )
 
