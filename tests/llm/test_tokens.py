@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from scdflow.llm import tokens
-from scdflow.llm.storage import new_folder
+from scdflow.sources.shared import new_folder
 
 from .helpers import documents, table
 

@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from scdflow.llm import warc
-from scdflow.llm.storage import new_folder
+from scdflow.sources.shared import new_folder
 
 from .helpers import table
 
