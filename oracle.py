@@ -540,6 +540,9 @@ def statements() -> dict[str, str]:
         "cdc_source": 'select topic, "partition", count(*) as records, '
         'min("offset") as first_offset, max("offset") as last_offset '
         f'from ({RECORDS}) group by topic, "partition"',
+        "cdc_stream": 'select topic, "partition", count(*) as records, '
+        'min("offset") as first_offset, max("offset") as last_offset '
+        f'from ({RECORDS}) group by topic, "partition"',
         "cdc_decode": f"with {normalized_customers} "
         'select "partition", "offset", "timestamp", kind from normalized',
         "cdc_tombstones": 'select topic, "partition", count(*) as records, '

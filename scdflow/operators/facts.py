@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scdflow.functions import date_key, money
+from scdflow.functions import date_key, money, surrogate_key
 from scdflow.operators.scd import as_of
 from scdflow.schemas import ADDRESS, MONEY
 from scdflow.sources.shared import staged
@@ -120,6 +120,7 @@ def facts(resolved: DataFrame, *more: str) -> DataFrame:
     for found in ("order_found", "customer_key", "product_key", "known_date"):
         loaded = loaded.filter(F.col(found).isNotNull())
     return loaded.select(
+        surrogate_key("order_fact", "order_item_id", "order_id").alias("order_fact_key"),
         "order_id",
         "order_item_id",
         "customer_id",

@@ -20,8 +20,9 @@ from scdflow.schemas import (
     ORDERS,
     PRODUCT_LENGTHS,
     PRODUCTS,
+    RECORD,
 )
-from scdflow.sources.records import with_epoch_time
+from scdflow.sources.records import file_stream, with_epoch_time
 from scdflow.sources.shared import new_folder, staged
 from scdflow.sources.testdata import CUSTOMER_SNAPSHOT, Tables
 from scdflow.sources.warehouse import Warehouse
@@ -73,16 +74,31 @@ def _shown(rows: DataFrame, *columns) -> DataFrame:
 # Records and envelopes
 
 
+def _by_partition(records: DataFrame) -> DataFrame:
+    return records.groupBy("topic", "partition").agg(
+        F.count("*").alias("records"),
+        F.min("offset").alias("first_offset"),
+        F.max("offset").alias("last_offset"),
+    )
+
+
 def cdc_source(t: Tables) -> DataFrame:
-    return (
-        t.records()
-        .groupBy("topic", "partition")
-        .agg(
-            F.count("*").alias("records"),
-            F.min("offset").alias("first_offset"),
-            F.max("offset").alias("last_offset"),
-        )
+    return _by_partition(t.records())
+
+
+def cdc_stream(t: Tables) -> DataFrame:
+    """All records through a stream of files, a few at a time, and counted as in `cdc_source`."""
+    spark, folder = t.spark, new_folder(t.spark, "stream")
+    t.records().write.parquet(f"{folder}/in")
+    query = (
+        file_stream(spark, f"{folder}/in", max_files=4)
+        .writeStream.format("parquet")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{folder}/out")
     )
+    query.awaitTermination()
+    return _by_partition(spark.read.schema(RECORD).parquet(f"{folder}/out"))
 
 
 def cdc_decode(t: Tables) -> DataFrame:
@@ -812,6 +828,7 @@ def order_totals(t: Tables) -> DataFrame:
 
 QUERIES = [
     cdc_source,
+    cdc_stream,
     cdc_decode,
     cdc_tombstones,
     cdc_normalize,

@@ -39,9 +39,10 @@ STATE = {
 APPENDED = {
     "dim_customer_closed": DIM_CUSTOMER,
     "dim_product_closed": DIM_PRODUCT,
-    "fact_orders": "order_id bigint, order_item_id bigint, customer_id bigint, "
+    "fact_orders": "order_fact_key bigint, order_id bigint, order_item_id bigint, customer_id bigint, "
     "product_id bigint, customer_key bigint, product_key bigint, date_key int, quantity int, "
-    "unit_price decimal(10,2), line_total decimal(10,2), order_status string",
+    "unit_price decimal(10,2), line_total decimal(10,2), order_status string, "
+    "created_at timestamp_ntz",
     "applied": "topic string, partition int, offset bigint",
 }
 

@@ -10,7 +10,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scdflow.functions import event_time
+from scdflow.functions import event_time, naive
 from scdflow.operators import dlq, envelope, facts, scd, validate
 from scdflow.plans import metrics
 from scdflow.schemas import (
@@ -81,7 +81,7 @@ def ingest(
     normalized = batch.keep("normalized", envelope.normalize(new), "topic")
     batch.append("applied", normalized)
     offsets, changes, applied = _census(normalized)
-    rejected = _load(batch, normalized, changes, dates) + [_unread(normalized)]
+    rejected = _load(batch, normalized, changes, dates, now) + [_unread(normalized)]
     _file_failures(batch, rejected, now)
     came = {r["topic"]: r["count"] for r in received.groupBy("topic").count().collect()}
     batch.commit(source, source_batch, offsets, {"received": came, "applied": applied})
@@ -153,6 +153,7 @@ def _load(
     normalized: DataFrame,
     changes: dict[str, int],
     dates: DataFrame | None,
+    now: datetime.datetime,
     revalidate: bool = True,
 ) -> list[DataFrame]:
     """Apply the changes of all topics; returns what was rejected on the way."""
@@ -168,7 +169,7 @@ def _load(
         rejected.append(_failures(validate.rejected(checked)))
     if changes.get(ORDER_ITEMS):
         items = _checked(batch, normalized, ORDER_ITEMS)
-        rejected.append(_load_facts(batch, validate.valid(items), dates))
+        rejected.append(_load_facts(batch, validate.valid(items), dates, now))
         rejected.append(_failures(validate.rejected(items)))
     return rejected
 
@@ -243,7 +244,9 @@ def _apply_orders(batch: Batch, changes: DataFrame) -> None:
     batch.replace("orders", latest, touched)
 
 
-def _load_facts(batch: Batch, items: DataFrame, dates: DataFrame | None) -> DataFrame:
+def _load_facts(
+    batch: Batch, items: DataFrame, dates: DataFrame | None, now: datetime.datetime
+) -> DataFrame:
     """Load items; those that miss a row they refer to are returned, to be tried again.
 
     Only the buckets that hold a key in question are read from each state table.
@@ -261,7 +264,7 @@ def _load_facts(batch: Batch, items: DataFrame, dates: DataFrame | None) -> Data
     customers = batch.state("dim_customer", batch.buckets(orders, "customer_id"))
     products = batch.state("dim_product", batch.buckets(waiting, "product_id"))
     resolved = batch.keep("resolved", facts.resolve(waiting, orders, customers, products, dates))
-    batch.append("fact_orders", facts.facts(resolved))
+    batch.append("fact_orders", facts.facts(resolved).withColumn("created_at", naive(now)))
     failed = facts.out_of_range(resolved).unionByName(facts.unresolved(resolved))
     filed = failed.select(
         *ADDRESS,
@@ -316,7 +319,7 @@ def retry(
     )
     normalized = batch.keep("normalized", envelope.normalize(dlq.records(chosen)), "topic")
     _, changes, _ = _census(normalized)
-    rejected = _load(batch, normalized, changes, dates, revalidate) + [_unread(normalized)]
+    rejected = _load(batch, normalized, changes, dates, now, revalidate) + [_unread(normalized)]
     errors = _union(rejected).withColumnRenamed("offset", "message_offset")
     outcomes = batch.keep("outcomes", dlq.outcomes(chosen, errors))
     give_up = message is None
