@@ -36,11 +36,12 @@ def by_key(
     Rows with a null key are not passed on; no ordered operator has a use for them.
     """
     df = df.filter(F.col(key).isNotNull())
-    counts = df.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > hot_rows)
-    hot = staged(counts, "hot_keys")
-    rows = hot.agg(F.sum("n")).first()[0]
-    if rows is None:
+    counts = df.groupBy(key).agg(F.count("*").alias("n"))
+    most = counts.agg(F.max("n")).first()[0]
+    if most is None or most <= hot_rows:
         return build(df, False)
+    hot = staged(counts.filter(F.col("n") > hot_rows), "hot_keys")
+    rows = hot.agg(F.sum("n")).first()[0]
     keys = hot.select(key)
     cold = build(df.join(keys, key, "left_anti"), False)
     slices = max(2, math.ceil(rows / slice_rows))
