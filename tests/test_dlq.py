@@ -125,9 +125,9 @@ def test_ready(spark):
 def test_outcomes(spark, count, succeeded, give_up, expected):
     failed = stored(spark, message(retry_count=count), message(offset=2))
     outcomes = spark.createDataFrame(
-        [(1, succeeded, None if succeeded else "new")],
-        "failed_message_id bigint, succeeded boolean, error_message string",
+        [(succeeded, None if succeeded else "new")], "succeeded boolean, error_message string"
     )
+    outcomes = failed.filter("message_offset = 1").select(*dlq.MESSAGE).join(outcomes)
     columns = ["status", "retry_count", "last_retry_at", "next_retry_at", "resolved_at", "error_message"]
     after = dlq.apply_outcomes(failed, outcomes, NOW, give_up)
     (row,) = after.filter("message_offset = 1").select(*columns).collect()
