@@ -114,13 +114,15 @@ def _item_blocks(benchmark: DataFrame, block_words: int) -> Iterator[tuple[list,
     )
     ids: list[int] = []
     hashes: list[np.ndarray] = []
+    held = 0
     for row in rows.toLocalIterator():
         parts = words.split(pa.array([row["text"]], pa.string()))
         if len(parts.codes) < MIN_WORDS:
             continue
-        if ids and sum(map(len, hashes)) + len(parts.codes) > block_words:
+        if ids and held + len(parts.codes) > block_words:
             yield ids, hashes
-            ids, hashes = [], []
+            ids, hashes, held = [], [], 0
+        held += len(parts.codes)
         ids.append(row["item_id"])
         hashes.append(parts.hashes()[parts.codes])
     if ids:
