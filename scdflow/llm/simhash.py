@@ -34,10 +34,12 @@ from .components import components
 
 SHINGLE = 3
 BITS = 2
-#: Fingerprints from which the top of the tree is built.
-SAMPLE = 8192
+#: Fingerprints from which the top of the tree is built, at least and at most: 16 MB.
+LEAST_TOP, SAMPLE = 8192, 1 << 21
 #: Fingerprints of a shard, as far as the sample tells.
 SHARD = 50_000
+#: Fingerprints that a task deals at once.
+GATHERED = 1_000_000
 #: Fingerprints of a leaf, all of whose pairs are compared.
 LEAF = 512
 #: Sample a leaf of the top keeps at least, and candidates for a vantage point.
@@ -132,24 +134,21 @@ def representatives(
 
 def links(prints: DataFrame, bits: int = BITS, shard: int = SHARD) -> DataFrame:
     """Links `(a, b)` that connect what differs in `bits` or fewer; `prints` are distinct."""
+    context = prints.sparkSession.sparkContext
     count = prints.count()
     shards = max(1, math.ceil(count / shard))
-    sample = []
-    if shards > 1:
-        # Hash order is as good as random, and the same in every run.
-        share = min(1.0, 2 * SAMPLE / count)
-        some = prints.filter(F.pmod(F.xxhash64("fingerprint"), F.lit(1 << 30)) < share * (1 << 30))
-        sample = [r[0] for r in some.orderBy(F.xxhash64("fingerprint")).limit(SAMPLE).collect()]
-    top = _top(np.array(sample, np.int64).view(np.uint64), shards, bits)
+    top = context.broadcast(_top(_sampled(prints, count, shards), shards, bits))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = batch["fingerprint"].to_numpy(zero_copy_only=False).view(np.uint64)
-            for leaf, part in _dealt(top, values, bits):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(part), leaf)), pa.array(part.view(np.int64))],
-                    ["shard", "fingerprint"],
-                )
+        for values in _gathered(batches):
+            leaves = list(_dealt(top.value, values, bits))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat([n for n, _ in leaves], [len(p) for _, p in leaves])),
+                    pa.array(np.concatenate([p for _, p in leaves]).view(np.int64)),
+                ],
+                ["shard", "fingerprint"],
+            )
 
     def search(table: pa.Table) -> pa.Table:
         values = table["fingerprint"].to_numpy().view(np.uint64)
@@ -160,6 +159,29 @@ def links(prints: DataFrame, bits: int = BITS, shard: int = SHARD) -> DataFrame:
     return dealt.groupBy("shard").applyInArrow(search, "a long, b long")
 
 
+def _sampled(prints: DataFrame, count: int, shards: int) -> np.ndarray:
+    """Enough fingerprints for a tree of so many shards, `SAMPLE` at most or about."""
+    if shards == 1:
+        return np.empty(0, np.uint64)
+    share = min(1.0, min(SAMPLE, max(LEAST_TOP, 2 * LEAST_SAMPLE * shards)) / count)
+    # The hash is as good as random, and the same in every run.
+    chosen = F.pmod(F.xxhash64("fingerprint"), F.lit(1 << 30)) < share * (1 << 30)
+    rows = prints.select("fingerprint").filter(chosen).toArrow()
+    return np.sort(rows["fingerprint"].to_numpy().view(np.uint64))
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+    """Fingerprints, many at once: dealing them costs a step for each shard."""
+    held: list[np.ndarray] = []
+    for batch in batches:
+        held.append(batch["fingerprint"].to_numpy(zero_copy_only=False).view(np.uint64))
+        if sum(map(len, held)) >= GATHERED:
+            yield np.concatenate(held)
+            held = []
+    if sum(map(len, held)):
+        yield np.concatenate(held)
+
+
 def _distance(a: np.ndarray, b) -> np.ndarray:
     return np.bitwise_count(a ^ b).astype(np.int16)
 
