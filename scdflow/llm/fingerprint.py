@@ -119,7 +119,7 @@ def with_next(docs: DataFrame, handle: Callable, schema: T.StructType | str) ->
     doc_id follow each other in the order of their texts; a null doc_id comes first.
     """
     narrow = docs.select("doc_id", "text")
-    parts = max(1, -(-words.text_bytes(narrow) // PART_BYTES))
+    parts = words.parts_of(narrow, PART_BYTES)
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     ids = staged(narrow.select(key.alias("key")), "ids")
     shares = [(i + 1) / parts for i in range(parts - 1)]
@@ -146,7 +146,7 @@ def with_next(docs: DataFrame, handle: Callable, schema: T.StructType | str) ->
     dealt = (
         rows.withColumn("doc_id", F.col("doc_id").cast("long"))
         .unionByName(again)
-        .repartitionById(max(1, parts), F.col("part").cast("int"))
+        .repartitionById(parts, F.col("part").cast("int"))
         .sortWithinPartitions("part", "after", "key", "text")
     )
 

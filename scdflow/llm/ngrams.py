@@ -24,6 +24,7 @@ token. A null text has no words, only the end. Rows of the same doc_id are score
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -31,8 +32,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scdflow.sources.shared import staged
-
 from . import words
 
 #: Words of the longest n-gram.
@@ -41,8 +40,11 @@ ORDER = 2
 MU = 1000.0
 #: Added to a word's count.
 ADDED = 0.1
-#: Bytes of text of a block, and of text that gives a shard its n-grams.
+#: Bytes of text of a block, and of text that gives a shard its n-grams, at least.
 BLOCK_BYTES = 5_000_000
+#: Bytes of text behind a message from a block to a shard, at least: over 100 GB of text, blocks
+#: grow with its square root, since there are blocks times shards messages.
+MESSAGE_BYTES = 250
 #: Hashes that a task gathers before it hands them on.
 GATHERED = 2_000_000
 #: Hashes of the ends of a text, which no word has: words are hashed as they are, these mixed.
@@ -53,7 +55,7 @@ def score(docs: DataFrame, training: Column, order: int = ORDER, mu: float = MU)
     """`doc_id`, `held_out` (not in training), `n_tokens`, `n_known`, `train_tokens`, the log10
     probabilities `base_score` (of the root alone) and `score` of each document."""
     size = words.text_bytes(docs)
-    blocks = max(1, -(-size // BLOCK_BYTES))
+    blocks = max(1, -(-size // max(BLOCK_BYTES, math.isqrt(MESSAGE_BYTES * size))))
     texts = docs.select(
         "doc_id",
         "text",
@@ -67,13 +69,13 @@ def score(docs: DataFrame, training: Column, order: int = ORDER, mu: float = MU)
     told = asked.groupBy("shard").applyInArrow(
         _answering, "block int, shard int, counts binary"
     )
-    answers = staged(told, "answers")
+    # One job: the documents are dealt to their blocks once, for the questions and the reading.
     read = _reading(blocks, order, mu, vocabulary, tokens, documents)
     schema = (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double"
     )
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(read, schema)
+    return texts.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(read, schema)
 
 
 def _vocabulary(texts: DataFrame, shards: int) -> tuple[int, int, int]:

@@ -253,7 +253,7 @@ def write(
     `Encoder`.
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    parts = max(1, -(-words.text_bytes(narrow) // PART_BYTES))
+    parts = words.parts_of(narrow, PART_BYTES)
     ordered = narrow.repartitionByRange(parts, "doc_id").sortWithinPartitions(
         "doc_id", "text"
     )

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 
 #: Bytes of text that a task holds at once; a longer text comes alone.
 SLICE_BYTES = 4_000_000
+#: Parts of a table that is dealt by ranges.
+MOST_PARTS = 20_000
 
 
 def sliced(
@@ -97,3 +99,9 @@ def text_bytes(docs: DataFrame, column: str = "text") -> int:
     """Bytes of all texts."""
     total = docs.selectExpr(f"sum(octet_length(`{column}`)) AS total").first()["total"]
     return int(total or 0)
+
+
+def parts_of(docs: DataFrame, part_bytes: int, column: str = "text") -> int:
+    """Parts of about `part_bytes` of text; a task reads a part row by row, so any size will do
+    and there need not be more than `MOST_PARTS`."""
+    return max(1, min(MOST_PARTS, -(-text_bytes(docs, column) // part_bytes)))
