@@ -311,8 +311,8 @@ def bootstrap_dims(t: Tables) -> DataFrame:
 
 
 def dim_customer_from_cdc(t: Tables) -> DataFrame:
-    """Records to versions: envelope, checks and fold in one plan."""
-    changes = validate.valid(_checked_customers(t))
+    """Records to versions: envelope and checks, written once, and the fold."""
+    changes = staged(validate.valid(_checked_customers(t)).drop("value", "given"), "changes")
     versions = scd.customer_dimension(changes)
     return _shown(versions, *_CUSTOMER, F.col("open_seq.offset").alias("open_offset"))
 
@@ -441,12 +441,28 @@ def fact_date_rejects(t: Tables) -> DataFrame:
     return facts.out_of_range(resolved).select("order_item_id", "date_key", "reason")
 
 
+def _kept(versions: DataFrame, entity: str) -> DataFrame:
+    """What a lookup needs of the versions, folded once."""
+    return staged(
+        versions.select(
+            f"{entity}_id",
+            f"{entity}_key",
+            F.col("version").alias(f"{entity}_version"),
+            "valid_from",
+            "valid_to",
+            "is_current",
+            "open_seq",
+        ),
+        f"{entity}_versions",
+    )
+
+
 def _facts_as_of(t: Tables, **sizes) -> DataFrame:
     resolved = facts.resolve(
         t.items(),
         t.orders(),
-        _customers(t).withColumnRenamed("version", "customer_version"),
-        _products(t).withColumnRenamed("version", "product_version"),
+        _kept(_customers(t), "customer"),
+        _kept(_products(t), "product"),
         t.dates(),
         "asof",
         customer_columns=["customer_version"],
