@@ -77,7 +77,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licenses.labelled(_table(spark, sf_dir, "documents"))
+    found = licenses.labelled(_table(spark, sf_dir, "documents"), demands=licenses.DEMANDS)
     joined = {c: F.array_join(c, ",") for c in ("base_labels", "labels")}
     return found.withColumns(joined)
 
