@@ -18,7 +18,14 @@ message, sorted and packed. A shard adds up the counts of all messages and answe
 own order. A block then has the part of the automaton that its texts can reach, and reads them.
 A hot n-gram is one entry a message, however often it stands in the texts.
 
-N-grams are told apart by 64-bit hashes. Words as in `words.split`, then one end, which is a
+Without a given `mu`, each length has its own, estimated from all training counts. Leave out a
+token at a time: a context seen C times gives words it has not had mu / (C - 1 + mu), and the
+tokens that were such words are those whose n-gram was seen once. The mu of a length makes the two
+add up to the same over all contexts seen twice or more. Shards count contexts by powers of two
+of C, and n-grams seen once, and send both with each answer; so every block has all of them.
+
+N-grams are told apart by 64-bit hashes, of which the lowest bits give way to the length and to
+whether an end is last. Words as in `words.split`, then one end, which is a
 token. A null text has no words, only the end. Rows of the same doc_id are scored each by itself.
 """
 
@@ -45,13 +52,15 @@ BLOCK_BYTES = 5_000_000
 #: Bytes of text behind a message from a block to a shard, at least: over 100 GB of text, blocks
 #: grow with its square root, since there are blocks times shards messages.
 MESSAGE_BYTES = 250
+#: Powers of two by which contexts are counted, and bounds of an estimated mu.
+BINS, LEAST_MU, MOST_MU = 48, 1e-3, 1e6
 #: Hashes that a task gathers before it hands them on.
 GATHERED = 2_000_000
 #: Hashes of the ends of a text, which no word has: words are hashed as they are, these mixed.
 END, BEGIN = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949C7DEFABE1EB3)
 
 
-def score(docs: DataFrame, training: Column, order: int = ORDER, mu: float = MU) -> DataFrame:
+def score(docs: DataFrame, training: Column, order: int = ORDER, mu: float | None = MU) -> DataFrame:
     """`doc_id`, `held_out` (not in training), `n_tokens`, `n_known`, `train_tokens`, the log10
     probabilities `base_score` (of the root alone) and `score` of each document."""
     size = words.text_bytes(docs)
@@ -67,7 +76,7 @@ def score(docs: DataFrame, training: Column, order: int = ORDER, mu: float = MU)
         _asking(blocks, order), "shard int, block int, keys binary, counts binary"
     )
     told = asked.groupBy("shard").applyInArrow(
-        _answering, "block int, shard int, counts binary"
+        _answering(order, mu is None), "block int, shard int, counts binary, seen binary"
     )
     # One job: the documents are dealt to their blocks once, for the questions and the reading.
     read = _reading(blocks, order, mu, vocabulary, tokens, documents)
@@ -148,12 +157,23 @@ def _packed(keys: np.ndarray) -> bytes:
     """Sorted keys as differences, byte by byte of all: their high bytes are zero and shrink."""
     steps = keys.astype("<u8")
     steps[1:] -= keys[:-1]
-    return steps.view(np.uint8).reshape(-1, 8).T.tobytes()
+    return _squeezed(steps)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    steps = np.frombuffer(data, np.uint8).reshape(8, -1).T
-    return np.cumsum(np.ascontiguousarray(steps).view("<u8").reshape(-1), dtype=np.uint64)
+    return np.cumsum(_numbers(data), dtype=np.uint64)
+
+
+def _squeezed(numbers: np.ndarray) -> bytes:
+    """Integers byte by byte of all, compressed, behind how many there are."""
+    planes = numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+    return len(numbers).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    size = 8 * int.from_bytes(data[:8], "little")
+    planes = pa.decompress(data[8:], size, "zstd", asbytes=True) if size else b""
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1)
 
 
 def _tokens(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,7 +199,15 @@ def _grams(tokens: np.ndarray, starts: np.ndarray, order: int) -> list[np.ndarra
         gram = words.chained(shorter + np.uint64(n), tokens)
         gram[place < n - 2] = 0
         grams.append(gram)
-    return grams
+    ended, bits = tokens == END, np.uint64(_tag_bits(order))
+    return [
+        np.where(g == 0, g, g >> bits << bits | (np.uint64(2 * i) + ended.astype(np.uint64)))
+        for i, g in enumerate(grams)
+    ]
+
+
+def _tag_bits(order: int) -> int:
+    return (2 * order - 1).bit_length()
 
 
 def _asking(shards: int, order: int) -> Callable:
@@ -189,9 +217,8 @@ def _asking(shards: int, order: int) -> Callable:
         every = np.concatenate(_grams(tokens, starts, order))
         keys, at = np.unique(every, return_inverse=True)
         counts = np.bincount(at, weights=np.tile(taught, order), minlength=len(keys))
-        counts = counts.astype(np.uint32)
         rows = [
-            (shard, _packed(keys[part]), counts[part].tobytes())
+            (shard, _packed(keys[part]), _squeezed(counts[part]))
             for shard, part in _by_shard(keys, shards)
         ]
         shard, packed, counted = zip(*rows, strict=True)
@@ -208,26 +235,67 @@ def _asking(shards: int, order: int) -> Callable:
     return ask
 
 
-def _answering(table: pa.Table) -> pa.Table:
-    keys = [_unpacked(x) for x in table["keys"].to_pylist()]
-    counts = [np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()]
-    every, at = np.unique(np.concatenate(keys), return_inverse=True)
-    # A float is exact up to 2 to the 53rd.
-    total = np.bincount(at, weights=np.concatenate(counts), minlength=len(every))
-    ends = np.cumsum([len(k) for k in keys])[:-1]
-    answers = [a.astype("<u8") for a in np.split(total[at], ends)]
-    planes = [a.view(np.uint8).reshape(-1, 8).T.tobytes() for a in answers]
-    return pa.table(
-        {
-            "block": table["block"],
-            "shard": table["shard"],
-            "counts": pa.array(planes, pa.binary()),
-        }
-    )
+def _answering(order: int, estimate: bool) -> Callable:
+    def answer(table: pa.Table) -> pa.Table:
+        keys = [_unpacked(x) for x in table["keys"].to_pylist()]
+        counts = [_numbers(x) for x in table["counts"].to_pylist()]
+        every, at = np.unique(np.concatenate(keys), return_inverse=True)
+        # A float is exact up to 2 to the 53rd.
+        total = np.bincount(at, weights=np.concatenate(counts), minlength=len(every))
+        ends = np.cumsum([len(k) for k in keys])[:-1]
+        seen = _squeezed(_seen(every, total, order).reshape(-1)) if estimate else b""
+        return pa.table(
+            {
+                "block": table["block"],
+                "shard": table["shard"],
+                "counts": pa.array([_squeezed(a) for a in np.split(total[at], ends)], pa.binary()),
+                "seen": pa.array([seen] * len(keys), pa.binary()),
+            }
+        )
+
+    return answer
+
+
+def _seen(keys: np.ndarray, total: np.ndarray, order: int) -> np.ndarray:
+    """A row a length: contexts by powers of two of their counts, the sums of these, n-grams seen once."""
+    tags = (keys & np.uint64((1 << _tag_bits(order)) - 1)).astype(np.int64)
+    found = np.zeros((order, 2 * BINS + 1))
+    for i in range(order):
+        own = (tags >> 1 == i) & (keys != 0) & (total > 0)
+        # Nothing follows an end.
+        counts = total[own & (tags & 1 == 0)]
+        power = np.frexp(counts)[1] - 1
+        found[i, :BINS] = np.bincount(power, minlength=BINS)
+        found[i, BINS:-1] = np.bincount(power, weights=counts, minlength=BINS)
+        found[i, -1] = np.count_nonzero(total[own] == 1)
+    return found
+
+
+def estimated(seen: np.ndarray, documents: int) -> list[float]:
+    """mu of each length from 2, from the sum of all `_seen`; a text's begin is a context too."""
+    found = []
+    for n in range(2, len(seen) + 1):
+        contexts, sums = seen[n - 2, :BINS].copy(), seen[n - 2, BINS:-1].copy()
+        if n == 2 and documents:
+            contexts[documents.bit_length() - 1] += 1
+            sums[documents.bit_length() - 1] += documents
+        new = seen[n - 1, -1] - contexts[0]
+        often = np.flatnonzero(contexts[1:]) + 1
+        sums = sums[often]
+        rest = sums / contexts[often] - 1
+        low, high = math.log(LEAST_MU), math.log(MOST_MU)
+        for _ in range(60):
+            mu = math.exp((low + high) / 2)
+            if (sums * mu / (rest + mu)).sum() < new:
+                low = math.log(mu)
+            else:
+                high = math.log(mu)
+        found.append(math.exp((low + high) / 2))
+    return found
 
 
 def _reading(
-    shards: int, order: int, mu: float, vocabulary: int, tokens_seen: int, documents: int
+    shards: int, order: int, mu: float | None, vocabulary: int, tokens_seen: int, documents: int
 ) -> Callable:
     def read(table: pa.Table, answers: pa.Table) -> pa.Table:
         tokens, starts = _tokens(table["text"])
@@ -238,9 +306,13 @@ def _reading(
         )
         counts = np.zeros(len(keys))
         for shard, part in _by_shard(keys, shards):
-            steps = np.frombuffer(told[shard], np.uint8).reshape(8, -1).T
-            counts[part] = np.ascontiguousarray(steps).view("<u8").reshape(-1)
+            counts[part] = _numbers(told[shard])
         counts[keys == 0] = 0
+        if mu is None:
+            seen = sum(_numbers(x).astype(float) for x in answers["seen"].to_pylist())
+            mus = estimated(seen.reshape(order, -1), documents)
+        else:
+            mus = [mu] * (order - 1)
         by_length = counts[at].reshape(order, -1)
         place = np.arange(len(tokens)) - np.repeat(starts[:-1], np.diff(starts))
         root = (by_length[0] + ADDED) / (tokens_seen + ADDED * (vocabulary + 1))
@@ -254,7 +326,7 @@ def _reading(
                 context[place < n - 2] = 0
             seen = np.where(place < n - 2, 0, by_length[n - 1])
             chance = np.where(
-                context > 0, (seen + mu * chance) / (context + mu), chance
+                context > 0, (seen + mus[n - 2] * chance) / (context + mus[n - 2]), chance
             )
         sums = [
             np.add.reduceat(x, starts[:-1]) for x in (np.log10(root), np.log10(chance))

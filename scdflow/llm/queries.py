@@ -49,7 +49,8 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngrams.score(_table(spark, sf_dir, "documents"), language.remainder(10) != 0)
+    docs = _table(spark, sf_dir, "documents")
+    return ngrams.score(docs, language.remainder(10) != 0, order=3, mu=None)
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

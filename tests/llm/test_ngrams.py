@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from scdflow.llm import language, ngrams
+from scdflow.llm.queries import op3_lm_scoring
 
-from .helpers import documents, table, words
+from .helpers import FOLDER, documents, table, words
 
 
 class Brute:
@@ -104,3 +105,44 @@ def test_empty_and_untaught(spark):
     assert ngrams.score(docs.limit(0), F.lit(True)).count() == 0
     rows = ngrams.score(docs, F.lit(False)).collect()
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and r["score"] == r["base_score"] for r in rows)
+
+
+class Estimated(Brute):
+    """Trigrams, with a mu for each length from the counts."""
+
+    def __init__(self, texts):
+        super().__init__(texts, 3, None)
+        self.mus = [None] + [self.estimate(n) for n in (2, 3)]
+
+    def estimate(self, n):
+        contexts = {k: c for k, c in self.counts[n - 1].items() if k[-1] != "</s>"}
+        once = sum(c == 1 for c in self.counts[n].values()) - sum(c == 1 for c in contexts.values())
+        bins = Counter()
+        sums = Counter()
+        for c in contexts.values():
+            bins[c.bit_length()] += 1
+            sums[c.bit_length()] += c
+        low, high = 1e-3, 1e6
+        for _ in range(200):
+            mu = math.sqrt(low * high)
+            new = sum(sums[b] * mu / (sums[b] / bins[b] - 1 + mu) for b in bins if b > 1)
+            low, high = (mu, high) if new < once else (low, mu)
+        return mu
+
+    def chance(self, context, w):
+        self.mu = self.mus[len(context)] if context else None
+        if not context:
+            return self.root(w)
+        lower, mu = self.chance(context[1:], w), self.mus[len(context)]
+        seen = self.counts[len(context)][context]
+        return (self.counts[len(context) + 1][(*context, w)] + mu * lower) / (seen + mu) if seen else lower
+
+
+def test_query_reads_trigrams_with_estimated_weights(spark, monkeypatch):
+    monkeypatch.setattr(ngrams, "BLOCK_BYTES", 100_000)
+    rows = table(spark, "documents").select("doc_id", "text", (language.remainder(10) != 0).alias("t")).collect()
+    model = Estimated([r["text"] for r in rows if r["t"]])
+    assert all(ngrams.LEAST_MU * 2 < mu < ngrams.MOST_MU / 2 for mu in model.mus[1:])
+    got = {r["doc_id"]: r["score"] for r in op3_lm_scoring(spark, FOLDER).collect()}
+    for r in rows:
+        assert got[r["doc_id"]] == pytest.approx(model.score(r["text"])[4], rel=1e-6)
