@@ -1,4 +1,4 @@
-"""LM scoring: a weighted backoff automaton over all the n-grams of the training documents.
+"""LM scoring: the weights of a backoff automaton over all the n-grams of the training documents.
 
 A state is a context: the last words read, as many as the training texts have in this sequence.
 Its arc for a word w that followed it there has the weight
@@ -8,14 +8,19 @@ Its arc for a word w that followed it there has the weight
 any other word takes the failure arc, of weight log10(mu / (c(context) + mu)), to the state of
 the shorter context, down to the root, whose arcs are P(w) = (c(w) + a) / (N + a (V + 1)), that of
 an unseen word too. The probabilities of a state's words add up to 1 (MacKay and Peto, 1995).
-A text is read once from left to right: the state is carried from word to word, the
-weights are added up.
+A text's score is the sum of the weights on its way from left to right.
 
-The automaton grows with the documents, so no task holds it. Its arcs are dealt to shards by
+No states or arcs are built and none is carried from word to word: the weight at a token depends
+on the counts of the n-grams that end there and of their contexts alone, so a block interpolates
+them for all its tokens at once, length by length from the root up, in whole arrays. The values
+are those of the automaton: with a count of 0 the formula of the arc is the failure arc's weight
+and the shorter context's.
+
+The counts grow with the documents, so no task holds them. They are dealt to shards by
 their n-gram's hash. Documents are dealt to blocks of bounded text; a block asks each shard for
 the counts of the distinct n-grams that it has, with its own training counts in the same
 message, sorted and packed. A shard adds up the counts of all messages and answers each in its
-own order. A block then has the part of the automaton that its texts can reach, and reads them.
+own order. A block then has the counts that its texts can reach.
 A hot n-gram is one entry a message, however often it stands in the texts.
 
 Without a given `mu`, each length has its own, estimated from all training counts. Leave out a
