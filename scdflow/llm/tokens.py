@@ -249,13 +249,17 @@ def write(
 ) -> None:
     """Encode `text` of all documents into `folder`, in ascending doc_id order.
 
+    Rows of one doc_id come in the order of their texts' hashes, so that many of them, or many
+    without one, are dealt to several parts. Only rows with the same text as well stay together.
+
     `tokenizer` is the path of a tokenizers file, which each executor reads; `lower` is as in
     `Encoder`.
     """
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     parts = words.parts_of(narrow, PART_BYTES)
-    ordered = narrow.repartitionByRange(parts, "doc_id").sortWithinPartitions(
-        "doc_id", "text"
+    tie = F.xxhash64("text")
+    ordered = narrow.repartitionByRange(parts, "doc_id", tie).sortWithinPartitions(
+        "doc_id", tie, "text"
     )
     segments = ordered.mapInArrow(_segments(tokenizer, end_id, lower), SEGMENT_SCHEMA)
     segments.write.option("compression", "zstd").parquet(folder)

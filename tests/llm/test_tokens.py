@@ -99,3 +99,16 @@ def test_empty(spark):
     folder = new_folder(spark, "tokens")
     tokens.write(documents(spark, []), PATH, 2, folder)
     assert tokens.digests(spark, folder).count() == 0
+
+
+def test_rows_of_one_id_are_dealt_to_several_parts(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "PART_BYTES", 2000)
+    rows = [(None if i % 3 else i, f"text {i} " * 10, "en", "a") for i in range(300)]
+    folder = new_folder(spark, "tokens")
+    tokens.write(documents(spark, rows), PATH, 2, folder, True)
+    parts = spark.read.parquet(folder).select("part", "segment", F.explode("doc_ids").alias("doc_id"))
+    held = parts.filter("doc_id IS NULL").groupBy("part").count().collect()
+    assert len(held) > 3 and sum(r["count"] for r in held) == 200
+    ids = [r["doc_id"] for r in parts.orderBy("part", "segment").collect()]
+    ids = [-1 if i is None else i for i in ids]
+    assert ids == sorted(ids) and len(ids) == 300
