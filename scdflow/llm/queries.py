@@ -1,4 +1,4 @@
-"""The ten operators with production parameters over whole tables, and SQL for some of them."""
+"""The operators with production parameters over whole tables, and SQL for some of them."""
 
 from __future__ import annotations
 
@@ -15,8 +15,12 @@ from . import (
     licenses,
     mixture,
     ngrams,
+    oracles,
+    phrases,
     simhash,
+    sketches,
     tokens,
+    trie,
     urls,
     warc,
 )
@@ -108,6 +112,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(_table(spark, sf_dir, "conversations"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -121,6 +137,9 @@ QUERIES = {
         op8_mixing,
         op9_token_ids,
         op10_language_id,
+        op11_near_duplicates,
+        op12_prefix_trie,
+        op13_collocations,
     )
 }
 
@@ -275,4 +294,7 @@ ORACLE_SQL = {
     "op4_warc": _WARC_SQL,
     "op7_license_scans": _license_sql(),
     "op8_mixing": _MIX_SQL,
+    "op11_near_duplicates": oracles.NEAR,
+    "op12_prefix_trie": oracles.TRIE,
+    "op13_collocations": oracles.PHRASES,
 }

@@ -26,7 +26,7 @@ def rows_of(columns, rows):
 
 def compare(spark, folder, name):
     db = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "conversations"):
         path = f"{folder}/{t}.parquet"
         db.execute(f"create view {t} as from '{path + '/*.parquet' if os.path.isdir(path) else path}'")
     want = db.sql(ORACLE_SQL[name])
@@ -49,13 +49,18 @@ def test_sql_of_odd_rows(spark, name, tmp_path):
         [(1, None, None), (2, "http://a.net/", ""), (3, "x", "h" * 1000), (4, "HTTP://B.org/fr/", "h" * 1000)],
         "page_id long, url string, html string",
     )
-    folder = write_tables(tmp_path, documents=documents(spark, texts), pages=pages)
+    turns = [(c, t, "user", rng.choice("abc")) for c in range(0, 200, 3) for t in range(rng.randrange(1, 6))]
+    turns += [(None, 0, "user", "x"), (7, None, None, None), (7, 4, "user", "")]
+    conversations = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    folder = write_tables(
+        tmp_path, documents=documents(spark, texts), pages=pages, conversations=conversations
+    )
     compare(spark, folder, name)
 
 
 def test_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert len([x for x in names if x.startswith(f"op{n}_")]) == 1
     assert "pipeline" in names
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
@@ -64,7 +69,7 @@ def test_registered():
 @pytest.mark.parametrize("name", [*sorted(QUERIES), "pipeline"])
 def test_empty_tables(spark, name, tmp_path):
     folder = write_tables(
-        tmp_path, **{t: table(spark, t).limit(0) for t in ("documents", "pages", "benchmark")}
+        tmp_path, **{t: table(spark, t).limit(0) for t in ("documents", "pages", "benchmark", "conversations")}
     )
     assert entry.queries()[name](spark, folder).count() == 0
 
