@@ -1,27 +1,26 @@
-"""LM scoring: the weights of a backoff automaton over all the n-grams of the training documents.
+"""LM scoring: a weighted backoff automaton over all the n-grams of the training documents.
 
 A state is a context: the last words read, as many as the training texts have in this sequence.
 Its arc for a word w that followed it there has the weight
 
-    log10 P(w | context) = log10((c(context w) + mu P(w | shorter)) / (c(context) + mu));
-
-any other word takes the failure arc, of weight log10(mu / (c(context) + mu)), to the state of
-the shorter context, down to the root, whose arcs are P(w) = (c(w) + a) / (N + a (V + 1)), that of
-an unseen word too. The probabilities of a state's words add up to 1 (MacKay and Peto, 1995).
-A text's score is the sum of the weights on its way from left to right.
-
-No states or arcs are built and none is carried from word to word: the weight at a token depends
-on the counts of the n-grams that end there and of their contexts alone, so a block interpolates
-them for all its tokens at once, length by length from the root up, in whole arrays. The values
-are those of the automaton: with a count of 0 the formula of the arc is the failure arc's weight
-and the shorter context's.
-
-The counts grow with the documents, so no task holds them. They are dealt to shards by
-their n-gram's hash. Documents are dealt to blocks of bounded text; a block asks each shard for
-the counts of the distinct n-grams that it has, with its own training counts in the same
-message, sorted and packed. A shard adds up the counts of all messages and answers each in its
-own order. A block then has the counts that its texts can reach.
-A hot n-gram is one entry a message, however often it stands in the texts.
+    log10 P(w | context) = log10((c(context w) + mu P(w | shorter)) / (c(context) + mu))
+
+and leads to the state of the words then read; any other word takes the failure arc, of weight
+log10(mu / (c(context) + mu)), to the state of the shorter context, down to the root, whose arcs
+are P(w) = (c(w) + a) / (N + a (V + 1)), that of an unseen word too. The probabilities of a state's
+words add up to 1 (MacKay and Peto, 1995). A text's score is the sum of the weights on its way.
+
+The counts grow with the documents, so no task holds them. They are dealt to shards by their
+n-gram's hash. Documents are dealt to blocks of bounded text; a block asks each shard for the
+counts of the distinct n-grams that it has, with its own training counts in the same message,
+sorted and packed. A shard adds up the counts of all messages and answers each in its own order.
+Words and pairs are asked for first; the answer also says which of them other blocks have. A
+longer n-gram can stand in another block only if both its parts of one word less do, so of each
+further length only those are asked for; the others have the count that the block gives them. A block has the states and arcs that its texts can
+reach, and all its texts are walked through them side by side, each lane carrying its state. A
+long text is several lanes: a state depends on the last words only, so a lane that begins inside
+a text first reads these without weights. A hot n-gram is one entry a message. Rows that are equal
+are one row with a weight, so a block holds each once.
 
 Without a given `mu`, each length has its own, estimated from all training counts. Leave out a
 token at a time: a context seen C times gives words it has not had mu / (C - 1 + mu), and the
@@ -32,18 +31,23 @@ of C, and n-grams seen once, and send both with each answer; so every block has
 N-grams are told apart by 64-bit hashes, of which the lowest bits give way to the length and to
 whether an end is last. Words as in `words.split`, then one end, which is a
 token. A null text has no words, only the end. Rows of the same doc_id are scored each by itself.
+A text is read whole by one task, slice by slice with others; a longer one than a slice comes
+alone, in memory of some hundred times its size.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scdflow.sources.shared import staged
+
 from . import words
 
 #: Words of the longest n-gram.
@@ -61,6 +65,8 @@ MESSAGE_BYTES = 250
 BINS, LEAST_MU, MOST_MU = 48, 1e-3, 1e6
 #: Hashes that a task gathers before it hands them on.
 GATHERED = 2_000_000
+#: Bytes of text that a block works on at once, and tokens of a lane.
+SLICE_BYTES, LANE = 2_500_000, 256
 #: Hashes of the ends of a text, which no word has: words are hashed as they are, these mixed.
 END, BEGIN = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949C7DEFABE1EB3)
 
@@ -68,28 +74,55 @@ END, BEGIN = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949C7DEFABE1EB3)
 def score(docs: DataFrame, training: Column, order: int = ORDER, mu: float | None = MU) -> DataFrame:
     """`doc_id`, `held_out` (not in training), `n_tokens`, `n_known`, `train_tokens`, the log10
     probabilities `base_score` (of the root alone) and `score` of each document."""
-    size = words.text_bytes(docs)
+    rows = _once(docs.select("doc_id", "text", F.coalesce(training, F.lit(False)).alias("training")))
+    size = words.text_bytes(rows)
     blocks = max(1, -(-size // max(BLOCK_BYTES, math.isqrt(MESSAGE_BYTES * size))))
-    texts = docs.select(
-        "doc_id",
-        "text",
-        F.coalesce(training, F.lit(False)).alias("training"),
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"),
-    )
-    vocabulary, tokens, documents = _vocabulary(texts, blocks)
-    asked = texts.groupBy("block").applyInArrow(
-        _asking(blocks, order), "shard int, block int, keys binary, counts binary"
-    )
-    told = asked.groupBy("shard").applyInArrow(
-        _answering(order, mu is None), "block int, shard int, counts binary, seen binary"
+    texts = rows.withColumn(
+        "block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
     )
-    # One job: the documents are dealt to their blocks once, for the questions and the reading.
-    read = _reading(blocks, order, mu, vocabulary, tokens, documents)
+    facts = _vocabulary(texts, blocks)
+    # One job: the documents are dealt to their blocks once, for all questions and the reading.
+    dealt = texts.groupBy("block")
+    messages = "shard int, block int, keys binary, counts binary, seen binary, memo binary"
+    told = None
+    for step in range(max(1, order - 1)):
+        ask = _asking(blocks, order, step)
+        if told is None:
+            asked = dealt.applyInArrow(ask, messages)
+        else:
+            asked = dealt.cogroup(told.groupBy("block")).applyInArrow(ask, messages)
+        told = asked.groupBy("shard").applyInArrow(
+            _answering(order), "block int, shard int, counts binary, seen binary, memo binary"
+        )
     schema = (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-        "base_score double, score double"
+        "base_score double, score double, weight long"
+    )
+    read = _reading(blocks, order, mu, *facts)
+    found = dealt.cogroup(told.groupBy("block")).applyInArrow(read, schema)
+    copies = F.explode(F.array_repeat(F.lit(0), F.col("weight").cast("int")))
+    return found.withColumn("copy", copies).drop("weight", "copy")
+
+
+def _once(rows: DataFrame) -> DataFrame:
+    """Equal rows as one, with their number as `weight`.
+
+    They are found by their id and the hash of the text; only rows that come again are shuffled.
+    """
+    key = {"of_id": F.col("doc_id"), "of_hash": F.xxhash64("text")}
+    hashed = rows.withColumns(key)
+    again = hashed.groupBy(*key).agg(F.count("*").alias("weight")).filter("weight > 1")
+    again = staged(again, "again")
+    if again.isEmpty():
+        return rows.withColumn("weight", F.lit(1).cast("long"))
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in key]
+    single = hashed.alias("a").join(again.alias("b"), same, "left_anti").drop(*key)
+    others = hashed.alias("a").join(again.alias("b"), same, "left_semi")
+    merged = others.groupBy(*key, "training").agg(
+        F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count("*").alias("weight")
     )
-    return texts.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(read, schema)
+    columns = "doc_id", "text", "training", "weight"
+    return single.withColumn("weight", F.lit(1).cast("long")).unionByName(merged.select(*columns))
 
 
 def _vocabulary(texts: DataFrame, shards: int) -> tuple[int, int, int]:
@@ -100,8 +133,9 @@ def _vocabulary(texts: DataFrame, shards: int) -> tuple[int, int, int]:
         tokens = documents = 0
         for batch in words.sliced(batches):
             parts = words.split(batch["text"])
-            tokens += len(parts.codes) + batch.num_rows
-            documents += batch.num_rows
+            weight = batch["weight"].to_numpy()
+            tokens += int(((np.diff(parts.starts) + 1) * weight).sum())
+            documents += int(weight.sum())
             found.append(parts.hashes())
             if sum(map(len, found)) > GATHERED:
                 found = [np.unique(np.concatenate(found))]
@@ -123,7 +157,7 @@ def _vocabulary(texts: DataFrame, shards: int) -> tuple[int, int, int]:
             }
         )
 
-    made = texts.filter("training").select("text")
+    made = texts.filter("training").select("text", "weight")
     made = made.mapInArrow(gather, "shard int, keys binary, tokens long, documents long")
     sums = made.groupBy("shard").applyInArrow(
         lambda t: distinct(t), "words long, tokens long, documents long"
@@ -181,12 +215,14 @@ def _numbers(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1)
 
 
-def _tokens(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each token of all texts, an end behind each text; and where each text begins."""
-    parts = words.split(pa.concat_arrays(texts.chunks) if texts.num_chunks else texts)
-    hashes = parts.hashes()[parts.codes] if len(parts.codes) else np.empty(0, np.uint64)
-    starts = parts.starts + np.arange(len(parts.starts))
-    return np.insert(hashes, parts.starts[1:], END), starts
+def _slices(table: pa.Table) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Rows of bounded text, the hash of each token, an end behind each text, and where each
+    text begins."""
+    for batch in words.sliced(table.combine_chunks().to_batches(), limit=SLICE_BYTES):
+        parts = words.split(batch["text"])
+        hashes = parts.hashes()[parts.codes] if len(parts.codes) else np.empty(0, np.uint64)
+        starts = parts.starts + np.arange(len(parts.starts))
+        yield batch, np.insert(hashes, parts.starts[1:], END), starts
 
 
 def _grams(tokens: np.ndarray, starts: np.ndarray, order: int) -> list[np.ndarray]:
@@ -215,46 +251,163 @@ def _tag_bits(order: int) -> int:
     return (2 * order - 1).bit_length()
 
 
-def _asking(shards: int, order: int) -> Callable:
-    def ask(table: pa.Table) -> pa.Table:
-        tokens, starts = _tokens(table["text"])
-        taught = np.repeat(table["training"].to_numpy(), np.diff(starts))
-        every = np.concatenate(_grams(tokens, starts, order))
-        keys, at = np.unique(every, return_inverse=True)
-        counts = np.bincount(at, weights=np.tile(taught, order), minlength=len(keys))
+def _lengths(step: int, order: int) -> range:
+    """Lengths asked for in a step: words and pairs, then one length at a time."""
+    return range(1, min(order, 2) + 1) if step == 0 else range(step + 2, step + 3)
+
+
+def _steps(order: int) -> int:
+    return max(1, order - 1)
+
+
+class _Own(NamedTuple):
+    """A block's distinct n-grams of a step, sorted, and how often its training texts have them."""
+
+    keys: np.ndarray
+    taught: np.ndarray
+
+
+def _counted(table: pa.Table, order: int, steps: int) -> list[_Own]:
+    found: list[list[_Own]] = [[] for _ in range(steps)]
+    for batch, tokens, starts in _slices(table):
+        weight = batch["weight"].to_numpy() * batch["training"].to_numpy(zero_copy_only=False)
+        taught = np.repeat(weight, np.diff(starts))
+        grams = _grams(tokens, starts, order)
+        for step, parts in enumerate(found):
+            lengths = _lengths(step, order)
+            every = np.concatenate([grams[n - 1] for n in lengths])
+            parts.append(_summed(every, np.tile(taught, len(lengths))))
+    # Slices are merged length by length: what is held are distinct n-grams, not tokens.
+    return [
+        parts[0]
+        if len(parts) == 1
+        else _summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        for parts in found
+    ]
+
+
+def _summed(keys: np.ndarray, numbers: np.ndarray) -> _Own:
+    own, at = np.unique(keys, return_inverse=True)
+    # A float is exact up to 2 to the 53rd.
+    return _Own(own, np.bincount(at.reshape(-1), weights=numbers, minlength=len(own)))
+
+
+def _may_be_shared(
+    table: pa.Table, order: int, own: list[_Own], elsewhere: np.ndarray
+) -> np.ndarray:
+    """Of the last step's n-grams, those whose two parts other blocks have too.
+
+    An n-gram's first part ends a token earlier; both parts are n-grams of the step before.
+    """
+    n = _lengths(len(own) - 1, order)[0]
+    before, last = own[-2], own[-1]
+    shared = np.zeros(len(last.keys), bool)
+    for _, tokens, starts in _slices(table):
+        grams = _grams(tokens, starts, order)
+        ended = elsewhere[np.searchsorted(before.keys, grams[n - 2])]
+        both = ended & np.append(False, ended[:-1]) & (grams[n - 1] != 0)
+        shared[np.searchsorted(last.keys, grams[n - 1][both])] = True
+    return shared
+
+
+def _asking(shards: int, order: int, step: int) -> Callable:
+    def ask(table: pa.Table, answers: pa.Table | None = None) -> pa.Table:
+        block = table["block"][0].as_py()
+        own = _counted(table, order, step + 1)
+        keys, taught = own[-1]
+        seen = memo = None
+        if answers is not None:
+            known, elsewhere, seen_before = _told(answers, own[:-1], shards, order)
+            shared = _may_be_shared(table, order, own, elsewhere)
+            seen = _squeezed(_seen(keys[~shared], taught[~shared], order).reshape(-1))
+            memo = _noted(known, shared, seen_before)
+            keys, taught = keys[shared], taught[shared]
         rows = [
-            (shard, _packed(keys[part]), _squeezed(counts[part]))
+            (shard, _packed(keys[part]), _squeezed(taught[part]))
             for shard, part in _by_shard(keys, shards)
         ]
         shard, packed, counted = zip(*rows, strict=True)
-        block = [table["block"][0].as_py()] * len(rows)
+        # What the block keeps for itself, and tells all of n-grams that it alone has.
+        with_one = [block % shards == x for x in shard]
         return pa.table(
             {
                 "shard": pa.array(shard, pa.int32()),
-                "block": pa.array(block, pa.int32()),
+                "block": pa.array([block] * len(rows), pa.int32()),
                 "keys": pa.array(packed, pa.binary()),
                 "counts": pa.array(counted, pa.binary()),
+                "seen": pa.array([seen if x else None for x in with_one], pa.binary()),
+                "memo": pa.array([memo if x else None for x in with_one], pa.binary()),
             }
         )
 
-    return ask
-
-
-def _answering(order: int, estimate: bool) -> Callable:
+    def ask_first(table: pa.Table) -> pa.Table:
+        return ask(table)
+
+    return ask_first if step == 0 else ask
+
+
+def _noted(known: list[np.ndarray], shared: np.ndarray, seen: np.ndarray) -> bytes:
+    """Counts of the steps so far, which n-grams are asked for now, and what shards have seen."""
+    parts = [_squeezed(x) for x in known]
+    parts += [_squeezed(shared.astype(np.int64)), _squeezed(seen.reshape(-1))]
+    return b"".join(len(x).to_bytes(8, "little") + x for x in parts)
+
+
+def _read_note(memo: bytes) -> list[np.ndarray]:
+    parts, at = [], 0
+    while at < len(memo):
+        size = int.from_bytes(memo[at : at + 8], "little")
+        parts.append(_numbers(memo[at + 8 : at + 8 + size]))
+        at += 8 + size
+    return parts
+
+
+def _told(
+    answers: pa.Table, own: list[_Own], shards: int, order: int
+) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Counts of the block's n-grams in each step, which of the last other blocks have too, and
+    what all shards have seen."""
+    told = dict(zip(answers["shard"].to_pylist(), answers["counts"].to_pylist(), strict=True))
+    seen = np.sum([_numbers(x).astype(float) for x in answers["seen"].to_pylist()], axis=0)
+    seen = seen.reshape(order, -1)
+    known: list[np.ndarray] = []
+    counts = own[-1].taught.copy()
+    asked = np.ones(len(counts), bool)
+    if notes := [x for x in answers["memo"].to_pylist() if x is not None]:
+        *known, shared, seen_before = _read_note(notes[0])
+        asked = shared.astype(bool)
+        seen = seen + seen_before.astype(float).reshape(order, -1)
+    elsewhere = np.zeros(len(counts), bool)
+    places = np.flatnonzero(asked)
+    for shard, part in _by_shard(own[-1].keys[places], shards):
+        numbers = _numbers(told[shard])
+        counts[places[part]] = numbers >> np.uint64(1)
+        elsewhere[places[part]] = numbers & np.uint64(1)
+    counts[own[-1].keys == 0] = 0
+    return [*known, counts], elsewhere, seen
+
+
+def _answering(order: int) -> Callable:
     def answer(table: pa.Table) -> pa.Table:
         keys = [_unpacked(x) for x in table["keys"].to_pylist()]
         counts = [_numbers(x) for x in table["counts"].to_pylist()]
         every, at = np.unique(np.concatenate(keys), return_inverse=True)
-        # A float is exact up to 2 to the 53rd.
         total = np.bincount(at, weights=np.concatenate(counts), minlength=len(every))
+        # A count, and in its lowest bit whether several blocks have the n-gram.
+        several = np.bincount(at, minlength=len(every)) > 1
+        told = (2 * total + several)[at]
         ends = np.cumsum([len(k) for k in keys])[:-1]
-        seen = _squeezed(_seen(every, total, order).reshape(-1)) if estimate else b""
+        seen = _seen(every, total, order).reshape(-1)
+        for alone in table["seen"].to_pylist():
+            if alone is not None:
+                seen = seen + _numbers(alone)
         return pa.table(
             {
                 "block": table["block"],
                 "shard": table["shard"],
-                "counts": pa.array([_squeezed(a) for a in np.split(total[at], ends)], pa.binary()),
-                "seen": pa.array([seen] * len(keys), pa.binary()),
+                "counts": pa.array([_squeezed(a) for a in np.split(told, ends)], pa.binary()),
+                "seen": pa.array([_squeezed(seen)] * len(keys), pa.binary()),
+                "memo": table["memo"],
             }
         )
 
@@ -299,55 +452,165 @@ def estimated(seen: np.ndarray, documents: int) -> list[float]:
     return found
 
 
+class _Automaton(NamedTuple):
+    """States and arcs that the texts of a slice can reach; state 0 is the root."""
+
+    begin: int
+    #: Of each token, the number of its word among the slice's.
+    word: np.ndarray
+    n_words: int
+    #: Arcs by state and word, sorted.
+    arcs: np.ndarray
+    weight: np.ndarray
+    to: np.ndarray
+    #: Failure arcs by state.
+    fail_weight: np.ndarray
+    fail_to: np.ndarray
+
+
+def _automaton(
+    grams: list[np.ndarray],
+    counts: list[np.ndarray],
+    place: np.ndarray,
+    mus: list[float],
+    root_chance: Callable[[np.ndarray], np.ndarray],
+    documents: int,
+) -> _Automaton:
+    """From the n-gram of each length that ends at each token, and its count."""
+    order = len(grams)
+    begin = 1 if documents and order > 1 else 0
+    states = 1 + begin
+    fail_weight, fail_to = [np.zeros(states)], [np.zeros(states, np.int64)]
+    seen_as_state = np.zeros(states)
+    if begin:
+        seen_as_state[1] = documents
+        fail_weight[0][1] = math.log10(mus[0] / (documents + mus[0]))
+    arcs, weights, targets = [], [], []
+    shorter_state = shorter_chance = word = None
+    n_words = 0
+    for n in range(1, order + 1):
+        _, first, at = np.unique(grams[n - 1], return_index=True, return_inverse=True)
+        at, count = at.reshape(-1), counts[n - 1][first]
+        ended = grams[0][first] == END
+        own = np.flatnonzero((count > 0) & ~ended & (grams[n - 1][first] != 0))
+        state = np.zeros(len(first), np.int64)
+        if n < order:
+            state[own] = states + np.arange(len(own))
+        if n == 1:
+            word, n_words = at, len(first)
+            chance = root_chance(count)
+            made = np.arange(len(first))
+            source = np.zeros(len(first), np.int64)
+            down = np.zeros(len(own), np.int64)
+        else:
+            # An n-gram's context ends a token earlier; that of a text's first one is its begin.
+            made = np.flatnonzero((count > 0) & (grams[n - 1][first] != 0))
+            token = first[made]
+            source = np.where(place[token] == 0, begin, shorter_state[token - 1])
+            lower = shorter_chance[token]
+            chance = np.zeros(len(first))
+            chance[made] = (count[made] + mus[n - 2] * lower) / (seen_as_state[source] + mus[n - 2])
+            down = shorter_state[first[own]]
+        arcs.append(source * n_words + word[first[made]])
+        weights.append(np.log10(chance[made]))
+        reached = state[made] if n < order else (shorter_state[first[made]] if n > 1 else 0 * made)
+        targets.append(np.where(ended[made], 0, reached))
+        if n < order:
+            fail_to.append(down)
+            fail_weight.append(np.log10(mus[n - 1] / (count[own] + mus[n - 1])))
+            seen_as_state = np.append(seen_as_state, count[own])
+            states += len(own)
+        shorter_state, shorter_chance = state[at], chance[at]
+    arcs_by = np.concatenate(arcs)
+    order_by = np.argsort(arcs_by)
+    return _Automaton(
+        begin,
+        word,
+        n_words,
+        arcs_by[order_by],
+        np.concatenate(weights)[order_by],
+        np.concatenate(targets)[order_by],
+        np.concatenate(fail_weight),
+        np.concatenate(fail_to),
+    )
+
+
+def _walk(auto: _Automaton, starts: np.ndarray, order: int) -> np.ndarray:
+    """The weights on the way of each text, all of them side by side, a token at a time."""
+    sizes = np.diff(starts)
+    lanes = -(-sizes // LANE)
+    text = np.repeat(np.arange(len(sizes)), lanes)
+    part = np.arange(lanes.sum()) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+    at = starts[:-1][text] + part * LANE
+    length = np.minimum(starts[1:][text] - at, LANE)
+    longest_first = np.argsort(-length, kind="stable")
+    text, part, at, length = (x[longest_first] for x in (text, part, at, length))
+    state = np.where(part == 0, auto.begin, 0)
+    total = np.zeros(len(at))
+    # Inside a text, the words before a lane lead to its first state.
+    inner = np.flatnonzero(part > 0)
+    for back in range(order - 1, 0, -1):
+        state[inner], _ = _step(auto, state[inner], auto.word[at[inner] - back])
+    for k in range(length[0] if len(length) else 0):
+        n = np.searchsorted(-length, -k, side="left")
+        state[:n], weight = _step(auto, state[:n], auto.word[at[:n] + k])
+        total[:n] += weight
+    return np.bincount(text, weights=total, minlength=len(sizes))
+
+
+def _step(auto: _Automaton, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The state after a word from each state, and the weight of its arcs."""
+    weight = np.zeros(len(state))
+    state = state.copy()
+    found = np.zeros(len(state), np.int64)
+    todo = np.arange(len(state))
+    while len(todo):
+        key = state[todo] * auto.n_words + word[todo]
+        # The root has an arc for every word.
+        at = np.minimum(np.searchsorted(auto.arcs, key), len(auto.arcs) - 1)
+        hit = auto.arcs[at] == key
+        found[todo[hit]] = at[hit]
+        todo = todo[~hit]
+        weight[todo] += auto.fail_weight[state[todo]]
+        state[todo] = auto.fail_to[state[todo]]
+    return auto.to[found], weight + auto.weight[found]
+
+
 def _reading(
     shards: int, order: int, mu: float | None, vocabulary: int, tokens_seen: int, documents: int
 ) -> Callable:
+    def root_chance(counts: np.ndarray) -> np.ndarray:
+        return (counts + ADDED) / (tokens_seen + ADDED * (vocabulary + 1))
+
     def read(table: pa.Table, answers: pa.Table) -> pa.Table:
-        tokens, starts = _tokens(table["text"])
-        grams = _grams(tokens, starts, order)
-        keys, at = np.unique(np.concatenate(grams), return_inverse=True)
-        told = dict(
-            zip(answers["shard"].to_pylist(), answers["counts"].to_pylist(), strict=True)
-        )
-        counts = np.zeros(len(keys))
-        for shard, part in _by_shard(keys, shards):
-            counts[part] = _numbers(told[shard])
-        counts[keys == 0] = 0
-        if mu is None:
-            seen = sum(_numbers(x).astype(float) for x in answers["seen"].to_pylist())
-            mus = estimated(seen.reshape(order, -1), documents)
-        else:
-            mus = [mu] * (order - 1)
-        by_length = counts[at].reshape(order, -1)
-        place = np.arange(len(tokens)) - np.repeat(starts[:-1], np.diff(starts))
-        root = (by_length[0] + ADDED) / (tokens_seen + ADDED * (vocabulary + 1))
-        chance = root
-        for n in range(2, order + 1):
-            # The context ends at the token before; that of a text's first one is its begin.
-            context = np.append(0, by_length[n - 2][:-1])
-            if n == 2:
-                context[place == 0] = documents
-            else:
-                context[place < n - 2] = 0
-            seen = np.where(place < n - 2, 0, by_length[n - 1])
-            chance = np.where(
-                context > 0, (seen + mus[n - 2] * chance) / (context + mus[n - 2]), chance
+        own = _counted(table, order, _steps(order))
+        known, _, seen = _told(answers, own, shards, order)
+        mus = estimated(seen, documents) if mu is None else [mu] * (order - 1)
+        step_of = {n: step for step in range(_steps(order)) for n in _lengths(step, order)}
+        parts = []
+        for batch, tokens, starts in _slices(table):
+            grams = _grams(tokens, starts, order)
+            counts = [
+                known[step_of[n]][np.searchsorted(own[step_of[n]].keys, gram)]
+                for n, gram in enumerate(grams, 1)
+            ]
+            place = np.arange(len(tokens)) - np.repeat(starts[:-1], np.diff(starts))
+            plain = [tokens, *grams[1:]]
+            auto = _automaton(plain, counts, place, mus, root_chance, documents)
+            parts.append(
+                pa.table(
+                    {
+                        "doc_id": batch["doc_id"].cast(pa.int64()),
+                        "held_out": np.logical_not(batch["training"].to_numpy(zero_copy_only=False)),
+                        "n_tokens": np.diff(starts),
+                        "n_known": np.add.reduceat((counts[0] > 0).astype(np.int64), starts[:-1]),
+                        "train_tokens": np.full(batch.num_rows, tokens_seen),
+                        "base_score": np.add.reduceat(np.log10(root_chance(counts[0])), starts[:-1]),
+                        "score": _walk(auto, starts, order),
+                        "weight": batch["weight"],
+                    }
+                )
             )
-        sums = [
-            np.add.reduceat(x, starts[:-1]) for x in (np.log10(root), np.log10(chance))
-        ]
-        known = np.add.reduceat((by_length[0] > 0).astype(np.int64), starts[:-1])
-        held_out = np.logical_not(table["training"].to_numpy())
-        return pa.table(
-            {
-                "doc_id": table["doc_id"].cast(pa.int64()),
-                "held_out": held_out,
-                "n_tokens": np.diff(starts),
-                "n_known": known,
-                "train_tokens": np.full(len(known), tokens_seen),
-                "base_score": sums[0],
-                "score": sums[1],
-            }
-        )
+        return pa.concat_tables(parts)
 
     return read

@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -146,3 +147,33 @@ def test_query_reads_trigrams_with_estimated_weights(spark, monkeypatch):
     got = {r["doc_id"]: r["score"] for r in op3_lm_scoring(spark, FOLDER).collect()}
     for r in rows:
         assert got[r["doc_id"]] == pytest.approx(model.score(r["text"])[4], rel=1e-6)
+
+
+def test_lanes_and_slices(spark, monkeypatch):
+    """Long texts are walked in lanes and blocks in slices, in blocks of a few texts each."""
+    monkeypatch.setattr(ngrams, "LANE", 5)
+    monkeypatch.setattr(ngrams, "SLICE_BYTES", 60)
+    monkeypatch.setattr(ngrams, "BLOCK_BYTES", 400)
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdefg") for _ in range(rng.randrange(60))) for _ in range(60)]
+    docs = documents(spark, texts)
+    model = Brute([t for i, t in enumerate(texts) if i % 3], 4, 2.0)
+    got = ngrams.score(docs, F.col("doc_id") % 3 != 0, 4, 2.0).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        want = model.score(texts[r["doc_id"]])
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == want[:3]
+        assert (r["base_score"], r["score"]) == pytest.approx(want[3:])
+
+
+def test_equal_rows_are_one_row_of_a_block(spark):
+    rows = [(None, "a b c", "en", "a")] * 700 + [(1, None, "en", "a")] * 300 + [(2, "a b d", "en", "a")]
+    docs = documents(spark, rows)
+    once = ngrams._once(docs.select("doc_id", "text", (F.col("doc_id") == 2).eqNullSafe(False).alias("training")))
+    assert sorted(r["weight"] for r in once.collect()) == [1, 300, 700]
+    got = ngrams.score(docs, F.lit(True), 3).collect()
+    model = Brute([r[1] for r in rows], 3, ngrams.MU)
+    assert len(got) == 1001
+    for r in got:
+        text = "a b c" if r["doc_id"] is None else None if r["doc_id"] == 1 else "a b d"
+        assert (r["train_tokens"], r["score"]) == (model.total, pytest.approx(model.score(text)[4]))
