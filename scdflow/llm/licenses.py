@@ -1,26 +1,26 @@
-r"""License scan: an exact set-similarity join of text blocks with license templates.
+r"""License scan: an exact set-similarity join of windows of words with license templates.
 
-A block is a line of a text; with `demands` it is a window of words, whatever lines they stand in.
-Windows are twice a reach long and begin a reach after each other, so a place of a template of up
-to a reach lies whole in one. The reach is `NEAR` words for templates of at most as many, else
-that of the longest, with room for words put in. A template is found in a block if the block has at least
-`threshold` of the template's distinct words (A-Z lower-cased, words `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`).
+A template is found in a window if this has at least `threshold` of the template's distinct words
+(A-Z lower-cased, words `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`), all words of its `must`, and its
+`name` as it is. A template of n words reaches over r, the next power of two from n / threshold
+(8 at least). Windows are 2r words long and begin every r words, whatever lines they stand in, so a
+place of a template of up to r words lies whole in one. In a window a template whose shared words
+are among those of another is taken for part of that: a window of the Affero license has all
+words of the General one's name.
 
-Words of templates are put in one order for all blocks, the rarest in the documents first. Only
-these words can be shared, so a block is its words among them, in that order. If a template of
-which o words must be shared has any in a block, then one of its first |T| - o + 1 words (its
-prefix) is among the block's first |B| - o + 1: both prefixes meet in an equi-join by word. Pairs
-go on if the block has o words (length filter) and if enough words follow the first shared one
-on both sides (positional filter); those left are compared as a whole. No block is lost.
+Words of templates are put in one order for all texts, the rarest in the documents first. If a
+window and a template of |T| words share o words, one of the template's first |T| - o + 1 (its
+prefix) is among the window's first |B| - o + 1. So a text without any word of a prefix is left
+after one look at its words; of the others, windows that have such a word meet the prefixes in an
+equi-join by word, and pairs go on if the window has o words (length filter) and enough words
+follow the first shared one on both sides (positional filter). Those left are compared as a whole.
 
-Shared words alone do not tell GPL from AGPL, or CC-BY from CC-BY-SA. With `demands`, a pair also
-needs the words that name its license, version included, together in the block.
-
-The templates are a parameter of the program; they are taken `AT_ONCE` at a time, so what is
-broadcast is bounded. All is done by DataFrame functions.
+The templates are a parameter of the program, broadcast as they are: their number times their
+length is the bound. All is done by DataFrame functions.
 
 A null or empty text has no words, no labels and score 0. Rows of the same doc_id and text get
-the same result, each of them.
+the same result, each of them. A text's words are an array in one row of a task, a long text's
+too; windows are rows of their own. Ties: of equal sets of shared words both templates stay.
 """
 
 from __future__ import annotations
@@ -28,83 +28,32 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterable, Mapping
-from functools import reduce
-from itertools import islice
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scdflow.sources.shared import staged
 
+from .license_texts import TEMPLATES, Template
 from .urls import ascii_lower
 
 THRESHOLD = 0.8
-AT_ONCE = 1000
-#: Words within which a short notice stands.
-NEAR = 16
-#: All that is not in a word, before A-Z are lower-cased; and the same without the line feed.
+#: Words that a template reaches over, at least.
+LEAST_REACH = 8
+#: All that is not in a word, before A-Z are lower-cased.
 BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-IN_LINE = r"[\x00-\x09\x0B-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-#: Phrases that name a license, and notices as their licenses word them.
+#: Phrases that name a license.
 PHRASES = {
     "under the mit license": "mit",
     "apache license version 2": "apache-2",
     "cc by nc": "cc-by-nc",
 }
-#: Grants and conditions of the licenses whose texts do not give a name; other texts and standard
-#: headers have the name and version that the notices have.
-MIT_BODY = (
-    "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-    "software and associated documentation files (the Software), to deal in the Software "
-    "without restriction, including without limitation the rights to use, copy, modify, "
-    "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
-    "permit persons to whom the Software is furnished to do so, subject to the following "
-    "conditions: The above copyright notice and this permission notice shall be included "
-    "in all copies or substantial portions of the Software."
-)
-BSD_BODY = (
-    "Redistribution and use in source and binary forms, with or without modification, are "
-    "permitted provided that the following conditions are met: Redistributions of source "
-    "code must retain the above copyright notice, this list of conditions and the "
-    "following disclaimer. Redistributions in binary form must reproduce the above "
-    "copyright notice, this list of conditions and the following disclaimer in the "
-    "documentation and/or other materials provided with the distribution."
-)
-#: A template of at most 4 words needs all of them at 0.8; so the license's name and version count.
-TEMPLATES = {
-    "mit": ["under the MIT License", MIT_BODY],
-    "apache-2": ["Apache License, Version 2"],
-    "cc-by-nc": ["CC BY-NC"],
-    "gpl-3": ["GNU General Public 3"],
-    "gpl-2": ["GNU General Public 2"],
-    "lgpl-3": ["GNU Lesser Public 3"],
-    "agpl-3": ["GNU Affero Public 3"],
-    "mpl-2": ["Mozilla Public License 2"],
-    "bsd": ["governed BSD-style license", "BSD Clause License", BSD_BODY],
-    "cc-by": ["Creative Commons Attribution License"],
-    "cc-by-sa": ["Creative Commons Attribution-ShareAlike"],
-}
-_GNU = "general public license (as published by the free software foundation )?(either )?(version |v )?"
-#: Words that must stand together in a block for its label: a template's words may all be in
-#: another license's name. They are between spaces, with a `.` behind the last word of a block.
-DEMANDS = {
-    "mit": "(mit license|permission is hereby granted free of charge) ",
-    "apache-2": "apache (software )?license (version |v )?2 ",
-    "cc-by-nc": r"cc by nc (?=\S)(?!sa |nd )",
-    "gpl-3": f"gnu {_GNU}3 ",
-    "gpl-2": f"gnu {_GNU}2 ",
-    "lgpl-3": f"gnu lesser {_GNU}3 ",
-    "agpl-3": f"gnu affero {_GNU}3 ",
-    "mpl-2": "mozilla public license (version |v )?2 ",
-    "bsd": "(bsd (style|[234] clause) license|redistribution and use in source and binary forms) ",
-    "cc-by": r"creative commons attribution (?=\S)(?!sharealike |share |noncommercial |non |noderiv)",
-    "cc-by-sa": "creative commons attribution sharealike ",
-}
 
 
-def words(text: Column, between: str = BETWEEN) -> Column:
+def words(text: Column) -> Column:
     """The text's words, case kept, each between spaces: ` a b c ` (a space if there are none)."""
-    kept = F.btrim(F.regexp_replace(F.coalesce(text, F.lit("")), between, " "), F.lit(" "))
+    kept = F.btrim(F.regexp_replace(F.coalesce(text, F.lit("")), BETWEEN, " "), F.lit(" "))
     return F.when(kept == "", F.lit(" ")).otherwise(F.concat(F.lit(" "), kept, F.lit(" ")))
 
 
@@ -139,142 +88,158 @@ def phrases(docs: DataFrame, labels: Mapping[str, str] = PHRASES) -> DataFrame:
     )
 
 
+class Sought(NamedTuple):
+    """A template as sets of words."""
+
+    template: int
+    label: str
+    reach: int
+    #: Shared words that are enough.
+    o: int
+    t: list[str]
+    must: list[str]
+    name: list[str]
+
+
+def _split(text: str) -> list[str]:
+    return re.sub(BETWEEN, " ", text).lower().split()
+
+
+def sought(templates: Iterable[Template] = TEMPLATES, threshold: float = THRESHOLD) -> list[Sought]:
+    found = []
+    for i, (label, text, name, must) in enumerate(templates):
+        own = _split(text)
+        distinct = list(dict.fromkeys(own))
+        reach = max(LEAST_REACH, 1 << (math.ceil(round(len(own) / threshold, 9)) - 1).bit_length())
+        o = math.ceil(round(len(distinct) * threshold, 9))
+        found.append(Sought(i, label, reach, o, distinct, _split(must), _split(name)))
+    return found
+
+
+def _array(texts: Column) -> Column:
+    return F.split(F.btrim(ascii_lower(words(texts)), F.lit(" ")), " ")
+
+
 def scan(
-    docs: DataFrame,
-    templates: Mapping[str, Iterable[str]] = TEMPLATES,
-    threshold: float = THRESHOLD,
-    at_once: int = AT_ONCE,
-    demands: Mapping[str, str] | None = None,
+    docs: DataFrame, templates: Iterable[Template] = TEMPLATES, threshold: float = THRESHOLD
 ) -> DataFrame:
-    """A row per text block and template found in it; with `demands`, if the block meets its label's.
+    """A row per window and template found in it, for the distinct (doc_id, text) of `docs`.
 
-    `doc_id`, `text_hash` (XXH64 of the text), `line` (from 0; or the window's number), `template`, `label`, `score`
-    (share of the template's words); for each row of `docs`.
+    `doc_id`, `text_hash` (XXH64 of the text), `reach` and `window` (its first word is reach times
+    window), `template` (its number), `label`, `score` (share of the template's words).
     """
-    listed = [(label, notice) for label, notices in templates.items() for notice in notices]
-    numbered = list(enumerate(listed))
-    if not demands:
-        groups = {None: numbered}
-    else:
-        long = [x for x in numbered if _length(x[1][1]) > NEAR]
-        longest = max((_length(notice) for _, (_, notice) in long), default=0)
-        groups = {NEAR: [x for x in numbered if x not in long], math.ceil(longest / threshold): long}
-    parts = []
-    for reach, group in groups.items():
-        rest = iter(group)
-        while some := list(islice(rest, at_once)):
-            parts.append(_scan(docs, some, threshold, demands, reach))
-    return reduce(DataFrame.unionAll, parts)
-
-
-def _length(notice: str) -> int:
-    return len(re.sub(BETWEEN, " ", notice).split())
-
-
-def _scan(
-    docs: DataFrame,
-    listed: list,
-    threshold: float,
-    demands: Mapping[str, str] | None,
-    reach: int | None,
-) -> DataFrame:
     spark = docs.sparkSession
-    rows = [(i, label, f" {(demands or {}).get(label, '')}", notice) for i, (label, notice) in listed]
-    schema = "template int, label string, demand string, notice string"
-    sets = spark.createDataFrame(rows, schema).select(
-        "template",
-        "label",
-        "demand",
-        F.array_distinct(F.split(F.btrim(ascii_lower(words(F.col("notice"))), F.lit(" ")), " ")).alias("notice"),
+    listed = sought(templates, threshold)
+    vocabulary = sorted({w for s in listed for w in (*s.t, *s.must, *s.name)})
+    texts = docs.select(
+        "doc_id", F.xxhash64("text").alias("text_hash"), _array(F.col("text")).alias("own")
     )
-    vocabulary = sorted({w for r in sets.collect() for w in r["notice"] if w})
-    held = _held(docs, vocabulary, {r[2] for r in rows}, reach)
-    often = held.select(F.explode("held").alias("word")).groupBy("word").count()
+    known = F.broadcast(spark.createDataFrame([(w,) for w in vocabulary], "word string"))
+    often = texts.select(F.explode("own").alias("word")).join(known, "word").groupBy("word").count()
     # One number a word of the templates, the rarest first; a word that no text has is rarest.
     counts = {r["word"]: r["count"] for r in often.collect()}
-    order = sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
-    place = F.create_map(*(F.lit(x) for i, w in enumerate(order) for x in (w, i)))
-    # Words as their numbers: an array of them is in the order of all words.
-    numbered = sets.select(
-        "template", "label", "demand", F.array_sort(F.transform("notice", lambda w: place[w])).alias("t")
-    ).withColumn("o", F.ceil(F.round(F.size("t") * F.lit(threshold), 9)).cast("int"))
-    index = numbered.select(
-        "template", "label", "demand", "t", "o", F.posexplode(F.slice("t", F.lit(1), F.size("t") - F.col("o") + 1)).alias("i", "word")
+    rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (counts.get(w, 0), w)))}
+    rows = []
+    for s in listed:
+        t = sorted(rank[w] for w in s.t)
+        prefix = t[: len(t) - s.o + 1]
+        rows.append((*s[:4], t, [rank[w] for w in s.must], [rank[w] for w in s.name], prefix))
+    schema = (
+        "template int, label string, reach int, o int, t array<int>, must array<int>, "
+        "name array<int>, prefix array<int>"
+    )
+    index = spark.createDataFrame(rows, schema)
+    first_words = sorted({w for s, r in zip(listed, rows, strict=True) for w in s.t if rank[w] in r[-1]})
+    # A text without a word of any prefix has no template.
+    some = texts.filter(F.arrays_overlap("own", F.array(*(F.lit(w) for w in first_words))))
+    numbers = F.broadcast(spark.createDataFrame(list(rank.items()), "word string, rank int"))
+    held = some.select("doc_id", "text_hash", F.posexplode("own").alias("pos", "word")).join(
+        numbers, "word"
+    )
+    uses = {
+        (rank[w], s.reach, rank[w] in r[-1])
+        for s, r in zip(listed, rows, strict=True)
+        for w in (*s.t, *s.must, *s.name)
+    }
+    by_reach = {}
+    for word, reach, is_first in uses:
+        by_reach[word, reach] = by_reach.get((word, reach), False) or is_first
+    of_reach = spark.createDataFrame(
+        [(*k, v) for k, v in by_reach.items()], "rank int, reach int, is_first boolean"
+    )
+    placed = held.drop("word").join(F.broadcast(of_reach), "rank")
+    last = F.floor(F.col("pos") / F.col("reach")).cast("int")
+    placed = placed.withColumn("window", F.explode(F.sequence(F.greatest(last - 1, F.lit(0)), last)))
+    windows = (
+        placed.groupBy("doc_id", "text_hash", "reach", "window")
+        .agg(
+            F.max("is_first").alias("is_first"),
+            F.array_sort(F.collect_set("rank")).alias("b"),
+            F.collect_set(F.struct("pos", "rank")).alias("places"),
+        )
+        .filter("is_first")
+        .drop("is_first")
     )
-    least = min(math.ceil(round(len(r["notice"]) * threshold, 9)) for r in sets.collect())
-    blocks = held.filter(F.size("held") >= least).select(
-        "doc_id", "text_hash", "line", "said", F.array_sort(F.transform("held", lambda w: place[w])).alias("b")
+    windows = staged(windows, "windows")
+    entries = index.select(
+        "template", "label", "reach", "o", "t", "must", "name", F.posexplode("prefix").alias("i", "word")
     )
-    prefix = F.slice("b", F.lit(1), F.size("b") - least + 1)
-    firsts = blocks.select("*", F.posexplode(prefix).alias("j", "word"))
+    firsts = windows.select("*", F.posexplode("b").alias("j", "word"))
     rest = F.least(F.size("t") - F.col("i"), F.size("b") - F.col("j"))
-    shared = F.size(F.array_intersect("t", "b"))
-    pairs = firsts.join(F.broadcast(index), "word").filter(
+    pairs = firsts.join(F.broadcast(entries), ["reach", "word"]).filter(
         (F.size("b") >= F.col("o")) & (F.col("j") <= F.size("b") - F.col("o")) & (rest >= F.col("o"))
     )
+    common = F.array_intersect("t", "b")
     # A pair may share more words of its prefixes; the first of them stands for it.
-    at_first = F.array_min(F.array_intersect("t", "b")) == F.col("word")
-    found = pairs.filter(at_first & (shared >= F.col("o")))
-    if demands:
-        found = found.filter(F.regexp_like("said", F.col("demand")))
-    return (
-        found
-        .withColumn("score", shared / F.size("t"))
-        .select("doc_id", "text_hash", "line", "template", "label", "score")
+    found = pairs.filter((F.array_min(common) == F.col("word")) & (F.size(common) >= F.col("o")))
+    found = found.filter((F.size(F.array_except("must", "b")) == 0) & _stands())
+    return _largest(found.withColumn("common", common)).select(
+        "doc_id",
+        "text_hash",
+        "reach",
+        "window",
+        "template",
+        "label",
+        (F.size("common") / F.size("t")).alias("score"),
     )
 
 
-def _held(docs: DataFrame, vocabulary: list[str], demands: set[str], reach: int | None) -> DataFrame:
-    """Blocks of each text and the words of the vocabulary that they have, written once.
+def _stands() -> Column:
+    """The words of `name` follow each other somewhere in the window."""
+    begins = F.filter("places", lambda x: x["rank"] == F.get("name", F.lit(0)))
 
-    Lines, or windows of two reaches, of which only those that meet a demand are kept, with their
-    words as `said`.
-    """
-    listed = F.array(*(F.lit(w) for w in vocabulary))
-    if reach is None:
-        lines = F.split(words(F.col("text"), IN_LINE), "\n")
-        own, said = F.split(ascii_lower(F.col("col")), " "), F.lit(None).cast("string")
-        each = docs.select(
-            "doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(lines).alias("line", "col")
-        )
-    else:
-        met = F.lit("|".join(sorted(demands)))
-        text = F.concat(ascii_lower(words(F.col("text"))), F.lit(". "))
-        # In an array of one, so that the text is split once and not for each window.
-        windows = F.transform(
-            F.array(F.split(F.btrim(text, F.lit(" ")), " ")),
-            lambda w: F.transform(
-                F.sequence(F.lit(0), F.size(w) - 1, F.lit(reach)),
-                lambda i: F.slice(w, i + 1, 2 * reach),
-            ),
-        )
-        own, said = F.col("col"), F.concat(F.lit(" "), F.array_join("col", " "), F.lit(" "))
-        each = (
-            docs.filter(F.regexp_like(text, met))
-            .select(
-                "doc_id",
-                F.xxhash64("text").alias("text_hash"),
-                F.posexplode(windows[0]).alias("line", "col"),
-            )
-            .filter(F.regexp_like(said, met))
+    def whole(x: Column) -> Column:
+        follow = F.transform(
+            F.col("name"),
+            lambda w, k: F.struct((x["pos"] + k).alias("pos"), w.alias("rank")),
         )
-    held = each.select(
-        "doc_id", "text_hash", "line", said.alias("said"), F.array_intersect(own, listed).alias("held")
+        return F.size(F.array_except(follow, F.col("places"))) == 0
+
+    return (F.size("name") == 0) | F.exists(begins, whole)
+
+
+def _largest(found: DataFrame) -> DataFrame:
+    """Without templates that share less in a window than another one that has all these words."""
+    others = F.collect_set("common").over(
+        Window.partitionBy("doc_id", "text_hash", "reach", "window")
+    )
+    within = F.exists(
+        "others",
+        lambda x: (F.size(x) > F.size("common")) & (F.size(F.array_except("common", x)) == 0),
     )
-    return staged(held.filter(F.size("held") > 0), "lines")
+    return found.withColumn("others", others).filter(~within)
 
 
 def labelled(
     docs: DataFrame,
     labels: Mapping[str, str] = PHRASES,
-    templates: Mapping[str, Iterable[str]] = TEMPLATES,
+    templates: Iterable[Template] = TEMPLATES,
     threshold: float = THRESHOLD,
-    demands: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """`doc_id`, what `phrases` finds, all `labels` (an array) and `score`, the best block's."""
+    """`doc_id`, what `phrases` finds, all `labels` (an array) and `score`, the best window's."""
     texts = docs.select("doc_id", "text")
     found = (
-        scan(texts, templates, threshold, demands=demands)
+        scan(texts, templates, threshold)
         .groupBy(F.col("doc_id").alias("of_id"), F.col("text_hash").alias("of_hash"))
         .agg(F.collect_set("label").alias("found"), F.max("score").alias("best"))
     )

@@ -82,7 +82,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licenses.labelled(_table(spark, sf_dir, "documents"), demands=licenses.DEMANDS)
+    found = licenses.labelled(_table(spark, sf_dir, "documents"))
     joined = {c: F.array_join(c, ",") for c in ("base_labels", "labels")}
     return found.withColumns(joined)
 
@@ -204,10 +204,10 @@ def _license_sql() -> str:
         for p, label in licenses.PHRASES.items()
     )
     rows = ", ".join(
-        f"('{label}', '{notice}')"
-        for label, notices in licenses.TEMPLATES.items()
-        for notice in notices
+        f"({x.template}, '{x.label}', {x.reach}, {x.o}, {list(x.t)}, {list(x.must)}::VARCHAR[], ' {' '.join(x.name)} ')"
+        for x in licenses.sought()
     )
+    vocabulary = sorted({w for x in licenses.sought() for w in (*x.t, *x.must, *x.name)})
 
     def words(text: str) -> str:
         lower = f"translate({text}, '{_UPPER}', '{_LOWER}')"
@@ -215,20 +215,29 @@ def _license_sql() -> str:
         return f"list_filter(string_split_regex({lower}, '{between}'), lambda x: x <> '')"
 
     return f"""
-    WITH d AS (SELECT doc_id, {words("coalesce(text, '')")} AS w,
-            string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    WITH d AS (SELECT doc_id, {words("coalesce(text, '')")} AS w FROM documents),
     b AS (
-        SELECT doc_id, w, lines, list_filter(range(1, len(w) + 1), lambda i: {places}) AS places,
+        SELECT doc_id, w, list_filter(range(1, len(w) + 1), lambda i: {places}) AS places,
             list_filter([{base}], lambda x: x IS NOT NULL) AS base_labels
         FROM d
-    ), t(label, notice) AS (VALUES {rows}),
-    templates AS (SELECT label, list_distinct({words("notice")}) AS t FROM t),
-    blocks AS (
-        SELECT doc_id, {words("line")} AS b
-        FROM (SELECT doc_id, unnest(lines) AS line FROM d WHERE len(w) > 0)
+    ), templates(template, label, reach, o, t, must, name) AS (VALUES {rows}),
+    windows AS (
+        SELECT *, list_intersect(b, {vocabulary}) AS v FROM (
+            SELECT doc_id, reach, nth, w[nth * reach + 1:(nth + 2) * reach] AS b FROM (
+                SELECT doc_id, w, reach, unnest(range(0, (len(w) - 1) // reach + 1)) AS nth
+                FROM d, (SELECT DISTINCT reach FROM templates) WHERE len(w) > 0
+            )
+        )
+    ), pairs AS (
+        SELECT doc_id, x.reach, nth, label, list_sort(list_intersect(t, v)) AS common, len(t) AS size
+        FROM windows x JOIN templates y ON x.reach = y.reach AND len(v) >= o
+        WHERE len(list_intersect(t, v)) >= o AND len(list_intersect(must, v)) = len(must)
+            AND (name = '  ' OR contains(' ' || array_to_string(b, ' ') || ' ', name))
     ), found AS (
-        SELECT doc_id, label, len(list_intersect(t, b)) / len(t) AS score
-        FROM blocks, templates WHERE len(list_intersect(t, b)) >= {licenses.THRESHOLD} * len(t)
+        SELECT doc_id, label, len(common) / size AS score FROM pairs p WHERE NOT EXISTS (
+            SELECT 1 FROM pairs q WHERE q.doc_id = p.doc_id AND q.reach = p.reach AND q.nth = p.nth
+                AND len(q.common) > len(p.common)
+                AND len(list_intersect(p.common, q.common)) = len(p.common))
     ), labels AS (
         SELECT doc_id, list(DISTINCT label) AS found, max(score) AS score FROM found GROUP BY doc_id
     )

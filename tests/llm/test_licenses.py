@@ -1,11 +1,11 @@
-import math
+import random
 import re
 import textwrap
 
 import pytest
 from pyspark.sql import functions as F
 
-from scdflow.llm import licenses
+from scdflow.llm import license_texts, licenses
 from scdflow.llm.queries import ORACLE_SQL, op7_license_scans
 
 from .helpers import LOWER, documents, table, write_tables
@@ -15,7 +15,16 @@ def words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
 
 
-def brute(text, phrases=licenses.PHRASES, templates=licenses.TEMPLATES, threshold=0.8):
+def templates_of(listed=license_texts.TEMPLATES, threshold=0.8):
+    for label, text, name, must in listed:
+        own = words(text)
+        reach = 8
+        while reach < round(len(own) / threshold, 9):
+            reach *= 2
+        yield label, set(own), words(name), set(words(must)), reach, threshold
+
+
+def brute(text, phrases=licenses.PHRASES, templates=tuple(templates_of())):
     own = words(text)
     places, base = [], set()
     for i in range(len(own)):
@@ -25,14 +34,22 @@ def brute(text, phrases=licenses.PHRASES, templates=licenses.TEMPLATES, threshol
                 places.append(i)
                 base.add(label)
     found, best = set(), 0.0
-    for line in (text or "").split("\n"):
-        block = set(words(line))
-        for label, notices in templates.items():
-            for notice in notices:
-                t = set(words(notice))
-                if len(t & block) >= math.ceil(round(threshold * len(t), 9)):
+    for reach in {t[4] for t in templates}:
+        for first in range(0, len(own), reach):
+            window = own[first : first + 2 * reach]
+            block, pairs = set(window), []
+            for label, t, name, must, of, threshold in templates:
+                common = t & block
+                if of != reach or len(common) < round(threshold * len(t), 9) or not must <= block:
+                    continue
+                n = len(name)
+                if n and not any(window[i : i + n] == name for i in range(len(window))):
+                    continue
+                pairs.append((label, common, len(common) / len(t)))
+            for label, common, score in pairs:
+                if not any(common < other for _, other, _ in pairs):
                     found.add(label)
-                    best = max(best, len(t & block) / len(t))
+                    best = max(best, score)
     first, last = (places[0], places[-1]) if places else (None, None)
     return len(own), len(places), first, last, sorted(base), sorted(base | found), best
 
@@ -52,11 +69,33 @@ LINES = [
 ]
 
 
-def test_against_all_pairs(spark):
+def varied(n):
+    """License texts with words put in, left out and moved, among words that many of them have."""
+    rng = random.Random(n)
+    common = "the of software license and 2 version to use public mit copy bsd in gnu 3".split()
+    texts = []
+    for _ in range(n):
+        own = []
+        for t in rng.sample(license_texts.TEMPLATES, 3):
+            own += rng.choices(common, k=rng.randrange(20))
+            notice = t.text.split()
+            for _ in range(rng.randrange(1 + len(notice) // 6)):
+                at = rng.randrange(len(notice))
+                change = rng.randrange(3)
+                word = notice.pop(at) if change and len(notice) > 1 else "inserted"
+                if change != 1:
+                    notice.insert(rng.randrange(len(notice) + 1), word)
+            own += notice
+        texts.append(rng.choice([" ", "\n * "]).join(own))
+    return texts
+
+
+def test_against_all_windows(spark):
     texts = [None, "", "\n", *LINES, "\n".join(LINES), " ".join(LINES), "x " * 200_000 + LINES[0]]
     texts += [f"{a}\r\nwords {b}\n\n{a}" for a in LINES for b in LINES[::3]]
+    texts += varied(60)
     docs = documents(spark, texts).withColumns(
-        {"words_": F.lit(1), "line": F.lit("l"), "label": F.lit(2), "text_hash": F.lit(0), "n_words": F.lit(5)}
+        {"words_": F.lit(1), "own": F.lit("l"), "label": F.lit(2), "text_hash": F.lit(0), "rank": F.lit(5)}
     )
     got = {r["doc_id"]: r for r in licenses.labelled(docs).collect()}
     assert len(got) == len(texts)
@@ -64,13 +103,13 @@ def test_against_all_pairs(spark):
         assert brute(text) == result(got[i]), text[:80]
 
 
-@pytest.mark.parametrize(("threshold", "at_once"), [(1.0, 1), (0.5, 3), (0.8, 1000)])
-def test_thresholds(spark, threshold, at_once):
-    docs = documents(spark, LINES)
-    rows = licenses.scan(docs, threshold=threshold, at_once=at_once).collect()
-    assert len({(r["doc_id"], r["line"], r["label"], r["score"]) for r in rows}) <= len(rows)
-    for i, text in enumerate(LINES):
-        want = set(brute(text, {}, threshold=threshold)[5])
+@pytest.mark.parametrize("threshold", [1.0, 0.5])
+def test_thresholds(spark, threshold):
+    texts = [*LINES, *varied(20)]
+    rows = licenses.scan(documents(spark, texts), threshold=threshold).collect()
+    templates = tuple(templates_of(threshold=threshold))
+    for i, text in enumerate(texts):
+        want = set(brute(text, {}, templates)[5])
         assert {r["label"] for r in rows if r["doc_id"] == i} == want
 
 
@@ -111,6 +150,38 @@ def test_each_notice_has_its_own_label(spark, tmp_path):
     assert [got[i] for i in range(len(texts))] == list(NOTICES.values())
 
 
+#: Bodies with a word changed or moved, and short forms.
+SHORT = {
+    license_texts.MIT_BODY.replace("free of charge", "without charge"): "mit",
+    license_texts.MIT_BODY.replace("hereby granted", "granted hereby"): "mit",
+    license_texts.BSD_BODY.replace("source and binary", "binary and source"): "bsd",
+    "Licensed under the Apache License 2.0": "apache-2",
+    "The MIT License (MIT)": "mit",
+    "Apache License v2.0": "apache-2",
+    "GNU General Public License v3.0": "gpl-3",
+    "GPLv3": "gpl-3",
+    "LGPL-3.0": "lgpl-3",
+    "SPDX-License-Identifier: MIT": "mit",
+    "SPDX-License-Identifier: GPL-2.0-or-later": "gpl-2",
+    "SPDX-License-Identifier: Apache-2.0": "apache-2",
+    "mit Lizenz, licensed under the Apache License, Version 2.0": "apache-2",
+    "CC BY-SA 4.0": "cc-by-sa",
+    "Creative Commons Attribution-NonCommercial 4.0 International": "cc-by-nc",
+    license_texts.GNU_HEADER.format("Affero General", 3): "agpl-3",
+    license_texts.GNU_HEADER.format("General", 2): "gpl-2",
+    license_texts.ISC_BODY: "isc",
+    license_texts.ZLIB_BODY: "zlib",
+    license_texts.UNLICENSE_BODY: "unlicense",
+    license_texts.MPL_HEADER: "mpl-2",
+    license_texts.APACHE_HEADER: "apache-2",
+}
+
+
+def test_bodies_and_short_forms(spark):
+    got = {r["doc_id"]: r["labels"] for r in licenses.labelled(documents(spark, list(SHORT))).collect()}
+    assert [",".join(got[i]) for i in range(len(SHORT))] == list(SHORT.values())
+
+
 #: As in files of source code and in license files.
 WRAPPED = {
     "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If": "mpl-2",
@@ -119,8 +190,8 @@ WRAPPED = {
     "Creative Commons\nAttribution-\nShareAlike 4.0 International License": "cc-by-sa",
     "                    GNU AFFERO GENERAL PUBLIC LICENSE\n                       Version 3, 19 November 2007": "agpl-3",
     "Apache License\n   Version 2.0, January 2004": "apache-2",
-    textwrap.fill(licenses.MIT_BODY, 40): "mit",
-    textwrap.fill(licenses.BSD_BODY, 40): "bsd",
+    textwrap.fill(license_texts.MIT_BODY, 40): "mit",
+    textwrap.fill(license_texts.BSD_BODY, 40): "bsd",
     "permission is hereby granted, free of charge, to sit here": "",
 }
 
