@@ -97,3 +97,23 @@ def last_seen(
         .withColumn(name, F.coalesce(name, "value_before"))
         .drop("value_before")
     )
+
+
+def largest_before(
+    rows: DataFrame, key: str, order: str, value: Column, name: str, sliced: bool
+) -> DataFrame:
+    """The largest `value` of the rows ahead of the row."""
+    ahead = (Window.unboundedPreceding, -1)
+    parts = [key, "slice"] if sliced else [key]
+    local = Window.partitionBy(*parts).orderBy(order).rowsBetween(*ahead)
+    found = rows.withColumn(name, F.max(value).over(local))
+    if not sliced:
+        return found
+    before = Window.partitionBy(key).orderBy("slice").rowsBetween(*ahead)
+    per_slice = rows.groupBy(key, "slice").agg(F.max(value).alias("largest"))
+    carried = per_slice.select(key, "slice", F.max("largest").over(before).alias("value_before"))
+    return (
+        found.join(carried, [key, "slice"])
+        .withColumn(name, F.greatest(name, "value_before"))
+        .drop("value_before")
+    )

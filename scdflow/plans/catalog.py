@@ -670,11 +670,12 @@ def pipeline_batches(t: Tables) -> DataFrame:
     came: dict[str, int] = {}
     batches = (first, rest.unionByName(first.filter(F.col("offset") % 10 == 0)))
     for n, batch in enumerate(batches):
-        pipeline.ingest(house, batch, n, AS_OF, t.dates())
+        pipeline.ingest(house, batch, "records", n, AS_OF, t.dates())
         for topic, count in house.record["counts"]["received"].items():
             came[topic] = came.get(topic, 0) + count
     received = t.spark.createDataFrame(sorted(came.items()), "topic string, received bigint")
-    applied = house.appended("applied").groupBy("topic").agg(F.count("*").alias("applied"))
+    held = F.sum(F.col("last") - F.col("first") + 1)
+    applied = house.appended("applied").groupBy("topic").agg(held.alias("applied"))
     filed = house.state("failed_messages").groupBy("topic").agg(F.count("*").alias("filed"))
     loaded = house.appended("fact_orders").agg(
         F.lit(ORDER_ITEMS).alias("topic"), F.count("*").alias("loaded")

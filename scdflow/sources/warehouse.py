@@ -1,29 +1,26 @@
-"""The warehouse as Parquet folders on storage all executors share.
+"""The warehouse as Parquet folders on storage all executors share: append, and resolve on read.
 
-Plain Parquet has no MERGE, so a batch writes new folders and one commit record names
-what is live:
-
-    <table>/batch=<n>/               rows a batch appends (facts, closed versions, addresses)
-    <table>/batch=<n>/bucket=<b>/    state by key; a batch rewrites the buckets it touches
-    commit/batch=<n>/                JSON, written last: live batch of each bucket, last
-                                     batch of each source, highest offset per partition
+    <table>/batch=<n>/               rows that a batch appends
+    <table>/batch=<n>/bucket=<b>/    state by key: the rows of the keys that a batch changed
+    commit/batch=<n>/                JSON, written last: what makes the batch count
     staging/batch=<n>/<name>/        intermediate rows of the batch
 
-Until its commit record is there a batch has no effect, and running it again
-overwrites the same folders. A batch begins from the last commit there is, whoever wrote
-it, and its own commit fails if another came first; batches of two writers must not
-overlap in time.
+A key's state is its row of the latest batch, so a batch writes what it changed and nothing else;
+`compact` writes the state once more and lets readers begin there. Until its commit record is
+there a batch has no effect, and running it again overwrites the same folders. A batch begins
+from the last commit there is, whoever wrote it, and its own commit fails if another came
+first; batches of two writers must not overlap in time.
 """
 
 import datetime
 import json
-from functools import reduce
-from operator import or_
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scdflow.operators.ranges import RANGE
 from scdflow.schemas import DIM_CUSTOMER, DIM_PRODUCT, FAILED_MESSAGE
 
 STATE = {
@@ -43,9 +40,10 @@ APPENDED = {
     "product_id bigint, customer_key bigint, product_key bigint, date_key int, quantity int, "
     "unit_price decimal(10,2), line_total decimal(10,2), order_status string, "
     "created_at timestamp_ntz",
-    "applied": "topic string, partition int, offset bigint",
+    "applied": RANGE,
 }
-
+#: Folders by which the parts of a table are found.
+_FOLDERS = {name: ("bucket", "int") for name in STATE} | {"fact_orders": ("month", "int")}
 
 
 class Warehouse:
@@ -56,82 +54,84 @@ class Warehouse:
             "batch": 0,
             "sources": {},
             "buckets": buckets,
-            "live": {name: {} for name in STATE},
-            "offsets": {},
+            "begins": {},
             "counts": {},
         }
         self.buckets = self.record["buckets"]
 
     def _last_commit(self) -> dict | None:
+        schema = "value string, batch bigint"
         try:
-            commits = self.spark.read.schema("value string, batch bigint").text(
-                f"{self.root}/commit"
-            )
+            # The folders' names tell which one it is; only that one is opened.
+            files = self.spark.read.schema(schema).text(f"{self.root}/commit").inputFiles()
         except AnalysisException:
             return None
-        # The folders' names tell which one it is; only that one is read.
-        last = commits.agg(F.max("batch")).first()[0]
+        last = max((int(n) for f in files for n in re.findall(r"/batch=(\d+)/", f)), default=None)
         if last is None:
             return None
-        return json.loads(commits.filter(F.col("batch") == last).first()["value"])
+        commit = self.spark.read.schema("value string").text(f"{self.root}/commit/batch={last}")
+        return json.loads(commit.first()["value"])
 
     def begin(self) -> "Batch":
         self.record = self._last_commit() or self.record
         return Batch(self)
 
+    def has_applied(self, source: str, number: int) -> bool:
+        """Has this batch of the source been committed, whichever came before and after it?"""
+        return any(a <= number <= b for a, b in self.record["sources"].get(source, []))
+
     def appended(self, name: str) -> DataFrame:
         """All committed rows of an appended table."""
-        if self.record["batch"] == 0:
-            return self.spark.createDataFrame([], APPENDED[name])
-        rows = self.spark.read.schema(APPENDED[name] + ", batch bigint").parquet(
-            f"{self.root}/{name}"
-        )
-        return rows.filter(F.col("batch") <= self.record["batch"]).drop("batch")
+        return self._rows(name, self.record["begins"], self.record["batch"])
 
     def facts(self, since: datetime.date | None = None) -> DataFrame:
         """Order facts, all or from a day on; folders of earlier months are not read."""
-        if since is None or self.record["batch"] == 0:
+        if since is None:
             return self.appended("fact_orders")
-        rows = self.spark.read.schema(
-            APPENDED["fact_orders"] + ", batch bigint, month int"
-        ).parquet(f"{self.root}/fact_orders")
+        rows = self._rows("fact_orders", self.record["begins"], self.record["batch"], keep=True)
         return rows.filter(
-            (F.col("batch") <= self.record["batch"])
-            & (F.col("month") >= since.year * 100 + since.month)
+            (F.col("month") >= since.year * 100 + since.month)
             & (F.col("date_key") >= int(since.strftime("%Y%m%d")))
         ).drop("batch", "month")
 
     def state(self, name: str) -> DataFrame:
-        """All committed rows of a state table."""
-        return self._live(name, self.record["live"][name])
+        """The committed state of each key."""
+        return self._state(name, self.record["begins"], self.record["batch"])
 
     def dimension(self, name: str) -> DataFrame:
         """Current and closed versions."""
         return self.state(name).unionByName(self.appended(f"{name}_closed"))
 
+    def compact(self) -> None:
+        """Write the state of all keys once, from where readers then begin."""
+        batch = self.begin()
+        for name in STATE:
+            batch.upsert(name, self.state(name))
+            batch.begins[name] = batch.number
+        batch.commit()
+
     def bucket_of(self, key) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
-    def _live(self, name: str, live: dict[str, int], only: set[int] | None = None) -> DataFrame:
-        """Rows of the live buckets; a filter on folder names prunes all others."""
-        schema = STATE[name][1]
-        by_batch: dict[int, list[int]] = {}
-        for bucket, batch in live.items():
-            if only is None or int(bucket) in only:
-                by_batch.setdefault(batch, []).append(int(bucket))
-        if not by_batch:
-            return self.spark.createDataFrame([], schema)
-        folder = f"{self.root}/{name}"
-        rows = (
-            self.spark.read.schema(schema + ", batch bigint, bucket int")
-            .option("basePath", folder)
-            .parquet(*[f"{folder}/batch={b}" for b in sorted(by_batch)])
-        )
-        chosen = [
-            (F.col("batch") == batch) & F.col("bucket").isin(*sorted(buckets))
-            for batch, buckets in by_batch.items()
-        ]
-        return rows.filter(reduce(or_, chosen)).drop("batch", "bucket")
+    def _rows(self, name: str, begins: dict, last: int, keep: bool = False) -> DataFrame:
+        """Rows of the batches that count; filters on folder names leave out all others."""
+        ddl = STATE[name][1] if name in STATE else APPENDED[name]
+        folders = [("batch", "bigint"), *([_FOLDERS[name]] if name in _FOLDERS else [])]
+        schema = ", ".join([ddl, *(f"{column} {kind}" for column, kind in folders)])
+        if last == 0:
+            rows = self.spark.createDataFrame([], schema)
+        else:
+            rows = self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+            rows = rows.filter(F.col("batch").between(begins.get(name, 0), last))
+        return rows if keep else rows.drop(*(column for column, _ in folders))
+
+    def _state(self, name: str, begins: dict, last: int, only: set[int] | None = None) -> DataFrame:
+        key, ddl = STATE[name]
+        rows = self._rows(name, begins, last, keep=True)
+        if only is not None:
+            rows = rows.filter(F.col("bucket").isin(*sorted(only)))
+        latest = rows.groupBy(key).agg(F.max_by(F.struct(*_names(ddl)), "batch").alias("latest"))
+        return latest.select("latest.*")
 
 
 class Batch:
@@ -140,7 +140,7 @@ class Batch:
     def __init__(self, warehouse: Warehouse):
         self.warehouse = warehouse
         self.number = warehouse.record["batch"] + 1
-        self.live = {name: dict(live) for name, live in warehouse.record["live"].items()}
+        self.begins = dict(warehouse.record["begins"])
         self.written: set[str] = set()
 
     def keep(self, name: str, rows: DataFrame, *folders: str) -> DataFrame:
@@ -161,48 +161,51 @@ class Batch:
         return {r["b"] for r in rows}
 
     def state(self, name: str, only: set[int] | None = None) -> DataFrame:
-        return self.warehouse._live(name, self.live[name], only)
+        last = self.number if name in self.written else self.number - 1
+        return self.warehouse._state(name, self.begins, last, only)
 
-    def replace(self, name: str, rows: DataFrame, buckets: set[int]) -> None:
-        """Make `rows` the content of `buckets`."""
+    def upsert(self, name: str, rows: DataFrame) -> None:
+        """The new state of some keys, a row each."""
         key, ddl = STATE[name]
-        placed = (
-            rows.select(*_names(ddl))
-            .withColumn("bucket", self.warehouse.bucket_of(key))
-            .hint("rebalance", "bucket")
-        )
-        placed.write.mode("overwrite").partitionBy("bucket").parquet(self._folder(name))
-        self.live[name].update({str(b): self.number for b in buckets})
+        placed = rows.select(*_names(ddl)).withColumn("bucket", self.warehouse.bucket_of(key))
+        self._write(name, placed.hint("rebalance", "bucket"), "bucket")
 
     def append(self, name: str, rows: DataFrame) -> None:
-        writer = rows.select(*_names(APPENDED[name]))
+        rows = rows.select(*_names(APPENDED[name]))
         if name == "fact_orders":
             month = F.floor(F.col("date_key") / 100).cast("int")
-            writer = writer.withColumn("month", month).hint("rebalance", "month")
-            writer = writer.write.mode("overwrite").partitionBy("month")
+            rows = rows.withColumn("month", month).hint("rebalance", "month")
+            self._write(name, rows, "month")
         else:
-            writer = writer.write.mode("overwrite")
-        writer.parquet(self._folder(name))
+            self._write(name, rows)
+
+    def overwrite(self, name: str, rows: DataFrame) -> None:
+        """All rows of an appended table anew: readers begin with this batch."""
+        self.append(name, rows)
+        self.begins[name] = self.number
+
+    def _write(self, name: str, rows: DataFrame, *folders: str) -> None:
+        path = f"{self.warehouse.root}/{name}/batch={self.number}"
+        rows.write.mode("overwrite").partitionBy(*folders).parquet(path)
         self.written.add(name)
 
     def commit(
-        self,
-        source: str | None = None,
-        source_batch: int | None = None,
-        offsets: dict | None = None,
-        counts: dict | None = None,
+        self, source: str | None = None, source_batch: int | None = None, counts: dict | None = None
     ) -> None:
-        """Make the batch count. Tables it did not append to get an empty folder, since a
+        """Make the batch count. Tables it did not write to get an empty folder, since a
         failed run may have left rows there."""
         spark, record = self.warehouse.spark, self.warehouse.record
+        for name in STATE.keys() - self.written:
+            self.upsert(name, spark.createDataFrame([], STATE[name][1]))
         for name in APPENDED.keys() - self.written:
             self.append(name, spark.createDataFrame([], APPENDED[name]))
-        done = {} if source is None else {source: source_batch}
+        sources = dict(record["sources"])
+        if source is not None:
+            sources[source] = _with_number(sources.get(source, []), source_batch)
         new = record | {
             "batch": self.number,
-            "live": self.live,
-            "sources": record["sources"] | done,
-            "offsets": _highest(record["offsets"], offsets or {}),
+            "sources": sources,
+            "begins": self.begins,
             "counts": counts or {},
         }
         # Fails if the number is taken: then another writer's batch came first.
@@ -211,17 +214,16 @@ class Batch:
         ).text(f"{self.warehouse.root}/commit/batch={self.number}")
         self.warehouse.record = new
 
-    def _folder(self, name: str) -> str:
-        return f"{self.warehouse.root}/{name}/batch={self.number}"
-
 
-def _highest(old: dict, new: dict) -> dict:
-    merged = {topic: dict(parts) for topic, parts in old.items()}
-    for topic, parts in new.items():
-        known = merged.setdefault(topic, {})
-        for part, offset in parts.items():
-            known[part] = max(offset, known.get(part, offset))
-    return merged
+def _with_number(runs: list[list[int]], number: int) -> list[list[int]]:
+    """Runs of applied batch numbers with one more; a stream's are one run."""
+    found: list[list[int]] = []
+    for a, b in sorted([*runs, [number, number]]):
+        if found and a <= found[-1][1] + 1:
+            found[-1][1] = max(found[-1][1], b)
+        else:
+            found.append([a, b])
+    return found
 
 
 def _names(ddl: str) -> list[str]:

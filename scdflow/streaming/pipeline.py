@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scdflow.functions import event_time, naive
-from scdflow.operators import dlq, envelope, facts, scd, validate
+from scdflow.operators import dlq, envelope, facts, ranges, scd, validate
 from scdflow.plans import metrics
 from scdflow.schemas import (
     ADDRESS,
@@ -46,7 +46,7 @@ def start(
     def apply(rows: DataFrame, batch_id: int) -> None:
         # The stream's id lies in its checkpoint: batch numbers of another one start anew.
         source = rows.sparkSession.read.text(f"{checkpoint}/metadata").first()[0]
-        ingest(warehouse, rows, batch_id, dates=dates, source=json.loads(source)["id"])
+        ingest(warehouse, rows, json.loads(source)["id"], batch_id, dates=dates)
 
     writer = (
         records.writeStream.foreachBatch(apply)
@@ -61,30 +61,31 @@ def start(
 def ingest(
     warehouse: Warehouse,
     records: DataFrame,
+    source: str,
     source_batch: int,
     now: datetime.datetime | None = None,
     dates: DataFrame | None = None,
-    source: str = "batch",
 ) -> None:
     """Apply one batch of records, unless this batch of this source was committed before.
 
-    Each record is applied, or filed as a failed message, or was applied already; the commit
-    has how many came (`received`) and how many were new (`applied`), by topic.
+    Numbers of a source may come in any order; each is applied once. Each record is applied, or
+    filed as a failed message, or was applied already; the commit has how many came (`received`)
+    and how many were new (`applied`), by topic.
     """
     batch = warehouse.begin()
-    done = warehouse.record["sources"].get(source)
-    if done is not None and source_batch <= done:
+    if warehouse.has_applied(source, source_batch):
         return
     now = now or datetime.datetime.now()
     received = batch.keep("records", records.select(*_names(RECORD)), "topic")
-    new = facts.one_per_address(_unseen(batch, received))
+    known = warehouse.appended("applied")
+    new = facts.one_per_address(_unseen(batch, received, known))
     normalized = batch.keep("normalized", envelope.normalize(new), "topic")
-    batch.append("applied", normalized)
-    offsets, changes, applied = _census(normalized)
+    batch.overwrite("applied", ranges.merged(known.unionByName(ranges.islands(normalized))))
+    changes, applied = _census(normalized)
     rejected = _load(batch, normalized, changes, dates, now) + [_unread(normalized)]
     _file_failures(batch, rejected, now)
     came = {r["topic"]: r["count"] for r in received.groupBy("topic").count().collect()}
-    batch.commit(source, source_batch, offsets, {"received": came, "applied": applied})
+    batch.commit(source, source_batch, {"received": came, "applied": applied})
 
 
 _FAILURE = [*ADDRESS, "timestamp", "value", "error_type", "error_message", "error_stacktrace"]
@@ -99,53 +100,32 @@ def _as_trace() -> Column:
     return F.concat("error_type", F.lit(": "), "error_message")
 
 
-def _unseen(batch: Batch, records: DataFrame) -> DataFrame:
+def _unseen(batch: Batch, records: DataFrame, known: DataFrame) -> DataFrame:
     """Records that were not applied before.
 
-    Those beyond the highest offset of their topic partition were not; one row for each is
-    known. Only what lies below it, late or delivered again, is held against all addresses
-    applied, in its range of offsets.
+    Those beyond the last offset of their topic partition were not; a row for each is known.
+    Only what lies below, late or delivered again, is held against the ranges applied.
     """
-    known = [
-        (topic, int(partition), offset)
-        for topic, parts in batch.warehouse.record["offsets"].items()
-        for partition, offset in parts.items()
-    ]
-    if not known:
-        return records
-    seen = batch.warehouse.spark.createDataFrame(
-        known, "topic string, partition int, applied bigint"
-    )
-    marked = records.join(F.broadcast(seen), ["topic", "partition"], "left")
-    beyond = F.col("applied").isNull() | (F.col("offset") > F.col("applied"))
+    tops = known.groupBy("topic", "partition").agg(F.max("last").alias("top"))
+    marked = records.join(tops, ["topic", "partition"], "left")
+    beyond = F.col("top").isNull() | (F.col("offset") > F.col("top"))
     fresh = marked.filter(beyond).select(*records.columns)
     late = batch.keep("late", marked.filter(~beyond).select(*records.columns))
     first, last = late.agg(F.min("offset"), F.max("offset")).first()
     if first is None:
         return fresh
-    applied = batch.warehouse.appended("applied").filter(F.col("offset").between(first, last))
-    return fresh.unionByName(late.join(applied, ADDRESS, "left_anti").select(*records.columns))
+    near = known.filter((F.col("last") >= first) & (F.col("first") <= last))
+    return fresh.unionByName(ranges.uncovered(late, near).select(*records.columns))
 
 
-def _census(normalized: DataFrame) -> tuple[dict, dict[str, int], dict[str, int]]:
-    """Highest offset per topic partition; changes and records per topic."""
-    offsets: dict[str, dict[str, int]] = {}
-    changes: dict[str, int] = {}
-    records: dict[str, int] = {}
+def _census(normalized: DataFrame) -> tuple[dict[str, int], dict[str, int]]:
+    """Changes and records per topic."""
     rows = (
-        normalized.groupBy("topic", "partition")
-        .agg(
-            F.max("offset").alias("offset"),
-            F.count_if(F.col("outcome") == "change").alias("changes"),
-            F.count("*").alias("records"),
-        )
+        normalized.groupBy("topic")
+        .agg(F.count_if(F.col("outcome") == "change").alias("changes"), F.count("*").alias("records"))
         .collect()
     )
-    for r in rows:
-        offsets.setdefault(r["topic"], {})[str(r["partition"])] = r["offset"]
-        changes[r["topic"]] = changes.get(r["topic"], 0) + r["changes"]
-        records[r["topic"]] = records.get(r["topic"], 0) + r["records"]
-    return offsets, changes, records
+    return {r["topic"]: r["changes"] for r in rows}, {r["topic"]: r["records"] for r in rows}
 
 
 def _load(
@@ -214,9 +194,7 @@ def _apply_dimension(batch: Batch, name: str, changes: DataFrame) -> None:
     placed = known.join(last, F.col(key) == F.col("of_key"))
     is_last = turn == F.col("last")
     batch.append(f"{name}_closed", placed.filter(~is_last))
-    others = state.join(keys, key, "left_anti")
-    newest = placed.filter(is_last).select(*others.columns)
-    batch.replace(name, others.unionByName(newest), touched)
+    batch.upsert(name, placed.filter(is_last))
 
 
 def _apply_orders(batch: Batch, changes: DataFrame) -> None:
@@ -236,12 +214,13 @@ def _apply_orders(batch: Batch, changes: DataFrame) -> None:
         F.struct(*columns, "deleted", "partition", "offset").alias("row"),
     )
     latest = (
-        stored.unionByName(new)
+        stored.join(changes.select("order_id").distinct(), "order_id", "left_semi")
+        .unionByName(new)
         .groupBy("order_id")
         .agg(F.max_by("row", "seq").alias("row"))
         .select("order_id", "row.*")
     )
-    batch.replace("orders", latest, touched)
+    batch.upsert("orders", latest)
 
 
 def _load_facts(
@@ -283,8 +262,9 @@ def _file_failures(batch: Batch, rejected: list[DataFrame], now) -> None:
         "failed_message_id", dlq.message_id()
     )
     touched = batch.buckets(attempts, "failed_message_id")
-    stored = batch.state("failed_messages", touched)
-    batch.replace("failed_messages", dlq.upsert(attempts, stored), touched)
+    ids = attempts.select("failed_message_id").distinct()
+    stored = batch.state("failed_messages", touched).join(ids, "failed_message_id", "left_semi")
+    batch.upsert("failed_messages", dlq.upsert(attempts, stored))
 
 
 def _names(ddl: str) -> list[str]:
@@ -318,17 +298,15 @@ def retry(
         dlq.retry_batch(failed, now, limit) if message is None else dlq.retry_one(failed, message),
     )
     normalized = batch.keep("normalized", envelope.normalize(dlq.records(chosen)), "topic")
-    _, changes, _ = _census(normalized)
+    changes, _ = _census(normalized)
     rejected = _load(batch, normalized, changes, dates, now, revalidate) + [_unread(normalized)]
     errors = _union(rejected).withColumnRenamed("offset", "message_offset")
     outcomes = batch.keep("outcomes", dlq.outcomes(chosen, errors))
     give_up = message is None
     totals = dlq.run_totals(chosen, outcomes, give_up).collect()[0].asDict()
-    touched = batch.buckets(
-        outcomes.withColumn("failed_message_id", dlq.message_id()), "failed_message_id"
-    )
-    stored = batch.state("failed_messages", touched)
-    after = dlq.apply_outcomes(stored, outcomes, now, give_up)
-    batch.replace("failed_messages", after, touched)
+    tried = chosen.select("failed_message_id")
+    touched = batch.buckets(tried, "failed_message_id")
+    stored = batch.state("failed_messages", touched).join(tried, "failed_message_id", "left_semi")
+    batch.upsert("failed_messages", dlq.apply_outcomes(stored, outcomes, now, give_up))
     batch.commit()
     return totals

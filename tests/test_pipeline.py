@@ -123,18 +123,18 @@ def check_second(house):
 
 
 def test_two_batches(spark, house):
-    pipeline.ingest(house, frame(spark, FIRST), 0, NOW)
+    pipeline.ingest(house, frame(spark, FIRST), "batch", 0, NOW)
     check_first(house)
-    pipeline.ingest(house, frame(spark, SECOND), 1, NOW)
+    pipeline.ingest(house, frame(spark, SECOND), "batch", 1, NOW)
     check_second(house)
     # Seen again by a new process, and a batch that is delivered again does nothing.
     again = Warehouse(spark, house.root)
-    pipeline.ingest(again, frame(spark, SECOND), 1, NOW)
+    pipeline.ingest(again, frame(spark, SECOND), "batch", 1, NOW)
     check_second(again)
 
 
 def test_batch_that_failed_before_its_commit(spark, house, monkeypatch):
-    pipeline.ingest(house, frame(spark, FIRST), 0, NOW)
+    pipeline.ingest(house, frame(spark, FIRST), "batch", 0, NOW)
 
     def lost(*_):
         raise RuntimeError("executor lost")
@@ -142,9 +142,9 @@ def test_batch_that_failed_before_its_commit(spark, house, monkeypatch):
     with monkeypatch.context() as m:
         m.setattr(pipeline, "_file_failures", lost)
         with pytest.raises(RuntimeError):
-            pipeline.ingest(house, frame(spark, SECOND), 1, NOW)
+            pipeline.ingest(house, frame(spark, SECOND), "batch", 1, NOW)
     check_first(Warehouse(spark, house.root))
-    pipeline.ingest(Warehouse(spark, house.root), frame(spark, SECOND), 1, NOW)
+    pipeline.ingest(Warehouse(spark, house.root), frame(spark, SECOND), "batch", 1, NOW)
     check_second(Warehouse(spark, house.root))
 
 
@@ -159,7 +159,7 @@ def test_stream_restarts(spark, tmp_path):
 
 
 def test_retry(spark, house):
-    pipeline.ingest(house, frame(spark, FIRST), 0, NOW)
+    pipeline.ingest(house, frame(spark, FIRST), "batch", 0, NOW)
     later = NOW + dt.timedelta(minutes=6)
     assert pipeline.retry(house, NOW) == {"succeeded": 0, "failed": 0, "dead_lettered": 0}
     assert pipeline.retry(house, later) == {"succeeded": 0, "failed": 5, "dead_lettered": 0}
@@ -176,7 +176,7 @@ def test_retry(spark, house):
     third = second + dt.timedelta(minutes=16)
     wider = metrics.dim_date(spark, dt.date(2020, 1, 1), dt.date(2060, 1, 1))
     # The order of item 3 comes before its last attempt.
-    pipeline.ingest(house, frame(spark, SECOND), 1, NOW)
+    pipeline.ingest(house, frame(spark, SECOND), "batch", 1, NOW)
     assert pipeline.retry(house, third, dates=wider) == {
         "succeeded": 2,
         "failed": 0,
@@ -200,7 +200,7 @@ def plan_of(df):
 
 
 def test_retry_of_one_message_never_gives_up(spark, house):
-    pipeline.ingest(house, frame(spark, FIRST), 0, NOW)
+    pipeline.ingest(house, frame(spark, FIRST), "batch", 0, NOW)
     bad = house.state("failed_messages").filter("error_type = 'JSONDecodeError'").collect()[0]
     for n in range(1, 5):
         totals = pipeline.retry(house, NOW, message=bad["failed_message_id"])
@@ -214,7 +214,7 @@ def test_replay_starts_no_earlier_than_the_current_version(spark, house):
         record(CUSTOMERS, 1, customer(1, email="error@x.org", phone="9")),
         record(CUSTOMERS, 2, customer(1)),
     ]
-    pipeline.ingest(house, frame(spark, rows), 0, NOW)
+    pipeline.ingest(house, frame(spark, rows), "batch", 0, NOW)
     pipeline.retry(house, NOW + dt.timedelta(minutes=6), revalidate=False)
     versions = house.dimension("dim_customer").orderBy("version").collect()
     assert [(v["phone"], v["valid_from"], v["is_current"]) for v in versions] == [
@@ -233,9 +233,9 @@ def test_bootstrap_then_changes(spark, house, tmp_path):
     # In two parts; the second one has the lower keys, and so the lower offsets.
     more = rows.withColumn("customer_id", F.lit(7).cast("bigint"))
     pipeline.ingest(
-        house, sources.snapshot_records(more, CUSTOMERS, "customer_id", DAY), 0, NOW, source="snapshot"
+        house, sources.snapshot_records(more, CUSTOMERS, "customer_id", DAY), "snapshot", 0, NOW
     )
-    pipeline.ingest(house, snapshot, 1, NOW, source="snapshot")
+    pipeline.ingest(house, snapshot, "snapshot", 1, NOW)
     folder = str(tmp_path / "in")
     frame(spark, SECOND).coalesce(1).write.parquet(folder)
     stream = sources.file_stream(spark, folder)
@@ -258,8 +258,8 @@ def test_bootstrap_then_changes(spark, house, tmp_path):
 def test_late_offsets_are_applied(spark, house):
     first = [record(CUSTOMERS, 10, customer(1, phone="new")), record(CUSTOMERS, 12, customer(3))]
     late = [record(CUSTOMERS, 9, customer(2)), record(CUSTOMERS, 10, customer(1)), record(CUSTOMERS, 11, raw="{")]
-    pipeline.ingest(house, frame(spark, first), 0, NOW)
-    pipeline.ingest(house, frame(spark, late), 1, NOW)
+    pipeline.ingest(house, frame(spark, first), "batch", 0, NOW)
+    pipeline.ingest(house, frame(spark, late), "batch", 1, NOW)
     assert house.record["counts"] == {"received": {CUSTOMERS: 3}, "applied": {CUSTOMERS: 2}}
     assert keys(house.dimension("dim_customer"), "customer_id", "phone") == [(1, "new"), (2, "1"), (3, "1")]
     assert keys(house.state("failed_messages"), "message_offset") == [(11,)]
@@ -267,9 +267,9 @@ def test_late_offsets_are_applied(spark, house):
 
 def test_two_writers_in_turn(spark, house):
     other = Warehouse(spark, house.root, buckets=4)
-    pipeline.ingest(house, frame(spark, [record(CUSTOMERS, 1, customer(1))]), 0, NOW, source="a")
-    pipeline.ingest(other, frame(spark, [record(CUSTOMERS, 2, customer(2))]), 0, NOW, source="b")
-    pipeline.ingest(house, frame(spark, [record(CUSTOMERS, 3, customer(3))]), 1, NOW, source="a")
+    pipeline.ingest(house, frame(spark, [record(CUSTOMERS, 1, customer(1))]), "a", 0, NOW)
+    pipeline.ingest(other, frame(spark, [record(CUSTOMERS, 2, customer(2))]), "b", 0, NOW)
+    pipeline.ingest(house, frame(spark, [record(CUSTOMERS, 3, customer(3))]), "a", 1, NOW)
     assert keys(Warehouse(spark, house.root).dimension("dim_customer"), "customer_id") == [(1,), (2,), (3,)]
 
 
@@ -284,9 +284,9 @@ def test_a_writer_that_was_overtaken_fails(spark, house):
 def test_a_key_comes_back_no_earlier_than_it_went(spark, house):
     first = [record(CUSTOMERS, 5, customer(1)), record(CUSTOMERS, 8, None, customer(1))]
     back = [record(CUSTOMERS, 6, customer(1, phone="9"))]
-    pipeline.ingest(house, frame(spark, first), 0, NOW)
-    pipeline.ingest(house, frame(spark, back), 1, NOW)
-    pipeline.ingest(house, frame(spark, [record(CUSTOMERS, 9, None, customer(1))]), 2, NOW)
+    pipeline.ingest(house, frame(spark, first), "batch", 0, NOW)
+    pipeline.ingest(house, frame(spark, back), "batch", 1, NOW)
+    pipeline.ingest(house, frame(spark, [record(CUSTOMERS, 9, None, customer(1))]), "batch", 2, NOW)
     went = DAY + dt.timedelta(minutes=8)
     assert keys(house.dimension("dim_customer"), "version", "valid_from", "valid_to", "is_current") == [
         (1, went - dt.timedelta(minutes=3), went, False),
@@ -307,7 +307,7 @@ def test_batches_give_what_one_shot_gives(spark, tmp_path):
     ]
     parts[-1] = parts[-1].unionByName(t.item_records())
     for n, part in enumerate(parts):
-        pipeline.ingest(house, part, n, NOW, dates=t.dates())
+        pipeline.ingest(house, part, "batch", n, NOW, dates=t.dates())
 
     once = envelope.normalize(facts.one_per_address(everything))
     customers = validate.check_customers(envelope.changes_of(once, CUSTOMERS))
@@ -330,3 +330,32 @@ def test_batches_give_what_one_shot_gives(spark, tmp_path):
     )
     assert received == parts[-1].count()
     assert applied == parts[-1].select("topic", "partition", "offset").distinct().count()
+
+
+def test_numbers_in_any_order_lose_nothing(spark, house):
+    """Numbers 5, 3, 3, 5 of one source and equal numbers of another: each is applied once."""
+    batches = [("a", 5, 1), ("a", 3, 2), ("a", 3, 3), ("a", 5, 4), ("b", 5, 5), ("b", 3, 6), ("a", 4, 7)]
+    for source, number, customer_id in batches:
+        rows = frame(spark, [record(CUSTOMERS, customer_id, customer(customer_id))])
+        pipeline.ingest(house, rows, source, number, NOW)
+    assert keys(house.dimension("dim_customer"), "customer_id") == [(1,), (2,), (5,), (6,), (7,)]
+    assert house.record["sources"] == {"a": [[3, 5]], "b": [[3, 3], [5, 5]]}
+    got = keys(house.appended("applied"), "first", "last")
+    assert got == [(1, 2), (5, 7)]
+    with pytest.raises(TypeError):
+        pipeline.ingest(house, frame(spark, []), 1)
+
+
+def test_state_after_compaction(spark, house):
+    pipeline.ingest(house, frame(spark, FIRST), "batch", 0, NOW)
+    house.compact()
+    check_first(house)
+    pipeline.ingest(house, frame(spark, SECOND), "batch", 1, NOW)
+    counts = house.record["counts"]
+    house.compact()
+    house.record["counts"] = counts
+    check_second(house)
+    # Folders of before the compaction are not read.
+    files = house.state("dim_customer")._jdf.queryExecution().executedPlan().toString()
+    assert f"batch#" in files and "PartitionFilters" in files
+    assert house.record["begins"]["dim_customer"] == house.record["batch"]
