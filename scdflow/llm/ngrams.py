@@ -14,9 +14,7 @@ The counts grow with the documents, so no task holds them. They are dealt to sha
 n-gram's hash. Documents are dealt to blocks of bounded text; a block asks each shard for the
 counts of the distinct n-grams that it has, with its own training counts in the same message,
 sorted and packed. A shard adds up the counts of all messages and answers each in its own order.
-Words and pairs are asked for first; the answer also says which of them other blocks have. A
-longer n-gram can stand in another block only if both its parts of one word less do, so of each
-further length only those are asked for; the others have the count that the block gives them. A block has the states and arcs that its texts can
+A block then has the states and arcs that its texts can
 reach, and all its texts are walked through them side by side, each lane carrying its state. A
 long text is several lanes: a state depends on the last words only, so a lane that begins inside
 a text first reads these without weights. A hot n-gram is one entry a message. Rows that are equal
@@ -28,8 +26,9 @@ tokens that were such words are those whose n-gram was seen once. The mu of a le
 add up to the same over all contexts seen twice or more. Shards count contexts by powers of two
 of C, and n-grams seen once, and send both with each answer; so every block has all of them.
 
-N-grams are told apart by 64-bit hashes, of which the lowest bits give way to the length and to
-whether an end is last. Words as in `words.split`, then one end, which is a
+Words are told apart by 64-bit hashes, of which the lowest bits give way to the length and to
+whether an end is last; longer n-grams by as many bits as the texts' size wants for a chance of
+at most 1 in 2^`SPARE` that two are one. Words as in `words.split`, then one end, which is a
 token. A null text has no words, only the end. Rows of the same doc_id are scored each by itself.
 A text is read whole by one task, slice by slice with others; a longer one than a slice comes
 alone, in memory of some hundred times its size.
@@ -38,11 +37,12 @@ alone, in memory of some hundred times its size.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.ipc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,10 +63,12 @@ BLOCK_BYTES = 5_000_000
 MESSAGE_BYTES = 250
 #: Powers of two by which contexts are counted, and bounds of an estimated mu.
 BINS, LEAST_MU, MOST_MU = 48, 1e-3, 1e6
-#: Hashes that a task gathers before it hands them on.
-GATHERED = 2_000_000
-#: Bytes of text that a block works on at once, and tokens of a lane.
-SLICE_BYTES, LANE = 2_500_000, 256
+#: Bytes of text that a task gathers before it packs them by block.
+GATHERED_BYTES = 32_000_000
+#: Bytes of text that a block works on at once; of a block whose slices are kept; tokens of a lane.
+SLICE_BYTES, KEPT_BYTES, LANE = 2_500_000, 8_000_000, 256
+#: Bits of an n-gram's hash beyond those that number the bytes of all texts.
+SPARE = 18
 #: Hashes of the ends of a text, which no word has: words are hashed as they are, these mixed.
 END, BEGIN = np.uint64(0x9AE16A3B2F90404F), np.uint64(0xC949C7DEFABE1EB3)
 
@@ -80,25 +82,20 @@ def score(docs: DataFrame, training: Column, order: int = ORDER, mu: float | Non
     texts = rows.withColumn(
         "block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int")
     )
-    facts = _vocabulary(texts, blocks)
-    # One job: the documents are dealt to their blocks once, for all questions and the reading.
-    dealt = texts.groupBy("block")
-    messages = "shard int, block int, keys binary, counts binary, seen binary, memo binary"
-    told = None
-    for step in range(max(1, order - 1)):
-        ask = _asking(blocks, order, step)
-        if told is None:
-            asked = dealt.applyInArrow(ask, messages)
-        else:
-            asked = dealt.cogroup(told.groupBy("block")).applyInArrow(ask, messages)
-        told = asked.groupBy("shard").applyInArrow(
-            _answering(order), "block int, shard int, counts binary, seen binary, memo binary"
-        )
+    bits = min(64, size.bit_length() + SPARE)
+    # One job: packed documents are dealt to their blocks once, for the questions and the reading.
+    dealt = texts.mapInArrow(_packing, "block int, pack binary").groupBy("block")
+    asked = dealt.applyInArrow(
+        _asking(blocks, order, bits), "shard int, block int, keys binary, counts binary"
+    )
+    told = asked.groupBy("shard").applyInArrow(
+        _answering(order), "block int, shard int, counts binary, seen binary"
+    )
     schema = (
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double, weight long"
     )
-    read = _reading(blocks, order, mu, *facts)
+    read = _reading(blocks, order, bits, mu)
     found = dealt.cogroup(told.groupBy("block")).applyInArrow(read, schema)
     copies = F.explode(F.array_repeat(F.lit(0), F.col("weight").cast("int")))
     return found.withColumn("copy", copies).drop("weight", "copy")
@@ -125,60 +122,36 @@ def _once(rows: DataFrame) -> DataFrame:
     return single.withColumn("weight", F.lit(1).cast("long")).unionByName(merged.select(*columns))
 
 
-def _vocabulary(texts: DataFrame, shards: int) -> tuple[int, int, int]:
-    """Distinct tokens, tokens and documents of the training texts."""
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[np.ndarray] = []
-        tokens = documents = 0
-        for batch in words.sliced(batches):
-            parts = words.split(batch["text"])
-            weight = batch["weight"].to_numpy()
-            tokens += int(((np.diff(parts.starts) + 1) * weight).sum())
-            documents += int(weight.sum())
-            found.append(parts.hashes())
-            if sum(map(len, found)) > GATHERED:
-                found = [np.unique(np.concatenate(found))]
-                if len(found[0]) > GATHERED // 2:
-                    found = [np.unique(np.append(found[0], END))]
-                    yield from _dealt(found[0], shards, tokens, documents)
-                    found, tokens, documents = [], 0, 0
-        if documents:
-            found.append(np.array([END]))
-            yield from _dealt(np.unique(np.concatenate(found)), shards, tokens, documents)
-
-    def distinct(table: pa.Table) -> pa.Table:
-        keys = [_unpacked(x) for x in table["keys"].to_pylist()]
-        return pa.table(
-            {
-                "words": [len(np.unique(np.concatenate(keys)))],
-                "tokens": [sum(table["tokens"].to_pylist())],
-                "documents": [sum(table["documents"].to_pylist())],
-            }
-        )
-
-    made = texts.filter("training").select("text", "weight")
-    made = made.mapInArrow(gather, "shard int, keys binary, tokens long, documents long")
-    sums = made.groupBy("shard").applyInArrow(
-        lambda t: distinct(t), "words long, tokens long, documents long"
+def _packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a block together, compressed: texts shrink far more than in a shuffle's own blocks."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in words.sliced(batches):
+        held.append(batch)
+        size += batch.nbytes
+        if size >= GATHERED_BYTES:
+            yield _packs(held)
+            held, size = [], 0
+    if held:
+        yield _packs(held)
+
+
+def _packs(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    table = pa.Table.from_batches(held).combine_chunks()
+    order = np.argsort(table["block"].to_numpy(), kind="stable")
+    table = table.take(pa.array(order)).combine_chunks()
+    blocks, first = np.unique(table["block"].to_numpy(), return_index=True)
+    rest = table.drop_columns("block")
+    packs = []
+    for low, high in zip(first, [*first[1:], table.num_rows], strict=True):
+        sink = pa.BufferOutputStream()
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        with pa.ipc.new_stream(sink, rest.schema, options=options) as writer:
+            writer.write_table(rest.slice(low, high - low))
+        packs.append(sink.getvalue().to_pybytes())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(blocks.astype(np.int32)), pa.array(packs, pa.binary())], ["block", "pack"]
     )
-    row = sums.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in sums.columns)).first()
-    return tuple(row)
-
-
-def _dealt(keys: np.ndarray, shards: int, tokens: int, documents: int) -> Iterator[pa.RecordBatch]:
-    """Sorted keys by shard; the other numbers go with the first one."""
-    for shard, part in _by_shard(keys, shards):
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([shard], pa.int32()),
-                pa.array([_packed(keys[part])], pa.binary()),
-                pa.array([tokens], pa.int64()),
-                pa.array([documents], pa.int64()),
-            ],
-            ["shard", "keys", "tokens", "documents"],
-        )
-        tokens = documents = 0
 
 
 def _by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, slice]]:
@@ -215,17 +188,32 @@ def _numbers(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1)
 
 
+def _unpacks(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """The rows of a block, about a slice together."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for pack in table["pack"]:
+        for batch in pa.ipc.open_stream(pack.as_buffer()):
+            held.append(batch)
+            size += batch.nbytes
+        if size >= SLICE_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _slices(table: pa.Table) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Rows of bounded text, the hash of each token, an end behind each text, and where each
     text begins."""
-    for batch in words.sliced(table.combine_chunks().to_batches(), limit=SLICE_BYTES):
+    for batch in words.sliced(_unpacks(table), limit=2 * SLICE_BYTES):
         parts = words.split(batch["text"])
         hashes = parts.hashes()[parts.codes] if len(parts.codes) else np.empty(0, np.uint64)
         starts = parts.starts + np.arange(len(parts.starts))
         yield batch, np.insert(hashes, parts.starts[1:], END), starts
 
 
-def _grams(tokens: np.ndarray, starts: np.ndarray, order: int) -> list[np.ndarray]:
+def _grams(tokens: np.ndarray, starts: np.ndarray, order: int, bits: int = 64) -> list[np.ndarray]:
     """For each length, the hash of the n-gram that ends at each token.
 
     A text begins with one `BEGIN`, so its first token has no n-gram of over 2 words, and so on:
@@ -240,10 +228,11 @@ def _grams(tokens: np.ndarray, starts: np.ndarray, order: int) -> list[np.ndarra
         gram = words.chained(shorter + np.uint64(n), tokens)
         gram[place < n - 2] = 0
         grams.append(gram)
-    ended, bits = tokens == END, np.uint64(_tag_bits(order))
+    ended, tag = tokens == END, _tag_bits(order)
+    lost = [np.uint64(max(tag, 64 - bits if n > 1 else 0)) for n in range(1, order + 1)]
     return [
-        np.where(g == 0, g, g >> bits << bits | (np.uint64(2 * i) + ended.astype(np.uint64)))
-        for i, g in enumerate(grams)
+        np.where(g == 0, g, g >> low << low | (np.uint64(2 * i) + ended.astype(np.uint64)))
+        for i, (g, low) in enumerate(zip(grams, lost, strict=True))
     ]
 
 
@@ -251,163 +240,98 @@ def _tag_bits(order: int) -> int:
     return (2 * order - 1).bit_length()
 
 
-def _lengths(step: int, order: int) -> range:
-    """Lengths asked for in a step: words and pairs, then one length at a time."""
-    return range(1, min(order, 2) + 1) if step == 0 else range(step + 2, step + 3)
-
+class _Slice(NamedTuple):
+    """Some texts of a block, and of each length their distinct n-grams."""
 
-def _steps(order: int) -> int:
-    return max(1, order - 1)
+    rows: pa.RecordBatch
+    starts: np.ndarray
+    #: Sorted n-grams, a token where each ends, and of each token the number of that which ends there.
+    keys: list[np.ndarray]
+    first: list[np.ndarray]
+    at: list[np.ndarray]
+    tokens: np.ndarray
 
 
-class _Own(NamedTuple):
-    """A block's distinct n-grams of a step, sorted, and how often its training texts have them."""
+def _sliced(table: pa.Table, order: int, bits: int) -> Iterator[_Slice]:
+    for rows, tokens, starts in _slices(table):
+        found = [_placed(g) for g in _grams(tokens, starts, order, bits)]
+        keys, first, at = (list(x) for x in zip(*found, strict=True))
+        yield _Slice(rows, starts, keys, first, at, tokens)
 
-    keys: np.ndarray
-    taught: np.ndarray
 
+def _placed(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.argsort(grams)
+    in_order = grams[order]
+    new = np.append(True, in_order[1:] != in_order[:-1])
+    at = np.empty(len(grams), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return in_order[new], order[new], at
 
-def _counted(table: pa.Table, order: int, steps: int) -> list[_Own]:
-    found: list[list[_Own]] = [[] for _ in range(steps)]
-    for batch, tokens, starts in _slices(table):
-        weight = batch["weight"].to_numpy() * batch["training"].to_numpy(zero_copy_only=False)
-        taught = np.repeat(weight, np.diff(starts))
-        grams = _grams(tokens, starts, order)
-        for step, parts in enumerate(found):
-            lengths = _lengths(step, order)
-            every = np.concatenate([grams[n - 1] for n in lengths])
-            parts.append(_summed(every, np.tile(taught, len(lengths))))
-    # Slices are merged length by length: what is held are distinct n-grams, not tokens.
-    return [
-        parts[0]
-        if len(parts) == 1
-        else _summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        for parts in found
-    ]
 
+def _distinct(parts: list[np.ndarray]) -> np.ndarray:
+    """Sorted and each once: a plain sort is several times faster than one that keeps places."""
+    every = np.sort(np.concatenate(parts))
+    return every[np.append(True, every[1:] != every[:-1])]
 
-def _summed(keys: np.ndarray, numbers: np.ndarray) -> _Own:
-    own, at = np.unique(keys, return_inverse=True)
-    # A float is exact up to 2 to the 53rd.
-    return _Own(own, np.bincount(at.reshape(-1), weights=numbers, minlength=len(own)))
 
+def _taught(keys: np.ndarray, rows: pa.RecordBatch, starts: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """How often the training texts have each of the sorted n-grams."""
+    weight = rows["weight"].to_numpy() * rows["training"].to_numpy(zero_copy_only=False)
+    by_token = np.repeat(weight, np.diff(starts))
+    found = np.zeros(len(keys))
+    for times in np.unique(weight[weight > 0]):
+        own = np.sort(grams[by_token == times])
+        ends = np.searchsorted(own, keys, "right")
+        found += times * (ends - np.searchsorted(own, keys, "left"))
+    return found
 
-def _may_be_shared(
-    table: pa.Table, order: int, own: list[_Own], elsewhere: np.ndarray
-) -> np.ndarray:
-    """Of the last step's n-grams, those whose two parts other blocks have too.
 
-    An n-gram's first part ends a token earlier; both parts are n-grams of the step before.
-    """
-    n = _lengths(len(own) - 1, order)[0]
-    before, last = own[-2], own[-1]
-    shared = np.zeros(len(last.keys), bool)
-    for _, tokens, starts in _slices(table):
-        grams = _grams(tokens, starts, order)
-        ended = elsewhere[np.searchsorted(before.keys, grams[n - 2])]
-        both = ended & np.append(False, ended[:-1]) & (grams[n - 1] != 0)
-        shared[np.searchsorted(last.keys, grams[n - 1][both])] = True
-    return shared
-
-
-def _asking(shards: int, order: int, step: int) -> Callable:
-    def ask(table: pa.Table, answers: pa.Table | None = None) -> pa.Table:
-        block = table["block"][0].as_py()
-        own = _counted(table, order, step + 1)
-        keys, taught = own[-1]
-        seen = memo = None
-        if answers is not None:
-            known, elsewhere, seen_before = _told(answers, own[:-1], shards, order)
-            shared = _may_be_shared(table, order, own, elsewhere)
-            seen = _squeezed(_seen(keys[~shared], taught[~shared], order).reshape(-1))
-            memo = _noted(known, shared, seen_before)
-            keys, taught = keys[shared], taught[shared]
+def _asking(shards: int, order: int, bits: int) -> Callable:
+    def ask(table: pa.Table) -> pa.Table:
+        parts: list[np.ndarray] = []
+        counts: list[np.ndarray] = []
+        for batch, tokens, starts in _slices(table):
+            for grams in _grams(tokens, starts, order, bits):
+                parts.append(_distinct([grams]))
+                counts.append(_taught(parts[-1], batch, starts, grams))
+        keys = _distinct(parts)
+        taught = np.zeros(len(keys))
+        for own, count in zip(parts, counts, strict=True):
+            taught[np.searchsorted(keys, own)] += count
         rows = [
             (shard, _packed(keys[part]), _squeezed(taught[part]))
             for shard, part in _by_shard(keys, shards)
         ]
         shard, packed, counted = zip(*rows, strict=True)
-        # What the block keeps for itself, and tells all of n-grams that it alone has.
-        with_one = [block % shards == x for x in shard]
+        block = [table["block"][0].as_py()] * len(rows)
         return pa.table(
             {
                 "shard": pa.array(shard, pa.int32()),
-                "block": pa.array([block] * len(rows), pa.int32()),
+                "block": pa.array(block, pa.int32()),
                 "keys": pa.array(packed, pa.binary()),
                 "counts": pa.array(counted, pa.binary()),
-                "seen": pa.array([seen if x else None for x in with_one], pa.binary()),
-                "memo": pa.array([memo if x else None for x in with_one], pa.binary()),
             }
         )
 
-    def ask_first(table: pa.Table) -> pa.Table:
-        return ask(table)
-
-    return ask_first if step == 0 else ask
-
-
-def _noted(known: list[np.ndarray], shared: np.ndarray, seen: np.ndarray) -> bytes:
-    """Counts of the steps so far, which n-grams are asked for now, and what shards have seen."""
-    parts = [_squeezed(x) for x in known]
-    parts += [_squeezed(shared.astype(np.int64)), _squeezed(seen.reshape(-1))]
-    return b"".join(len(x).to_bytes(8, "little") + x for x in parts)
-
-
-def _read_note(memo: bytes) -> list[np.ndarray]:
-    parts, at = [], 0
-    while at < len(memo):
-        size = int.from_bytes(memo[at : at + 8], "little")
-        parts.append(_numbers(memo[at + 8 : at + 8 + size]))
-        at += 8 + size
-    return parts
-
-
-def _told(
-    answers: pa.Table, own: list[_Own], shards: int, order: int
-) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Counts of the block's n-grams in each step, which of the last other blocks have too, and
-    what all shards have seen."""
-    told = dict(zip(answers["shard"].to_pylist(), answers["counts"].to_pylist(), strict=True))
-    seen = np.sum([_numbers(x).astype(float) for x in answers["seen"].to_pylist()], axis=0)
-    seen = seen.reshape(order, -1)
-    known: list[np.ndarray] = []
-    counts = own[-1].taught.copy()
-    asked = np.ones(len(counts), bool)
-    if notes := [x for x in answers["memo"].to_pylist() if x is not None]:
-        *known, shared, seen_before = _read_note(notes[0])
-        asked = shared.astype(bool)
-        seen = seen + seen_before.astype(float).reshape(order, -1)
-    elsewhere = np.zeros(len(counts), bool)
-    places = np.flatnonzero(asked)
-    for shard, part in _by_shard(own[-1].keys[places], shards):
-        numbers = _numbers(told[shard])
-        counts[places[part]] = numbers >> np.uint64(1)
-        elsewhere[places[part]] = numbers & np.uint64(1)
-    counts[own[-1].keys == 0] = 0
-    return [*known, counts], elsewhere, seen
+    return ask
 
 
 def _answering(order: int) -> Callable:
     def answer(table: pa.Table) -> pa.Table:
         keys = [_unpacked(x) for x in table["keys"].to_pylist()]
-        counts = [_numbers(x) for x in table["counts"].to_pylist()]
-        every, at = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(at, weights=np.concatenate(counts), minlength=len(every))
-        # A count, and in its lowest bit whether several blocks have the n-gram.
-        several = np.bincount(at, minlength=len(every)) > 1
-        told = (2 * total + several)[at]
-        ends = np.cumsum([len(k) for k in keys])[:-1]
-        seen = _seen(every, total, order).reshape(-1)
-        for alone in table["seen"].to_pylist():
-            if alone is not None:
-                seen = seen + _numbers(alone)
+        every = _distinct(keys)
+        places = [np.searchsorted(every, k) for k in keys]
+        # A float is exact up to 2 to the 53rd.
+        total = np.zeros(len(every))
+        for at, count in zip(places, table["counts"].to_pylist(), strict=True):
+            total[at] += _numbers(count)
+        seen = _squeezed(_seen(every, total, order).reshape(-1))
         return pa.table(
             {
                 "block": table["block"],
                 "shard": table["shard"],
-                "counts": pa.array([_squeezed(a) for a in np.split(told, ends)], pa.binary()),
-                "seen": pa.array([_squeezed(seen)] * len(keys), pa.binary()),
-                "memo": table["memo"],
+                "counts": pa.array([_squeezed(total[at]) for at in places], pa.binary()),
+                "seen": pa.array([seen] * len(keys), pa.binary()),
             }
         )
 
@@ -415,9 +339,12 @@ def _answering(order: int) -> Callable:
 
 
 def _seen(keys: np.ndarray, total: np.ndarray, order: int) -> np.ndarray:
-    """A row a length: contexts by powers of two of their counts, the sums of these, n-grams seen once."""
+    """A row a length: contexts by powers of two of their counts, the sums of these, n-grams seen
+    once; and a row of the distinct tokens, all tokens and the documents."""
     tags = (keys & np.uint64((1 << _tag_bits(order)) - 1)).astype(np.int64)
-    found = np.zeros((order, 2 * BINS + 1))
+    found = np.zeros((order + 1, 2 * BINS + 1))
+    tokens = (tags >> 1 == 0) & (keys != 0) & (total > 0)
+    found[order, :3] = tokens.sum(), total[tokens].sum(), total[tokens & (tags & 1 == 1)].sum()
     for i in range(order):
         own = (tags >> 1 == i) & (keys != 0) & (total > 0)
         # Nothing follows an end.
@@ -469,15 +396,16 @@ class _Automaton(NamedTuple):
 
 
 def _automaton(
-    grams: list[np.ndarray],
+    own: _Slice,
     counts: list[np.ndarray],
-    place: np.ndarray,
     mus: list[float],
     root_chance: Callable[[np.ndarray], np.ndarray],
     documents: int,
 ) -> _Automaton:
-    """From the n-gram of each length that ends at each token, and its count."""
-    order = len(grams)
+    """From the distinct n-grams of a slice and the counts of each."""
+    order = len(own.keys)
+    begins = np.zeros(len(own.tokens), bool)
+    begins[own.starts[:-1]] = True
     begin = 1 if documents and order > 1 else 0
     states = 1 + begin
     fail_weight, fail_to = [np.zeros(states)], [np.zeros(states, np.int64)]
@@ -489,37 +417,36 @@ def _automaton(
     shorter_state = shorter_chance = word = None
     n_words = 0
     for n in range(1, order + 1):
-        _, first, at = np.unique(grams[n - 1], return_index=True, return_inverse=True)
-        at, count = at.reshape(-1), counts[n - 1][first]
-        ended = grams[0][first] == END
-        own = np.flatnonzero((count > 0) & ~ended & (grams[n - 1][first] != 0))
+        first, at, count = own.first[n - 1], own.at[n - 1], counts[n - 1]
+        ended = own.tokens[first] == END
+        contexts = np.flatnonzero((count > 0) & ~ended)
         state = np.zeros(len(first), np.int64)
         if n < order:
-            state[own] = states + np.arange(len(own))
+            state[contexts] = states + np.arange(len(contexts))
         if n == 1:
             word, n_words = at, len(first)
             chance = root_chance(count)
             made = np.arange(len(first))
             source = np.zeros(len(first), np.int64)
-            down = np.zeros(len(own), np.int64)
+            down = np.zeros(len(contexts), np.int64)
         else:
             # An n-gram's context ends a token earlier; that of a text's first one is its begin.
-            made = np.flatnonzero((count > 0) & (grams[n - 1][first] != 0))
+            made = np.flatnonzero(count > 0)
             token = first[made]
-            source = np.where(place[token] == 0, begin, shorter_state[token - 1])
+            source = np.where(begins[token], begin, shorter_state[token - 1])
             lower = shorter_chance[token]
             chance = np.zeros(len(first))
             chance[made] = (count[made] + mus[n - 2] * lower) / (seen_as_state[source] + mus[n - 2])
-            down = shorter_state[first[own]]
+            down = shorter_state[first[contexts]]
         arcs.append(source * n_words + word[first[made]])
         weights.append(np.log10(chance[made]))
         reached = state[made] if n < order else (shorter_state[first[made]] if n > 1 else 0 * made)
         targets.append(np.where(ended[made], 0, reached))
         if n < order:
             fail_to.append(down)
-            fail_weight.append(np.log10(mus[n - 1] / (count[own] + mus[n - 1])))
-            seen_as_state = np.append(seen_as_state, count[own])
-            states += len(own)
+            fail_weight.append(np.log10(mus[n - 1] / (count[contexts] + mus[n - 1])))
+            seen_as_state = np.append(seen_as_state, count[contexts])
+            states += len(contexts)
         shorter_state, shorter_chance = state[at], chance[at]
     arcs_by = np.concatenate(arcs)
     order_by = np.argsort(arcs_by)
@@ -577,37 +504,43 @@ def _step(auto: _Automaton, state: np.ndarray, word: np.ndarray) -> tuple[np.nda
 
 
 def _reading(
-    shards: int, order: int, mu: float | None, vocabulary: int, tokens_seen: int, documents: int
+    shards: int, order: int, bits: int, mu: float | None
 ) -> Callable:
-    def root_chance(counts: np.ndarray) -> np.ndarray:
-        return (counts + ADDED) / (tokens_seen + ADDED * (vocabulary + 1))
-
     def read(table: pa.Table, answers: pa.Table) -> pa.Table:
-        own = _counted(table, order, _steps(order))
-        known, _, seen = _told(answers, own, shards, order)
-        mus = estimated(seen, documents) if mu is None else [mu] * (order - 1)
-        step_of = {n: step for step in range(_steps(order)) for n in _lengths(step, order)}
+        # A small block's slices are made once, those of a large one again.
+        slices: Iterable[_Slice] = list(_sliced(table, order, bits)) if table.nbytes < KEPT_BYTES else ()
+        keys = _distinct([k for x in slices or _sliced(table, order, bits) for k in x.keys])
+        told = dict(zip(answers["shard"].to_pylist(), answers["counts"].to_pylist(), strict=True))
+        known = np.zeros(len(keys))
+        for shard, part in _by_shard(keys, shards):
+            known[part] = _numbers(told[shard])
+        known[keys == 0] = 0
+        seen = sum(_numbers(x).astype(float) for x in answers["seen"].to_pylist()).reshape(order + 1, -1)
+        vocabulary, tokens_seen, documents = (int(x) for x in seen[order, :3])
+        mus = estimated(seen[:order], documents) if mu is None else [mu] * (order - 1)
+
+        def root_chance(counts: np.ndarray) -> np.ndarray:
+            return (counts + ADDED) / (tokens_seen + ADDED * (vocabulary + 1))
+
         parts = []
-        for batch, tokens, starts in _slices(table):
-            grams = _grams(tokens, starts, order)
-            counts = [
-                known[step_of[n]][np.searchsorted(own[step_of[n]].keys, gram)]
-                for n, gram in enumerate(grams, 1)
-            ]
-            place = np.arange(len(tokens)) - np.repeat(starts[:-1], np.diff(starts))
-            plain = [tokens, *grams[1:]]
-            auto = _automaton(plain, counts, place, mus, root_chance, documents)
+        for x in slices or _sliced(table, order, bits):
+            counts = [known[np.searchsorted(keys, own)] for own in x.keys]
+            auto = _automaton(x, counts, mus, root_chance, documents)
+            seen_words = counts[0][x.at[0]]
+            taught = x.rows["training"].to_numpy(zero_copy_only=False)
             parts.append(
                 pa.table(
                     {
-                        "doc_id": batch["doc_id"].cast(pa.int64()),
-                        "held_out": np.logical_not(batch["training"].to_numpy(zero_copy_only=False)),
-                        "n_tokens": np.diff(starts),
-                        "n_known": np.add.reduceat((counts[0] > 0).astype(np.int64), starts[:-1]),
-                        "train_tokens": np.full(batch.num_rows, tokens_seen),
-                        "base_score": np.add.reduceat(np.log10(root_chance(counts[0])), starts[:-1]),
-                        "score": _walk(auto, starts, order),
-                        "weight": batch["weight"],
+                        "doc_id": x.rows["doc_id"].cast(pa.int64()),
+                        "held_out": np.logical_not(taught),
+                        "n_tokens": np.diff(x.starts),
+                        "n_known": np.add.reduceat((seen_words > 0).astype(np.int64), x.starts[:-1]),
+                        "train_tokens": np.full(len(taught), tokens_seen),
+                        "base_score": np.add.reduceat(
+                            np.log10(root_chance(counts[0]))[x.at[0]], x.starts[:-1]
+                        ),
+                        "score": _walk(auto, x.starts, order),
+                        "weight": x.rows["weight"],
                     }
                 )
             )
