@@ -521,6 +521,12 @@ _PIPELINE_BATCHES = f"""
     from received r"""
 
 
+_IN_TIME = (
+    "(o_orderkey is not null and l_shipdate >= o_orderdate "
+    f"and l_shipdate <= o_orderdate + interval {td.WAIT_DAYS} day)"
+)
+
+
 def statements() -> dict[str, str]:
     normalized_customers = _normalized(CUSTOMER_RECORDS)
     normalized_products = _normalized(PRODUCT_RECORDS)
@@ -543,6 +549,26 @@ def statements() -> dict[str, str]:
         "cdc_stream": 'select topic, "partition", count(*) as records, '
         'min("offset") as first_offset, max("offset") as last_offset '
         f'from ({RECORDS}) group by topic, "partition"',
+        "cdc_stream_dedup": 'select topic, "partition", count(*) as records, '
+        'min("offset") as first_offset, max("offset") as last_offset '
+        f'from (select distinct topic, "partition", "offset" from ({ITEM_RECORDS})) group by topic, "partition"',
+        "applied_ranges": f'with a as (select distinct topic, "partition", "offset" as o from ({ITEM_RECORDS})), '
+        'b as (select *, o - row_number() over (partition by topic, "partition" order by o) as island from a) '
+        'select topic, "partition", min(o) as first, max(o) as last from b group by topic, "partition", island',
+        "bootstrap_interleaved": "with " + fold("customer", f"select * from ({CUSTOMER_CHANGES}) where op <> 'r'", '"offset"', '"offset"')
+        + " select customer_id, first_name, last_name, email, phone, city, country from dim_customer "
+        "where is_current",
+        "current_customers_stream": f"{customer} select customer_id, version, valid_from, first_name, "
+        "last_name, email, phone, address, city, country from dim_customer where is_current",
+        "fact_orders_stream_join": "select l_orderkey as order_id, "
+        f"count(*) filter (where {_IN_TIME}) as loaded, count(*) filter (where not {_IN_TIME}) as rejected "
+        "from lineitem left join orders on o_orderkey = l_orderkey and o_orderkey % 17 <> 0 group by 1",
+        "sync_differences": f"with o as ({ORDERS}), c as (select * from ({_feed(td.ORDER_COPY, 'orders')}) "
+        "where order_id % 1009 <> 0) select coalesce(o.order_id, c.order_id) as order_id, "
+        "case when c.order_id is null then 'missing' when o.order_id is null then 'extra' else 'changed' end "
+        "as difference from o full join c on o.order_id = c.order_id where c.order_id is null "
+        "or o.order_id is null or (o.customer_id, o.order_date, o.status, o.total_amount) "
+        "is distinct from (c.customer_id, c.order_date, c.status, c.total_amount)",
         "cdc_decode": f"with {normalized_customers} "
         'select "partition", "offset", "timestamp", kind from normalized',
         "cdc_tombstones": 'select topic, "partition", count(*) as records, '
@@ -655,6 +681,8 @@ def statements() -> dict[str, str]:
         "scd2_integrity_sliced": _INTEGRITY,
         "dim_as_of": f"{customer} select {_CUSTOMER_COLUMNS} from dim_customer "
         "where valid_from <= timestamp '1998-06-15' and timestamp '1998-06-15' < valid_to",
+        "dim_as_of_pruned": f"{customer} select {_CUSTOMER_COLUMNS} from dim_customer "
+        "where valid_from <= timestamp '1998-06-15' and timestamp '1998-06-15' < valid_to",
         "latest_orders": f"with {_LATEST_ORDERS} select * from latest",
         "date_keys": f"select order_id, {_DAY_KEY.format('order_date')} as date_key "
         f"from ({ORDERS})",
@@ -693,6 +721,8 @@ def statements() -> dict[str, str]:
         "failed_upsert_stored": _FAILED_UPSERT,
         "ready_for_retry": f'with {_FAILED} select topic, "partition", message_offset, '
         "error_type, retry_count, max_retries, failed_at, last_retry_at from ready",
+        "retry_due_slots": f'with {_FAILED} select topic, "partition", message_offset, '
+        "error_type, retry_count, max_retries, failed_at, last_retry_at from ready",
         "retry_batch": f'with {_FAILED} select topic, "partition", message_offset, '
         "message_timestamp, message_value, retry_count, max_retries, failed_at from ready "
         'order by failed_at, topic, "partition", message_offset limit 100',
@@ -744,6 +774,10 @@ def statements() -> dict[str, str]:
         "message_timestamp, error_type, error_message, retry_count, max_retries, status, "
         "failed_at, last_retry_at, next_retry_at from failed "
         'order by failed_at desc, topic, "partition", message_offset limit 20 offset 20',
+        "failed_page_deep": f'with {_FAILED} select topic, "partition", message_offset, '
+        "message_timestamp, error_type, error_message, retry_count, max_retries, status, "
+        "failed_at, last_retry_at, next_retry_at from failed "
+        'order by failed_at desc, topic, "partition", message_offset limit 10 offset 290',
         "failed_page_pending": f'with {_FAILED} select topic, "partition", message_offset, '
         "message_timestamp, error_type, error_message, retry_count, max_retries, status, "
         "failed_at, last_retry_at, next_retry_at from failed where status = 'pending' "
@@ -770,6 +804,10 @@ def statements() -> dict[str, str]:
         "dayname(order_date) as day_of_week from plain "
         "where order_date >= timestamp '2001-08-01' - interval 30 day "
         "group by cast(order_date as date), dayname(order_date)",
+        "daily_revenue_incremental": f"with {_LOADED} {_revenue_by('cast(order_date as date)', 'date')}, "
+        "dayname(order_date) as day_of_week from plain "
+        "where order_date >= timestamp '2001-08-01' - interval 30 day "
+        "group by cast(order_date as date), dayname(order_date)",
         "revenue_by_grain": f"with {_LOADED} "
         f"{_revenue_by(_PERIOD.format('month'), 'period')} from plain group by 1",
         "revenue_by_week": f"with {_LOADED} "

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scdflow.functions import date_key, margin, money, naive
-from scdflow.operators import dlq, envelope, facts, scd, validate
+from scdflow.operators import bootstrap, dlq, envelope, facts, ranges, scd, timetree, validate
 from scdflow.plans import history, metrics, monitoring, sync
 from scdflow.schemas import (
     ADDRESS,
@@ -24,9 +24,17 @@ from scdflow.schemas import (
 )
 from scdflow.sources.records import file_stream, with_epoch_time
 from scdflow.sources.shared import new_folder, staged
-from scdflow.sources.testdata import CUSTOMER_SNAPSHOT, Tables
+from scdflow.sources.testdata import (
+    CUSTOMER_CHANGES,
+    CUSTOMER_SNAPSHOT,
+    ORDER_COPY,
+    WAIT_DAYS,
+    WAITING_ITEMS,
+    WAITING_ORDERS,
+    Tables,
+)
 from scdflow.sources.warehouse import Warehouse
-from scdflow.streaming import pipeline
+from scdflow.streaming import pipeline, stateful
 
 AS_OF = datetime.datetime(2024, 1, 31)
 REVENUE_DAY = datetime.date(2001, 8, 1)
@@ -101,6 +109,39 @@ def cdc_stream(t: Tables) -> DataFrame:
     return _by_partition(spark.read.schema(RECORD).parquet(f"{folder}/out"))
 
 
+def _streamed(stream: DataFrame, folder: str, name: str = "out") -> None:
+    """One run of a stream over all there is, into `folder/out`; a later one goes on from there."""
+    writer = stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/check-{name}")
+    writer.trigger(availableNow=True).start(f"{folder}/{name}").awaitTermination()
+
+
+def _folder_stream(spark, like: DataFrame, folder: str) -> DataFrame:
+    return spark.readStream.schema(like.schema).parquet(folder)
+
+
+def cdc_stream_dedup(t: Tables) -> DataFrame:
+    """Item records in waves of two years, each with a part of the wave before again."""
+    folder, records = new_folder(t.spark, "dedup"), t.item_records()
+    year = F.year("timestamp")
+    for first in range(1992, 2003, 2):
+        wave = records.filter((year >= first) & (year < first + 2))
+        again = records.filter((year >= first - 2) & (year < first) & (F.col("offset") % 10 == 0))
+        wave.unionByName(again).write.mode("append").parquet(f"{folder}/in")
+        _streamed(stateful.once(_folder_stream(t.spark, records, f"{folder}/in"), "1500 days"), folder)
+    return _by_partition(t.spark.read.schema(RECORD).parquet(f"{folder}/out"))
+
+
+def applied_ranges(t: Tables) -> DataFrame:
+    """Ranges of the offsets of item records, merged from three batches that come out of order."""
+    records = t.item_records()
+    held = t.spark.createDataFrame([], ranges.RANGE)
+    for part in (2, 0, 1):
+        batch = records.filter(F.col("offset") % 3 == part)
+        new = ranges.islands(ranges.uncovered(batch, held))
+        held = staged(ranges.merged(held.unionByName(new)), "applied")
+    return held
+
+
 def cdc_decode(t: Tables) -> DataFrame:
     return envelope.decode(t.customer_records()).select("partition", "offset", "timestamp", "kind")
 
@@ -310,6 +351,17 @@ def bootstrap_dims(t: Tables) -> DataFrame:
     return _shown(versions, *_CUSTOMER, F.col("open_seq.offset").alias("open_offset"))
 
 
+#: First position that the capture of changes sees.
+CAPTURED = ((1996 - 1990) * 372 + 31 + 1) << 44
+
+
+def bootstrap_interleaved(t: Tables) -> DataFrame:
+    """Customers from chunks read while the table changed, and the changes captured since."""
+    captured = t.customer_changes().filter("op <> 'r'").filter(F.col("offset") > CAPTURED)
+    log = bootstrap.interleaved(t.chunk_reads(), captured, "customer_id")
+    return history.current_customers(scd.customer_dimension(log))
+
+
 def dim_customer_from_cdc(t: Tables) -> DataFrame:
     """Records to versions: envelope and checks, written once, and the fold."""
     changes = staged(validate.valid(_checked_customers(t)).drop("value", "given"), "changes")
@@ -365,6 +417,16 @@ def dim_as_of(t: Tables) -> DataFrame:
     return _shown(scd.valid_at(_customers(t), naive(POINT_IN_TIME)), *_CUSTOMER)
 
 
+def dim_as_of_pruned(t: Tables) -> DataFrame:
+    """As `dim_as_of`: closed versions from the folders around the instant, open ones as they are."""
+    folder, versions = new_folder(t.spark, "timetree"), staged(_customers(t), "customers")
+    closed = versions.filter(~F.col("is_current"))
+    timetree.file(closed, folder)
+    now = versions.filter("is_current")
+    found = timetree.at(closed, folder, POINT_IN_TIME)
+    return _shown(found.unionByName(scd.valid_at(now, naive(POINT_IN_TIME))), *_CUSTOMER)
+
+
 # Facts
 
 
@@ -684,6 +746,20 @@ def pipeline_batches(t: Tables) -> DataFrame:
     return joined.join(loaded, "topic", "left").fillna(0)
 
 
+def retry_due_slots(t: Tables) -> DataFrame:
+    """As `ready_for_retry`, over stored messages found by the hour of their next attempt.
+
+    The messages are filed in two batches, so some have entries of attempts that are over.
+    """
+    tries, house = t.failed_attempts(), Warehouse(t.spark, new_folder(t.spark, "house"), buckets=8)
+    split = naive(datetime.datetime(2024, 1, 10))
+    for part in (F.col("failed_at") < split, F.col("failed_at") >= split):
+        batch = house.begin()
+        batch.upsert("failed_messages", dlq.upsert(tries.filter(part), house.state("failed_messages")))
+        batch.commit()
+    return dlq.ready_for_retry(house.due(AS_OF), AS_OF).drop("failed_message_id")
+
+
 def failed_summary(t: Tables) -> DataFrame:
     return monitoring.summary(_failed(t)).withColumn(
         "avg_retry_count", F.round("avg_retry_count", 6)
@@ -705,6 +781,13 @@ def failed_page_after(t: Tables) -> DataFrame:
     return monitoring.page_after(failed, last[0] if last else None, 20).drop("failed_message_id")
 
 
+def failed_page_deep(t: Tables) -> DataFrame:
+    """The thirtieth page of ten, with few bins, so that they are cut several times."""
+    failed = staged(_failed(t), "failed")
+    page = monitoring.page_deep(failed, 30, 10, bins=8, sorted_rows=40)
+    return page.drop("failed_message_id")
+
+
 def failed_page_pending(t: Tables) -> DataFrame:
     return monitoring.page_rows(_failed(t), 1, 20, "pending").drop("failed_message_id")
 
@@ -749,6 +832,18 @@ def daily_revenue(t: Tables) -> DataFrame:
     return metrics.daily_revenue(loaded, t.dates(), REVENUE_DAY, 30)
 
 
+def daily_revenue_incremental(t: Tables) -> DataFrame:
+    """As `daily_revenue`, kept up to date over three batches; orders lie in several of them."""
+    since = REVENUE_DAY - datetime.timedelta(days=30)
+    loaded = staged(_snapshot_facts(t, since), "facts")
+    held = None
+    for part in range(3):
+        new = metrics.day_partials(loaded.filter(F.col("order_item_id") % 3 == part))
+        held = new if held is None else metrics.merged_partials(held.unionByName(new))
+        held = staged(held, "days")
+    return metrics.daily_revenue_of(held, t.dates(), REVENUE_DAY, 30)
+
+
 def revenue_by_grain(t: Tables) -> DataFrame:
     return metrics.revenue_by_grain(_snapshot_facts(t), t.dates(), "month")
 
@@ -805,6 +900,57 @@ def current_products(t: Tables) -> DataFrame:
     return history.current_products(_products(t))
 
 
+def current_customers_stream(t: Tables) -> DataFrame:
+    """Current customers as a keyed state stream leaves them, restarted once on its way."""
+    spark, folder = t.spark, new_folder(t.spark, "live")
+    changes = t.feed("orders", CUSTOMER_CHANGES | {"arrived": "o_orderdate"})
+    changes = changes.withColumns({c: F.col(c).cast("timestamp") for c in ("ts", "arrived")})
+    before = spark.conf.get(stateful.PROVIDER)
+    spark.conf.set(stateful.PROVIDER, stateful.ROCKSDB)
+    try:
+        for wave in (F.col("offset") < SPLIT, F.col("offset") >= SPLIT):
+            changes.filter(wave).write.mode("append").parquet(f"{folder}/in")
+            stream = _folder_stream(spark, changes, f"{folder}/in")
+            _streamed(stateful.current_customers(stream), folder)
+    finally:
+        spark.conf.set(stateful.PROVIDER, before)
+    rows = stateful.latest(spark.read.schema(stateful.UPDATE).parquet(f"{folder}/out"))
+    return rows.withColumn("valid_from", naive(F.col("valid_from")))
+
+
+def fact_orders_stream_join(t: Tables) -> DataFrame:
+    """Items that waited for their order in two streams, and those for which none came, by order.
+
+    One order in 17 is not sent, and orders come a wave after items. The last rows of both
+    streams move the watermark on, beyond all that waits.
+    """
+    spark, folder = t.spark, new_folder(t.spark, "waiting")
+    items = t.feed("lineitem", WAITING_ITEMS)
+    orders = t.feed("orders", WAITING_ORDERS).filter("order_id % 17 <> 0")
+    items, orders = (x.withColumn(c, F.col(c).cast("timestamp")) for x, c in ((items, "item_at"), (orders, "ordered_at")))
+    end = "cast('2100-01-01' as timestamp)"
+    last_item = spark.range(1).selectExpr("cast(-1 as bigint) order_item_id", "cast(-1 as bigint) order_id", f"{end} item_at")
+    last_order = spark.range(1).selectExpr("cast(-1 as bigint) order_id", "cast(null as bigint) customer_id", f"{end} ordered_at")
+    for wave in ((items, None), (None, orders), (last_item, last_order)):
+        for name, rows, like in (("items", wave[0], items), ("orders", wave[1], orders)):
+            rows = like.limit(0) if rows is None else rows
+            rows.select(like.columns).write.mode("append").parquet(f"{folder}/{name}")
+        joined = stateful.with_order(
+            _folder_stream(spark, items, f"{folder}/items"),
+            _folder_stream(spark, orders, f"{folder}/orders"),
+            WAIT_DAYS,
+        )
+        _streamed(joined, folder)
+    like = stateful.with_order(items, orders, WAIT_DAYS)
+    return (
+        spark.read.schema(like.schema)
+        .parquet(f"{folder}/out")
+        .filter("order_id >= 0")
+        .groupBy("order_id")
+        .agg(F.count("of_order").alias("loaded"), F.count_if(F.col("of_order").isNull()).alias("rejected"))
+    )
+
+
 def recent_changes(t: Tables) -> DataFrame:
     return history.recent_changes(_customers(t), _products(t), 20)
 
@@ -839,6 +985,13 @@ def source_counts(t: Tables) -> DataFrame:
     )
 
 
+def sync_differences(t: Tables) -> DataFrame:
+    """Orders whose rows differ from those of a copy that lost some, changed some and has others."""
+    orders = t.orders()
+    copy = t.feed("orders", ORDER_COPY).filter("order_id % 1009 <> 0")
+    return sync.differences(orders, copy, "order_id", ["customer_id", "order_date", "status", "total_amount"])
+
+
 def order_totals(t: Tables) -> DataFrame:
     return sync.order_totals(t.orders(), t.items())
 
@@ -846,6 +999,8 @@ def order_totals(t: Tables) -> DataFrame:
 QUERIES = [
     cdc_source,
     cdc_stream,
+    cdc_stream_dedup,
+    applied_ranges,
     cdc_decode,
     cdc_tombstones,
     cdc_normalize,
@@ -864,6 +1019,7 @@ QUERIES = [
     dim_product_scd2,
     dim_product_scd2_sliced,
     bootstrap_dims,
+    bootstrap_interleaved,
     dim_customer_from_cdc,
     scd2_change_flags,
     dim_customer_scd1_latest,
@@ -873,6 +1029,7 @@ QUERIES = [
     scd2_integrity,
     scd2_integrity_sliced,
     dim_as_of,
+    dim_as_of_pruned,
     latest_orders,
     date_keys,
     fact_orders_load,
@@ -881,11 +1038,13 @@ QUERIES = [
     fact_orders_asof,
     fact_orders_asof_sliced,
     fact_dedup,
+    fact_orders_stream_join,
     failed_capture,
     failed_upsert,
     failed_upsert_stored,
     ready_for_retry,
     retry_batch,
+    retry_due_slots,
     retry_outcome,
     retry_run_totals,
     retry_one_outcome,
@@ -898,6 +1057,7 @@ QUERIES = [
     failed_status_counts,
     failed_page,
     failed_page_after,
+    failed_page_deep,
     failed_page_pending,
     failed_detail_one,
     failed_page_counts,
@@ -907,6 +1067,7 @@ QUERIES = [
     failed_list_short,
     total_lag,
     daily_revenue,
+    daily_revenue_incremental,
     revenue_by_grain,
     revenue_by_week,
     top_products,
@@ -919,11 +1080,13 @@ QUERIES = [
     customer_history,
     product_history,
     current_customers,
+    current_customers_stream,
     current_products,
     recent_changes,
     dim_date,
     dim_date_extend,
     cdc_stats,
     source_counts,
+    sync_differences,
     order_totals,
 ]

@@ -82,6 +82,51 @@ def daily_revenue(
     )
 
 
+_DAY = ["date_key", "bucket"]
+
+
+def day_partials(facts: DataFrame) -> DataFrame:
+    """Facts as mergeable parts of days: sums, and the distinct orders as bit maps by bucket."""
+    return facts.groupBy(
+        "date_key", F.bitmap_bucket_number("order_id").alias("bucket")
+    ).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("order_id")).alias("orders"),
+        _units().alias("units"),
+        F.sum(F.col("line_total").cast("decimal(18,2)")).alias("amount"),
+    )
+
+
+def merged_partials(partials: DataFrame) -> DataFrame:
+    """Parts of the same days added up: what one batch and another make together."""
+    return partials.groupBy(*_DAY).agg(
+        F.bitmap_or_agg("orders").alias("orders"),
+        F.sum("units").alias("units"),
+        F.sum("amount").cast("decimal(18,2)").alias("amount"),
+    )
+
+
+def daily_revenue_of(
+    partials: DataFrame, dates: DataFrame, as_of: datetime.date, days: int = 30
+) -> DataFrame:
+    """As `daily_revenue`, from merged parts; no fact is read."""
+    since = as_of - datetime.timedelta(days=days)
+    per_day = (
+        partials.filter(F.col("date_key") >= int(since.strftime("%Y%m%d")))
+        .groupBy("date_key")
+        .agg(
+            F.sum(F.bitmap_count("orders")).alias("num_orders"),
+            F.sum("units").alias("total_items"),
+            F.coalesce(F.sum("amount"), F.lit(0)).cast("double").alias("revenue"),
+        )
+    )
+    known = dates.filter(F.col("date") >= since).select("date_key", "date", "day_of_week")
+    return (
+        per_day.join(F.broadcast(known), "date_key")
+        .select("date", F.trim("day_of_week").alias("day_of_week"), "num_orders", "total_items", "revenue")
+        .orderBy(F.desc("date"))
+    )
+
+
 def revenue_by_grain(facts: DataFrame, dates: DataFrame, grain: str = "month") -> DataFrame:
     """Revenue by day, week (from Monday) or month."""
     days = dates.select(

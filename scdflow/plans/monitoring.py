@@ -10,6 +10,9 @@ from scdflow.operators.dlq import MESSAGE
 from scdflow.schemas import FAILED_MESSAGE, TOPIC_PREFIX, TOPICS, UNRESOLVED
 
 
+_LAST = (1 << 62) - 1
+
+
 def summary(failed: DataFrame) -> DataFrame:
     """Per topic, status and error type, the largest groups first."""
     return (
@@ -63,6 +66,52 @@ def page_rows(
     return listed.offset((page_number - 1) * per_page).limit(per_page)
 
 
+def page_deep(
+    failed: DataFrame,
+    page_number: int,
+    per_page: int,
+    status: str | None = None,
+    bins: int = 1000,
+    sorted_rows: int = 100_000,
+) -> DataFrame:
+    """A page by its number, at any depth, without sorting the pages before it.
+
+    Rows are counted in bins of their time, the bins around the page are cut into bins again, and
+    so on until few rows are left around it: at most `sorted_rows`, or those of one instant. Only
+    these are sorted. Each step is a scan with a pre-aggregated grouping; null times come last.
+    """
+    chosen = failed if status is None else failed.filter(F.col("status") == status)
+    # Newest first: the time turned around, in microseconds.
+    turn = -F.expr("timestampdiff(microsecond, timestamp_ntz'1970-01-01', failed_at)")
+    rank = F.coalesce(turn, F.lit(_LAST))
+    listed = chosen.select(*_LISTED, rank.alias("rank"))
+    skip = (page_number - 1) * per_page
+    ends = listed.agg(F.min("rank").alias("low"), F.max("rank").alias("high"), F.count("*").alias("n")).first()
+    low, high, left = ends["low"], ends["high"], ends["n"]
+    while left > sorted_rows and low < high and skip < left:
+        width = -(-(high - low + 1) // bins)
+        numbered = F.expr(f"(`rank` - ({low}L)) div {width}L")
+        inside = listed.filter(F.col("rank").between(low, high))
+        counts = sorted(map(tuple, inside.groupBy(numbered.alias("bin")).count().collect()))
+        first = last = None
+        before = passed = 0
+        for number, n in counts:
+            if first is None and passed + n > skip:
+                first, before = number, passed
+            passed += n
+            last = number
+            if passed >= skip + per_page:
+                break
+        low, high, skip = low + first * width, min(high, low + (last + 1) * width - 1), skip - before
+        shrunk = passed - before
+        if shrunk == left:
+            break
+        left = shrunk
+    near = listed.filter(F.col("rank").between(low, high)) if low is not None else listed
+    ordered = near.orderBy("rank", *MESSAGE).offset(skip).limit(per_page)
+    return ordered.drop("rank")
+
+
 def page_after(failed: DataFrame, last: Row | None, per_page: int) -> DataFrame:
     """The page after the one that ends with row `last`; however deep, it keeps one page."""
     chosen = failed.select(*_LISTED)

@@ -119,6 +119,12 @@ ORDER_ROWS = {
     "total_amount": "cast(o_totalprice as decimal(10,2))",
 }
 
+# orders -> rows of a copy of them, some of which were changed or have another key
+ORDER_COPY = ORDER_ROWS | {
+    "order_id": "case when o_orderkey % 1019 = 0 then -o_orderkey else o_orderkey end",
+    "status": "case when o_orderkey % 1013 = 0 then o_orderstatus || '!' else o_orderstatus end",
+}
+
 _UNIT_CENTS = (
     "floor((2 * round(l_extendedprice * 100) + l_quantity) / (2 * l_quantity))"
 )
@@ -134,6 +140,16 @@ ITEM_ROWS = {
     "line_total": "cast(l_extendedprice as decimal(10,2))",
 }
 
+#: Days that an item may be younger than its order.
+WAIT_DAYS = 200
+# orders and their items as two streams by their own times
+WAITING_ORDERS = {"order_id": "o_orderkey", "customer_id": "o_custkey", "ordered_at": "o_orderdate"}
+WAITING_ITEMS = {
+    "order_item_id": "l_orderkey * 8 + l_linenumber",
+    "order_id": "l_orderkey",
+    "item_at": "l_shipdate",
+}
+
 _CUSTOMER_IMAGE = (
     "'{\"customer_id\":' || case when o_orderkey % 127 = 0 then 'null'"
     " else cast(o_custkey as string) end"
@@ -316,6 +332,20 @@ class Tables:
     def dates(self) -> DataFrame:
         return dim_date(self.spark, FIRST_DATE, LAST_DATE)
 
+    def chunk_reads(self) -> DataFrame:
+        """Customers as eight chunks of a first copy read them, each key at a moment of its own
+        between the chunk's marks: the image of its last change by then."""
+        changes = self.customer_changes().filter("op <> 'r'")
+        chunk = (F.col("customer_id") % 8).cast("long")
+        first = ((1996 - 1990) * 372 + 31 + 1) + chunk * 40
+        low, high = first * (1 << 44), (first + 60) * (1 << 44)
+        read_at = low + ((F.col("customer_id") * 7919) % 60 + 1) * (1 << 44) - 1
+        row = [c for c in changes.columns if c not in ("customer_id", "partition", "offset", "op")]
+        seen = changes.filter(F.col("offset") <= read_at).groupBy("customer_id")
+        last = seen.agg(F.max_by(F.struct("op", *row), "offset").alias("last"))
+        alive = last.select("customer_id", "last.*").filter("op <> 'd'").drop("op")
+        return alive.withColumns({"low": low, "high": high})
+
     def snapshot_customers(self) -> DataFrame:
         return _first_versions(self.feed("customer", CUSTOMER_SNAPSHOT), "customer")
 

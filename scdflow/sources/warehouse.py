@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from scdflow.operators.ranges import RANGE
 from scdflow.schemas import DIM_CUSTOMER, DIM_PRODUCT, FAILED_MESSAGE
+from scdflow.sources.shared import staged
 
 STATE = {
     "dim_customer": ("customer_id", DIM_CUSTOMER),
@@ -41,9 +42,13 @@ APPENDED = {
     "unit_price decimal(10,2), line_total decimal(10,2), order_status string, "
     "created_at timestamp_ntz",
     "applied": RANGE,
+    "due": "failed_message_id bigint",
 }
 #: Folders by which the parts of a table are found.
-_FOLDERS = {name: ("bucket", "int") for name in STATE} | {"fact_orders": ("month", "int")}
+_FOLDERS = {name: ("bucket", "int") for name in STATE} | {
+    "fact_orders": ("month", "int"),
+    "due": ("slot", "int"),
+}
 
 
 class Warehouse:
@@ -98,6 +103,21 @@ class Warehouse:
         """The committed state of each key."""
         return self._state(name, self.record["begins"], self.record["batch"])
 
+    def due(self, now: datetime.datetime) -> DataFrame:
+        """Failed messages whose next attempt may be due, by the folders of hours up to now.
+
+        Messages are found by their entries there; their state decides, as an entry may be of an
+        attempt that was made since.
+        """
+        record = self.record
+        entries = self._rows("due", record["begins"], record["batch"], keep=True)
+        ids = entries.filter(F.col("slot") <= slot_of(now)).select("failed_message_id").distinct()
+        ids = staged(ids, "due")
+        found = ids.select(self.bucket_of("failed_message_id").alias("b")).distinct().collect()
+        buckets = {r["b"] for r in found}
+        state = self._state("failed_messages", record["begins"], record["batch"], buckets)
+        return state.join(ids, "failed_message_id", "left_semi")
+
     def dimension(self, name: str) -> DataFrame:
         """Current and closed versions."""
         return self.state(name).unionByName(self.appended(f"{name}_closed"))
@@ -108,11 +128,17 @@ class Warehouse:
         for name in STATE:
             batch.upsert(name, self.state(name))
             batch.begins[name] = batch.number
+        # Entries of messages that still wait were written with their state.
+        batch.begins["due"] = batch.number
         batch.commit()
 
     def bucket_of(self, key) -> Column:
         return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
 
+    def bucket_number(self, key: int) -> int:
+        one = self.spark.range(1).select(self.bucket_of(F.lit(key).cast("bigint")).alias("b"))
+        return one.first()["b"]
+
     def _rows(self, name: str, begins: dict, last: int, keep: bool = False) -> DataFrame:
         """Rows of the batches that count; filters on folder names leave out all others."""
         ddl = STATE[name][1] if name in STATE else APPENDED[name]
@@ -169,6 +195,17 @@ class Batch:
         key, ddl = STATE[name]
         placed = rows.select(*_names(ddl)).withColumn("bucket", self.warehouse.bucket_of(key))
         self._write(name, placed.hint("rebalance", "bucket"), "bucket")
+        if name == "failed_messages":
+            # Filed anew under the hour of the next attempt; a message without one is due.
+            new = self._own(name).filter("status = 'pending' and retry_count < max_retries")
+            at = F.col("next_retry_at")
+            hour = F.datediff(F.to_date(at), F.lit(datetime.date(1970, 1, 1))) * 24 + F.hour(at)
+            slots = new.select("failed_message_id", F.coalesce(hour, F.lit(0)).alias("slot"))
+            self._write("due", slots.hint("rebalance", "slot"), "slot")
+
+    def _own(self, name: str) -> DataFrame:
+        """What this batch has written to a state table."""
+        return self.warehouse._rows(name, {name: self.number}, self.number)
 
     def append(self, name: str, rows: DataFrame) -> None:
         rows = rows.select(*_names(APPENDED[name]))
@@ -215,6 +252,11 @@ class Batch:
         self.warehouse.record = new
 
 
+def slot_of(now: datetime.datetime) -> int:
+    """The hour a time without zone is in, from 1970 on."""
+    return int((now - datetime.datetime(1970, 1, 1)).total_seconds() // 3600)
+
+
 def _with_number(runs: list[list[int]], number: int) -> list[list[int]]:
     """Runs of applied batch numbers with one more; a stream's are one run."""
     found: list[list[int]] = []

@@ -292,11 +292,12 @@ def retry(
     emails is left out, so what it rejected goes through.
     """
     batch = warehouse.begin()
-    failed = batch.state("failed_messages")
-    chosen = batch.keep(
-        "retried",
-        dlq.retry_batch(failed, now, limit) if message is None else dlq.retry_one(failed, message),
-    )
+    if message is None:
+        ready = dlq.retry_batch(warehouse.due(now), now, limit)
+    else:
+        one = {warehouse.bucket_number(message)}
+        ready = dlq.retry_one(batch.state("failed_messages", one), message)
+    chosen = batch.keep("retried", ready)
     normalized = batch.keep("normalized", envelope.normalize(dlq.records(chosen)), "topic")
     changes, _ = _census(normalized)
     rejected = _load(batch, normalized, changes, dates, now, revalidate) + [_unread(normalized)]
