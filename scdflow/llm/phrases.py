@@ -7,11 +7,12 @@ content alone, so equal passages are cut alike wherever they stand. A chunk goes
 begins, and belongs to that one only. The parse is a dictionary of distinct chunks with the
 number of times each occurs; copies and repeated passages add to a number, not to the dictionary.
 
-Counting: n-grams are counted in distinct chunks, weighted by these numbers. An n-gram can occur
-`least` times only if both its parts of one word less do, so lengths are counted one after
-the other, and the n-grams of a length whose parts are not frequent are never shuffled. Frequent
-ones are known by a bit map of bounded size (at most 16 MB): with more of them than it was made
-for, more n-grams are counted exactly and dropped, and the result is the same.
+Counting: n-grams are counted in distinct chunks, weighted by these numbers, under 64-bit hashes
+of their language and words. An n-gram can occur `least` times only if its parts do: words are
+counted first, then pairs of frequent words, then longer ones of frequent pairs; others are
+never shuffled. Frequent ones are known by bit maps of bounded size (at most 16 MB each): with more
+of them than a map was made for, more n-grams are counted exactly and dropped, and the result
+is the same. Only what is frequent then gets its words, in one more reading of the chunks.
 
 A candidate's cuts meet the counts of their parts in equi joins; all counts are exact, and scores
 are decimals. A hot word or phrase is one row a batch before the shuffle. The best of a language
@@ -26,11 +27,12 @@ reads its chunks. Ties in score and count go by the phrase's bytes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,6 +50,8 @@ CHUNK, MOST_CHUNK = 32, 256
 SCALE = 2_000_000
 #: Parts in which the best of a language are chosen first.
 SALTS = 64
+#: Bytes of text that a task works on at once, and phrases that it remembers to have named.
+SLICE_BYTES, SENT = 2_000_000, 4_000_000
 #: Where a text is parted: no word has this character.
 _MARK = "."
 _PARTING = r"[.,;:!?\x0A-\x0D]+"
@@ -62,7 +66,7 @@ def parsed(docs: DataFrame, chunk: int = CHUNK, longest: int = LONGEST) -> DataF
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.sliced(batches):
+        for batch in words.sliced(batches, limit=SLICE_BYTES):
             yield _chunks(batch, chunk, longest)
 
     schema = "lang string, chunk string, core int, n_words int, n long"
@@ -125,115 +129,165 @@ def _chunks(batch: pa.RecordBatch, chunk: int, longest: int) -> pa.RecordBatch:
     )
 
 
-def frequent(dictionary: DataFrame, length: int, least: int, known: tuple | None) -> DataFrame:
-    """`(lang, phrase, n)` of all phrases of `length` words with `least` occurrences or more.
+class Known(NamedTuple):
+    """Hashes of frequent phrases as a broadcast map, and its power of two."""
 
-    `known` has the map of the frequent phrases of one word less, and its power of two.
-    """
+    shared: Broadcast
+    power: int
+
+    def holds(self, hashes: np.ndarray) -> np.ndarray:
+        return bits.holds(self.shared.value[0], bits.cells(hashes, self.power))
+
+
+def known_by(found: DataFrame) -> Known:
+    """The map of the keys of some phrases."""
+    power = bits.width(found.count(), 32)
+    once, _ = bits.counted(found, ["key"], power)
+    return Known(found.sparkSession.sparkContext.broadcast(once), power)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in words.sliced(batches, "chunk"):
-            yield _ngrams(batch, length, known)
 
-    counted = dictionary.select("lang", "chunk", "core", "n").mapInArrow(
-        count, "lang string, phrase string, n long"
+def frequent(
+    dictionary: DataFrame, lengths: range, least: int, known: Known | None, part: int
+) -> DataFrame:
+    """`(key, n)` of all phrases of these lengths with `least` occurrences or more, of which all
+    parts of `part` words are known."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in words.sliced(batches, "chunk", SLICE_BYTES):
+            chunks = _read(batch)
+            keys, weights = [], []
+            for length in lengths:
+                at, hashes = _whole(chunks, length, known, part)
+                keys.append(hashes)
+                weights.append(chunks.n[chunks.row[at]])
+            own, n = _added(np.concatenate(keys), np.concatenate(weights))
+            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(n)], ["key", "n"])
+
+    counted = dictionary.select("lang", "chunk", "core", "n").mapInArrow(count, "key long, n long")
+    return counted.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+
+
+def named(dictionary: DataFrame, known: list[tuple[range, Known]]) -> DataFrame:
+    """`(key, lang, phrase, length)` of the phrases of known keys, and of few others."""
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # What a task has named is not sent again; the keys are those of what is frequent.
+        sent = np.empty(0, np.uint64)
+        for batch in words.sliced(batches, "chunk", SLICE_BYTES):
+            chunks = _read(batch)
+            for lengths, own in known:
+                for length in lengths:
+                    at, hashes = _whole(chunks, length, None, 0)
+                    at, hashes = (x[own.holds(hashes)] for x in (at, hashes))
+                    hashes, first = np.unique(hashes, return_index=True)
+                    new = ~np.isin(hashes, sent)
+                    hashes, at = hashes[new], at[first[new]]
+                    yield _names(chunks, at, hashes, length)
+                    sent = np.concatenate([sent, hashes])
+            if len(sent) > SENT:
+                sent = np.empty(0, np.uint64)
+
+    rows = dictionary.select("lang", "chunk", "core", "n").mapInArrow(
+        name, "key long, lang string, phrase string, length int"
     )
-    summed = counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
-    return summed.filter(F.col("n") >= least)
+    return rows.groupBy("key", "lang", "phrase", "length").agg(F.lit(1).alias("once")).drop("once")
 
 
-def _language_seeds(langs: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """For each row its language's hash and code, and the languages."""
-    coded = langs.dictionary_encode()
-    names = coded.dictionary
-    codes = coded.indices.to_numpy()
-    return words.hash_all(x.encode() for x in names.to_pylist())[codes], names, codes
+class _Chunks(NamedTuple):
+    vocabulary: list[bytes]
+    codes: np.ndarray
+    hashes: np.ndarray
+    row: np.ndarray
+    #: Is this token a word, and does it stand in the core?
+    is_word: np.ndarray
+    in_core: np.ndarray
+    seeds: np.ndarray
+    langs: pa.Array
+    lang: np.ndarray
+    n: np.ndarray
 
 
-def _ngrams(batch: pa.RecordBatch, length: int, known: tuple | None) -> pa.RecordBatch:
-    texts = batch["chunk"].cast(pa.large_string())
-    flat, starts = words.flat(texts)
+def _read(batch: pa.RecordBatch) -> _Chunks:
+    flat, starts = words.flat(batch["chunk"].cast(pa.large_string()))
     coded = flat.dictionary_encode()
     vocabulary = coded.dictionary.cast(pa.large_binary()).to_pylist()
     codes = coded.indices.to_numpy()
-    seeds, names, langs = _language_seeds(batch["lang"])
-    sizes = np.diff(starts)
-    row = np.repeat(np.arange(len(sizes)), sizes)
     hashes = words.hash_all(vocabulary)[codes] if len(codes) else np.empty(0, np.uint64)
     mark = vocabulary.index(_MARK.encode()) if _MARK.encode() in vocabulary else -1
-    n = max(0, len(codes) - length + 1)
-    whole = np.ones(n, bool)
+    sizes = np.diff(starts)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    in_core = np.arange(len(codes)) - starts[:-1][row] < batch["core"].to_numpy()[row]
+    seeds, langs, lang = _language_seeds(batch["lang"])
+    n = batch["n"].to_numpy()
+    return _Chunks(vocabulary, codes, hashes, row, codes != mark, in_core, seeds, langs, lang, n)
+
+
+def _whole(
+    chunks: _Chunks, length: int, known: Known | None, part: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Where an n-gram begins in a core, of words of one piece, with all its parts known; and its
+    hash."""
+    n = max(0, len(chunks.codes) - length + 1)
+    whole = chunks.in_core[:n].copy()
     for k in range(length):
-        whole &= (codes[k : k + n] != mark) & (row[k : k + n] == row[:n])
-    core = batch["core"].to_numpy()
-    whole &= np.arange(n) - starts[:-1][row[:n]] < core[row[:n]]
-    if known is not None:
-        shared, power = known
-        parts = _hashed(hashes, seeds[row], length - 1)
-        frequent_part = bits.holds(shared.value[0], bits.cells(parts, power))
-        whole &= frequent_part[:n] & frequent_part[1 : n + 1]
+        whole &= chunks.is_word[k : k + n] & (chunks.row[k : k + n] == chunks.row[:n])
     at = np.flatnonzero(whole)
-    keys = _hashed(hashes, seeds[row], length)[at]
-    order = np.argsort(keys, kind="stable")
-    first = np.flatnonzero(np.diff(keys[order], prepend=~keys[order[:1]]))
-    total = np.add.reduceat(batch["n"].to_numpy()[row[at[order]]], first) if len(at) else []
-    ones = at[order[first]] if len(at) else at
-    phrases = [
-        b" ".join([vocabulary[c] for c in codes[i : i + length].tolist()]) for i in ones.tolist()
-    ]
-    return pa.RecordBatch.from_arrays(
-        [
-            names.take(pa.array(langs[row[ones]])).cast(pa.string()),
-            pa.array(phrases, pa.binary()).cast(pa.string()),
-            pa.array(np.asarray(total, np.int64)),
-        ],
-        ["lang", "phrase", "n"],
-    )
+    if known is not None:
+        for k in range(length - part + 1):
+            at = at[known.holds(_hashed(chunks, at + k, part))]
+    return at, _hashed(chunks, at, length)
 
 
-def _hashed(hashes: np.ndarray, seeds: np.ndarray, length: int) -> np.ndarray:
-    """Hash of the words from each place on, as many as there are places for."""
-    n = max(0, len(hashes) - length + 1)
-    found = words.chained(seeds[:n], hashes[:n])
-    for k in range(1, length):
-        found = words.chained(found, hashes[k : k + n])
+def _hashed(chunks: _Chunks, at: np.ndarray, length: int) -> np.ndarray:
+    """Hash of language and words from each place on."""
+    found = chunks.seeds[chunks.row[at]]
+    for k in range(length):
+        found = words.chained(found, chunks.hashes[at + k])
     return found
 
 
-def known_by(found: DataFrame) -> tuple:
-    """The map of these phrases for `frequent`, broadcast, and its power of two."""
-    power = bits.width(found.count(), 32)
+def _added(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return keys[first], np.add.reduceat(weights[order], first) if len(keys) else weights
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [
-                _phrase_hash(lang, phrase)
-                for lang, phrase in zip(*(c.to_pylist() for c in batch.columns), strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(values, np.uint64).view(np.int64))], ["h"])
 
-    once, _ = bits.counted(found.select("lang", "phrase").mapInArrow(hashed, "h long"), ["h"], power)
-    return found.sparkSession.sparkContext.broadcast(once), power
+def _names(chunks: _Chunks, at: np.ndarray, keys: np.ndarray, length: int) -> pa.RecordBatch:
+    phrases = [
+        b" ".join([chunks.vocabulary[c] for c in chunks.codes[i : i + length].tolist()])
+        for i in at.tolist()
+    ]
+    lang = chunks.langs.take(pa.array(chunks.lang[chunks.row[at]]))
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(keys.view(np.int64)),
+            lang.cast(pa.string()),
+            pa.array(phrases, pa.binary()).cast(pa.string()),
+            pa.array(np.full(len(at), length, np.int32)),
+        ],
+        ["key", "lang", "phrase", "length"],
+    )
 
 
-def _phrase_hash(lang: str, phrase: str) -> int:
-    own = words.hash_all(w.encode() for w in phrase.split(" "))
-    seed = np.full(len(own), xxhash.xxh64_intdigest(lang.encode()), np.uint64)
-    return int(_hashed(own, seed, len(own))[0])
+def _language_seeds(langs: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """For each row its language's hash and code, and the languages."""
+    coded = langs.dictionary_encode()
+    names = coded.dictionary
+    codes = coded.indices.to_numpy()
+    return words.hash_all(x.encode() for x in names.to_pylist())[codes], names, codes
 
 
-def counts(
-    dictionary: DataFrame, least: int = LEAST, longest: int = LONGEST
-) -> DataFrame:
+def counts(dictionary: DataFrame, least: int = LEAST, longest: int = LONGEST) -> DataFrame:
     """`(lang, phrase, length, n)` of all phrases of up to `longest` words that are frequent."""
-    found, known = None, None
-    for length in range(1, longest + 1):
-        own = staged(frequent(dictionary, length, least, known), f"phrases{length}")
-        listed = own.withColumn("length", F.lit(length))
-        found = listed if found is None else found.unionByName(listed)
-        if length < longest:
-            known = known_by(own)
-    return found
+    found, known, maps = None, None, []
+    steps = [range(1, 2), range(2, 3), range(3, longest + 1)]
+    for step, lengths in enumerate(x for x in steps if x and x[0] <= longest):
+        own = staged(frequent(dictionary, lengths, least, known, step), "frequent")
+        known = known_by(own)
+        maps.append((lengths, known))
+        found = own if found is None else found.unionByName(own)
+    return staged(found.join(named(dictionary, maps), "key").drop("key"), "phrases")
 
 
 def collocations(
