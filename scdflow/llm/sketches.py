@@ -45,7 +45,7 @@ NEAR = 80
 #: Bins of a sketch, and bins of a band.
 BINS, ROWS = 128, 4
 #: Shingles of the members of a tile, and of those they are held against.
-TILE, HELD = 1_000_000, 100_000
+TILE, HELD = 200_000, 50_000
 #: Shingles that a task verifies at once, in whole tiles.
 GATHERED = 500_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
