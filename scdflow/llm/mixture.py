@@ -4,14 +4,15 @@ A source's documents share its target of words: each is taken `floor(target / si
 certain; one more copy is drawn without replacement. Pareto order sampling (Rosen, 1997) ranks
 the documents by random odds over inclusion odds, u / (1 - u) over p / (1 - p), with a random u
 that is a hash of doc_id and `seed`; the first ones are taken, as many as fill the target best.
-The inclusion odds are those of the source's remainder, times a document's own `odds`.
+A document's p is its `odds`, its size unless others are given, scaled so that the words expected
+are those that are left of the target; at most `CERTAIN`, where it comes first as good as always.
 
 No source is ranked as a whole. Ranks fall into bins; sums by bin, added up before the shuffle,
 show the bin in which a source's target is met, and only that bin's documents are put in order.
 The cut of each source then decides each document by itself.
 
 Sources are those of the `source` column, a null one too, in order of code points with null
-last. A null or empty text has size 0 and is taken 0 words. A source whose documents have no
+last. A null or empty text has size 0, is not drawn and is taken 0 words. A source whose documents have no
 words has target 0. Rows of the same doc_id and size in a source share a rank: they are taken
 or left together. Reruns agree.
 """
@@ -30,6 +31,10 @@ from scdflow.sources.shared import staged
 MOST = 3
 #: Weights of the sources, in order, repeating.
 WEIGHTS = (1, 2, 3)
+#: Largest chance of a document to be drawn.
+CERTAIN = 0.99
+#: Odds are added up exactly, so that reruns agree.
+ODDS = "decimal(20,6)"
 #: Bins of ranks a source.
 BINS = 1 << 14
 SEED = "mix"
@@ -39,29 +44,34 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def sizes(docs: DataFrame, odds: Column | None = None) -> DataFrame:
     """`(doc_id, source, size, odds)`: what the mix needs of each document, written once."""
-    chosen = F.lit(1.0) if odds is None else odds
+    chosen = size() if odds is None else odds
     return staged(
-        docs.select(
-            "doc_id",
-            "source",
-            F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-            chosen.cast("double").alias("odds"),
-        ),
-        "sizes",
+        docs.select("doc_id", "source", size().alias("size"), chosen.cast(ODDS).alias("odds")), "sizes"
     )
 
 
+def size(text: str = "text") -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def targets(
     sized: DataFrame, weights: Sequence[float] = WEIGHTS, most: int = MOST
 ) -> DataFrame:
-    """`(source, source_size, target)`: each source's share of all words by weight.
+    """`(source, source_size, target, even)`: each source's share of all words by weight, and
+    the odds of its words on average.
 
     A target stops at `most` times the source's size; the excess goes to the others by weight,
     again and again. That fills all sources to one level (words for a unit of weight) or their
     stop: sources in order of stop over weight, the level is what is left over the weight left,
     where it is first below the next source's. One row a source is sorted, no documents.
     """
-    per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    both = (F.col("odds") * F.col("size")).cast("decimal(38,6)")
+    per_source = sized.groupBy("source").agg(
+        F.sum("size").alias("source_size"), F.sum(both).cast("double").alias("every")
+    )
+    per_source = per_source.withColumn(
+        "even", F.when(F.col("every") > 0, F.col("every") / F.col("source_size")).otherwise(1.0)
+    ).drop("every")
     by_name = Window.orderBy(F.col("source").isNull(), "source")
     place = F.row_number().over(by_name) - 1
     listed = F.array(*(F.lit(float(w)) for w in weights))
@@ -84,6 +94,7 @@ def targets(
         "source",
         "source_size",
         F.least("stop", level * F.col("weight")).alias("target"),
+        "even",
     )
 
 
@@ -98,7 +109,7 @@ def cuts(sized: DataFrame, aims: DataFrame, bins: int = BINS, seed: str = SEED)
         "wanted", F.col("target") - F.col("copies") * F.col("source_size")
     )
     plans = staged(plans.withColumn("share", ratio - F.col("copies")), "plans")
-    ranked = ranks(sized, plans, seed).filter("share > 0").withColumn(
+    ranked = ranks(sized, plans, seed).filter("share > 0 AND size > 0").withColumn(
         "bin", F.floor(F.col("rank") * bins)
     )
     sums = ranked.groupBy("source", "wanted", "bin").agg(F.sum("size").alias("words"))
@@ -154,13 +165,13 @@ def ranks(sized: DataFrame, plans: DataFrame, seed: str = SEED) -> DataFrame:
 
 
 def rank(seed: str = SEED) -> Column:
-    """From `doc_id`, `share` and `odds`: q / (1 + q) of the odds' ratio q."""
+    """From `doc_id`, `share`, `odds` and `even`: q / (1 + q) of the odds' ratio q."""
     # 52 bits of a digest, moved off 0 and 1.
     digest = F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string")))
     bits = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
     u = (bits + 0.5) / float(1 << 52)
-    included = F.col("share") * F.col("odds")
-    return u * (1 - F.col("share")) / (u * (1 - F.col("share")) + (1 - u) * included)
+    p = F.least(F.col("share") * F.col("odds").cast("double") / F.col("even"), F.lit(CERTAIN))
+    return u * (1 - p) / (u * (1 - p) + (1 - u) * p)
 
 
 def taken_copies() -> Column:
@@ -172,7 +183,8 @@ def taken_copies() -> Column:
     upto = (F.col("rank") < F.col("cut")) | (
         (F.col("rank") == F.col("cut")) & tie & ~F.col("none")
     )
-    return F.col("copies") + F.when((F.col("share") > 0) & upto, 1).otherwise(0)
+    drawn = (F.col("share") > 0) & (F.col("size") > 0) & upto
+    return F.col("copies") + F.when(drawn, 1).otherwise(0)
 
 
 def mixed(
@@ -194,17 +206,19 @@ def mix(
     docs: DataFrame,
     weights: Sequence[float] = WEIGHTS,
     most: int = MOST,
+    odds: Column | None = None,
     seed: str = SEED,
 ) -> DataFrame:
     """The documents that the mix takes, as often as it takes them; all columns kept."""
-    sized = sizes(docs)
+    sized = sizes(docs, odds)
     planned = cuts(sized, targets(sized, weights, most), seed=seed)
     names = [f"c{i}" for i in range(len(docs.columns))]
-    rows = docs.toDF(*names).withColumns(
+    own = docs.select("*", (size() if odds is None else odds).cast(ODDS).alias("odds of it"))
+    rows = own.toDF(*names, "odds").withColumns(
         {
             "doc_id": F.col(names[docs.columns.index("doc_id")]),
             "source": F.col(names[docs.columns.index("source")]),
-            "odds": F.lit(1.0),
+            "size": size(names[docs.columns.index("text")]),
         }
     )
     decided = ranks(rows, planned, seed).withColumn("n", taken_copies())

@@ -259,7 +259,8 @@ _MIX_SQL = rf"""
             / {float(1 << 52)} AS u
         FROM documents
     ), s AS (
-        SELECT source, sum(size)::DOUBLE AS source_size, {mixture.MOST} * sum(size)::DOUBLE AS stop,
+        SELECT source, sum(size)::DOUBLE AS source_size, CASE WHEN sum(size) > 0
+            THEN sum(size * size)::DOUBLE / sum(size) ELSE 1.0 END AS even, {mixture.MOST} * sum(size)::DOUBLE AS stop,
             [1.0, 2.0, 3.0][(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1]::DOUBLE
             AS weight
         FROM d GROUP BY source
@@ -273,16 +274,17 @@ _MIX_SQL = rf"""
         SELECT level FROM levels WHERE level * weight <= stop
         ORDER BY stop / weight, source IS NULL, source LIMIT 1
     ), plans AS (
-        SELECT source, source_size, least(stop, (SELECT level FROM first) * weight) AS target,
+        SELECT source, source_size, even, least(stop, (SELECT level FROM first) * weight) AS target,
             CASE WHEN source_size > 0 THEN least(stop, (SELECT level FROM first) * weight)
             / source_size ELSE 0 END AS ratio
         FROM levels
-    ), ranked AS (
+    ), odds AS (
         SELECT d.*, p.source_size, p.target, floor(ratio) AS copies, ratio - floor(ratio) AS share,
             target - floor(ratio) * p.source_size AS wanted,
-            u * (1 - (ratio - floor(ratio)))
-            / (u * (1 - (ratio - floor(ratio))) + (1 - u) * (ratio - floor(ratio))) AS rank
+            least((ratio - floor(ratio)) * size::DOUBLE / even, {mixture.CERTAIN}) AS p
         FROM d JOIN plans p ON d.source IS NOT DISTINCT FROM p.source
+    ), ranked AS (
+        SELECT *, u * (1 - p) / (u * (1 - p) + (1 - u) * p) AS rank FROM odds
     ), ended AS (
         SELECT *, sum(size) OVER (PARTITION BY source ORDER BY rank, doc_id) AS ended FROM ranked
     ), off AS (
@@ -294,7 +296,7 @@ _MIX_SQL = rf"""
     )
     SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size,
         round(target, 6) AS target,
-        ((copies + CASE WHEN share > 0 AND ended <= cut THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+        ((copies + CASE WHEN share > 0 AND size > 0 AND ended <= cut THEN 1 ELSE 0 END) * size)::BIGINT AS taken
     FROM cut
 """
 

@@ -85,6 +85,21 @@ def test_odds_favour_documents(spark):
     assert sum(r["n"] for r in x) == pytest.approx(2000 * 2 / 3, abs=1)
 
 
+def test_inclusion_follows_size(spark):
+    """Of many documents of three sizes, each is drawn about as often as its size wants it."""
+    docs = documents(spark, [(i, "w " * (5, 10, 20)[i % 3], "en", "x" if i < 6000 else "y") for i in range(12_000)])
+    for out in (mixture.mixed(docs), mixture.mix(docs).groupBy("doc_id", "source").agg(F.count("*").alias("copies")).withColumn("size", F.lit(0))):
+        drawn = defaultdict(int)
+        for r in out.collect():
+            if r["source"] == "x":
+                drawn[r["doc_id"] % 3] += r["copies"]
+        # Two thirds of the words of x are wanted: p = 2 / 3 * size * sum(size) / sum(size ** 2).
+        even = (25 + 100 + 400) / 35
+        for i, size in enumerate((5, 10, 20)):
+            want = min(mixture.CERTAIN, 2 / 3 * size / even)
+            assert drawn[i] / 2000 == pytest.approx(want, abs=0.05)
+
+
 def test_mix_returns_the_copies_that_mixed_counts(spark):
     rng = random.Random(4)
     docs = documents(spark, make(rng, {"a": (50, 20), "b": (10, 5), "c": (80, 60)})).withColumns(
