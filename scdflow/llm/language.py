@@ -3,7 +3,9 @@
 The model is a matrix of log probabilities, buckets x languages, learned from a bounded sample
 of labelled texts (`PER_LANGUAGE` a language, whole texts) and broadcast. A task scores a batch
 of texts at once: the buckets of all their 1-, 2- and 3-grams pick rows of the matrix, which are
-added up by text. Every text is scored, as a whole.
+added up by text, a bounded number of rows at a time. Every text is scored, as a whole; a long
+one is read in pieces. The matrix has a fixed size at most: with very many languages (labels of
+any kind are languages) it has fewer buckets, `FEWEST` at least.
 
 A null text and one without a letter get `und` and score 0; so does every text if nothing was
 learned. Ties go to the language that sorts first. Rows without text or label teach nothing.
@@ -32,8 +34,10 @@ BUCKETS = 1 << 16
 PER_LANGUAGE = 3000
 #: Added to each count.
 SMOOTHING = 0.1
-#: Bytes of the matrix that may be broadcast.
-MODEL_BYTES = 256_000_000
+#: Bytes of the matrix, which is broadcast, and buckets of a language at least.
+MODEL_BYTES, FEWEST = 256_000_000, 64
+#: Numbers of the matrix that a task picks at once, and characters of a text that it reads at once.
+PICKED, PIECE = 4_000_000, 500_000
 #: Posterior probability below which the filter rejects a document.
 LEAST_SCORE = 0.5
 
@@ -58,17 +62,20 @@ def train(
     rows = labelled.groupBy("lang").count().collect()
     counts = {r["lang"]: r["count"] for r in sorted(rows, key=lambda r: r["lang"])}
     languages = list(counts)
-    if len(languages) * buckets * 4 > MODEL_BYTES:
-        raise ValueError(f"{len(languages)} languages need fewer than {buckets} buckets")
-    grams = np.zeros((buckets, len(languages)))
+    buckets = min(buckets, max(FEWEST, MODEL_BYTES // (4 * max(1, len(languages)))))
+    grams = np.zeros((buckets, len(languages)), np.float32)
+    number = {x: i for i, x in enumerate(languages)}
     if languages:
         sampled = labelled.join(F.broadcast(_shares(docs, counts, per_language)), "lang").filter(
             F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < F.col("share") * (1 << 30)
         )
-        for row in _counted(sampled.select("text", "lang"), n, buckets).collect():
-            grams[row["bucket"], languages.index(row["lang"])] = row["n"]
-    total = grams.sum(axis=0) + SMOOTHING * buckets
-    weights = np.log((grams + SMOOTHING) / total).astype(np.float32)
+        # No more rows than the matrix has numbers.
+        for row in _counted(sampled.select("text", "lang"), n, buckets).toLocalIterator():
+            grams[row["bucket"], number[row["lang"]]] = row["n"]
+    total = grams.sum(axis=0, dtype=np.float64) + SMOOTHING * buckets
+    grams += np.float32(SMOOTHING)
+    weights = np.log(grams, out=grams)
+    weights -= np.log(total).astype(np.float32)
     every = sum(counts.values())
     prior = np.log(np.array([counts[x] / every for x in languages]))
     return Model(languages, prior, weights, n)
@@ -84,53 +91,86 @@ def _counted(labelled: DataFrame, n: int, buckets: int) -> DataFrame:
     """How often each bucket comes up, by language."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, np.ndarray] = {}
         for batch in words.sliced(batches):
+            sums: dict[str, list[np.ndarray]] = {}
             for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist(), strict=True):
-                total = sums.setdefault(lang, np.zeros(buckets, np.int64))
-                for found in _buckets([text], n, buckets)[1]:
-                    total += np.bincount(found, minlength=buckets)
-        for lang, total in sums.items():
-            some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(some), pa.string()), pa.array(some), pa.array(total[some])],
-                ["lang", "bucket", "n"],
-            )
+                for piece in _pieces(text, n):
+                    for found in _buckets_of(piece, n, buckets):
+                        sums.setdefault(lang, []).append(found.astype(np.int32))
+            for lang, parts in sums.items():
+                some, total = np.unique(np.concatenate(parts), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([lang] * len(some), pa.string()),
+                        pa.array(some.astype(np.int64)),
+                        pa.array(total),
+                    ],
+                    ["lang", "bucket", "n"],
+                )
 
     made = labelled.mapInArrow(count, "lang string, bucket long, n long")
     return made.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
-def _buckets(texts: list[str], n: int, buckets: int) -> tuple[np.ndarray, Iterator[np.ndarray]]:
-    """Where each text begins, and the buckets of the 1-, 2-, ... n-grams that begin there.
+def _pieces(text: str, n: int) -> Iterator[np.ndarray]:
+    """The code points in which a piece's n-grams begin, and the n - 1 behind them.
 
-    n - 1 zeros stand before each text and behind the last, so no n-gram has parts of two.
+    n - 1 zeros stand before and behind each text, so no n-gram has parts of two.
     """
-    gap = "\0" * (n - 1)
-    points = words.code_points(gap + gap.join(texts) + gap).astype(np.uint64)
-    lengths = np.array([len(t) for t in texts]) + (n - 1)
-    starts = np.cumsum(lengths) - lengths
-    size = len(points) - (n - 1)
+    last = len(text) + n - 1
+    for low in range(0, last, PIECE):
+        high = min(low + PIECE, last) + n - 1
+        inside = text[max(0, low - (n - 1)) : max(0, high - (n - 1))]
+        before, behind = max(0, n - 1 - low), max(0, high - (n - 1) - len(text))
+        yield words.code_points("\0" * before + inside + "\0" * behind).astype(np.uint64)
 
-    def grams() -> Iterator[np.ndarray]:
-        seed = np.uint64(0x9E3779B97F4A7C15)
-        gram = np.zeros(size, np.uint64)
-        for k in range(n):
-            gram = (gram ^ points[k : size + k]) * seed
-            gram ^= gram >> np.uint64(29)
-            spread = gram * np.uint64(0xBF58476D1CE4E5B9)
-            yield ((spread >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
 
-    return starts, grams()
+def _buckets_of(points: np.ndarray, n: int, buckets: int) -> Iterator[np.ndarray]:
+    """The buckets of the 1-, 2-, ... n-grams that begin at all code points but the last n - 1."""
+    size = len(points) - (n - 1)
+    seed = np.uint64(0x9E3779B97F4A7C15)
+    gram = np.zeros(size, np.uint64)
+    for k in range(n):
+        gram = (gram ^ points[k : size + k]) * seed
+        gram ^= gram >> np.uint64(29)
+        spread = gram * np.uint64(0xBF58476D1CE4E5B9)
+        yield ((spread >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
 
 
 def _scores(model: Model, texts: list[str]) -> np.ndarray:
     """Log of prior times likelihood, texts x languages."""
-    starts, grams = _buckets(texts, model.n, len(model.weights))
     total = np.tile(model.prior, (len(texts), 1))
-    for found in grams:
-        picked = model.weights.take(found, axis=0)
-        total += np.add.reduceat(picked, starts, axis=0, dtype=np.float64)
+    most = max(1, PICKED // max(1, len(model.languages)))
+    held: list[np.ndarray] = []
+    of: list[int] = []
+
+    def add() -> None:
+        """The pieces held, side by side: the zeros between them are behind each one's n-grams."""
+        begins = [np.arange(len(p) - (model.n - 1)) for p in held]
+        shift = np.cumsum([0, *(len(p) for p in held[:-1])])
+        at = np.concatenate([b + s for b, s in zip(begins, shift, strict=True)])
+        own = np.repeat(of, [len(b) for b in begins])
+        for found in _buckets_of(np.concatenate(held), model.n, len(model.weights)):
+            found = found[at]
+            for low in range(0, len(found), most):
+                part, text = found[low : low + most], own[low : low + most]
+                first = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
+                picked = model.weights.take(part, axis=0)
+                total[text[first]] += np.add.reduceat(picked, first, axis=0, dtype=np.float64)
+
+    size = 0
+    for i, text in enumerate(texts):
+        for piece in _pieces(text, model.n):
+            held.append(piece)
+            of.append(i)
+            size += len(piece)
+            if size >= PIECE:
+                add()
+                held.clear()
+                of.clear()
+                size = 0
+    if held:
+        add()
     return total
 
 

@@ -64,3 +64,29 @@ def test_nothing_learned(spark):
     assert [r["lang_pred"] for r in language.predict(docs, model).collect()] == ["und"]
     assert language.predict(docs.limit(0), model).count() == 0
     assert language.train(docs.limit(0)).languages == []
+
+
+def test_pieces_of_a_long_text_score_as_the_whole(monkeypatch):
+    rng = np.random.default_rng(1)
+    weights = rng.normal(size=(64, 3)).astype(np.float32)
+    model = language.Model(["a", "b", "c"], np.log([0.5, 0.3, 0.2]), weights, 3)
+    texts = ["".join(chr(97 + x) for x in rng.integers(0, 26, n)) for n in (0, 1, 2, 9, 10, 11, 57)]
+    want = [brute(model, t) for t in texts]
+    for piece in (1, 2, 3, 10, 1000):
+        for picked in (1, 7, 10**6):
+            monkeypatch.setattr(language, "PIECE", piece)
+            monkeypatch.setattr(language, "PICKED", picked)
+            assert np.allclose(language._scores(model, texts), want, atol=1e-4)
+
+
+def test_any_number_of_labels(spark):
+    """More labels than a matrix of all buckets has room for."""
+    many = 5000
+    rows = [(i, f"{'xyz'[i % 3]}{i} text of its own {i}", f"l{i}", "a") for i in range(many)]
+    rows += [(many + i, t, lang, "a") for i in range(300) for t, lang in (("hallo schöne welt", "de"), ("hello nice world", "en"))]
+    docs = documents(spark, rows)
+    model = language.train(docs)
+    assert len(model.languages) == many + 2 and model.weights.nbytes <= language.MODEL_BYTES
+    asked = documents(spark, ["hallo welt", "hello world", "hello nice world " * 60_000])
+    got = {r["doc_id"]: r["lang_pred"] for r in language.predict(asked, model).collect()}
+    assert got == {0: "de", 1: "en", 2: "en"}
