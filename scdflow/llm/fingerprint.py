@@ -9,7 +9,8 @@ in order; 1 for equal texts.
 
 A text shorter than a k-mer is one k-mer, an empty one has the one element "nothing"; a text with
 fewer elements than `TUPLE` hashes all it has. A null text is fingerprinted like an empty one.
-Very long texts are read in pieces of `PIECE` k-mers; all of the text counts.
+All of a text counts: its k-mers' hashes are held in memory, some 60 bytes a code point, and
+selected from in pieces of `PIECE`.
 """
 
 from __future__ import annotations
@@ -116,38 +117,39 @@ def with_next(docs: DataFrame, handle: Callable, schema: T.StructType | str) ->
     `handle` gets an iterator of pairs `((doc_id, text), (doc_id, text))` and yields batches. The
     document after the last is the first. Documents are dealt to parts by ranges of doc_id; the
     first of each part also goes to the part before, so no part needs another. Rows of the same
-    doc_id follow each other in the order of their texts; a null doc_id comes first.
+    doc_id follow each other in the order of their texts' hashes, then texts; a null doc_id comes
+    first. A doc_id with more text than two parts has parts of its own, ranges of the hash.
     """
     narrow = docs.select("doc_id", "text")
     parts = words.parts_of(narrow, PART_BYTES)
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    ids = staged(narrow.select(key.alias("key")), "ids")
-    shares = [(i + 1) / parts for i in range(parts - 1)]
-    bounds = ids.select(F.percentile_approx("key", shares or [1.0], max(10_000, 20 * parts))).first()[0] or []
-    bounds = sorted(set(bounds)) if shares else []
-    firsts = ids.groupBy(_part(F.col("key"), bounds).alias("part")).agg(F.min("key").alias("key"))
-    # One number a part.
-    begins = sorted((r["part"], r["key"]) for r in firsts.collect())
-    before = {k: begins[i - 1][0] for i, (_, k) in enumerate(begins)}
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    ids = staged(narrow.select(key.alias("key"), F.xxhash64("text").alias("tie"), size.alias("size")), "ids")
+    bounds, pieces = _plan(ids, parts)
+    deal = _dealer(bounds, pieces)
+    firsts = ids.groupBy(deal(F.col("key"), F.col("tie")).alias("part")).agg(
+        F.min(F.struct("key", "tie")).alias("first")
+    )
+    # One row a part.
+    begins = sorted((r["part"], *r["first"]) for r in firsts.collect())
+    before = [(k, tie, begins[i - 1][0]) for i, (_, k, tie) in enumerate(begins)]
+    tie = F.xxhash64("text")
     rows = narrow.select(
-        _part(key, bounds).alias("part"), F.lit(0).alias("after"), key.alias("key"), "doc_id", "text"
+        deal(key, tie).alias("part"), F.lit(0).alias("after"), key.alias("key"), tie.alias("tie"), "doc_id", "text"
     )
-    again = narrow.join(
-        F.broadcast(
-            docs.sparkSession.createDataFrame(list(before.items()), "of_key long, part int")
-        ),
-        key == F.col("of_key"),
-    ).groupBy("part", key.alias("key")).agg(
+    seams = docs.sparkSession.createDataFrame(before, "of_key long, of_tie long, part int")
+    again = narrow.join(F.broadcast(seams), (key == F.col("of_key")) & (tie == F.col("of_tie")))
+    again = again.groupBy("part", key.alias("key"), tie.alias("tie")).agg(
         F.min(F.struct(F.col("text").isNotNull().alias("known"), "text")).alias("least")
     )
     again = again.select(
-        "part", F.lit(1).alias("after"), "key", F.lit(None).cast("long").alias("doc_id"), "least.text"
+        "part", F.lit(1).alias("after"), "key", "tie", F.lit(None).cast("long").alias("doc_id"), "least.text"
     )
     dealt = (
         rows.withColumn("doc_id", F.col("doc_id").cast("long"))
         .unionByName(again)
-        .repartitionById(parts, F.col("part").cast("int"))
-        .sortWithinPartitions("part", "after", "key", "text")
+        .repartitionById(len(begins) and begins[-1][0] + 1 or 1, F.col("part").cast("int"))
+        .sortWithinPartitions("part", "after", "key", "tie", "text")
     )
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, tuple]]:
@@ -162,6 +164,42 @@ def with_next(docs: DataFrame, handle: Callable, schema: T.StructType | str) ->
     return dealt.mapInArrow(lambda batches: handle(pairs(batches)), schema)
 
 
+def _plan(ids: DataFrame, parts: int) -> tuple[list[int], dict[int, int]]:
+    """Bounds of doc_id between parts, and hot ids, which stand alone, with their pieces."""
+    large = ids.groupBy("key").agg(F.sum("size").alias("size")).filter(F.col("size") > 2 * PART_BYTES)
+    # Fewer than there are parts.
+    pieces = {r["key"]: -(-r["size"] // PART_BYTES) for r in large.collect()}
+    shares = [(i + 1) / parts for i in range(parts - 1)]
+    found = ids.select(F.percentile_approx("key", shares or [1.0], max(10_000, 20 * parts))).first()[0]
+    bounds = set(found or []) if shares else set()
+    for k in pieces:
+        bounds |= {k, k - 1} if k > -(1 << 63) else {k}
+    return sorted(bounds), pieces
+
+
+def _dealer(bounds: list[int], pieces: dict[int, int]) -> Callable[[Column, Column], Column]:
+    """The part of a row from its key and the hash of its text; parts are in the order of both."""
+    hot = sorted(pieces)
+    extra = [0]
+    for k in hot:
+        extra.append(extra[-1] + pieces[k] - 1)
+
+    def part(key: Column, tie: Column) -> Column:
+        own = _part(key, bounds)
+        if not hot:
+            return own.cast("int")
+        at = _part(key, hot)
+        is_hot = F.get(F.array(*(F.lit(k).cast("long") for k in hot)), at) == key
+        many = F.get(F.array(*(F.lit(pieces[k]) for k in hot)), at)
+        # The hash as a share of its range; doubles rise with it.
+        share = (tie.cast("double") + float(1 << 63)) / float(1 << 64)
+        piece = F.when(is_hot, F.least(F.floor(share * many), many - 1)).otherwise(F.lit(0))
+        ahead = F.get(F.array(*(F.lit(x) for x in extra)), at)
+        return (own + ahead + piece).cast("int")
+
+    return part
+
+
 def _part(key: Column, bounds: list[int]) -> Column:
     """How many bounds the key is over."""
     if not bounds:

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
 from scdflow.llm import fingerprint as fp
@@ -73,8 +74,13 @@ def test_likeness_falls_with_edits_and_moves():
     assert moved < 0.85
 
 
+def tie(text):
+    """Spark's hash of a null is its seed."""
+    return 42 if text is None else signed(xxhash.xxh64_intdigest(text.encode(), 42))
+
+
 def neighbours(rows):
-    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, tie(r[1]), r[1] or ""))
     return [(a, order[(i + 1) % len(order)]) for i, a in enumerate(order)]
 
 
@@ -120,3 +126,24 @@ def test_few_rows(spark):
     check([(0, "one two three four")], fp.compared(docs).collect())
     assert fp.compared(docs.limit(0)).count() == 0
     assert w.text_bytes(docs.limit(0)) == 0
+
+
+def test_a_hot_id_is_dealt_to_several_parts(spark, monkeypatch):
+    """Two thirds of the rows without an id: no part has over twice the mean."""
+    monkeypatch.setattr(fp, "PART_BYTES", 20_000)
+    rng = random.Random(3)
+    rows = [(None if i % 3 else i, "".join(rng.choices("abcdef ", k=rng.randrange(60, 140)))) for i in range(3000)]
+    docs = documents(spark, [(i, t, "en", "a") for i, t in rows])
+    sizes = []
+
+    def handle(pairs):
+        import pyarrow as pa
+
+        n = sum(1 for _ in pairs)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array([n])], ["n"])
+
+    sizes = [r["n"] for r in fp.with_next(docs, handle, "n long").collect()]
+    assert sum(sizes) == len(rows) and len(sizes) >= 12
+    assert max(sizes) <= 2 * len(rows) / len(sizes)
+    check(rows, fp.compared(docs).collect())
