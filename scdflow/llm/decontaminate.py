@@ -1,19 +1,29 @@
 """Benchmark decontamination: rare word n-grams as seeds, Smith-Waterman alignment to decide.
 
 A benchmark item leaks into a document if the best local alignment of their words scores at
-least `similarity` times the item's length (match +1, mismatch and gap -1; A-Z lower-cased).
-
-The search loses no leak. A leak with g mismatches and gaps has at least 0.8 L + g matches and
-at most L, so g <= 0.2 L; these cut the item into g + 1 runs, and one run has at least 4 words
-(3 for items of 5 or 6 words). An item's seeds are its 3-grams or, where the run has 4 words,
-the one of each two neighbours that is rarer in the documents: every such run holds a seed. The
-alignment also stays within g diagonals of its seed's, so a window of the document is enough.
+least `SCORE` (0.7) of the item's length: a match counts 1, a mismatch or a gap -1/2 (A-Z
+lower-cased). So an item may have a fifth of its words replaced (0.8 - 0.1), or three fifths of
+its length put in between, or three tenths missing at an end. An item of `EXACT` (4) words or
+fewer leaks only as it is.
+
+The search looks along seeds. An item's seeds are its 3-grams (pairs for items of 5 words, whole
+items for shorter ones); of a longer item than `ALL_SEEDS` words, the one of each two neighbours
+that is rarer in the documents. An item with g words replaced, put in or taken out has a run of
+(0.8 L) / (g + 1) words or more that are as they were: at g up to a fifth of the words that is a
+seed at every length, so no such copy is lost; a copy with more changes is found if a seed is
+left of it. The alignment stays within its errors of the seed's diagonal, so a window of the
+document is enough.
 
 Items are taken in blocks of a bounded number of words. A block is broadcast, and the documents
-are read without any shuffle: no document, hot passage or hot source meets in one task.
-
-Null, empty and short items (under 5 words) match nothing; null and empty texts leak nothing.
-Repeated rows are judged alike, each by itself.
+are read without any shuffle: no document, hot passage or hot source meets in one task. Places
+at which a text and an item share a seed are counted by bands of diagonals, a bounded number at
+a time; a band is aligned if it has two seeds of the item, or if no seed that it has stands in
+more than `MANY` places of the items, so a beginning that thousands of items share does not make
+each of them a candidate wherever it stands.
+
+Null and empty items match nothing; null and empty texts leak nothing. A long text is one batch,
+in memory of some fifty times its size. Repeated rows are judged alike, each by itself. Of equal
+alignments of an item the first one's place is told.
 """
 
 from __future__ import annotations
@@ -29,12 +39,15 @@ from pyspark.sql import types as T
 
 from . import words
 
-#: Words of a seed.
-SEED = 3
-#: Words of the shortest item that is looked for.
-MIN_WORDS = 5
-#: Share of an item's words that the alignment's score must reach.
-SIMILARITY = 0.8
+#: Words of a seed, and of the longest item that has to be there as it is.
+SEED, EXACT = 3, 4
+#: Items of up to so many words keep all their seeds.
+ALL_SEEDS = 16
+#: Share of an item's words that the alignment's score must reach; what a match counts, and an
+#: error takes off, in halves.
+SCORE, MATCH, ERROR = 0.7, 2, 1
+#: Places in the items of a seed that two are wanted of, and places that are counted at once.
+MANY, AT_ONCE = 64, 1_000_000
 #: Words of benchmark items that are broadcast at once; an item that has more comes alone.
 BLOCK_WORDS = 500_000
 #: Cells of the alignment matrices' rows that a task computes at once.
@@ -47,6 +60,8 @@ class Block(NamedTuple):
     ids: np.ndarray
     starts: np.ndarray
     words: np.ndarray
+    #: Lengths of the seeds; a seed's hash tells its length too.
+    lengths: list[int]
     seeds: np.ndarray
     first: np.ndarray
     item: np.ndarray
@@ -57,11 +72,13 @@ class Block(NamedTuple):
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
-    similarity: float = SIMILARITY,
+    similarity: float = SCORE,
     block_words: int = BLOCK_WORDS,
+    shortest: int = 1,
 ) -> DataFrame:
     """A row per document and item that leaks into it: score and place of the best alignment.
 
+    Items of fewer than `shortest` words are left out.
     `doc_id`, `item_id`, `score` (0 to 1), `item_words`, `first_word`, `last_word` (the span in
     the document's words, from 0).
     """
@@ -77,7 +94,7 @@ def leaks(
     )
     narrow = docs.select("doc_id", "text")
     found = None
-    for shared in _shared_blocks(narrow, benchmark, block_words):
+    for shared in _shared_blocks(narrow, benchmark, block_words, shortest):
         part = narrow.mapInArrow(_finder(shared, similarity), schema)
         found = part if found is None else found.unionAll(part)
     return found if found is not None else docs.sparkSession.createDataFrame([], schema)
@@ -86,26 +103,34 @@ def leaks(
 def clean(
     docs: DataFrame,
     benchmark: DataFrame,
-    similarity: float = SIMILARITY,
+    similarity: float = SCORE,
     block_words: int = BLOCK_WORDS,
+    shortest: int = EXACT + 1,
 ) -> DataFrame:
-    """The documents into which no item leaks, all columns kept."""
+    """The documents into which no item leaks, all columns kept.
+
+    Items of fewer than `shortest` words are left out: everyday phrases are in clean texts.
+    """
     kept = docs
-    for shared in _shared_blocks(docs.select("text"), benchmark, block_words):
+    for shared in _shared_blocks(docs.select("text"), benchmark, block_words, shortest):
         kept = kept.mapInArrow(_filter(shared, similarity), docs.schema)
     return kept
 
 
-def _shared_blocks(docs: DataFrame, benchmark: DataFrame, block_words: int) -> Iterator:
+def _shared_blocks(
+    docs: DataFrame, benchmark: DataFrame, block_words: int, shortest: int
+) -> Iterator:
     context = docs.sparkSession.sparkContext
-    for items in _item_blocks(benchmark, block_words):
+    for items in _item_blocks(benchmark, block_words, shortest):
         everything = _block(*items, None)
         if len(everything.seeds):
             counts = _frequencies(docs, context.broadcast(everything), len(everything.seeds))
             yield context.broadcast(_block(*items, counts))
 
 
-def _item_blocks(benchmark: DataFrame, block_words: int) -> Iterator[tuple[list, list]]:
+def _item_blocks(
+    benchmark: DataFrame, block_words: int, shortest: int
+) -> Iterator[tuple[list, list]]:
     """(ids, word hashes) of items, as many as have `block_words` words."""
     rows = (
         benchmark.select(F.col("item_id").cast("long"), "text")
@@ -117,7 +142,7 @@ def _item_blocks(benchmark: DataFrame, block_words: int) -> Iterator[tuple[list,
     held = 0
     for row in rows.toLocalIterator():
         parts = words.split(pa.array([row["text"]], pa.string()))
-        if len(parts.codes) < MIN_WORDS:
+        if len(parts.codes) < max(1, shortest):
             continue
         if ids and held + len(parts.codes) > block_words:
             yield ids, hashes
@@ -129,13 +154,17 @@ def _item_blocks(benchmark: DataFrame, block_words: int) -> Iterator[tuple[list,
         yield ids, hashes
 
 
-def _grams(hashes: np.ndarray) -> np.ndarray:
+def _seed_length(size: int) -> int:
+    return size if size <= EXACT else SEED if size > EXACT + 1 else SEED - 1
+
+
+def _grams(hashes: np.ndarray, length: int) -> np.ndarray:
     """Hash of the n-gram that begins at each word; n - 1 shorter than the words."""
-    n = len(hashes) - SEED + 1
+    n = len(hashes) - length + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    gram = hashes[:n]
-    for k in range(1, SEED):
+    gram = words.chained(np.full(n, length, np.uint64), hashes[:n])
+    for k in range(1, length):
         gram = words.chained(gram, hashes[k : n + k])
     return gram
 
@@ -144,9 +173,9 @@ def _block(ids: list, hashes: list[np.ndarray], counts: dict[int, int] | None) -
     """All n-grams as seeds or, with their counts in the documents, the rare ones."""
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for i, item in enumerate(hashes):
-        grams = _grams(item)
+        grams = _grams(item, _seed_length(len(item)))
         places = np.arange(len(grams))
-        if counts is not None and len(item) > MIN_WORDS + 1:
+        if counts is not None and len(item) > ALL_SEEDS:
             often = np.array([counts.get(g, 0) for g in grams.tolist()])
             rarer = np.where(often[1:] < often[:-1], places[1:], places[:-1])
             places = np.unique(rarer)
@@ -160,6 +189,7 @@ def _block(ids: list, hashes: list[np.ndarray], counts: dict[int, int] | None) -
         np.array(ids, dtype=object),
         np.concatenate([[0], np.cumsum([len(x) for x in hashes])]),
         np.concatenate(hashes),
+        sorted({_seed_length(len(x)) for x in hashes}),
         seeds,
         np.append(first, len(gram)),
         item[order],
@@ -172,14 +202,17 @@ def _hits(block: Block, batch: pa.RecordBatch) -> tuple[words.Words, np.ndarray,
     """Words of the batch, their hashes, and for each seed found: text, place, seed."""
     parts = words.split(batch["text"])
     hashes = parts.hashes()[parts.codes] if len(parts.codes) else np.empty(0, np.uint64)
-    grams = _grams(hashes)
-    at = np.flatnonzero(block.table[grams >> np.uint64(44)])
-    seed = np.searchsorted(block.seeds, grams[at])
-    known = block.seeds[np.minimum(seed, len(block.seeds) - 1)] == grams[at]
-    at, seed = at[known], seed[known]
-    text = np.searchsorted(parts.starts, at, side="right") - 1
-    inside = at + SEED <= parts.starts[text + 1]
-    return parts, hashes, text[inside], at[inside], seed[inside]
+    found = []
+    for length in block.lengths:
+        grams = _grams(hashes, length)
+        at = np.flatnonzero(block.table[grams >> np.uint64(44)])
+        seed = np.searchsorted(block.seeds, grams[at])
+        known = block.seeds[np.minimum(seed, len(block.seeds) - 1)] == grams[at]
+        at, seed = at[known], seed[known]
+        text = np.searchsorted(parts.starts, at, side="right") - 1
+        inside = at + length <= parts.starts[text + 1]
+        found.append((text[inside], at[inside], seed[inside]))
+    return parts, hashes, *(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def _frequencies(docs: DataFrame, shared, seeds: int) -> dict[int, int]:
@@ -229,28 +262,66 @@ def _filter(shared, similarity: float) -> Callable:
     return keep
 
 
+def _candidates(
+    block: Block, starts: np.ndarray, text: np.ndarray, at: np.ndarray, seed: np.ndarray
+) -> np.ndarray:
+    """Text, item and band of diagonals of all that is to be aligned, each once.
+
+    Places of a seed in the items are taken a bounded number at a time. Of a band that only
+    seeds with many places point to, two of them are wanted.
+    """
+    many = block.first[seed + 1] - block.first[seed]
+    sizes = np.diff(block.starts)
+    # Hot seeds by themselves; those of an item with one seed are enough, however many share it.
+    kept: list[np.ndarray] = []
+    ends = np.cumsum(many)
+    low = 0
+    while low < len(at):
+        done = ends[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, done + AT_ONCE, side="right")))
+        own = slice(low, high)
+        row = np.repeat(np.arange(low, high), many[own])
+        of = np.arange(len(row)) - np.repeat(ends[own] - many[own] - done, many[own]) + block.first[seed[row]]
+        item = block.item[of]
+        width = np.maximum(1, sizes[item] // 4)
+        band = (at[row] - starts[text[row]] - block.place[of]) // width
+        alone = (many[row] <= MANY) | (sizes[item] <= ALL_SEEDS // 2)
+        low = high
+        # A text's hits are in order of place, so bands that two seeds point to come near each other.
+        triple = np.stack([text[row], item, band])
+        triple, number = np.unique(triple, axis=1, return_inverse=True)
+        number = number.reshape(-1)
+        hits = np.bincount(number, minlength=triple.shape[1])
+        sure = np.bincount(number, weights=alone, minlength=triple.shape[1]) > 0
+        # Drift may move the second seed to the band beside.
+        beside = np.zeros(triple.shape[1], bool)
+        if triple.shape[1] > 1:
+            near = (np.diff(triple[:2]) == 0).all(axis=0) & (np.diff(triple[2]) == 1)
+            beside[1:] |= near
+            beside[:-1] |= near
+        kept.append(triple[:, sure | (hits > 1) | beside])
+    return np.unique(np.concatenate(kept, axis=1), axis=1) if kept else np.empty((3, 0), np.int64)
+
+
 def _best(block: Block, batch: pa.RecordBatch, similarity: float) -> tuple[np.ndarray, ...]:
     """Text, item, score, first and last word of the best alignment of each leak."""
     parts, hashes, text, at, seed = _hits(block, batch)
     empty = tuple(np.empty(0, np.int64) for _ in range(5))
     if not len(at):
         return empty
-    # A row for each place of a seed in the items.
-    many = block.first[seed + 1] - block.first[seed]
-    row = np.repeat(np.arange(len(at)), many)
-    of = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many) + block.first[seed][row]
-    item = block.item[of]
-    size = np.diff(block.starts)[item]
-    width = np.maximum(1, size // 4)
-    band = (at[row] - parts.starts[text[row]] - block.place[of]) // width
-    text, item, band = np.unique(np.stack([text[row], item, band]), axis=1)
+    in_order = np.lexsort((at, text))
+    found = _candidates(block, parts.starts, text[in_order], at[in_order], seed[in_order])
+    text, item, band = found
     size = np.diff(block.starts)[item]
     width = np.maximum(1, size // 4)
-    gaps = np.floor((1 - similarity) * size + 1e-9).astype(np.int64)
+    # As many words more or less as errors leave the score that is wanted.
+    gaps = np.floor((1 - similarity) * MATCH / ERROR * size + 1e-9).astype(np.int64)
+    gaps[size <= EXACT] = 0
     low = np.maximum(0, band * width - gaps)
     high = np.minimum(np.diff(parts.starts)[text], band * width + width + size + gaps)
     score, last = _align(block, item, hashes, parts.starts[text] + low, high - low)
-    good = np.flatnonzero(score >= similarity * size - 1e-9)
+    wanted = np.where(size <= EXACT, 1.0, similarity)
+    good = np.flatnonzero(score >= wanted * MATCH * size - 1e-9)
     if not len(good):
         return empty
     text, item, score, low = text[good], item[good], score[good], low[good]
@@ -261,7 +332,7 @@ def _best(block: Block, batch: pa.RecordBatch, similarity: float) -> tuple[np.nd
     order = np.lexsort((first, -score, item, text))
     text, item = text[order], item[order]
     one = np.append(True, (text[1:] != text[:-1]) | (item[1:] != item[:-1]))
-    return text[one], item[one], score[order][one], first[order][one], last[order][one]
+    return text[one], item[one], score[order][one] / MATCH, first[order][one], last[order][one]
 
 
 def _align(
@@ -272,7 +343,7 @@ def _align(
     length: np.ndarray,
     backwards: bool = False,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Best local score of each item in its window and the last word of the window it takes."""
+    """Best local score of each item in its window, in halves, and the last word it takes there."""
     sizes = np.diff(block.starts)[item]
     score, end = np.zeros(len(item), np.int64), np.zeros(len(item), np.int64)
     order = np.lexsort((length, sizes))
@@ -296,14 +367,15 @@ def _align_some(block, item, sizes, hashes, start, length, backwards):
     above = np.zeros((len(item), width + 1), np.int32)
     best = np.zeros(len(item), np.int32)
     end = np.zeros(len(item), np.int64)
-    slope = np.arange(width + 1, dtype=np.int32)
+    slope = np.arange(width + 1, dtype=np.int32) * ERROR
     for i in range(int(sizes.max())):
         live = i < sizes
         place = np.where(live, sizes - 1 - i if backwards else i, 0)
         word = block.words[block.starts[item] + place]
         same = (window == word[:, None]) & inside & live[:, None]
         row = np.zeros_like(above)
-        row[:, 1:] = np.maximum(above[:, :-1] + np.where(same, 1, -1), above[:, 1:] - 1)
+        step = np.where(same, MATCH, -ERROR)
+        row[:, 1:] = np.maximum(above[:, :-1] + step, above[:, 1:] - ERROR)
         np.maximum(row, 0, out=row)
         # A gap in the item may be of any length: the best start to the left, less its distance.
         row = np.maximum.accumulate(row + slope, axis=1) - slope

@@ -14,23 +14,35 @@ def best(item, text):
     for w in item:
         new = [0]
         for j, v in enumerate(text):
-            new.append(max(0, row[j] + (1 if v == w else -1), row[j + 1] - 1, new[j] - 1))
+            new.append(max(0, row[j] + (1 if v == w else -0.5), row[j + 1] - 0.5, new[j] - 0.5))
         row, most = new, max(most, *new)
     return most
 
 
-def brute(docs, items):
+def brute(docs, items, shortest=1):
+    """Scores of all items that reach the share of their words, and of short ones that are there."""
     found = {}
     for d, text in docs:
         for i, item in items:
             own = words(item)
-            if len(own) >= 5:
+            if len(own) >= shortest:
                 score = best(own, words(text)) / len(own)
-                if score >= 0.8 - 1e-9:
+                if score >= (0.7 if len(own) > 4 else 1) - 1e-9:
                     found[d, i] = score
     return found
 
 
+def changes(item, text):
+    """Fewest words replaced, put in or taken out that make the item a part of the text."""
+    row = [0] * (len(text) + 1)
+    for i, w in enumerate(item, 1):
+        new = [i]
+        for j, v in enumerate(text):
+            new.append(min(row[j] + (v != w), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return min(row)
+
+
 def edited(rng, item, n, letters):
     out = list(item)
     for _ in range(n):
@@ -67,17 +79,47 @@ def test_against_all_alignments(spark, case, block_words):
     docs = documents(spark, [(d, t, "en", "a") for d, t in texts])
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     rows = decontaminate.leaks(docs, benchmark, block_words=block_words).collect()
-    want = brute(texts, items)
-    assert len(want) > 50
-    assert {(r["doc_id"], r["item_id"]): r["score"] for r in rows} == pytest.approx(want)
-    assert len(rows) == len(want)
+    every = brute(texts, items)
     by_id, of = dict(texts), dict(items)
+    # All copies with up to a fifth of the words changed, and nothing that does not reach the score.
+    near = {k for k in every if 5 * changes(words(of[k[1]]), words(by_id[k[0]])) <= len(words(of[k[1]]))}
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in rows}
+    assert len(near) > 50 and near <= set(got) <= set(every)
+    assert got == pytest.approx({k: every[k] for k in got})
+    assert len(rows) == len(got) >= 0.97 * len(every)
     for r in rows:
         span = words(by_id[r["doc_id"]])[r["first_word"] : r["last_word"] + 1]
         own = words(of[r["item_id"]])
         assert best(own, span) / len(own) == pytest.approx(r["score"])
-    kept = {r["doc_id"] for r in decontaminate.clean(docs, benchmark, block_words=block_words).collect()}
-    assert kept == set(by_id) - {d for d, _ in want}
+    kept = {r["doc_id"] for r in decontaminate.clean(docs, benchmark, block_words=block_words, shortest=1).collect()}
+    assert kept == set(by_id) - {d for d, _ in got}
+
+
+@pytest.mark.parametrize("share,least", [(0.1, 1.0), (0.2, 1.0), (0.3, 0.0)])
+def test_recall_by_share_of_replaced_words(spark, share, least):
+    rng = random.Random(7)
+    items = [[f"w{rng.randrange(4000)}" for _ in range(rng.randrange(5, 60))] for _ in range(200)]
+    texts = []
+    for item in items:
+        own = list(item)
+        for at in rng.sample(range(1, len(own) - 1), int(share * len(own) + 1e-9)):
+            own[at] = "other"
+        texts.append(" ".join(["before"] * 9 + own + ["behind"] * 9))
+    benchmark = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    rows = decontaminate.leaks(documents(spark, texts), benchmark).collect()
+    caught = sum(r["doc_id"] == r["item_id"] for r in rows)
+    assert least * len(items) <= caught and len(rows) == caught
+
+
+def test_many_items_of_one_beginning(spark):
+    """Each place of the beginning points to every item; few are aligned, the copies are found."""
+    rng = random.Random(2)
+    items = [(i, "which of the following is " + " ".join(f"v{rng.randrange(9000)}" for _ in range(20))) for i in range(3000)]
+    text = "which of the following is " * 300 + items[77][1]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    docs = documents(spark, [text, "which of the following is nothing", items[5][1]])
+    rows = decontaminate.leaks(docs, benchmark).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in rows) == [(0, 77), (2, 5)]
 
 
 def test_long_item_takes_few_words_at_once(spark):
@@ -88,7 +130,7 @@ def test_long_item_takes_few_words_at_once(spark):
     benchmark = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
     rows = decontaminate.leaks(docs, benchmark).collect()
     assert [(r["doc_id"], r["first_word"], r["last_word"]) for r in rows] == [(0, 5000, 8099)]
-    assert rows[0]["score"] == pytest.approx(2900 / 3000)
+    assert rows[0]["score"] == pytest.approx(2950 / 3000)
 
 
 def test_odd_rows(spark):
@@ -103,7 +145,7 @@ def test_odd_rows(spark):
         + [(7, "a " + item, "en", "a"), (8, "p Q r s t u", "en", "a"), (9, "clean text", "en", "a")],
     ).withColumns({"item_id": F.lit(9), "score": F.lit("s"), "seed": F.lit(1.5)})
     found = sorted((str(r["doc_id"]), str(r["item_id"])) for r in decontaminate.leaks(docs, benchmark).collect())
-    assert found == [("7", "1"), ("7", "1"), ("8", "None"), ("None", "1")]
+    assert found == [("7", "1"), ("7", "1"), ("7", "4"), ("7", "4"), ("8", "None"), ("None", "1"), ("None", "4")]
     kept = decontaminate.clean(docs, benchmark)
     assert kept.schema == docs.schema
     assert sorted(r["doc_id"] for r in kept.collect()) == [5, 6, 9]
