@@ -51,7 +51,7 @@ SCALE = 2_000_000
 #: Parts in which the best of a language are chosen first.
 SALTS = 64
 #: Bytes of text that a task works on at once, and phrases that it remembers to have named.
-SLICE_BYTES, SENT = 2_000_000, 4_000_000
+SLICE_BYTES, SENT = 3_000_000, 4_000_000
 #: Where a text is parted: no word has this character.
 _MARK = "."
 _PARTING = r"[.,;:!?\x0A-\x0D]+"
@@ -170,20 +170,30 @@ def frequent(
 def named(dictionary: DataFrame, known: list[tuple[range, Known]]) -> DataFrame:
     """`(key, lang, phrase, length)` of the phrases of known keys, and of few others."""
 
+    of_length = {length: own for lengths, own in known for length in lengths}
+
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # What a task has named is not sent again; the keys are those of what is frequent.
         sent = np.empty(0, np.uint64)
         for batch in words.sliced(batches, "chunk", SLICE_BYTES):
             chunks = _read(batch)
-            for lengths, own in known:
-                for length in lengths:
-                    at, hashes = _whole(chunks, length, None, 0)
-                    at, hashes = (x[own.holds(hashes)] for x in (at, hashes))
-                    hashes, first = np.unique(hashes, return_index=True)
-                    new = ~np.isin(hashes, sent)
-                    hashes, at = hashes[new], at[first[new]]
-                    yield _names(chunks, at, hashes, length)
-                    sent = np.concatenate([sent, hashes])
+            at = np.flatnonzero(chunks.in_core & chunks.is_word)
+            hashes = chunks.seeds[chunks.row[at]]
+            for length, own in of_length.items():
+                # A frequent phrase begins with a frequent one of a word less.
+                last = at + length - 1
+                inside = last < len(chunks.codes)
+                at, hashes, last = at[inside], hashes[inside], last[inside]
+                goes_on = chunks.is_word[last] & (chunks.row[last] == chunks.row[at])
+                at, hashes, last = at[goes_on], hashes[goes_on], last[goes_on]
+                hashes = words.chained(hashes, chunks.hashes[last])
+                kept = own.holds(hashes)
+                at, hashes = at[kept], hashes[kept]
+                keys, first = np.unique(hashes, return_index=True)
+                place = np.minimum(np.searchsorted(sent, keys), max(0, len(sent) - 1))
+                new = sent[place] != keys if len(sent) else np.ones(len(keys), bool)
+                yield _names(chunks, at[first[new]], keys[new], length)
+                sent = np.sort(np.concatenate([sent, keys[new]]))
             if len(sent) > SENT:
                 sent = np.empty(0, np.uint64)
 
