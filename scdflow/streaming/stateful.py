@@ -18,8 +18,8 @@ RETENTION_DAYS = 500
 
 _ATTRIBUTES = [*CUSTOMER_TRACKED, *CUSTOMER_TYPE1]
 _TEXTS = ", ".join(f"{c} string" for c in _ATTRIBUTES)
-_STATE = f"live boolean, version int, clock timestamp, applied bigint, expires bigint, {_TEXTS}"
-UPDATE = f"customer_id bigint, live boolean, version int, valid_from timestamp, applied bigint, {_TEXTS}"
+_STATE = f"live boolean, version int, clock timestamp, expires bigint, {_TEXTS}"
+UPDATE = f"customer_id bigint, live boolean, version int, valid_from timestamp, read_to bigint, {_TEXTS}"
 
 
 class CurrentCustomer(StatefulProcessor):
@@ -36,12 +36,11 @@ class CurrentCustomer(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # What a micro-batch has of one key; its size is that of the micro-batch at most.
         changes = pd.concat(list(rows)).sort_values(["partition", "offset"], kind="stable")
-        live, version, clock, applied, expires, held = False, 0, None, 0, 0, None
+        live, version, clock, expires, held = False, 0, None, 0, None
         if self.state.exists():
-            live, version, clock, applied, expires, *held = self.state.get()
+            live, version, clock, expires, *held = self.state.get()
             held = dict(zip(_ATTRIBUTES, held, strict=True))
         for change in changes.to_dict("records"):
-            applied += 1
             op = change["op"] if change["op"] in ("c", "u", "d") else "r"
             if (op == "r" and live) or (op == "d" and not live):
                 continue
@@ -58,9 +57,10 @@ class CurrentCustomer(StatefulProcessor):
         if clock is None:
             return
         values = [held[c] for c in _ATTRIBUTES]
-        self.state.update((live, version, clock, applied, expires, *values))
-        columns = ["customer_id", "live", "version", "valid_from", "applied", *_ATTRIBUTES]
-        yield pd.DataFrame([[key[0], live, version, clock, applied, *values]], columns=columns)
+        self.state.update((live, version, clock, expires, *values))
+        columns = ["customer_id", "live", "version", "valid_from", "read_to", *_ATTRIBUTES]
+        read_to = int(changes["offset"].iloc[-1])
+        yield pd.DataFrame([[key[0], live, version, clock, read_to, *values]], columns=columns)
 
     def _timer(self, live: bool, clock, expires: int) -> int:
         wanted = 0
@@ -97,9 +97,9 @@ def current_customers(changes: DataFrame, late: str = "1 day") -> DataFrame:
 
 
 def latest(updates: DataFrame) -> DataFrame:
-    """What all updates leave: customers that are live."""
-    rest = [c for c in updates.columns if c not in ("customer_id", "applied")]
-    last = updates.groupBy("customer_id").agg(F.max_by(F.struct(*rest), "applied").alias("last"))
+    """What all updates leave: customers that are live. A key's changes are in one partition."""
+    rest = [c for c in updates.columns if c not in ("customer_id", "read_to")]
+    last = updates.groupBy("customer_id").agg(F.max_by(F.struct(*rest), "read_to").alias("last"))
     return last.select("customer_id", "last.*").filter("live").drop("live")
 
 
