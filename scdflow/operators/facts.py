@@ -89,7 +89,8 @@ def resolve(
             "product_id",
             product_found,
             lookup,
-            sizes,
+            # The join adds no rows, so the items alone tell which products are hot.
+            sizes | {"counted": inserts},
         )
     return found.withColumn("reason", _reason())
 

@@ -463,13 +463,15 @@ def as_of(
     key: str,
     at: str,
     columns: Sequence[str],
+    counted: DataFrame | None = None,
     **sizes,
 ) -> DataFrame:
     """`rows` with `columns` of the version of their key valid at time `at`, else null.
 
     Rows and versions are merged in time order and each row takes the last version
     seen: linear in both sides, where an equi join with a range condition would compare
-    every row of a key with every version of it.
+    every row of a key with every version of it. `counted` has the keys of `rows` from where they
+    are read at little cost; hot keys are found there.
     """
     wanted = F.struct("valid_to", *columns)
     found = versions.select(wanted.alias("v")).schema["v"].dataType
@@ -498,7 +500,8 @@ def as_of(
         return seen.filter(F.col("row").isNotNull()).select("row", "seen")
 
     valid = F.col(f"row.{at}") < F.col("seen.valid_to")
-    matched = by_key(timeline, key, "pos", match, **sizes).select(
+    keys = (rows if counted is None else counted).select(key).unionByName(versions.select(key))
+    matched = by_key(timeline, key, "pos", match, counted=keys, **sizes).select(
         "row.*", *[F.when(valid, F.col(f"seen.{c}")).alias(c) for c in columns]
     )
     keyless = rows.filter(F.col(key).isNull())

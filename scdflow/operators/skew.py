@@ -29,14 +29,18 @@ def by_key(
     build: Callable[[DataFrame, bool], DataFrame],
     hot_rows: int = HOT_ROWS,
     slice_rows: int = SLICE_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """`build(rows, sliced)` over all keys, where hot keys come with a `slice` column.
 
     However many keys are hot, they stay a table; only their number of rows is known here.
+    Keys are counted in `counted`, where that has the keys of `df` and costs less to read: `df`
+    is then not computed for the count.
     Rows with a null key are not passed on; no ordered operator has a use for them.
     """
     df = df.filter(F.col(key).isNotNull())
-    counts = df.groupBy(key).agg(F.count("*").alias("n"))
+    keys_of = df if counted is None else counted.filter(F.col(key).isNotNull())
+    counts = keys_of.groupBy(key).agg(F.count("*").alias("n"))
     most = counts.agg(F.max("n")).first()[0]
     if most is None or most <= hot_rows:
         return build(df, False)

@@ -872,15 +872,22 @@ def sales_kpis(t: Tables) -> DataFrame:
     return metrics.sales_kpis(sales_by_category(t))
 
 
+def _product_sales(t: Tables, **given) -> DataFrame:
+    """Both dimensions are folded once: the lookups, their counts and the last join read them."""
+    products = staged(_products(t), "products")
+    resolved = facts.resolve(
+        t.items(), t.orders(), _kept(_customers(t), "customer"), products, t.dates(), "asof"
+    )
+    return metrics.product_sales(facts.facts(resolved), products, **given)
+
+
 def product_sales_current_versions(t: Tables) -> DataFrame:
     """Sales per product of facts whose product version is still current."""
-    return metrics.product_sales(facts.facts(_resolved(t, "asof")), _products(t))
+    return _product_sales(t)
 
 
 def product_sales_all_versions(t: Tables) -> DataFrame:
-    return metrics.product_sales(
-        facts.facts(_resolved(t, "asof")), _products(t), current_only=False
-    )
+    return _product_sales(t, current_only=False)
 
 
 def customer_history(t: Tables) -> DataFrame:
