@@ -203,6 +203,13 @@ class Batch:
             slots = new.select("failed_message_id", F.coalesce(hour, F.lit(0)).alias("slot"))
             self._write("due", slots.hint("rebalance", "slot"), "slot")
 
+    def _left(self, name: str) -> bool:
+        path = f"{self.warehouse.root}/{name}/batch={self.number}"
+        try:
+            return bool(self.warehouse.spark.read.schema("x int").parquet(path).inputFiles())
+        except AnalysisException:
+            return False
+
     def _own(self, name: str) -> DataFrame:
         """What this batch has written to a state table."""
         return self.warehouse._rows(name, {name: self.number}, self.number)
@@ -229,13 +236,15 @@ class Batch:
     def commit(
         self, source: str | None = None, source_batch: int | None = None, counts: dict | None = None
     ) -> None:
-        """Make the batch count. Tables it did not write to get an empty folder, since a
-        failed run may have left rows there."""
+        """Make the batch count. Where a failed run has left rows of a table that this one did not
+        write to, they are replaced by none; so is a table that is not there yet."""
         spark, record = self.warehouse.spark, self.warehouse.record
-        for name in STATE.keys() - self.written:
-            self.upsert(name, spark.createDataFrame([], STATE[name][1]))
-        for name in APPENDED.keys() - self.written:
-            self.append(name, spark.createDataFrame([], APPENDED[name]))
+        for name in [*STATE, *APPENDED]:
+            if name not in self.written and (self.number == 1 or self._left(name)):
+                ddl = STATE[name][1] if name in STATE else APPENDED[name]
+                folders = [" ".join(_FOLDERS[name])] if name in _FOLDERS else []
+                none = spark.createDataFrame([], ", ".join([ddl, *folders]))
+                self._write(name, none, *(x.split()[0] for x in folders))
         sources = dict(record["sources"])
         if source is not None:
             sources[source] = _with_number(sources.get(source, []), source_batch)
