@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from scdflow.functions import margin, money
 from scdflow.schemas import CUSTOMER_LENGTHS, ORDER_LENGTHS, PRODUCT_LENGTHS
+from scdflow.sources.shared import staged
 
 
 _ERROR = "struct<error_type:string,error_message:string>"
@@ -203,5 +204,10 @@ def _one_row_each(row: DataFrame, columns: Sequence[str], name: str) -> DataFram
 
 
 def orphans(rows: DataFrame, parents: DataFrame, key: str) -> DataFrame:
-    """Rows whose key has no parent. A null key refers to nothing and is no orphan."""
-    return rows.filter(F.col(key).isNotNull()).join(parents.select(key), key, "left_anti")
+    """Rows whose key has no parent. A null key refers to nothing and is no orphan.
+
+    The keys of the parents are written first: of a plan of theirs Spark guesses the size, and
+    it would collect millions of them to broadcast.
+    """
+    known = staged(parents.select(key).distinct(), "parents")
+    return rows.filter(F.col(key).isNotNull()).join(known, key, "left_anti")
