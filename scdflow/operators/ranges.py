@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scdflow.operators.skew import by_key, largest_before, last_seen
+from scdflow.sources.shared import staged
 
 RANGE = "topic string, partition int, first bigint, last bigint"
 #: Offsets that are put in order together at most, before ranges are.
 BLOCK = 1 << 16
+#: Places are few, so one is dealt out long before it would be a hot key elsewhere.
+PLACE_ROWS = 250_000
+_SIZES = {"hot_rows": PLACE_ROWS, "slice_rows": PLACE_ROWS}
 
 
 def islands(records: DataFrame, block: int = BLOCK, **sizes) -> DataFrame:
@@ -39,8 +43,11 @@ def islands(records: DataFrame, block: int = BLOCK, **sizes) -> DataFrame:
 
 
 def merged(ranges: DataFrame, **sizes) -> DataFrame:
-    """Ranges that overlap or follow each other without a gap as one."""
-    keyed = ranges.select(F.struct("topic", "partition").alias("place"), "first", "last")
+    """Ranges that overlap or follow each other without a gap as one.
+
+    They are written first, as they are counted and dealt out by samples of them.
+    """
+    keyed = staged(ranges.select(F.struct("topic", "partition").alias("place"), "first", "last"), "ranges")
 
     def join(rows: DataFrame, sliced: bool) -> DataFrame:
         reached = largest_before(rows, "place", "first", F.col("last"), "reached", sliced)
@@ -51,7 +58,7 @@ def merged(ranges: DataFrame, **sizes) -> DataFrame:
         )
 
     return (
-        by_key(keyed, "place", "first", join, **sizes)
+        by_key(keyed, "place", "first", join, **_SIZES | sizes)
         .groupBy("place", "opened")
         .agg(F.max("last").alias("last"))
         .select("place.*", F.col("opened").alias("first"), "last")
@@ -80,6 +87,6 @@ def uncovered(records: DataFrame, ranges: DataFrame, **sizes) -> DataFrame:
         seen = last_seen(rows, "place", "at", F.col("last"), "until", sliced)
         return seen.filter(F.col("row").isNotNull()).select("row", "until")
 
-    found = by_key(line, "place", "at", match, **sizes)
+    found = by_key(line, "place", "at", match, **_SIZES | sizes)
     beyond = F.col("until").isNull() | (F.col("until") < F.col("row.offset"))
     return found.filter(beyond).select("row.*")

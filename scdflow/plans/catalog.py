@@ -133,7 +133,7 @@ def cdc_stream_dedup(t: Tables) -> DataFrame:
 
 def applied_ranges(t: Tables) -> DataFrame:
     """Ranges of the offsets of item records, merged from three batches that come out of order."""
-    records = t.item_records()
+    records = t.item_records().select(*ADDRESS)
     held = t.spark.createDataFrame([], ranges.RANGE)
     for part in (2, 0, 1):
         batch = records.filter(F.col("offset") % 3 == part)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from scdflow.operators import validate
+from scdflow.operators import ranges, validate
 
 pytestmark = pytest.mark.usefixtures("interpreted")
 
@@ -16,3 +16,13 @@ def test_parents_of_orphans_are_read_back(spark):
     assert [r["id"] for r in found.collect()] == [4]
     # Spark sees the size of a table instead of guessing that of a plan.
     assert any("/parents-" in f for f in found.inputFiles())
+
+
+def test_a_place_with_many_ranges_is_dealt_out(spark):
+    n = 2 * ranges.PLACE_ROWS + 2
+    rows = spark.range(n).select(
+        F.lit("t").alias("topic"), F.lit(0).alias("partition"), (F.col("id") * 2).alias("first"), (F.col("id") * 2).alias("last")
+    )
+    found = ranges.merged(rows)
+    assert any("/slices-" in f for f in found.inputFiles())
+    assert found.agg(F.count("*"), F.min("first"), F.max("last"), F.count_if(F.col("first") == F.col("last"))).first() == (n, 0, 2 * n - 2, n)
