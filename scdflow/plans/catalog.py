@@ -912,15 +912,11 @@ def current_customers_stream(t: Tables) -> DataFrame:
     spark, folder = t.spark, new_folder(t.spark, "live")
     changes = t.feed("orders", CUSTOMER_CHANGES | {"arrived": "o_orderdate"})
     changes = changes.withColumns({c: F.col(c).cast("timestamp") for c in ("ts", "arrived")})
-    before = spark.conf.get(stateful.PROVIDER)
-    spark.conf.set(stateful.PROVIDER, stateful.ROCKSDB)
-    try:
+    with stateful.state_on_disk(spark):
         for wave in (F.col("offset") < SPLIT, F.col("offset") >= SPLIT):
             changes.filter(wave).write.mode("append").parquet(f"{folder}/in")
             stream = _folder_stream(spark, changes, f"{folder}/in")
             _streamed(stateful.current_customers(stream), folder)
-    finally:
-        spark.conf.set(stateful.PROVIDER, before)
     rows = stateful.latest(spark.read.schema(stateful.UPDATE).parquet(f"{folder}/out"))
     return rows.withColumn("valid_from", naive(F.col("valid_from")))
 
