@@ -12,14 +12,13 @@ that is rarer in the documents. An item with g words replaced, put in or taken o
 (0.8 L) / (g + 1) words or more that are as they were: at g up to a fifth of the words that is a
 seed at every length, so no such copy is lost; a copy with more changes is found if a seed is
 left of it. The alignment stays within its errors of the seed's diagonal, so a window of the
-document is enough.
+document is enough. A window is aligned unless it has too few of the item's words for the score.
 
 Items are taken in blocks of a bounded number of words. A block is broadcast, and the documents
 are read without any shuffle: no document, hot passage or hot source meets in one task. Places
-at which a text and an item share a seed are counted by bands of diagonals, a bounded number at
-a time; a band is aligned if it has two seeds of the item, or if no seed that it has stands in
-more than `MANY` places of the items, so a beginning that thousands of items share does not make
-each of them a candidate wherever it stands.
+at which a text and an item share a seed are gathered by bands of diagonals, a bounded number at
+a time, however many items share the seed. Of the bands found, those are left out whose window
+has too few of the item's words to reach the score: a bound, so no leak is lost.
 
 Null and empty items match nothing; null and empty texts leak nothing. A long text is one batch,
 in memory of some fifty times its size. Repeated rows are judged alike, each by itself. Of equal
@@ -46,8 +45,8 @@ ALL_SEEDS = 16
 #: Share of an item's words that the alignment's score must reach; what a match counts, and an
 #: error takes off, in halves.
 SCORE, MATCH, ERROR = 0.7, 2, 1
-#: Places in the items of a seed that two are wanted of, and places that are counted at once.
-MANY, AT_ONCE = 64, 1_000_000
+#: Places of seeds that are taken at once; candidates, and words of each, that are looked up at once.
+AT_ONCE, CHECKED, CHECKED_WORDS = 1_000_000, 50_000, 16
 #: Words of benchmark items that are broadcast at once; an item that has more comes alone.
 BLOCK_WORDS = 500_000
 #: Cells of the alignment matrices' rows that a task computes at once.
@@ -263,16 +262,21 @@ def _filter(shared, similarity: float) -> Callable:
 
 
 def _candidates(
-    block: Block, starts: np.ndarray, text: np.ndarray, at: np.ndarray, seed: np.ndarray
+    block: Block,
+    parts: words.Words,
+    similarity: float,
+    text: np.ndarray,
+    at: np.ndarray,
+    seed: np.ndarray,
 ) -> np.ndarray:
     """Text, item and band of diagonals of all that is to be aligned, each once.
 
-    Places of a seed in the items are taken a bounded number at a time. Of a band that only
-    seeds with many places point to, two of them are wanted.
+    Places of a seed in the items are taken a bounded number at a time, and what cannot reach the
+    score, for too few of the item's words are there, is left out before the next are taken.
     """
     many = block.first[seed + 1] - block.first[seed]
     sizes = np.diff(block.starts)
-    # Hot seeds by themselves; those of an item with one seed are enough, however many share it.
+    stands = _stands(parts)
     kept: list[np.ndarray] = []
     ends = np.cumsum(many)
     low = 0
@@ -284,25 +288,69 @@ def _candidates(
         of = np.arange(len(row)) - np.repeat(ends[own] - many[own] - done, many[own]) + block.first[seed[row]]
         item = block.item[of]
         width = np.maximum(1, sizes[item] // 4)
-        band = (at[row] - starts[text[row]] - block.place[of]) // width
-        alone = (many[row] <= MANY) | (sizes[item] <= ALL_SEEDS // 2)
+        band = (at[row] - parts.starts[text[row]] - block.place[of]) // width
         low = high
-        # A text's hits are in order of place, so bands that two seeds point to come near each other.
-        triple = np.stack([text[row], item, band])
-        triple, number = np.unique(triple, axis=1, return_inverse=True)
-        number = number.reshape(-1)
-        hits = np.bincount(number, minlength=triple.shape[1])
-        sure = np.bincount(number, weights=alone, minlength=triple.shape[1]) > 0
-        # Drift may move the second seed to the band beside.
-        beside = np.zeros(triple.shape[1], bool)
-        if triple.shape[1] > 1:
-            near = (np.diff(triple[:2]) == 0).all(axis=0) & (np.diff(triple[2]) == 1)
-            beside[1:] |= near
-            beside[:-1] |= near
-        kept.append(triple[:, sure | (hits > 1) | beside])
+        triple = np.unique(np.stack([text[row], item, band]), axis=1)
+        for some in range(0, triple.shape[1], CHECKED):
+            part = triple[:, some : some + CHECKED]
+            kept.append(part[:, _enough(block, parts, stands, similarity, *part)])
     return np.unique(np.concatenate(kept, axis=1), axis=1) if kept else np.empty((3, 0), np.int64)
 
 
+def _windows(
+    block: Block, starts: np.ndarray, similarity: float, text, item, band
+) -> tuple[np.ndarray, np.ndarray]:
+    """Where in their texts the alignments of some candidates lie."""
+    size = np.diff(block.starts)[item]
+    width = np.maximum(1, size // 4)
+    # As many words more or less as errors leave the score that is wanted.
+    gaps = np.floor((1 - similarity) * MATCH / ERROR * size + 1e-9).astype(np.int64)
+    gaps[size <= EXACT] = 0
+    low = np.maximum(0, band * width - gaps)
+    return low, np.minimum(np.diff(starts)[text], band * width + width + size + gaps)
+
+
+def _stands(parts: words.Words) -> tuple[np.ndarray, np.ndarray]:
+    """The batch's words in order, and their places: number of the word, then place, as one."""
+    own = parts.hashes()
+    order = np.argsort(own)
+    number = np.empty(len(own), np.int64)
+    number[order] = np.arange(len(own))
+    n = len(parts.codes)
+    return own[order], np.sort(number[parts.codes] * (n + 1) + np.arange(n))
+
+
+def _enough(
+    block: Block, parts: words.Words, stands, similarity: float, text, item, band
+) -> np.ndarray:
+    """Which candidates may reach the score: a match takes a word of the item and one of the window,
+    so as many of the item's words must stand there as the score counts."""
+    known, places = stands
+    low, high = _windows(block, parts.starts, similarity, text, item, band)
+    low, high = parts.starts[text] + low, parts.starts[text] + high
+    size = np.diff(block.starts)[item]
+    wanted = np.where(size <= EXACT, 1.0, similarity)
+    # Words that may be missing; most candidates miss as many among the first ones.
+    left = size - np.ceil(wanted * size - 1e-9).astype(np.int64)
+    alive = np.arange(len(item))
+    n = places.size + 1
+    for first in range(0, int(size.max(initial=0)), CHECKED_WORDS):
+        own = alive[size[alive] > first]
+        if not len(own):
+            break
+        at = first + np.arange(CHECKED_WORDS)
+        inside = at < size[own][:, None]
+        word = block.words[np.where(inside, block.starts[item[own]][:, None] + at, 0)]
+        number = np.minimum(np.searchsorted(known, word), len(known) - 1)
+        here = known[number] == word
+        next_one = np.searchsorted(places, number * n + low[own][:, None])
+        there = places[np.minimum(next_one, len(places) - 1)]
+        here &= (there >= number * n + low[own][:, None]) & (there < number * n + high[own][:, None])
+        left[own] -= (inside & ~here).sum(axis=1)
+        alive = alive[left[alive] >= 0]
+    return alive
+
+
 def _best(block: Block, batch: pa.RecordBatch, similarity: float) -> tuple[np.ndarray, ...]:
     """Text, item, score, first and last word of the best alignment of each leak."""
     parts, hashes, text, at, seed = _hits(block, batch)
@@ -310,15 +358,12 @@ def _best(block: Block, batch: pa.RecordBatch, similarity: float) -> tuple[np.nd
     if not len(at):
         return empty
     in_order = np.lexsort((at, text))
-    found = _candidates(block, parts.starts, text[in_order], at[in_order], seed[in_order])
+    found = _candidates(
+        block, parts, similarity, text[in_order], at[in_order], seed[in_order]
+    )
     text, item, band = found
     size = np.diff(block.starts)[item]
-    width = np.maximum(1, size // 4)
-    # As many words more or less as errors leave the score that is wanted.
-    gaps = np.floor((1 - similarity) * MATCH / ERROR * size + 1e-9).astype(np.int64)
-    gaps[size <= EXACT] = 0
-    low = np.maximum(0, band * width - gaps)
-    high = np.minimum(np.diff(parts.starts)[text], band * width + width + size + gaps)
+    low, high = _windows(block, parts.starts, similarity, text, item, band)
     score, last = _align(block, item, hashes, parts.starts[text] + low, high - low)
     wanted = np.where(size <= EXACT, 1.0, similarity)
     good = np.flatnonzero(score >= wanted * MATCH * size - 1e-9)

@@ -159,3 +159,17 @@ def test_empty(spark):
     some = spark.createDataFrame([(1, "a b c d e f")], none.schema)
     assert decontaminate.leaks(docs.limit(0), some).count() == 0
     assert decontaminate.clean(docs.limit(0), some).count() == 0
+
+
+def test_a_single_seed_that_many_items_share(spark):
+    """A fifth of the words replaced leaves one seed, the beginning that all items have."""
+    items = [(i, "all items begin so " + " ".join(f"w{i}x{k}" for k in range(16))) for i in range(100)]
+    text = words(items[7][1])
+    for at in (4, 8, 12, 16):
+        text[at] = f"other{at}"
+    docs = [(0, "before " + " ".join(text) + " behind"), (1, "all items begin so and go on otherwise")]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.leaks(documents(spark, [t for _, t in docs]), frame).collect()
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in found}
+    assert got == pytest.approx(brute(docs, items)) and list(got) == [(0, 7)]
+    assert [r["doc_id"] for r in decontaminate.clean(documents(spark, [t for _, t in docs]), frame).collect()] == [1]
