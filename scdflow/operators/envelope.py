@@ -33,6 +33,8 @@ _IMAGES = {
 
 
 _IDS = ["customer_id", "product_id", "order_item_id", "order_id"]
+#: As much of an image as tells that it is an object, and a row.
+_SEEN = "struct<" + ",".join(f"{name}:variant" for name in _IDS) + ">"
 _GIVEN = {
     CUSTOMERS: "email",
     PRODUCTS: "price cost",
@@ -98,36 +100,54 @@ def decode(records: DataFrame) -> DataFrame:
 
 
 def normalize(records: DataFrame) -> DataFrame:
-    """Operation, row image and outcome of each record."""
+    """Operation, row image and outcome of each record.
+
+    A part of a VARIANT is a copy of it. Images are seen by their ids; one is only taken out where
+    it has none, and at the end where it is wanted.
+    """
     items = F.col("topic") == ORDER_ITEMS
-    payload = F.col("outer.payload")
-    bare = F.struct(F.lit(None).cast("variant").alias("op"), "outer.before", "outer.after")
+    looks = f"struct<op:variant,before:{_SEEN},after:{_SEEN}>"
+    packed = _computed(decode(records), packed=F.try_variant_get("document", "$.payload", looks))
+    there = F.when(F.col("packed").isNotNull(), True).otherwise(part("document", "payload").isNotNull())
+    bare = F.try_variant_get("document", "$", looks)
     opened = _computed(
-        _computed(decode(records), outer=parts("document", "payload before after")),
-        wrapped=payload.isNotNull(),
-        body=F.when(payload.isNull(), bare).otherwise(parts(payload, "op before after")),
+        _computed(packed, wrapped=there),
+        body=F.when(F.col("wrapped"), F.col("packed")).otherwise(bare),
     )
-    before, after = F.col("body.before"), F.col("body.after")
+
+    def side(name: str) -> Column:
+        return F.when(F.col("wrapped"), part("document", f"payload.{name}")).otherwise(
+            part("document", name)
+        )
+
+    def missing(name: str) -> Column:
+        return F.when(F.col(f"body.{name}").isNotNull(), False).otherwise(_nothing(side(name)))
+
     op = (
         F.when(F.col("wrapped") & F.col("body.op").isNull(), "c")
         .when(F.col("wrapped"), F.try_variant_get("body.op", "$", "string"))
-        .when(_nothing(after), "d")
-        .when(_nothing(before), "c")
+        .when(missing("after"), "d")
+        .when(missing("before"), "c")
         .otherwise("u")
     )
     read = _computed(opened, read_op=op)
     deleted = F.col("read_op").eqNullSafe("d") & ~items
+
+    def has_id(name: str) -> Column:
+        return F.coalesce(*[F.col(f"body.{name}.{i}") for i in _IDS]).isNotNull()
+
+    # A row of a known table is seen by its id; any other image needs a closer look.
     chosen = _computed(
         read,
-        row_image=F.when(deleted, before).otherwise(after),
+        deleted=deleted,
+        is_row=F.when(deleted, has_id("before")).otherwise(has_id("after")),
         ignored=items & ~F.col("read_op").eqNullSafe("c"),
     )
-    # A row of a known table is seen by its id; any other image needs a closer look.
-    is_row = F.coalesce(*[part("row_image", name) for name in _IDS]).isNotNull()
+    image = F.when(F.col("deleted"), side("before")).otherwise(side("after"))
     judged = _computed(
-        chosen,
-        idle=F.col("ignored") | (~is_row & _is_empty(F.col("row_image"))),
-        is_object=is_row | _is_object(F.col("row_image")),
+        _computed(chosen, other=F.when(~F.col("is_row"), image)),
+        idle=F.col("ignored") | (~F.col("is_row") & _is_empty(F.col("other"))),
+        is_object=F.col("is_row") | _is_object(F.col("other")),
     )
     error = (
         F.when(F.col("kind") == "malformed", _error("JSONDecodeError", "value is not JSON"))
@@ -153,7 +173,7 @@ def normalize(records: DataFrame) -> DataFrame:
         *records.columns,
         F.coalesce("wrapped", F.lit(False)).alias("wrapped"),
         F.when(decided, F.col("read_op")).alias("op"),
-        F.when(F.col("outcome") == "change", F.col("row_image")).alias("image"),
+        F.when(F.col("outcome") == "change", image).alias("image"),
         "outcome",
         F.when(F.col("outcome") == "failed", error["error_type"]).alias("error_type"),
         F.when(F.col("outcome") == "failed", error["error_message"]).alias("error_message"),

@@ -304,7 +304,10 @@ class Tables:
         return self.feed("orders", CUSTOMER_RECORDS)
 
     def product_records(self) -> DataFrame:
-        return self.feed(self.lines_with_part(), PRODUCT_RECORDS)
+        """The price is worked out once a row; the value mentions it up to four times."""
+        value = PRODUCT_RECORDS["value"].replace(_PRICE, "price")
+        lines = self.lines_with_part().withColumn("price", F.expr(_PRICE))
+        return self.feed(lines, PRODUCT_RECORDS | {"value": value})
 
     def order_records(self) -> DataFrame:
         return self.feed("orders", ORDER_RECORDS)
