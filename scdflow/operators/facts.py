@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from scdflow.functions import date_key, money, surrogate_key
 from scdflow.operators.scd import as_of
 from scdflow.schemas import ADDRESS, MONEY
-from scdflow.sources.shared import staged
 
 LOOKUP_REASONS = ["order_not_found", "customer_not_found", "product_not_found"]
 
@@ -29,21 +28,21 @@ def latest_orders(changes: DataFrame) -> DataFrame:
     )
 
 
-def one_per_address(records: DataFrame) -> DataFrame:
-    """A record delivered again is the same record: keep one per address.
+def one_per_address(records: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """A record delivered again is the same record: keep one per address, and none of the `known`.
 
-    Addresses are counted by themselves; whole records are compared only where one came twice.
+    Records are shuffled once, by their address: what is known is taken out there, and of those
+    that came twice the smallest one stays. Records without a full address are kept as they are.
     """
-    counts = records.groupBy(*ADDRESS).agg(F.count("*").alias("n"))
-    twice = staged(counts.filter(F.col("n") > 1).select(*ADDRESS), "twice")
     rest = [c for c in records.columns if c not in ADDRESS]
-    chosen = (
-        records.join(twice, ADDRESS, "left_semi")
-        .groupBy(*ADDRESS)
-        .agg(F.min(F.struct(*rest)).alias("r"))
-        .select(*ADDRESS, "r.*")
-    )
-    return records.select(*chosen.columns).join(twice, ADDRESS, "left_anti").unionByName(chosen)
+    addressed = F.lit(True)
+    for column in ADDRESS:
+        addressed &= F.col(column).isNotNull()
+    placed = records.filter(addressed).repartition(*ADDRESS)
+    if known is not None:
+        placed = placed.join(known, ADDRESS, "left_anti")
+    chosen = placed.groupBy(*ADDRESS).agg(F.min(F.struct(*rest)).alias("r")).select(*ADDRESS, "r.*")
+    return chosen.unionByName(records.filter(~addressed).select(*chosen.columns))
 
 
 def resolve(
@@ -55,6 +54,7 @@ def resolve(
     lookup: str = "current",
     customer_columns: Sequence[str] = (),
     product_columns: Sequence[str] = (),
+    found_only: bool = False,
     **sizes,
 ) -> DataFrame:
     """Inserted items with their dimension keys, and `reason` where one is missing.
@@ -63,7 +63,9 @@ def resolve(
     valid at the order date.
 
     Customers and dates are found per order, so each is looked up once however many
-    items the order has. More columns of the versions found can be asked for.
+    items the order has. More columns of the versions found can be asked for. With `found_only`,
+    for callers that want no rejects, items are left out early that lack an order, its customer or
+    its date; those that lack a product stay.
     """
     customer_found = ["customer_key", *customer_columns]
     product_found = ["product_key", *product_columns]
@@ -78,13 +80,16 @@ def resolve(
         )
         .withColumn("order_found", F.lit(True))
     )
+    if found_only:
+        dated = dated.filter("customer_key IS NOT NULL AND known_date IS NOT NULL")
+    how = "inner" if found_only else "left"
     inserts = items.filter(F.col("op") == "c").drop("op")
     if lookup == "current":
         keyed = _with_version(inserts, products, "product_id", product_found, lookup, sizes)
-        found = keyed.join(dated, "order_id", "left")
+        found = keyed.join(dated, "order_id", how)
     else:
         found = _with_version(
-            inserts.join(dated, "order_id", "left"),
+            inserts.join(dated, "order_id", how),
             products,
             "product_id",
             product_found,

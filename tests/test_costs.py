@@ -56,3 +56,40 @@ def test_the_price_of_a_product_record_is_worked_out_once(spark, tmp_path):
     row = made.first()
     image = '{"product_id":1,"product_name":"n","category":"t","brand":"b","price":10.00,"cost":6.00}'
     assert row["value"] == '{"before":' + image + ',"after":' + image + "}"
+
+
+def test_a_lookup_shuffles_only_what_is_asked_for(spark, no_broadcast):
+    at, end = datetime.datetime(2024, 1, 1), datetime.datetime(9999, 1, 1)
+    rows = spark.createDataFrame([(1, at, 5, "unwanted")], "id long, at timestamp_ntz, n int, note string")
+    versions = spark.createDataFrame(
+        [(1, 7, at, at, 1), (1, 8, at, end, 2)],
+        "id long, v int, valid_from timestamp_ntz, valid_to timestamp_ntz, open_seq int",
+    )
+    found = scd.as_of(rows, versions, "id", "at", ["v"]).select("n", "v")
+    found.collect()
+    windowed = [x for x in plan(found).split("\n") if "Project [id#" in x or "Union" in x]
+    assert windowed and not any("note" in x for x in windowed)
+    assert [tuple(r) for r in found.collect()] == [(5, 8)]
+
+
+def test_sales_by_category_add_up_once_before_the_category(spark, no_broadcast):
+    sold = spark.createDataFrame(
+        [(1, 1, 10, 2, 5.0, 2.5), (1, 1, 10, 1, 2.5, 2.5), (2, 2, 10, 1, 4.0, 4.0)],
+        "product_key long, product_id long, order_id long, quantity int, line_total double, unit_price double",
+    )
+    products = spark.createDataFrame(
+        [(1, 1, "a", True), (2, 2, "a", True)], "product_key long, product_id long, category string, is_current boolean"
+    )
+    found = metrics.sales_by_category(sold, products)
+    assert [tuple(r) for r in found.collect()] == [("a", 1, 4, 11.5, 3.0)]
+    assert len(re.findall("keys=.product_key", plan(found))) == 0
+
+
+def test_records_are_shuffled_once_to_keep_one_per_address(spark, no_broadcast):
+    rows = records(spark, [("t", 0, 1, "b"), ("t", 0, 1, "a"), ("t", 0, 2, "c"), ("t", 0, None, "d"), ("t", 0, None, "d")])
+    known = spark.createDataFrame([("t", 0, 2)], "topic string, partition int, offset bigint")
+    once = facts.one_per_address(rows, known)
+    got = sorted((r["offset"] or 0, r["value"]) for r in once.collect())
+    assert got == [(0, "d"), (0, "d"), (1, "a")]
+    shuffles = [x for x in plan(facts.one_per_address(rows)).split("\n") if "Exchange hashpartitioning" in x]
+    assert len(shuffles) == 1
