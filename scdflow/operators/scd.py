@@ -476,7 +476,8 @@ def as_of(
     wanted = F.struct("valid_to", *columns)
     found = versions.select(wanted.alias("v")).schema["v"].dataType
     open_seq = versions.schema["open_seq"].dataType
-    whole = rows.select(F.struct(*rows.columns).alias("row")).schema["row"].dataType
+    # Rows stay columns, so that those no one asks for later are not shuffled.
+    own = {c: f"row {c}" for c in rows.columns if c != key}
 
     def position(time, side, seq):
         return F.struct(time.alias("time"), F.lit(side).alias("side"), seq.alias("seq"))
@@ -484,25 +485,28 @@ def as_of(
     timeline = versions.select(
         key,
         position(F.col("valid_from"), 0, F.col("open_seq")).alias("pos"),
-        F.lit(None).cast(whole).alias("row"),
         wanted.alias("version"),
+        *[F.lit(None).cast(rows.schema[c].dataType).alias(name) for c, name in own.items()],
     ).unionByName(
         rows.select(
             key,
             position(F.col(at), 1, F.lit(None).cast(open_seq)).alias("pos"),
-            F.struct(*rows.columns).alias("row"),
             F.lit(None).cast(found).alias("version"),
+            *[F.col(c).alias(name) for c, name in own.items()],
         )
     )
 
     def match(part, sliced):
         seen = last_seen(part, key, "pos", F.col("version"), "seen", sliced)
-        return seen.filter(F.col("row").isNotNull()).select("row", "seen")
+        return seen.filter("pos.side = 1").select(
+            key, F.col("pos.time").alias("at"), "seen", *own.values()
+        )
 
-    valid = F.col(f"row.{at}") < F.col("seen.valid_to")
+    valid = F.col("at") < F.col("seen.valid_to")
     keys = (rows if counted is None else counted).select(key).unionByName(versions.select(key))
     matched = by_key(timeline, key, "pos", match, counted=keys, **sizes).select(
-        "row.*", *[F.when(valid, F.col(f"seen.{c}")).alias(c) for c in columns]
+        *[F.col(own.get(c, c)).alias(c) for c in rows.columns],
+        *[F.when(valid, F.col(f"seen.{c}")).alias(c) for c in columns],
     )
     keyless = rows.filter(F.col(key).isNull())
     return matched.unionByName(keyless, allowMissingColumns=True)

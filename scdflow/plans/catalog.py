@@ -529,6 +529,7 @@ def _facts_as_of(t: Tables, **sizes) -> DataFrame:
         "asof",
         customer_columns=["customer_version"],
         product_columns=["product_version"],
+        found_only=True,
         **sizes,
     )
     versions = ["customer_version", "product_version"]
@@ -876,7 +877,13 @@ def _product_sales(t: Tables, **given) -> DataFrame:
     """Both dimensions are folded once: the lookups, their counts and the last join read them."""
     products = staged(_products(t), "products")
     resolved = facts.resolve(
-        t.items(), t.orders(), _kept(_customers(t), "customer"), products, t.dates(), "asof"
+        t.items(),
+        t.orders(),
+        _kept(_customers(t), "customer"),
+        products,
+        t.dates(),
+        "asof",
+        found_only=True,
     )
     return metrics.product_sales(facts.facts(resolved), products, **given)
 
