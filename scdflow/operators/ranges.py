@@ -65,8 +65,16 @@ def merged(ranges: DataFrame, **sizes) -> DataFrame:
     )
 
 
-def uncovered(records: DataFrame, ranges: DataFrame, **sizes) -> DataFrame:
-    """Records whose offset is in none of the ranges, which must not overlap.
+def covered(records: DataFrame, ranges: DataFrame, **sizes) -> DataFrame:
+    """Records whose offset is in one of the ranges, which must not overlap."""
+    return uncovered(records, ranges, inside=True, **sizes)
+
+
+def uncovered(
+    records: DataFrame, ranges: DataFrame, inside: bool = False, **sizes
+) -> DataFrame:
+    """Records whose offset is in none of the ranges, or with `inside` in one of them; ranges must
+    not overlap.
 
     Records and ranges are merged in order, and each record takes the last range that begins at
     or before it: linear in both, where a join on a range compares all pairs of a partition.
@@ -89,4 +97,4 @@ def uncovered(records: DataFrame, ranges: DataFrame, **sizes) -> DataFrame:
 
     found = by_key(line, "place", "at", match, **_SIZES | sizes)
     beyond = F.col("until").isNull() | (F.col("until") < F.col("row.offset"))
-    return found.filter(beyond).select("row.*")
+    return found.filter(~beyond if inside else beyond).select("row.*")

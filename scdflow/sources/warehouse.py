@@ -177,7 +177,8 @@ class Batch:
         comes again; a finished batch's can be deleted.
         """
         path = f"{self.warehouse.root}/staging/batch={self.number}/{name}"
-        rows.write.mode("overwrite").partitionBy(*folders).parquet(path)
+        writer = rows.write.mode("overwrite").option("compression", "zstd")
+        writer.partitionBy(*folders).parquet(path)
         read = self.warehouse.spark.read.schema(rows.schema).parquet(path)
         return read.select(*rows.columns)
 

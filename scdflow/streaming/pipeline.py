@@ -78,7 +78,7 @@ def ingest(
     now = now or datetime.datetime.now()
     received = batch.keep("records", records.select(*_names(RECORD)), "topic")
     known = warehouse.appended("applied")
-    new = facts.one_per_address(_unseen(batch, received, known))
+    new = _unseen(batch, received, known)
     normalized = batch.keep("normalized", envelope.normalize(new), "topic")
     batch.overwrite("applied", ranges.merged(known.unionByName(ranges.islands(normalized))))
     changes, applied = _census(normalized)
@@ -101,21 +101,22 @@ def _as_trace() -> Column:
 
 
 def _unseen(batch: Batch, records: DataFrame, known: DataFrame) -> DataFrame:
-    """Records that were not applied before.
+    """Records that were not applied before, one of each address.
 
     Those beyond the last offset of their topic partition were not; a row for each is known.
-    Only what lies below, late or delivered again, is held against the ranges applied.
+    Only what lies below, late or delivered again, is held against the ranges applied, and only
+    by address: records as a whole are shuffled once.
     """
-    tops = known.groupBy("topic", "partition").agg(F.max("last").alias("top"))
-    marked = records.join(tops, ["topic", "partition"], "left")
+    tops = batch.keep("tops", known.groupBy("topic", "partition").agg(F.max("last").alias("top")))
+    marked = records.join(F.broadcast(tops), ["topic", "partition"], "left")
     beyond = F.col("top").isNull() | (F.col("offset") > F.col("top"))
-    fresh = marked.filter(beyond).select(*records.columns)
-    late = batch.keep("late", marked.filter(~beyond).select(*records.columns))
+    late = batch.keep("late", marked.filter(~beyond).select(*ADDRESS))
     first, last = late.agg(F.min("offset"), F.max("offset")).first()
     if first is None:
-        return fresh
+        return facts.one_per_address(marked.filter(beyond).select(*records.columns))
     near = known.filter((F.col("last") >= first) & (F.col("first") <= last))
-    return fresh.unionByName(ranges.uncovered(late, near).select(*records.columns))
+    again = batch.keep("again", ranges.covered(late, near))
+    return facts.one_per_address(marked.filter(beyond.isNotNull()).select(*records.columns), again)
 
 
 def _census(normalized: DataFrame) -> tuple[dict[str, int], dict[str, int]]:
@@ -166,6 +167,9 @@ def _checked(
         checked = validate.check_orders(changes)
     else:
         checked = validate.check_order_items(changes)
+    if topic != ORDER_ITEMS:
+        # Only what is rejected is filed with its value; an item may still miss what it refers to.
+        checked = checked.withColumn("value", F.when(F.size("errors") > 0, F.col("value")))
     return batch.keep("checked_" + topic.removeprefix(TOPIC_PREFIX), checked.drop("given"))
 
 
@@ -233,7 +237,7 @@ def _load_facts(
     spark = batch.warehouse.spark
     dates = metrics.dim_date(spark) if dates is None else dates
     columns = [*ADDRESS, "ts", "value", *_ITEM]
-    waiting = batch.keep("items", items.select(*columns, F.lit("c").alias("op")))
+    waiting = items.select(*columns, F.lit("c").alias("op"))
     orders = (
         batch.state("orders", batch.buckets(waiting, "order_id"))
         .filter(~F.col("deleted"))
@@ -242,7 +246,10 @@ def _load_facts(
     )
     customers = batch.state("dim_customer", batch.buckets(orders, "customer_id"))
     products = batch.state("dim_product", batch.buckets(waiting, "product_id"))
-    resolved = batch.keep("resolved", facts.resolve(waiting, orders, customers, products, dates))
+    resolved = facts.resolve(waiting, orders, customers, products, dates)
+    # What was found is not filed, so its value is not written again.
+    unfound = F.when(F.col("reason").isNotNull(), F.col("value"))
+    resolved = batch.keep("resolved", resolved.withColumn("value", unfound))
     batch.append("fact_orders", facts.facts(resolved).withColumn("created_at", naive(now)))
     failed = facts.out_of_range(resolved).unionByName(facts.unresolved(resolved))
     filed = failed.select(
