@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -30,6 +31,16 @@ def sliced(
             stop = max(first + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(first, stop - first)
             first = stop
+    give_back()
+
+
+def give_back() -> None:
+    """Memory that a task has freed goes back to the system: its worker lives on, beside those of
+    other stages and the JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 class Words(NamedTuple):
