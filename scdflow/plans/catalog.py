@@ -22,7 +22,7 @@ from scdflow.schemas import (
     PRODUCTS,
     RECORD,
 )
-from scdflow.sources.records import file_stream, with_epoch_time
+from scdflow.sources.records import file_stream, with_epoch_time, write_files
 from scdflow.sources.shared import new_folder, staged
 from scdflow.sources.testdata import (
     CUSTOMER_CHANGES,
@@ -97,7 +97,7 @@ def cdc_source(t: Tables) -> DataFrame:
 def cdc_stream(t: Tables) -> DataFrame:
     """All records through a stream of files, a few at a time, and counted as in `cdc_source`."""
     spark, folder = t.spark, new_folder(t.spark, "stream")
-    t.records().write.parquet(f"{folder}/in")
+    write_files(t.records(), f"{folder}/in")
     query = (
         file_stream(spark, f"{folder}/in", max_files=4)
         .writeStream.format("parquet")

@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 from scdflow.schemas import RECORD, TOPICS
 
+#: Size of a row group of the files that `write_files` leaves.
+GROUP_BYTES = 16 << 20
+
 
 def file_stream(
     spark: SparkSession, folder: str, kind: str = "parquet", max_files: int | None = None
@@ -16,6 +19,15 @@ def file_stream(
     return reader.load(folder)
 
 
+def write_files(records: DataFrame, folder: str) -> None:
+    """Records as files for `file_stream`.
+
+    A task reads whole row groups. They are small, so that a batch of few files, however large,
+    has work for all cores and not for one a file.
+    """
+    records.write.option("parquet.block.size", GROUP_BYTES).parquet(folder)
+
+
 def kafka_stream(
     spark: SparkSession, servers: str, max_offsets: int | None = None, topics=TOPICS
 ) -> DataFrame:

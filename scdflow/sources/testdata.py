@@ -301,12 +301,16 @@ class Tables:
         return self.feed(lines, PRODUCT_CHANGES | {"seq": "seq"})
 
     def customer_records(self) -> DataFrame:
-        return self.feed("orders", CUSTOMER_RECORDS)
+        """The image is worked out once a row; the value mentions it four times."""
+        value = CUSTOMER_RECORDS["value"].replace(_CUSTOMER_IMAGE, "image")
+        orders = self.read("orders").withColumn("image", F.expr(_CUSTOMER_IMAGE))
+        return self.feed(orders, CUSTOMER_RECORDS | {"value": value})
 
     def product_records(self) -> DataFrame:
-        """The price is worked out once a row; the value mentions it up to four times."""
-        value = PRODUCT_RECORDS["value"].replace(_PRICE, "price")
+        """The image is worked out once a row, and its price once; the value mentions it twice."""
+        value = PRODUCT_RECORDS["value"].replace(_PRODUCT_IMAGE, "image")
         lines = self.lines_with_part().withColumn("price", F.expr(_PRICE))
+        lines = lines.withColumn("image", F.expr(_PRODUCT_IMAGE.replace(_PRICE, "price")))
         return self.feed(lines, PRODUCT_RECORDS | {"value": value})
 
     def order_records(self) -> DataFrame:

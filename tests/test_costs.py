@@ -2,17 +2,25 @@
 
 import contextlib
 import datetime
+import glob
 import io
+import os
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from scdflow.operators import envelope, facts, scd
-from scdflow.plans import metrics
+from scdflow.plans import catalog, metrics
+from scdflow.sources import records as sources
 from scdflow.sources.testdata import Tables
 
 RECORDS = "topic string, partition int, offset bigint, timestamp timestamp_ntz, key string, value string"
+ORDERS = (
+    "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp, "
+    "o_orderpriority string"
+)
 
 
 def plan(rows):
@@ -58,6 +66,38 @@ def test_the_price_of_a_product_record_is_worked_out_once(spark, tmp_path):
     assert row["value"] == '{"before":' + image + ',"after":' + image + "}"
 
 
+def test_the_image_of_a_customer_record_is_worked_out_once(spark, tmp_path):
+    orders = spark.createDataFrame([(3, 7, "O", 1.0, datetime.datetime(2000, 1, 1), "2-HIGH")], ORDERS)
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    made = Tables(spark, str(tmp_path)).customer_records()
+    assert plan(made).count('"customer_id":') == 1
+    image = (
+        '{"customer_id":7,"first_name":"Customer","last_name":"O","email":"c7@example.com","phone":"2-HIGH",'
+        '"address":"Street 2-HIGH","city":"City 7","country":"Country 7"}'
+    )
+    assert made.first()["value"] == '{"payload":{"op":"u","before":' + image + ',"after":' + image + "}}"
+
+
+def test_a_few_files_of_a_stream_are_work_for_many_tasks(spark, tmp_path, monkeypatch):
+    """A task reads whole row groups, so a batch of four files must not be four row groups."""
+    monkeypatch.setattr(sources, "GROUP_BYTES", 1 << 18, raising=False)
+    lines = spark.range(0, 40_000, 1, 1).selectExpr(
+        "id as l_orderkey", "id as l_partkey", "2 as l_linenumber", "id as l_suppkey", "3d as l_quantity",
+        "id / 100 + 1 as l_extendedprice", "'N' as l_returnflag", "'O' as l_linestatus",
+        "timestamp '2000-01-01' as l_shipdate",
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    part = "p_partkey long, p_name string, p_type string, p_brand string, p_retailprice double"
+    spark.createDataFrame([(1, "n", "t", "b", 10.0)], part).write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([], ORDERS).write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(catalog, "new_folder", lambda *_: f"{tmp_path}/stream")
+    counted = catalog.cdc_stream(Tables(spark, str(tmp_path)))
+    assert sum(r["records"] for r in counted.collect()) == 80_000
+    files = glob.glob(f"{tmp_path}/stream/in/*.parquet")
+    large = [f for f in files if os.path.getsize(f) > 1 << 19]
+    assert large and all(pq.ParquetFile(f).num_row_groups > 1 for f in large)
+
+
 def test_a_lookup_shuffles_only_what_is_asked_for(spark, no_broadcast):
     at, end = datetime.datetime(2024, 1, 1), datetime.datetime(9999, 1, 1)
     rows = spark.createDataFrame([(1, at, 5, "unwanted")], "id long, at timestamp_ntz, n int, note string")
