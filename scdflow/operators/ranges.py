@@ -1,58 +1,103 @@
 """Offsets as ranges: which records of a topic partition were applied.
 
 A partition's offsets are kept as `(topic, partition, first, last)`, neighbours merged, so what is
-kept grows with the gaps between them and not with the records. A partition with very many rows
-or ranges is cut into slices like any hot key (`skew`).
+kept grows with the gaps between them and not with the records. Ranges are cut at the ends of
+blocks of offsets, and a block is put in order by itself: one shuffle, and no task holds a whole
+partition. Only ranges that touch an end of their block are then merged over blocks; where even
+these are very many, they are cut into slices like any hot key (`skew`).
 """
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scdflow.operators.skew import by_key, largest_before, last_seen
 from scdflow.sources.shared import staged
 
 RANGE = "topic string, partition int, first bigint, last bigint"
-#: Offsets that are put in order together at most, before ranges are.
+#: Offsets that are put in order together at most.
 BLOCK = 1 << 16
+#: Blocks that a range is cut into at once.
+_AT_ONCE = 1 << 10
 #: Places are few, so one is dealt out long before it would be a hot key elsewhere.
 PLACE_ROWS = 250_000
 _SIZES = {"hot_rows": PLACE_ROWS, "slice_rows": PLACE_ROWS}
 
 
+def _block(offset: str, size: int) -> Column:
+    """The first offset of the block: whole numbers, as offsets may be too large for a double."""
+    return F.col(offset) - F.pmod(F.col(offset), F.lit(size).cast("bigint"))
+
+
+def _pieces(ranges: DataFrame, size: int) -> DataFrame:
+    """Ranges cut at the ends of blocks of offsets, with the `block` each piece is in."""
+    cut = ranges.select("topic", "partition", "first", "last")
+    # A very long range is cut into few parts first, so no array of its blocks is long.
+    for step in (size * _AT_ONCE, size):
+        every = F.lit(step).cast("bigint")
+        blocks = F.explode_outer(F.sequence(_block("first", step), _block("last", step), every))
+        cut = cut.select("topic", "partition", "first", "last", blocks.alias("block")).select(
+            "topic",
+            "partition",
+            F.greatest("first", "block").alias("first"),
+            F.least("last", F.col("block") + every - 1).alias("last"),
+            "block",
+        )
+    return cut
+
+
+def singles(records: DataFrame) -> DataFrame:
+    """Each record as a range of one offset."""
+    return records.select("topic", "partition", F.col("offset").alias("first"), F.col("offset").alias("last"))
+
+
 def islands(records: DataFrame, block: int = BLOCK, **sizes) -> DataFrame:
-    """The ranges of the offsets of some records; an offset may come several times.
+    """The ranges of the offsets of some records; an offset may come several times."""
+    return merged(singles(records), block, **sizes)
+
+
+def merged(ranges: DataFrame, block: int = BLOCK, **sizes) -> DataFrame:
+    """Ranges that overlap or follow each other without a gap as one.
 
-    Runs are found in blocks of offsets first, so no task puts a whole partition in order.
+    Blocks are the slices of a place. What they leave is written, as the ranges that touch the ends
+    of blocks are counted and dealt out by samples of them.
     """
-    rows = records.select(
-        "topic", "partition", "offset", F.floor(F.col("offset") / block).alias("block")
-    )
-    own = Window.partitionBy("topic", "partition", "block").orderBy("offset")
-    before = F.lag("offset").over(own)
-    starts = F.when(before.isNull() | (F.col("offset") > before + 1), F.col("offset"))
+    # The block goes first: rows are told apart by it, and rarely by their topic.
+    own = Window.partitionBy("block", "partition", "topic").orderBy("first")
+    reached = F.max("last").over(own.rowsBetween(Window.unboundedPreceding, -1))
+    so_far = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     runs = (
-        rows.withColumn("starts", starts)
-        .withColumn(
-            "first",
-            F.max("starts").over(own.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-        )
-        .groupBy("topic", "partition", "first")
-        .agg(F.max("offset").alias("last"))
+        _pieces(ranges, block)
+        .withColumn("reached", reached)
+        .withColumn("opened", F.max(_opens()).over(so_far))
+        .groupBy("block", "partition", "topic", "opened")
+        .agg(F.max("last").alias("last"))
+    )
+    touches = (F.col("opened") == F.col("block")) | (F.col("last") == F.col("block") + block - 1)
+    kept = staged(
+        runs.select(
+            "topic",
+            "partition",
+            F.col("opened").alias("first"),
+            "last",
+            F.coalesce(touches, F.lit(False)).alias("touches"),
+        ),
+        "slices",
     )
-    return merged(runs, **sizes)
+    inside = kept.filter(~F.col("touches")).drop("touches")
+    return inside.unionByName(_over_blocks(kept.filter("touches").drop("touches"), sizes))
 
 
-def merged(ranges: DataFrame, **sizes) -> DataFrame:
-    """Ranges that overlap or follow each other without a gap as one.
+def _opens() -> Column:
+    """The offset at which a row begins a range that nothing ahead of it reaches."""
+    return F.when(F.col("reached").isNull() | (F.col("first") > F.col("reached") + 1), F.col("first"))
 
-    They are written first, as they are counted and dealt out by samples of them.
-    """
-    keyed = staged(ranges.select(F.struct("topic", "partition").alias("place"), "first", "last"), "ranges")
+
+def _over_blocks(ranges: DataFrame, sizes: dict) -> DataFrame:
+    keyed = ranges.select(F.struct("topic", "partition").alias("place"), "first", "last")
 
     def join(rows: DataFrame, sliced: bool) -> DataFrame:
         reached = largest_before(rows, "place", "first", F.col("last"), "reached", sliced)
-        opens = F.col("reached").isNull() | (F.col("first") > F.col("reached") + 1)
-        opened = reached.withColumn("opens", F.when(opens, F.col("first")))
+        opened = reached.withColumn("opens", _opens())
         return last_seen(opened, "place", "first", F.col("opens"), "opened", sliced).select(
             "place", "opened", "last"
         )
@@ -71,23 +116,33 @@ def covered(records: DataFrame, ranges: DataFrame, **sizes) -> DataFrame:
 
 
 def uncovered(
-    records: DataFrame, ranges: DataFrame, inside: bool = False, **sizes
+    records: DataFrame, ranges: DataFrame, inside: bool = False, block: int = BLOCK, **sizes
 ) -> DataFrame:
     """Records whose offset is in none of the ranges, or with `inside` in one of them; ranges must
     not overlap.
 
-    Records and ranges are merged in order, and each record takes the last range that begins at
-    or before it: linear in both, where a join on a range compares all pairs of a partition.
+    Records and ranges are merged in order, block by block, and each record takes the last range
+    that begins at or before it: linear in both, where a join on a range compares all pairs of a
+    partition. A block with very many records, one delivered over and over, is cut into slices.
     """
     whole = records.select(F.struct(*records.columns).alias("row")).schema["row"].dataType
-    place = F.struct("topic", "partition").alias("place")
+
+    def place(start: Column) -> Column:
+        return F.struct(start.alias("block"), "partition", "topic").alias("place")
 
     def at(offset: str, side: int):
         return F.struct(F.col(offset).alias("offset"), F.lit(side).alias("side")).alias("at")
 
-    line = ranges.select(place, at("first", 0), F.lit(None).cast(whole).alias("row"), "last").unionByName(
-        records.select(
-            place, at("offset", 1), F.struct(*records.columns).alias("row"), F.lit(None).cast("bigint").alias("last")
+    line = (
+        _pieces(ranges, block)
+        .select(place(F.col("block")), at("first", 0), F.lit(None).cast(whole).alias("row"), "last")
+        .unionByName(
+            records.select(
+                place(_block("offset", block)),
+                at("offset", 1),
+                F.struct(*records.columns).alias("row"),
+                F.lit(None).cast("bigint").alias("last"),
+            )
         )
     )
 

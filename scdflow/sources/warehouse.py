@@ -15,6 +15,8 @@ first; batches of two writers must not overlap in time.
 import datetime
 import json
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -178,7 +180,8 @@ class Batch:
         """
         path = f"{self.warehouse.root}/staging/batch={self.number}/{name}"
         writer = rows.write.mode("overwrite").option("compression", "zstd")
-        writer.partitionBy(*folders).parquet(path)
+        with _variants_whole(self.warehouse.spark):
+            writer.partitionBy(*folders).parquet(path)
         read = self.warehouse.spark.read.schema(rows.schema).parquet(path)
         return read.select(*rows.columns)
 
@@ -262,6 +265,25 @@ class Batch:
         self.warehouse.record = new
 
 
+@contextmanager
+def _variants_whole(spark: SparkSession) -> Iterator[None]:
+    """What is written in here has each VARIANT in one column.
+
+    Else Spark finds common fields in the first rows of a file and cuts every value up into these;
+    readers that want whole images then put each together again.
+    """
+    name = "spark.sql.variant.inferShreddingSchema"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def slot_of(now: datetime.datetime) -> int:
     """The hour a time without zone is in, from 1970 on."""
     return int((now - datetime.datetime(1970, 1, 1)).total_seconds() // 3600)

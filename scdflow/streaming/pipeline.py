@@ -80,7 +80,7 @@ def ingest(
     known = warehouse.appended("applied")
     new = _unseen(batch, received, known)
     normalized = batch.keep("normalized", envelope.normalize(new), "topic")
-    batch.overwrite("applied", ranges.merged(known.unionByName(ranges.islands(normalized))))
+    batch.overwrite("applied", ranges.merged(known.unionByName(ranges.singles(normalized))))
     changes, applied = _census(normalized)
     rejected = _load(batch, normalized, changes, dates, now) + [_unread(normalized)]
     _file_failures(batch, rejected, now)

@@ -15,6 +15,7 @@ from scdflow.operators import envelope, facts, scd
 from scdflow.plans import catalog, metrics
 from scdflow.sources import records as sources
 from scdflow.sources.testdata import Tables
+from scdflow.sources.warehouse import Warehouse
 
 RECORDS = "topic string, partition int, offset bigint, timestamp timestamp_ntz, key string, value string"
 ORDERS = (
@@ -133,3 +134,18 @@ def test_records_are_shuffled_once_to_keep_one_per_address(spark, no_broadcast):
     assert got == [(0, "d"), (0, "d"), (1, "a")]
     shuffles = [x for x in plan(facts.one_per_address(rows)).split("\n") if "Exchange hashpartitioning" in x]
     assert len(shuffles) == 1
+
+
+def test_an_envelope_is_looked_into_once(spark):
+    """A path that leads nowhere, `$.payload` of a bare envelope, costs more than the look itself."""
+    rows = records(spark, [("ecommerce.public.orders", 0, 1, '{"after":{"order_id":1}}')])
+    looked = plan(envelope.normalize(rows))
+    assert not re.search(r"\$\.payload\W", looked.replace("$.payload.", ""))
+
+
+def test_what_a_batch_keeps_has_whole_variants(spark, tmp_path):
+    rows = records(spark, [("t", 0, i, '{"after":{"order_id":%d}}' % i) for i in range(50)]).coalesce(1)
+    kept = Warehouse(spark, str(tmp_path)).begin().keep("normalized", envelope.normalize(rows))
+    assert kept.filter("image IS NOT NULL").count() == 50
+    (file,) = [f for f in glob.glob(f"{tmp_path}/staging/*/normalized/*.parquet") if pq.read_metadata(f).num_rows > 40] or [None]
+    assert file and not any("typed_value" in c for c in pq.ParquetFile(file).schema.to_arrow_schema().field("image").type.__str__().split())

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from scdflow.operators import ranges
+from scdflow.operators import ranges, skew
 
 pytestmark = pytest.mark.usefixtures("interpreted")
 
@@ -68,3 +68,37 @@ def test_neighbours_of_many_batches_are_one_range(spark):
     for part in range(4):
         held = ranges.merged(held.unionByName(ranges.islands(rows.filter(f"offset % 4 = {part}"))))
     assert of(held) == [("t", 0, 0, 999)]
+
+
+def test_only_ranges_at_the_ends_of_blocks_are_merged_over_blocks(spark, monkeypatch):
+    """Offsets with gaps are as many ranges as records; those within a block need no second look."""
+    taken = []
+
+    def by_key(df, *given, **sizes):
+        taken.append(df.count())
+        return skew.by_key(df, *given, **sizes)
+
+    monkeypatch.setattr(ranges, "by_key", by_key)
+    offsets = [3 * i for i in range(200)] + [599, 601, 1199, 1201]
+    rows = spark.createDataFrame([("t", 0, o) for o in offsets], SCHEMA)
+    assert [(a, b) for _, _, a, b in of(ranges.islands(rows, 100))] == runs(offsets)
+    # 0, 99, 300, 399, 599 and 1199.
+    assert taken == [6]
+
+
+def test_blocks_of_offsets_beyond_a_double(spark):
+    base = 1 << 60
+    offsets = [base - 2, base - 1, base, base + 65535, base + 65536, base + 131073]
+    rows = spark.createDataFrame([("t", 0, o) for o in offsets], SCHEMA)
+    assert [(a, b) for _, _, a, b in of(ranges.islands(rows))] == runs(offsets)
+    long = spark.createDataFrame([("t", 0, base, base + 3_000_000)], ranges.RANGE)
+    merged = ranges.merged(long.unionByName(ranges.islands(rows)), 64)
+    assert [(a, b) for _, _, a, b in of(merged)] == [(base - 2, base + 3_000_000)]
+
+
+def test_rows_without_an_offset_stay(spark):
+    rows = spark.createDataFrame([("t", 0, None), ("t", 0, 4), (None, None, 4), ("t", 0, None)], SCHEMA)
+    got = {tuple(r) for r in ranges.islands(rows).collect()}
+    assert got == {("t", 0, None, None), ("t", 0, 4, 4), (None, None, 4, 4)}
+    missing = ranges.uncovered(rows, ranges.islands(rows))
+    assert [tuple(r) for r in missing.collect()] == [("t", 0, None)] * 2
