@@ -33,7 +33,9 @@ def by_key(
 ) -> DataFrame:
     """`build(rows, sliced)` over all keys, where hot keys come with a `slice` column.
 
-    However many keys are hot, they stay a table; only their number of rows is known here.
+    However many keys are hot, they stay a table; only their number of rows is known here. Where
+    they have most of the rows, all keys come in slices: else `df` would be computed once more for
+    the few rows that are left.
     Keys are counted in `counted`, where that has the keys of `df` and costs less to read: `df`
     is then not computed for the count.
     Rows with a null key are not passed on; no ordered operator has a use for them.
@@ -41,20 +43,22 @@ def by_key(
     df = df.filter(F.col(key).isNotNull())
     keys_of = df if counted is None else counted.filter(F.col(key).isNotNull())
     counts = keys_of.groupBy(key).agg(F.count("*").alias("n"))
-    most = counts.agg(F.max("n")).first()[0]
-    if most is None or most <= hot_rows:
+    is_hot = F.col("n") > hot_rows
+    rows, of_hot = counts.agg(F.sum("n"), F.sum(F.when(is_hot, F.col("n")))).first()
+    if not of_hot:
         return build(df, False)
-    hot = staged(counts.filter(F.col("n") > hot_rows), "hot_keys")
-    rows = hot.agg(F.sum("n")).first()[0]
-    keys = hot.select(key)
+    if 2 * of_hot > rows:
+        return build(_in_slices(df, key, order, rows, slice_rows), True)
+    keys = staged(counts.filter(is_hot), "hot_keys").select(key)
     cold = build(df.join(keys, key, "left_anti"), False)
-    ordered = (
-        df.join(keys, key, "left_semi")
-        .repartitionByRange(_ranges(df.sparkSession, rows, slice_rows), key, order)
-        .sortWithinPartitions(key, order)
-    )
-    sliced = staged(ordered.withColumn("slice", _slice(slice_rows)), "slices")
-    return cold.unionByName(build(sliced, True))
+    hot = df.join(keys, key, "left_semi")
+    return cold.unionByName(build(_in_slices(hot, key, order, of_hot, slice_rows), True))
+
+
+def _in_slices(df: DataFrame, key: str, order: str, rows: int, slice_rows: int) -> DataFrame:
+    ranges = _ranges(df.sparkSession, rows, slice_rows)
+    ordered = df.repartitionByRange(ranges, key, order).sortWithinPartitions(key, order)
+    return staged(ordered.withColumn("slice", _slice(slice_rows)), "slices", "zstd")
 
 
 def _ranges(spark: SparkSession, rows: int, slice_rows: int) -> int:

@@ -1,7 +1,10 @@
 """The fold against a row-at-a-time model, in one shot, in slices and in batches."""
 
+import contextlib
 import datetime as dt
+import io
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -208,3 +211,26 @@ def test_plain_fold_shuffles_and_sorts_once(spark):
     plan = scd.customer_dimension(changes)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
     assert plan.count("Sort ") == 1
+
+
+def test_versions_stay_in_their_slices(spark):
+    """Only the ends of versions that run on into later slices are moved, not all versions."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        day = dt.datetime(2024, 1, 1)
+        # A version of key 1 runs over many slices; key 2 has many versions.
+        rows = [(1, 0, i, day + dt.timedelta(hours=i), "u", "a", f"n{i}") for i in range(60)]
+        rows += [(2, 0, 100 + i, day + dt.timedelta(hours=i), "u", f"p{i // 7}", f"n{i}") for i in range(60)]
+        changes = spark.createDataFrame(
+            rows, "k long, partition int, offset long, ts timestamp_ntz, op string, phone string, name string"
+        ).withColumn("seq", F.struct("partition", "offset"))
+        whole = scd.fold(changes, "k", ["phone"], ["name"])
+        cut = scd.fold(changes, "k", ["phone"], ["name"], hot_rows=10, slice_rows=8)
+        assert sorted(map(tuple, cut.collect())) == sorted(map(tuple, whole.collect()))
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            cut.explain()
+        assert not re.search(r"Exchange hashpartitioning\([^)]*open_seq", out.getvalue())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
