@@ -33,3 +33,18 @@ def test_large_slices_are_a_range_each(spark):
     assert skew._ranges(spark, 100 * skew.SLICE_ROWS, skew.SLICE_ROWS) == 100
     assert skew._ranges(spark, 100 * skew.SLICE_ROWS, 1) == 100
     assert skew._ranges(spark, 10, 9) == 2
+
+
+@pytest.mark.parametrize(("cold", "calls"), [(3, [True]), (700, [False, True])])
+def test_rows_are_computed_twice_only_where_most_are_not_hot(spark, cold, calls):
+    hot = spark.range(500).select((F.col("id") % 5).alias("key"), F.col("id").alias("seq"))
+    few = spark.range(cold).select((F.col("id") + 5).alias("key"), F.col("id").alias("seq"))
+    seen = []
+
+    def build(part, sliced):
+        seen.append(sliced)
+        return part.select("key", "seq")
+
+    got = skew.by_key(hot.unionByName(few), "key", "seq", build, hot_rows=10, slice_rows=40)
+    assert got.count() == 500 + cold and got.distinct().count() == 500 + cold
+    assert seen == calls
