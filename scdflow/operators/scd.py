@@ -194,33 +194,41 @@ def _versions(events: DataFrame, key: str, sliced: bool) -> DataFrame:
 def _join_pieces(spans: DataFrame, key: str) -> DataFrame:
     """A version that runs on into later slices has a piece without a head there.
 
-    A slice has one such piece at most, ahead of its first boundary, and it ends the last version
-    that an earlier slice has opened. So only these pieces are moved; versions stay in their slices.
+    A slice has one such piece at most, of the version that an earlier slice opened last; what is
+    opened by an equal `seq` belongs to it as well. So only these pieces are moved; versions stay in
+    their slices.
     """
     before = Window.partitionBy(key).orderBy("slice").rowsBetween(*_BEFORE)
-    headed = F.col("head").isNotNull()
-    piece = F.struct("seq", "type1")
-    slices = spans.groupBy(key, "slice").agg(
-        F.max(F.when(headed, F.col("seq"))).alias("last_seq"),
-        F.max_by(piece, F.when(~headed, F.col("seq"))).alias("piece"),
+    slices = spans.groupBy(key, "slice").agg(F.max("head.open_seq").alias("last_open"))
+    carried = slices.select(key, "slice", F.max("last_open").over(before).alias("open_before"))
+    rows = (
+        spans.join(carried, [key, "slice"])
+        .withColumn("open_seq", F.coalesce("head.open_seq", "open_before"))
+        .groupBy(key, "slice", "open_seq")
+        .agg(
+            F.max("seq").alias("seq"),
+            F.min_by("head", "seq").alias("head"),
+            F.max_by("type1", "seq").alias("type1"),
+            F.first("open_before").alias("open_before"),
+        )
     )
-    opened_in = F.last(F.when(F.col("last_seq").isNotNull(), F.col("slice")), ignorenulls=True)
+    runs_on = F.col("open_seq").eqNullSafe(F.col("open_before"))
     ends = (
-        slices.withColumn("opened_in", opened_in.over(before))
-        .filter(F.col("piece").isNotNull())
-        .groupBy(key, "opened_in")
-        .agg(F.max_by("piece", "slice").alias("end"))
-    )
-    # A slice in which a version opens that later ones end, and the last row of it there.
-    open_at = slices.select(key, F.col("slice").alias("opened_in"), "last_seq").join(ends, [key, "opened_in"])
-    found = spans.filter(headed).join(open_at.withColumnRenamed("opened_in", "slice"), [key, "slice"], "left")
-    runs_on = F.col("seq") == F.col("last_seq")
+        rows.filter(runs_on)
+        .withColumnRenamed("open_seq", "last_open")
+        .groupBy(key, "last_open")
+        .agg(F.max_by(F.struct("seq", "type1"), "seq").alias("end"))
+    )
+    # The slice in which such a version was opened has one row here.
+    opened = slices.groupBy(key, "last_open").agg(F.min("slice").alias("slice"))
+    found = rows.filter(~runs_on).join(opened.join(ends, [key, "last_open"]), [key, "slice"], "left")
+    ended = F.col("open_seq") == F.col("last_open")
     return found.select(
         key,
         "slice",
-        F.when(runs_on, F.col("end.seq")).otherwise(F.col("seq")).alias("seq"),
+        F.when(ended, F.col("end.seq")).otherwise(F.col("seq")).alias("seq"),
         "head",
-        F.when(runs_on, F.col("end.type1")).otherwise(F.col("type1")).alias("type1"),
+        F.when(ended, F.col("end.type1")).otherwise(F.col("type1")).alias("type1"),
     )
 
 
